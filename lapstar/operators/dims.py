@@ -12,6 +12,7 @@ from lapstar.operators import scd2
 from lapstar.operators.joins import join_null_safe
 from lapstar.operators.keys import highest, number_rows
 from lapstar.schemas import COURSE, DIM_COMPETITION, DIM_EVENT, DIM_SWIMMER, SWIMMER_ATTRIBUTES
+from lapstar.session import save
 
 
 def project_swimmers(raw: DataFrame) -> DataFrame:
@@ -24,6 +25,12 @@ def project_swimmers(raw: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def programme(raw: DataFrame) -> DataFrame:
+    """The distinct events of each competition, written: all that the two small dimensions need."""
+    columns = ["Event", "Competition_Competition_Id", "Competition_Date", "Competition_Country", "Competition_Level"]
+    return save(raw.select(*columns).distinct(), "programme")
+
+
 def project_events(raw: DataFrame) -> DataFrame:
     return raw.select(
         distance("Event").alias("distance"), stroke("Event").alias("stroke"), F.lit(COURSE).alias("course")
@@ -51,7 +58,9 @@ def empty(df: DataFrame, schema) -> DataFrame:
 def swimmers(raw: DataFrame, as_of: dt.date | str | None = None, existing: DataFrame | None = None) -> DataFrame:
     """The swimmer dimension after these results. Rows keep their keys, new versions get the next ones."""
     existing = existing if existing is not None else empty(raw, DIM_SWIMMER)
-    old, new = scd2.parts(existing, project_swimmers(raw), "swimmer_id", SWIMMER_ATTRIBUTES, as_of)
+    # Written once: the merge reads it four times, and the results only here.
+    feed = save(project_swimmers(raw), "swimmers")
+    old, new = scd2.parts(existing, feed, "swimmer_id", SWIMMER_ATTRIBUTES, as_of)
     order = ["swimmer_id", "valid_from", *SWIMMER_ATTRIBUTES]
     numbered = number_rows(new.drop("swimmer_sk"), order, "swimmer_sk", highest(existing, "swimmer_sk"))
     return old.unionByName(numbered).select(*DIM_SWIMMER.names)

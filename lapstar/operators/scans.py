@@ -118,14 +118,16 @@ def trailing_list(
     local = F.count(value).over(_so_far([*keys, "_block"], ["_n"]))
     rows = save(carried.withColumn("_v", F.col("_carry") + local).withColumn("_own", F.lit(True)), "blocks")
 
-    # A block also needs the (length - 1) values before it: found by their number, at most that many per block.
-    wanted = (
+    # A block also needs the values before it, at most ``length``: found by their number.
+    wanted = save(
         rows.groupBy(*keys, "_block")
         .agg(F.max("_carry").alias("_last"))
         .filter("_last > 0")
-        .withColumn("_v", F.explode(F.sequence(F.greatest(F.col("_last") - length + 2, F.lit(1)), "_last")))
+        .withColumn("_v", F.explode(F.sequence(F.greatest(F.col("_last") - length + 1, F.lit(1)), "_last")))
+        .drop("_last"),
+        "wanted",
     )
     values = rows.filter(F.col(value).isNotNull()).drop("_block", "_own")
-    halo = join_null_safe(values, wanted.drop("_last"), [*keys, "_v"]).withColumn("_own", F.lit(False))
+    halo = join_null_safe(values, wanted, [*keys, "_v"]).withColumn("_own", F.lit(False))
     listed = lists(rows.unionByName(halo), [*keys, "_block"])
     return out.unionByName(listed.filter("_own").select(*out.columns))

@@ -49,7 +49,7 @@ def parts(
     columns = [key, *attributes]
     on = day(as_of)
     now = now if now is not None else on.cast("timestamp")
-    feed = feed.select(*columns).distinct()
+    feed = feed.select(*columns)
 
     flagged = _marked(_marked(existing, feed, columns, "_same"), feed, [key], "_known")
     superseded = F.col("is_current") & F.col("_known") & ~F.col("_same")
@@ -61,7 +61,8 @@ def parts(
 
     held = current(existing).select(*columns)
     versions = existing.groupBy(key).agg(F.max("version").alias("_version"))
-    fresh = join_null_safe(join_null_safe(feed, held, columns, "left_anti"), versions, [key], "left")
+    missing = join_null_safe(feed.distinct(), held, columns, "left_anti")
+    fresh = join_null_safe(missing, versions, [key], "left")
     values = {
         **{c: F.col(c) for c in columns},
         "is_current": F.lit(True),

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstar.operators import dims, facts
+from lapstar.operators import dims, facts, quality
 from lapstar.operators.keys import highest
 from lapstar.schemas import (
     DIM_COMPETITION,
@@ -15,8 +15,11 @@ from lapstar.schemas import (
     DIM_SWIMMER,
     FACT_PERFORMANCE,
     FACT_RANKINGS,
+    RAW_COLUMNS,
     Warehouse,
 )
+from lapstar.session import save
+from lapstar.sources.files import read_results
 from lapstar.sources.tables import append, overwrite_swap, read_table, replace_load
 
 TABLES = {
@@ -46,15 +49,16 @@ def run_load(
     """Add raw results to the warehouse and return it as it is afterwards.
 
     Keys of known rows never change. The swims are stored per ``load_id``, and the other steps give the same
-    table when repeated, so a load that stopped half-way is simply run again. ``raw`` is read several times:
-    pass files or a table.
+    table when repeated, so a load that stopped half-way is simply run again. ``raw`` is read once for the
+    swimmers, once for the other dimensions and twice for the swims: pass a table, as ``load_files`` does.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     known = read_warehouse(spark, database)
 
     overwrite_swap(dims.swimmers(raw, as_of, known.swimmers), f"{database}.dim_swimmer")
-    append(dims.new_events(raw, known.events), f"{database}.dim_event")
-    overwrite_swap(dims.competitions(raw, known.competitions), f"{database}.dim_competition")
+    programme = dims.programme(raw)
+    append(dims.new_events(programme, known.events), f"{database}.dim_event")
+    overwrite_swap(dims.competitions(programme, known.competitions), f"{database}.dim_competition")
 
     swims_name = f"{database}.fact_swimming_performance"
     start = 0
@@ -71,6 +75,23 @@ def run_load(
     return read_warehouse(spark, database)
 
 
+def load_files(
+    spark: SparkSession,
+    path: str,
+    database: str,
+    as_of: dt.date | str | None = None,
+    load_id: str = "initial",
+) -> tuple[Warehouse, DataFrame]:
+    """The whole job on a folder of results files: the warehouse after the load, and a profile of each file.
+
+    The text is parsed once, into a Parquet table that the profile and the load read by column.
+    """
+    raw = save(read_results(spark, path, with_source=True), "staged")
+    profile = quality.profile(raw, "source_file", RAW_COLUMNS)
+    loaded = run_load(spark, raw, database, as_of, load_id, tie=["source_file", "source_block"])
+    return loaded, profile
+
+
 def row_counts(warehouse: Warehouse) -> DataFrame:
     """Rows of each table."""
     frames = [

@@ -18,21 +18,54 @@ RAW_COLUMNS = [
 
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 
-DIM_SWIMMER = T.StructType.fromDDL(
-    "swimmer_sk bigint, swimmer_id string, name string, birth_date date, gender string, nationality string, "
-    "is_current boolean, valid_from date, valid_to date, version int, created_at timestamp, updated_at timestamp"
+_KINDS = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _table(**columns: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in columns.items()])
+
+
+DIM_SWIMMER = _table(
+    swimmer_sk="bigint",
+    swimmer_id="string",
+    name="string",
+    birth_date="date",
+    gender="string",
+    nationality="string",
+    is_current="boolean",
+    valid_from="date",
+    valid_to="date",
+    version="int",
+    created_at="timestamp",
+    updated_at="timestamp",
 )
-DIM_EVENT = T.StructType.fromDDL("event_sk bigint, distance int, stroke string, course string")
-DIM_COMPETITION = T.StructType.fromDDL(
-    "competition_sk bigint, competition_id string, competition_date date, location_code string, "
-    "competition_name string"
+DIM_EVENT = _table(event_sk="bigint", distance="int", stroke="string", course="string")
+DIM_COMPETITION = _table(
+    competition_sk="bigint",
+    competition_id="string",
+    competition_date="date",
+    location_code="string",
+    competition_name="string",
 )
-FACT_PERFORMANCE = T.StructType.fromDDL(
-    "performance_id bigint, swimmer_sk bigint, event_sk bigint, competition_sk bigint, time_seconds double, "
-    "overall_rank int, age int"
+FACT_PERFORMANCE = _table(
+    performance_id="bigint",
+    swimmer_sk="bigint",
+    event_sk="bigint",
+    competition_sk="bigint",
+    time_seconds="double",
+    overall_rank="int",
+    age="int",
 )
-FACT_RANKINGS = T.StructType.fromDDL(
-    "ranking_id bigint, swimmer_sk bigint, event_sk bigint, best_time double, best_rank int"
+FACT_RANKINGS = _table(
+    ranking_id="bigint", swimmer_sk="bigint", event_sk="bigint", best_time="double", best_rank="int"
 )
 
 SWIMMER_ATTRIBUTES = ["name", "birth_date", "gender", "nationality"]

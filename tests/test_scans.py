@@ -1,0 +1,109 @@
+"""The path for large groups must give what a plain window gives; here a group is large from a few rows on."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lapstar.operators.keys import number_rows
+from lapstar.operators.scans import number_in_groups, running_min, split_groups, trailing_list
+
+ORDER = ["day", "id"]
+
+
+def make(rows, hot_share, null_share, seed):
+    """Rows (id, key, day, value): one key holds ``hot_share`` of all, another key is null."""
+    rng = random.Random(seed)
+    keys = ["a", "b", "c", None]
+    out = []
+    for i in range(rows):
+        key = "hot" if rng.random() < hot_share else rng.choice(keys)
+        value = None if rng.random() < null_share else round(rng.uniform(20, 60), 2)
+        out.append((i, key, rng.randrange(5), value))
+    return out
+
+
+def groups(rows):
+    found = {}
+    for row in sorted(rows, key=lambda r: (r[2], r[0])):
+        found.setdefault(row[1], []).append(row)
+    return found.values()
+
+
+@pytest.fixture(params=[(400, 0.4, 0.2), (300, 0.9, 0.9), (60, 0.0, 1.0)], ids=["mixed", "mostly null", "all null"])
+def rows(request):
+    return make(*request.param, seed=7)
+
+
+@pytest.fixture()
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "id int, key string, day int, value double").repartition(6)
+
+
+def by_id(df, name):
+    found = df.select("id", name).collect()
+    assert len(found) == len({r.id for r in found})
+    return {r.id: r[name] for r in found}
+
+
+LIMITS = [13, 50, 10_000]
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_number_in_groups(frame, rows, limit):
+    expected = {row[0]: i for group in groups(rows) for i, row in enumerate(group, 1)}
+    assert by_id(number_in_groups(frame, ["key"], ORDER, "n", limit), "n") == expected
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_running_min(frame, rows, limit):
+    expected = {}
+    for group in groups(rows):
+        best = None
+        for i, _, _, value in group:
+            best = value if best is None else best if value is None else min(best, value)
+            expected[i] = best
+    assert by_id(running_min(frame, ["key"], ORDER, "value", "best", limit), "best") == expected
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+@pytest.mark.parametrize("length", [1, 5, 40])
+def test_trailing_list(frame, rows, limit, length):
+    expected = {}
+    for group in groups(rows):
+        values = []
+        for i, _, _, value in group:
+            values += [] if value is None else [value]
+            expected[i] = values[-length:]
+    assert by_id(trailing_list(frame, ["key"], ORDER, "value", length, "last", limit), "last") == expected
+
+
+def test_only_large_groups_leave_the_plain_path(frame, rows):
+    sizes = [len(g) for g in groups(rows)]
+    small, large = split_groups(frame, ["key"], 70)
+    assert (large.count() if large else 0) == sum(n for n in sizes if n > 70)
+    assert small.count() == sum(n for n in sizes if n <= 70)
+
+
+def test_numbers_are_dense_over_many_partitions(spark):
+    df = spark.range(0, 20_000, numPartitions=16).select((F.col("id") * 7919 % 20_011).alias("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = number_rows(df, [F.col("x").desc()], "n", start=100)
+        values = [r.x for r in numbered.orderBy("n").collect()]
+        assert values == sorted(values, reverse=True)
+        span = numbered.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()
+        assert tuple(span) == (101, 20_100, 20_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_copies_of_a_row_get_numbers_of_their_own(spark):
+    numbered = number_rows(spark.range(1000).selectExpr("1 AS x"), ["x"], "n")
+    assert sorted(r.n for r in numbered.collect()) == list(range(1, 1001))
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], "id int, key string, day int, value double")
+    assert number_rows(empty, ["id"], "n").count() == 0
+    assert number_in_groups(empty, ["key"], ORDER, "n").count() == 0

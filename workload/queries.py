@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapstar import functions as fn
@@ -29,7 +29,10 @@ from workload.staging import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-COMPETITION = F.col("Competition_Competition_Id").alias("competition_id")
+
+def competition() -> Column:
+    return F.col("Competition_Competition_Id").alias("competition_id")
+
 
 
 def query(function: Query) -> Query:
@@ -38,7 +41,7 @@ def query(function: Query) -> Query:
 
 
 def _rows_by_competition(raw: DataFrame) -> DataFrame:
-    return raw.groupBy(COMPETITION).agg(F.count("*").alias("rows"))
+    return raw.groupBy(competition()).agg(F.count("*").alias("rows"))
 
 
 def _halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -64,7 +67,7 @@ def scan_results_csv(spark, sf_dir):
         F.col("Time").alias("time"),
         F.col("Overall_Rank").alias("overall_rank"),
         F.col("Age").alias("age"),
-        COMPETITION,
+        competition(),
         F.col("Competition_Date").alias("competition_date"),
         F.col("Competition_Country").alias("competition_country"),
         F.col("Competition_Level").alias("competition_level"),
@@ -82,8 +85,8 @@ def write_results_by_competition(spark, sf_dir):
 def read_table_or_empty(spark, sf_dir):
     database = new_database(spark)
     raw = raw_results(spark, sf_dir)
-    tables.append(raw.select(COMPETITION), f"{database}.present")
-    schema = raw.select(COMPETITION).schema
+    tables.append(raw.select(competition()), f"{database}.present")
+    schema = raw.select(competition()).schema
     found = [(name, tables.read_table(spark, f"{database}.{name}", schema)) for name in ("present", "missing")]
     counted = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n, df in found]
     return counted[0].unionByName(counted[1])
@@ -92,7 +95,7 @@ def read_table_or_empty(spark, sf_dir):
 @query
 def overwrite_swap(spark, sf_dir):
     name = f"{new_database(spark)}.swims"
-    tables.overwrite_swap(raw_results(spark, sf_dir).select(COMPETITION, "Overall_Rank"), name)
+    tables.overwrite_swap(raw_results(spark, sf_dir).select(competition(), "Overall_Rank"), name)
     tables.overwrite_swap(spark.read.table(name).filter("Overall_Rank <> '1'"), name)
     return spark.read.table(name).groupBy("competition_id").agg(F.count("*").alias("rows"))
 
@@ -112,8 +115,8 @@ def append_rows(spark, sf_dir):
 def profile_by_file(spark, sf_dir):
     raw = files.read_results(spark, results_folder(spark, sf_dir))
     by_file = quality.profile(raw.withColumn("file", F.col("_metadata.file_path")), "file", raw.columns)
-    competition = F.regexp_extract("file", r"_([^_/]+)_results\.csv/", 1).alias("competition_id")
-    return by_file.groupBy(competition).agg(
+    by_competition = F.regexp_extract("file", r"_([^_/]+)_results\.csv/", 1).alias("competition_id")
+    return by_file.groupBy(by_competition).agg(
         F.sum("rows").alias("rows"),
         F.sum("null_time").alias("null_time"),
         F.sum("null_approving_authority").alias("null_authority"),
@@ -178,7 +181,7 @@ def filter_current(spark, sf_dir):
 def filter_between(spark, sf_dir):
     date = fn.as_date("Competition_Date")
     swims = raw_results(spark, sf_dir).select(
-        F.col("SwimmerId").alias("swimmer_id"), COMPETITION, fn.parse_time("Time").alias("time_seconds"),
+        F.col("SwimmerId").alias("swimmer_id"), competition(), fn.parse_time("Time").alias("time_seconds"),
         date.alias("swum_on"),
     )
     return swims.filter(
@@ -325,7 +328,7 @@ def event_places(spark, sf_dir):
 def event_top5(spark, sf_dir):
     top = results.top5(raw_results(spark, sf_dir), SRC)
     return top.select(
-        COMPETITION, F.col("Event").alias("event"), F.col("place").cast("bigint").alias("place"),
+        competition(), F.col("Event").alias("event"), F.col("place").cast("bigint").alias("place"),
         F.col("SwimmerId").alias("swimmer_id"),
     )
 
