@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapstar.functions.columns import as_date, distance, gender_code, stroke
@@ -15,14 +15,18 @@ from lapstar.schemas import COURSE, DIM_COMPETITION, DIM_EVENT, DIM_SWIMMER, SWI
 from lapstar.session import save
 
 
-def project_swimmers(raw: DataFrame) -> DataFrame:
-    return raw.select(
+def swimmer_columns() -> list[Column]:
+    return [
         F.col("SwimmerId").alias("swimmer_id"),
         F.col("Name").alias("name"),
         as_date("Birth_Date").alias("birth_date"),
         gender_code("Gender").alias("gender"),
         F.col("Citizenship").alias("nationality"),
-    ).distinct()
+    ]
+
+
+def project_swimmers(raw: DataFrame) -> DataFrame:
+    return raw.select(*swimmer_columns()).distinct()
 
 
 def programme(raw: DataFrame) -> DataFrame:

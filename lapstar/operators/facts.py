@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapstar.functions.columns import as_int, distance, parse_time, stroke
+from lapstar.operators.dims import swimmer_columns
+from lapstar.operators.joins import join_null_safe
 from lapstar.operators.keys import highest, number_rows
+from lapstar.operators.quality import duplicates
 from lapstar.operators.scd2 import current
-from lapstar.schemas import FACT_PERFORMANCE, FACT_RANKINGS
+from lapstar.schemas import FACT_PERFORMANCE, FACT_RANKINGS, SWIMMER_ATTRIBUTES
 
 
 def performance(
@@ -21,13 +24,15 @@ def performance(
 ) -> DataFrame:
     """One row per swim, for the current version of the swimmer.
 
+    Should an id have several current rows, the swim belongs to the one with its own name, birth date, gender
+    and nationality; so a swim never becomes several rows, also when many swimmers share one id.
     Ids follow competition, event, place and swimmer. ``tie`` names raw columns that settle what is left,
     and that spread exact copies over several tasks; see ``read_results(with_source=True)``.
     No side is hinted: Spark broadcasts dimensions below its threshold, and else AQE splits hot keys.
     """
     tie = tie or []
     swims = raw.select(
-        F.col("SwimmerId").alias("swimmer_id"),
+        *swimmer_columns(),
         F.col("Competition_Competition_Id").alias("competition_id"),
         F.col("Event").alias("event"),
         distance("Event").alias("distance"),
@@ -37,11 +42,15 @@ def performance(
         as_int("Age").alias("age"),
         *tie,
     )
+    held = current(swimmers).filter(F.col("swimmer_id").isNotNull())
+    match = ["swimmer_id"]
+    if not duplicates(held, match).isEmpty():
+        match += SWIMMER_ATTRIBUTES
     joined = (
         swims.join(events.select("event_sk", "distance", "stroke"), ["distance", "stroke"])
         .join(competitions.select("competition_sk", "competition_id"), "competition_id")
-        .join(current(swimmers).select("swimmer_sk", "swimmer_id"), "swimmer_id")
-        .drop("distance", "stroke")
+        .transform(lambda rows: join_null_safe(rows, held.select("swimmer_sk", *match), match))
+        .drop("distance", "stroke", *SWIMMER_ATTRIBUTES)
     )
     order = ["competition_id", "event", F.col("overall_rank").asc_nulls_last(), "swimmer_id"]
     order += tie or ["time_seconds", "age"]

@@ -141,9 +141,12 @@ SUMMARY_ATTRIBUTES = {
 def rankings_summary(raw: DataFrame, length: int = HISTORY_LENGTH, tie: list[str] | None = None) -> DataFrame:
     """Every swimmer × stroke with counts of places 1 to 5 and the map distance → last times.
 
-    The map holds all distances of the stroke, empty where none was swum.
+    The swimmer's attributes are those of the newest swim. The map holds all distances of the stroke, empty
+    where none was swum.
     """
-    swimmers = raw.select(*[F.col(c).alias(a) for a, c in SUMMARY_ATTRIBUTES.items()]).distinct()
+    attributes = F.struct(*[F.col(c).alias(a) for a, c in SUMMARY_ATTRIBUTES.items()])
+    newest = F.max(F.struct(as_date("Competition_Date").alias("swim_date"), attributes.alias("attributes")))
+    swimmers = raw.groupBy("SwimmerId").agg(newest.alias("newest")).select("newest.attributes.*")
     listed = F.create_map(
         *chain.from_iterable(
             (F.lit(name), F.array(*[F.lit(d) for d in metres])) for name, metres in STROKE_DISTANCES.items()

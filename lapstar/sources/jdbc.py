@@ -4,11 +4,23 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 LOG = logging.getLogger(__name__)
 
+# SQL states with which databases report a table that does not exist.
+NO_SUCH_TABLE = {"42P01", "42S02", "42X05", "S0002"}
+
+
+def _sql_state(error: Py4JJavaError) -> str | None:
+    cause = error.java_exception
+    while cause is not None:
+        if "SQL" in cause.getClass().getSimpleName():
+            return cause.getSQLState()
+        cause = cause.getCause()
+    return None
+
 
 def read_jdbc(
     spark: SparkSession,
@@ -19,7 +31,7 @@ def read_jdbc(
     bounds: tuple[int, int] | None = None,
     partitions: int = 1,
 ) -> DataFrame | None:
-    """A table, or None with a warning when it cannot be read.
+    """A table, or None with a warning when it does not exist. Other failures, as of the connection, are raised.
 
     With a numeric ``column`` and its ``bounds`` the read is split into ``partitions`` parallel queries;
     rows outside the bounds are read as well.
@@ -29,8 +41,10 @@ def read_jdbc(
         split = {"column": column, "lowerBound": bounds[0], "upperBound": bounds[1], "numPartitions": partitions}
     try:
         return spark.read.jdbc(url, table, properties=properties or {}, **split)
-    except PySparkException as error:
-        LOG.warning("table %s not found: %s", table, error)
+    except Py4JJavaError as error:
+        if _sql_state(error) not in NO_SUCH_TABLE:
+            raise
+        LOG.warning("table %s not found", table)
         return None
 
 

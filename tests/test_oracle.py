@@ -1,0 +1,44 @@
+"""Every query against its SQL in DuckDB: same columns, types and rows."""
+
+import duckdb
+import pytest
+from conftest import SMALL
+
+import __spark_entry__ as entry_point
+from workload.queries import QUERIES
+
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in ("customer", "orders", "lineitem", "part"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
+    return connection
+
+
+def test_every_query_has_its_sql():
+    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert len(entry_point.queries()) == 53
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(spark, duck, name):
+    found = entry_point.queries()[name](spark, SMALL)
+    expected = duck.execute(entry_point.oracle_sql()[name])
+    types = {column[0]: str(column[1]) for column in expected.description}
+    assert {c: TYPES[t] for c, t in found.dtypes} == types
+    columns = sorted(types)
+    position = [list(types).index(c) for c in columns]
+    left = sorted(repr(tuple(row[c] for c in columns)) for row in found.collect())
+    right = sorted(repr(tuple(row[i] for i in position)) for row in expected.fetchall())
+    assert left == right
+
+
+def test_entry(spark):
+    found = entry_point.entry(spark)
+    assert found.columns[:2] == ["name", "nationality"] and found.count() == 219
