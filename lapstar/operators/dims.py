@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,40 +60,49 @@ def empty(df: DataFrame, schema) -> DataFrame:
     return df.sparkSession.createDataFrame([], schema)
 
 
-def swimmers(raw: DataFrame, as_of: dt.date | str | None = None, existing: DataFrame | None = None) -> DataFrame:
-    """The swimmer dimension after these results. Rows keep their keys, new versions get the next ones."""
+@dataclass(frozen=True)
+class Change:
+    """What a feed does to a dimension: ``kept`` rows, some of them altered if ``rewrites``, and ``added`` ones.
+
+    When nothing known is altered, the added rows can be appended and the table need not be written again.
+    """
+
+    kept: DataFrame
+    added: DataFrame
+    rewrites: bool
+
+    def whole(self) -> DataFrame:
+        return self.kept.unionByName(self.added)
+
+
+def swimmers(raw: DataFrame, as_of: dt.date | str | None = None, existing: DataFrame | None = None) -> Change:
+    """Type 2 history. Rows keep their keys, new versions get the next ones."""
     existing = existing if existing is not None else empty(raw, DIM_SWIMMER)
-    # Written once: the merge reads it four times, and the results only here.
+    # Written once: the merge reads it several times, and the results only here.
     feed = save(project_swimmers(raw), "swimmers")
     old, new = scd2.parts(existing, feed, "swimmer_id", SWIMMER_ATTRIBUTES, as_of)
     order = ["swimmer_id", "valid_from", *SWIMMER_ATTRIBUTES]
     numbered = number_rows(new.drop("swimmer_sk"), order, "swimmer_sk", highest(existing, "swimmer_sk"))
-    return old.unionByName(numbered).select(*DIM_SWIMMER.names)
+    closes = not scd2.superseded(existing, feed, "swimmer_id", SWIMMER_ATTRIBUTES).isEmpty()
+    return Change(old, numbered.select(*DIM_SWIMMER.names), closes)
 
 
-def new_events(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Events that the dimension does not have yet, with the next keys."""
+def events(raw: DataFrame, existing: DataFrame | None = None) -> Change:
     existing = existing if existing is not None else empty(raw, DIM_EVENT)
     missing = join_null_safe(project_events(raw), existing, ["distance", "stroke"], "left_anti")
     numbered = number_rows(missing, ["distance", "stroke"], "event_sk", highest(existing, "event_sk"))
-    return numbered.select(*DIM_EVENT.names)
-
-
-def events(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """The event dimension after these results."""
-    added = new_events(raw, existing)
-    return added if existing is None else existing.unionByName(added)
+    return Change(existing, numbered.select(*DIM_EVENT.names), False)
 
 
-def competitions(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """The competition dimension after these results. Known ids keep their keys and take the new attributes."""
+def competitions(raw: DataFrame, existing: DataFrame | None = None) -> Change:
+    """Known ids keep their keys and take the attributes of the new results."""
     existing = existing if existing is not None else empty(raw, DIM_COMPETITION)
-    found = project_competitions(raw)
-    attributes = ["competition_date", "location_code", "competition_name"]
-    key = ["competition_id"]
-    known = join_null_safe(found, existing.select("competition_sk", "competition_id"), key)
-    kept = join_null_safe(existing, found, key, "left_anti")
+    found = save(project_competitions(raw), "competitions")
+    key, attributes = ["competition_id"], ["competition_date", "location_code", "competition_name"]
     missing = join_null_safe(found, existing, key, "left_anti")
     start = highest(existing, "competition_sk")
-    numbered = number_rows(missing, ["competition_id", *attributes], "competition_sk", start)
-    return kept.unionByName(known).unionByName(numbered)
+    numbered = number_rows(missing, [*key, *attributes], "competition_sk", start)
+    known = join_null_safe(found, existing.select("competition_sk", *key), key).select(*DIM_COMPETITION.names)
+    kept = join_null_safe(existing, found, key, "left_anti").unionByName(known)
+    differs = not join_null_safe(known, existing, [*key, *attributes], "left_anti").isEmpty()
+    return Change(kept, numbered.select(*DIM_COMPETITION.names), differs)

@@ -12,6 +12,7 @@ from lapstar.operators.keys import highest, number_rows
 from lapstar.operators.quality import duplicates
 from lapstar.operators.scd2 import current
 from lapstar.schemas import FACT_PERFORMANCE, FACT_RANKINGS, SWIMMER_ATTRIBUTES
+from lapstar.session import save
 
 
 def performance(
@@ -65,21 +66,34 @@ def best_results(performance: DataFrame) -> DataFrame:
 
 
 def rankings(performance: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """The ranking fact after these swims. With ``existing``, pass only the new swims: minima merge."""
+    """The ranking rows that these swims add: pairs of swimmer and event that are new, or do better than before.
+
+    A pair that ``existing`` knows keeps its id. Only the pairs of these swims are looked up in it, so a small
+    load does not rewrite or shuffle the rest.
+    """
     best = best_results(performance)
-    order = ["swimmer_sk", "event_sk"]
+    pair = ["swimmer_sk", "event_sk"]
     if existing is None:
-        return number_rows(best, order, "ranking_id").select(*FACT_RANKINGS.names)
-    merged = (
-        existing.unionByName(best, allowMissingColumns=True)
-        .groupBy(*order)
-        .agg(
-            F.max("ranking_id").alias("ranking_id"),
-            F.min("best_time").alias("best_time"),
-            F.min("best_rank").alias("best_rank"),
-        )
+        return number_rows(best, pair, "ranking_id").select(*FACT_RANKINGS.names)
+    best = save(best, "best-results")
+    held = merge_rankings(existing.join(best.select(*pair), pair, "left_semi"))
+    held = held.withColumnsRenamed({"best_time": "old_time", "best_rank": "old_rank"})
+    joined = save(best.join(held, pair, "left"), "ranked-pairs")
+    better = (F.col("best_time") < F.col("old_time")) | (F.col("best_rank") < F.col("old_rank"))
+    first_value = (F.col("old_time").isNull() & F.col("best_time").isNotNull()) | (
+        F.col("old_rank").isNull() & F.col("best_rank").isNotNull()
+    )
+    improved = joined.filter("ranking_id IS NOT NULL").filter(F.coalesce(better, F.lit(False)) | first_value)
+    added = joined.filter("ranking_id IS NULL").select(*best.columns)
+    numbered = number_rows(added, pair, "ranking_id", highest(existing, "ranking_id"))
+    names = FACT_RANKINGS.names
+    return improved.select(*names).unionByName(numbered.select(*names))
+
+
+def merge_rankings(stored: DataFrame) -> DataFrame:
+    """One row per swimmer and event from the rows of all loads: minima merge."""
+    return stored.groupBy("swimmer_sk", "event_sk").agg(
+        F.min("ranking_id").alias("ranking_id"),
+        F.min("best_time").alias("best_time"),
+        F.min("best_rank").alias("best_rank"),
     )
-    known = merged.filter(F.col("ranking_id").isNotNull())
-    added = merged.filter(F.col("ranking_id").isNull()).drop("ranking_id")
-    numbered = number_rows(added, order, "ranking_id", highest(existing, "ranking_id"))
-    return known.unionByName(numbered).select(*FACT_RANKINGS.names)

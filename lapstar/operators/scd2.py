@@ -37,6 +37,17 @@ def classify(existing: DataFrame, feed: DataFrame, key: str, attributes: list[st
     return fed.select(key, change.alias("change")).unionByName(absent.select(key, F.lit("absent").alias("change")))
 
 
+def _superseded() -> Column:
+    return F.col("is_current") & F.col("_known") & ~F.col("_same")
+
+
+def superseded(existing: DataFrame, feed: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+    """The current rows that a merge would close."""
+    held = current(existing)
+    flagged = _marked(_marked(held, feed, [key, *attributes], "_same"), feed, [key], "_known")
+    return flagged.filter(_superseded()).select(*existing.columns)
+
+
 def parts(
     existing: DataFrame,
     feed: DataFrame,
@@ -52,11 +63,11 @@ def parts(
     feed = feed.select(*columns)
 
     flagged = _marked(_marked(existing, feed, columns, "_same"), feed, [key], "_known")
-    superseded = F.col("is_current") & F.col("_known") & ~F.col("_same")
-    closing = {"valid_to": F.when(superseded, on).otherwise(F.col("valid_to"))}
+    closed = _superseded()
+    closing = {"valid_to": F.when(closed, on).otherwise(F.col("valid_to"))}
     if "updated_at" in existing.columns:
-        closing["updated_at"] = F.when(superseded, now).otherwise(F.col("updated_at"))
-    closing["is_current"] = F.col("is_current") & ~superseded
+        closing["updated_at"] = F.when(closed, now).otherwise(F.col("updated_at"))
+    closing["is_current"] = F.col("is_current") & ~closed
     old = flagged.withColumns(closing).select(*existing.columns)
 
     held = current(existing).select(*columns)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapstar.operators import dims, facts, quality
+from lapstar.operators.facts import merge_rankings
 from lapstar.operators.keys import highest
 from lapstar.schemas import (
     DIM_COMPETITION,
@@ -31,11 +33,30 @@ TABLES = {
 }
 
 
+def _rankings(spark: SparkSession, database: str) -> DataFrame:
+    name = f"{database}.fact_rankings"
+    stored = read_table(spark, name, FACT_RANKINGS)
+    # A single load has one row per swimmer and event already.
+    merged = "load_id" in stored.columns and spark.sql(f"SHOW PARTITIONS {name}").count() > 1
+    return merge_rankings(stored) if merged else stored
+
+
 def read_warehouse(spark: SparkSession, database: str) -> Warehouse:
-    frames = [
-        read_table(spark, f"{database}.{name}", schema).select(*schema.names) for name, schema in TABLES.items()
-    ]
-    return Warehouse(*frames)
+    frames = {name: read_table(spark, f"{database}.{name}", schema) for name, schema in TABLES.items()}
+    frames["fact_rankings"] = _rankings(spark, database)
+    return Warehouse(*[frames[name].select(*schema.names) for name, schema in TABLES.items()])
+
+
+def _apply(change: dims.Change, name: str) -> None:
+    if change.rewrites:
+        overwrite_swap(change.whole(), name)
+    else:
+        append(change.added, name)
+
+
+def _other_loads(spark: SparkSession, name: str, load_id: str) -> DataFrame | None:
+    stored = read_table(spark, name)
+    return None if stored is None else stored.filter(F.col("load_id") != load_id)
 
 
 def run_load(
@@ -48,30 +69,34 @@ def run_load(
 ) -> Warehouse:
     """Add raw results to the warehouse and return it as it is afterwards.
 
-    Keys of known rows never change. The swims are stored per ``load_id``, and the other steps give the same
-    table when repeated, so a load that stopped half-way is simply run again. ``raw`` is read once for the
+    Keys of known rows never change. Facts are stored per ``load_id``, and the dimensions give the same rows
+    when merged again, so a load that stopped half-way is simply run again. ``raw`` is read once for the
     swimmers, once for the other dimensions and twice for the swims: pass a table, as ``load_files`` does.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     known = read_warehouse(spark, database)
-
-    overwrite_swap(dims.swimmers(raw, as_of, known.swimmers), f"{database}.dim_swimmer")
     programme = dims.programme(raw)
-    append(dims.new_events(programme, known.events), f"{database}.dim_event")
-    overwrite_swap(dims.competitions(programme, known.competitions), f"{database}.dim_competition")
-
-    swims_name = f"{database}.fact_swimming_performance"
-    start = 0
-    stored = read_table(spark, swims_name)
-    if stored is not None:
-        start = highest(stored.filter(F.col("load_id") != load_id), "performance_id")
+    steps = [
+        lambda: _apply(dims.swimmers(raw, as_of, known.swimmers), f"{database}.dim_swimmer"),
+        lambda: _apply(dims.events(programme, known.events), f"{database}.dim_event"),
+        lambda: _apply(dims.competitions(programme, known.competitions), f"{database}.dim_competition"),
+    ]
+    # The dimensions do not depend on each other: their jobs share the cluster.
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+    name = f"{database}.fact_swimming_performance"
+    others = _other_loads(spark, name, load_id)
+    start = 0 if others is None else highest(others, "performance_id")
     loaded = read_warehouse(spark, database)
     swims = facts.performance(raw, loaded.swimmers, loaded.events, loaded.competitions, tie, start)
-    replace_load(swims, swims_name, load_id)
+    replace_load(swims, name, load_id)
 
     # Only this load's swims are aggregated: the stored minima hold the rest.
-    added = spark.read.table(swims_name).filter(F.col("load_id") == load_id)
-    overwrite_swap(facts.rankings(added, loaded.rankings), f"{database}.fact_rankings")
+    added = spark.read.table(name).filter(F.col("load_id") == load_id)
+    name = f"{database}.fact_rankings"
+    replace_load(facts.rankings(added, _other_loads(spark, name, load_id)), name, load_id)
     return read_warehouse(spark, database)
 
 

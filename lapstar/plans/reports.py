@@ -163,7 +163,7 @@ def olympic_qualified_swimmers(
     """Qualified swimmers who made a cut, with their wins among the last five swims.
 
     The report joins by name. Each side is made distinct first: per name and stroke it then adds at most two
-    cuts, and as many wins as differ, so namesakes do not multiply.
+    cuts, and as many wins as differ, so namesakes do not multiply and the joined rows are distinct.
     """
     keys = ["name", "stroke"]
     people = _qualifications(warehouse, as_of, params).drop("ranked_competitions").distinct()
@@ -171,21 +171,17 @@ def olympic_qualified_swimmers(
     wins = _last_five(warehouse, params).select(*keys, "rank_1_count").distinct()
     joined = people.join(cuts.select(*keys, "olympic_cut").distinct(), keys).join(wins, keys, "left")
     grade = F.when(F.col("olympic_cut") == "A Cut", 1).when(F.col("olympic_cut") == "B Cut", 2).otherwise(3)
-    return (
-        joined.select(
-            "name",
-            "nationality",
-            "age",
-            "age_group",
-            "stroke",
-            "olympic_cut",
-            F.coalesce("rank_1_count", F.lit(0)).alias("rank_1_count"),
-            "total_competitions",
-            "qualifying_competitions",
-        )
-        .distinct()
-        .orderBy(grade, "stroke", F.col("rank_1_count").desc(), "name")
-    )
+    return joined.select(
+        "name",
+        "nationality",
+        "age",
+        "age_group",
+        "stroke",
+        "olympic_cut",
+        F.coalesce("rank_1_count", F.lit(0)).alias("rank_1_count"),
+        "total_competitions",
+        "qualifying_competitions",
+    ).orderBy(grade, "stroke", F.col("rank_1_count").desc(), "name")
 
 
 def qualified_summary(

@@ -68,10 +68,13 @@ def test_second_load_keeps_keys_and_history(spark, raw_frame):
 
 
 def test_changed_competition_keeps_its_key(spark, raw_frame):
-    first = dims.competitions(raw_frame(FIRST + SECOND))
+    first = dims.competitions(raw_frame(FIRST + SECOND)).whole()
     known = spark.createDataFrame(first.collect(), first.schema)
     moved = [swim(1, "50m Freestyle", "25.00", "M2", "2018-03-01"), swim(1, "50m Freestyle", "25.00", "M0", "2018-03-01")]
-    found = values(dims.competitions(raw_frame(moved), known), "competition_id", "competition_sk", "competition_date")
+    assert not dims.competitions(raw_frame(FIRST), known).rewrites
+    change = dims.competitions(raw_frame(moved), known)
+    assert change.rewrites
+    found = values(change.whole(), "competition_id", "competition_sk", "competition_date")
     assert found == [("M0", 3, dt.date(2018, 3, 1)), ("M1", 1, dt.date(2018, 1, 1)), ("M2", 2, dt.date(2018, 3, 1))]
 
 

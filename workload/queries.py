@@ -274,17 +274,17 @@ def distinct_events(spark, sf_dir):
 
 @query
 def dim_event(spark, sf_dir):
-    return dims.events(raw_results(spark, sf_dir))
+    return dims.events(raw_results(spark, sf_dir)).whole()
 
 
 @query
 def dim_competition(spark, sf_dir):
-    return dims.competitions(raw_results(spark, sf_dir))
+    return dims.competitions(raw_results(spark, sf_dir)).whole()
 
 
 @query
 def dim_swimmer_initial(spark, sf_dir):
-    return dims.swimmers(raw_results(spark, sf_dir), AS_OF).drop("created_at", "updated_at")
+    return dims.swimmers(raw_results(spark, sf_dir), AS_OF).whole().drop("created_at", "updated_at")
 
 
 @query
