@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from lapstar.schemas import Params
 
 __all__ = [
-    "age_days365", "age_group", "age_years", "as_date", "as_int", "cut_label", "day", "distance", "education_band",
-    "event_label", "file_name", "format_time", "gender_code", "history_array", "history_text", "parse_results",
-    "parse_time", "register", "stroke", "top_flag",
+    "age_days365", "age_group", "age_years", "as_date", "as_int", "competition_code", "cut_label", "day", "distance",
+    "education_band", "event_label", "file_name", "format_time", "gender_code", "history_array", "history_text",
+    "parse_results", "parse_time", "register", "stroke", "top_flag",
 ]
 
 _PART = r"\s*[+-]?(?:\d+\.?\d*|\.\d+)\s*"
@@ -40,7 +40,8 @@ def as_date(text: Column | str) -> Column:
 
 def as_int(text: Column | str) -> Column:
     """Whole number of a text, null when it is none; decimals are cut off (``'3.0'`` is 3)."""
-    return F.regexp_extract(_column(text), INT_PATTERN, 1).try_cast("int")
+    text = _column(text)
+    return F.coalesce(text.try_cast("int"), F.regexp_extract(text, INT_PATTERN, 1).try_cast("int"))
 
 
 def gender_code(text: Column | str) -> Column:
@@ -139,6 +140,11 @@ def history_text(times: Column | str) -> Column:
     return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
 
 
+def competition_code(level: Column | str, number: Column | str) -> Column:
+    """Id of a competition, such as ``NAT_001`` for the first national one."""
+    return F.format_string("%s_%03d", F.upper(F.substring(_column(level), 1, 3)), _column(number))
+
+
 def file_name(date: Column | str, competition_id: Column | str) -> Column:
     """Name of the results file of a competition."""
     return F.concat_ws(

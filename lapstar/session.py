@@ -39,8 +39,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="lapstar-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lapstar-"))
+        folder = context.getCheckpointDir()
     return f"{folder.rstrip('/')}/lapstar-{context.applicationId}"
 
 
