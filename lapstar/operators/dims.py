@@ -30,6 +30,11 @@ def project_swimmers(raw: DataFrame) -> DataFrame:
     return raw.select(*swimmer_columns()).distinct()
 
 
+def swimmer_feed(raw: DataFrame) -> DataFrame:
+    """The distinct swimmers of the results, written: a merge reads them several times."""
+    return save(project_swimmers(raw), "swimmers")
+
+
 def programme(raw: DataFrame) -> DataFrame:
     """The distinct events of each competition, written: all that the two small dimensions need."""
     columns = ["Event", "Competition_Competition_Id", "Competition_Date", "Competition_Country", "Competition_Level"]
@@ -75,15 +80,16 @@ class Change:
         return self.kept.unionByName(self.added)
 
 
-def swimmers(raw: DataFrame, as_of: dt.date | str | None = None, existing: DataFrame | None = None) -> Change:
-    """Type 2 history. Rows keep their keys, new versions get the next ones."""
-    existing = existing if existing is not None else empty(raw, DIM_SWIMMER)
-    # Written once: the merge reads it several times, and the results only here.
-    feed = save(project_swimmers(raw), "swimmers")
-    old, new = scd2.parts(existing, feed, "swimmer_id", SWIMMER_ATTRIBUTES, as_of)
-    order = ["swimmer_id", "valid_from", *SWIMMER_ATTRIBUTES]
+def swimmers(feed: DataFrame, as_of: dt.date | str | None = None, existing: DataFrame | None = None) -> Change:
+    """Type 2 history of the rows of ``swimmer_feed``. Rows keep their keys, new versions get the next ones."""
+    existing = existing if existing is not None else empty(feed, DIM_SWIMMER)
+    key = "swimmer_id"
+    touched = save(scd2.of_keys(existing, feed, key), "touched")
+    new = scd2.new_versions(touched, feed, key, SWIMMER_ATTRIBUTES, as_of)
+    order = [key, "valid_from", *SWIMMER_ATTRIBUTES]
     numbered = number_rows(new.drop("swimmer_sk"), order, "swimmer_sk", highest(existing, "swimmer_sk"))
-    closes = not scd2.superseded(existing, feed, "swimmer_id", SWIMMER_ATTRIBUTES).isEmpty()
+    closes = not scd2.superseded(touched, feed, key, SWIMMER_ATTRIBUTES).isEmpty()
+    old = scd2.kept(existing, feed, key, SWIMMER_ATTRIBUTES, as_of)
     return Change(old, numbered.select(*DIM_SWIMMER.names), closes)
 
 

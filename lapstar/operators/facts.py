@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lapstar.functions.columns import as_int, distance, parse_time, stroke
 from lapstar.operators.dims import swimmer_columns
 from lapstar.operators.joins import join_null_safe
-from lapstar.operators.keys import highest, number_rows
+from lapstar.operators.keys import number_rows
 from lapstar.operators.quality import duplicates
 from lapstar.operators.scd2 import current
 from lapstar.schemas import FACT_PERFORMANCE, FACT_RANKINGS, SWIMMER_ATTRIBUTES
@@ -22,11 +22,13 @@ def performance(
     competitions: DataFrame,
     tie: list[str] | None = None,
     start: int = 0,
+    shared_ids: bool | None = None,
 ) -> DataFrame:
     """One row per swim, for the current version of the swimmer.
 
     Should an id have several current rows, the swim belongs to the one with its own name, birth date, gender
-    and nationality; so a swim never becomes several rows, also when many swimmers share one id.
+    and nationality; so a swim never becomes several rows, also when many swimmers share one id. Whether there
+    are such ids is looked up in the dimension unless ``shared_ids`` tells.
     Ids follow competition, event, place and swimmer. ``tie`` names raw columns that settle what is left,
     and that spread exact copies over several tasks; see ``read_results(with_source=True)``.
     No side is hinted: Spark broadcasts dimensions below its threshold, and else AQE splits hot keys.
@@ -44,9 +46,9 @@ def performance(
         *tie,
     )
     held = current(swimmers).filter(F.col("swimmer_id").isNotNull())
-    match = ["swimmer_id"]
-    if not duplicates(held, match).isEmpty():
-        match += SWIMMER_ATTRIBUTES
+    if shared_ids is None:
+        shared_ids = not duplicates(held, ["swimmer_id"]).isEmpty()
+    match = ["swimmer_id", *(SWIMMER_ATTRIBUTES if shared_ids else [])]
     joined = (
         swims.join(events.select("event_sk", "distance", "stroke"), ["distance", "stroke"])
         .join(competitions.select("competition_sk", "competition_id"), "competition_id")
@@ -65,16 +67,16 @@ def best_results(performance: DataFrame) -> DataFrame:
     )
 
 
-def rankings(performance: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def rankings(performance: DataFrame, existing: DataFrame | None = None, start: int = 0) -> DataFrame:
     """The ranking rows that these swims add: pairs of swimmer and event that are new, or do better than before.
 
-    A pair that ``existing`` knows keeps its id. Only the pairs of these swims are looked up in it, so a small
-    load does not rewrite or shuffle the rest.
+    A pair that ``existing`` knows keeps its id, new ones follow ``start``. Only the pairs of these swims are
+    looked up, so a small load does not rewrite or shuffle the rest.
     """
     best = best_results(performance)
     pair = ["swimmer_sk", "event_sk"]
     if existing is None:
-        return number_rows(best, pair, "ranking_id").select(*FACT_RANKINGS.names)
+        return number_rows(best, pair, "ranking_id", start).select(*FACT_RANKINGS.names)
     best = save(best, "best-results")
     held = merge_rankings(existing.join(best.select(*pair), pair, "left_semi"))
     held = held.withColumnsRenamed({"best_time": "old_time", "best_rank": "old_rank"})
@@ -85,7 +87,7 @@ def rankings(performance: DataFrame, existing: DataFrame | None = None) -> DataF
     )
     improved = joined.filter("ranking_id IS NOT NULL").filter(F.coalesce(better, F.lit(False)) | first_value)
     added = joined.filter("ranking_id IS NULL").select(*best.columns)
-    numbered = number_rows(added, pair, "ranking_id", highest(existing, "ranking_id"))
+    numbered = number_rows(added, pair, "ranking_id", start)
     names = FACT_RANKINGS.names
     return improved.select(*names).unionByName(numbered.select(*names))
 

@@ -37,42 +37,59 @@ def classify(existing: DataFrame, feed: DataFrame, key: str, attributes: list[st
     return fed.select(key, change.alias("change")).unionByName(absent.select(key, F.lit("absent").alias("change")))
 
 
-def _superseded() -> Column:
-    return F.col("is_current") & F.col("_known") & ~F.col("_same")
+def of_keys(existing: DataFrame, feed: DataFrame, key: str) -> DataFrame:
+    """The rows of the feed's keys: all that decides about closing and new versions.
+
+    For a small feed this is one scan of the dimension with a broadcast, and spares shuffling the rest of it.
+    """
+    return join_null_safe(existing, feed.select(key), [key], "left_semi")
+
+
+def _flagged(existing: DataFrame, feed: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+    """``existing`` with a flag on the rows that a merge closes."""
+    flagged = _marked(_marked(existing, feed, [key, *attributes], "_same"), feed, [key], "_known")
+    closed = F.col("is_current") & F.col("_known") & ~F.col("_same")
+    return flagged.withColumn("_closed", closed).drop("_same", "_known")
 
 
 def superseded(existing: DataFrame, feed: DataFrame, key: str, attributes: list[str]) -> DataFrame:
-    """The current rows that a merge would close."""
-    held = current(existing)
-    flagged = _marked(_marked(held, feed, [key, *attributes], "_same"), feed, [key], "_known")
-    return flagged.filter(_superseded()).select(*existing.columns)
+    """The current rows that a merge closes."""
+    return _flagged(existing, feed, key, attributes).filter("_closed").drop("_closed")
 
 
-def parts(
+def kept(
     existing: DataFrame,
     feed: DataFrame,
     key: str,
     attributes: list[str],
     as_of: dt.date | str | None = None,
     now: Column | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """The old rows, closed where superseded, and the rows of the new versions."""
-    columns = [key, *attributes]
+) -> DataFrame:
+    """All old rows, closed where superseded."""
     on = day(as_of)
     now = now if now is not None else on.cast("timestamp")
-    feed = feed.select(*columns)
-
-    flagged = _marked(_marked(existing, feed, columns, "_same"), feed, [key], "_known")
-    closed = _superseded()
-    closing = {"valid_to": F.when(closed, on).otherwise(F.col("valid_to"))}
+    closing = {"valid_to": F.when(F.col("_closed"), on).otherwise(F.col("valid_to"))}
     if "updated_at" in existing.columns:
-        closing["updated_at"] = F.when(closed, now).otherwise(F.col("updated_at"))
-    closing["is_current"] = F.col("is_current") & ~closed
-    old = flagged.withColumns(closing).select(*existing.columns)
+        closing["updated_at"] = F.when(F.col("_closed"), now).otherwise(F.col("updated_at"))
+    closing["is_current"] = F.col("is_current") & ~F.col("_closed")
+    return _flagged(existing, feed, key, attributes).withColumns(closing).select(*existing.columns)
+
 
+def new_versions(
+    existing: DataFrame,
+    feed: DataFrame,
+    key: str,
+    attributes: list[str],
+    as_of: dt.date | str | None = None,
+    now: Column | None = None,
+) -> DataFrame:
+    """Rows of the feed that no current row equals, as the next version of their key."""
+    columns = [key, *attributes]
+    on = day(as_of)
+    now = now if now is not None else on.cast("timestamp")
     held = current(existing).select(*columns)
     versions = existing.groupBy(key).agg(F.max("version").alias("_version"))
-    missing = join_null_safe(feed.distinct(), held, columns, "left_anti")
+    missing = join_null_safe(feed.select(*columns).distinct(), held, columns, "left_anti")
     fresh = join_null_safe(missing, versions, [key], "left")
     values = {
         **{c: F.col(c) for c in columns},
@@ -82,10 +99,9 @@ def parts(
         "created_at": now,
         "updated_at": now,
     }
-    new = fresh.select(
+    return fresh.select(
         *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in existing.schema]
     )
-    return old, new
 
 
 def merge(
@@ -97,5 +113,5 @@ def merge(
     now: Column | None = None,
 ) -> DataFrame:
     """The whole history after the feed."""
-    old, new = parts(existing, feed, key, attributes, as_of, now)
-    return old.unionByName(new)
+    old = kept(existing, feed, key, attributes, as_of, now)
+    return old.unionByName(new_versions(existing, feed, key, attributes, as_of, now))

@@ -33,6 +33,10 @@ TABLES = {
 }
 
 
+# Last keys per load, in the place of sequences.
+KEYS = "load_keys"
+
+
 def _rankings(spark: SparkSession, database: str) -> DataFrame:
     name = f"{database}.fact_rankings"
     stored = read_table(spark, name, FACT_RANKINGS)
@@ -59,6 +63,24 @@ def _other_loads(spark: SparkSession, name: str, load_id: str) -> DataFrame | No
     return None if stored is None else stored.filter(F.col("load_id") != load_id)
 
 
+def _last_keys(spark: SparkSession, database: str, load_id: str) -> dict[str, int]:
+    """Last key given out per fact by the other loads, from one row per load and not from the facts."""
+    others = _other_loads(spark, f"{database}.{KEYS}", load_id)
+    if others is None:
+        return {}
+    last = others.groupBy("table_name").agg(F.max("last_key").alias("last_key"))
+    return {row.table_name: row.last_key for row in last.collect()}
+
+
+def _load_fact(rows: DataFrame, database: str, table: str, load_id: str, keys: dict[str, int]) -> None:
+    """Reserve the keys of the rows, then store the rows: a load that fails in between leaves a gap, no overlap."""
+    key = TABLES[table].names[0]
+    keys[table] = max(highest(rows, key), keys.get(table, 0))
+    reserved = rows.sparkSession.createDataFrame(list(keys.items()), "table_name string, last_key bigint")
+    replace_load(reserved, f"{database}.{KEYS}", load_id)
+    replace_load(rows, f"{database}.{table}", load_id)
+
+
 def run_load(
     spark: SparkSession,
     raw: DataFrame,
@@ -75,9 +97,10 @@ def run_load(
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     known = read_warehouse(spark, database)
-    programme = dims.programme(raw)
+    keys = _last_keys(spark, database, load_id)
+    feed, programme = dims.swimmer_feed(raw), dims.programme(raw)
     steps = [
-        lambda: _apply(dims.swimmers(raw, as_of, known.swimmers), f"{database}.dim_swimmer"),
+        lambda: _apply(dims.swimmers(feed, as_of, known.swimmers), f"{database}.dim_swimmer"),
         lambda: _apply(dims.events(programme, known.events), f"{database}.dim_event"),
         lambda: _apply(dims.competitions(programme, known.competitions), f"{database}.dim_competition"),
     ]
@@ -86,17 +109,18 @@ def run_load(
         for done in [pool.submit(step) for step in steps]:
             done.result()
 
-    name = f"{database}.fact_swimming_performance"
-    others = _other_loads(spark, name, load_id)
-    start = 0 if others is None else highest(others, "performance_id")
     loaded = read_warehouse(spark, database)
-    swims = facts.performance(raw, loaded.swimmers, loaded.events, loaded.competitions, tie, start)
-    replace_load(swims, name, load_id)
+    shared_ids = not quality.duplicates(feed, ["swimmer_id"], allow_null=True).isEmpty()
+    dimensions = (loaded.swimmers, loaded.events, loaded.competitions)
+    swims_name, rankings_name = "fact_swimming_performance", "fact_rankings"
+    swims = facts.performance(raw, *dimensions, tie, keys.get(swims_name, 0), shared_ids)
+    _load_fact(swims, database, swims_name, load_id, keys)
 
     # Only this load's swims are aggregated: the stored minima hold the rest.
-    added = spark.read.table(name).filter(F.col("load_id") == load_id)
-    name = f"{database}.fact_rankings"
-    replace_load(facts.rankings(added, _other_loads(spark, name, load_id)), name, load_id)
+    added = spark.read.table(f"{database}.{swims_name}").filter(F.col("load_id") == load_id)
+    others = _other_loads(spark, f"{database}.{rankings_name}", load_id)
+    rankings = facts.rankings(added, others, keys.get(rankings_name, 0))
+    _load_fact(rankings, database, rankings_name, load_id, keys)
     return read_warehouse(spark, database)
 
 
@@ -131,5 +155,5 @@ def row_counts(warehouse: Warehouse) -> DataFrame:
 
 def reset(spark: SparkSession, database: str) -> None:
     """Drop the tables, facts before the dimensions they point to."""
-    for name in reversed(TABLES):
+    for name in [*reversed(TABLES), KEYS]:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")

@@ -284,7 +284,8 @@ def dim_competition(spark, sf_dir):
 
 @query
 def dim_swimmer_initial(spark, sf_dir):
-    return dims.swimmers(raw_results(spark, sf_dir), AS_OF).whole().drop("created_at", "updated_at")
+    feed = dims.swimmer_feed(raw_results(spark, sf_dir))
+    return dims.swimmers(feed, AS_OF).whole().drop("created_at", "updated_at")
 
 
 @query
