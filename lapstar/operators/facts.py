@@ -11,7 +11,7 @@ from lapstar.operators.joins import join_null_safe
 from lapstar.operators.keys import number_rows
 from lapstar.operators.quality import duplicates
 from lapstar.operators.scd2 import current
-from lapstar.schemas import FACT_PERFORMANCE, FACT_RANKINGS, SWIMMER_ATTRIBUTES
+from lapstar.schemas import FACT_PERFORMANCE, FACT_RANKINGS, SWIMMER_ATTRIBUTES, tie_columns
 from lapstar.session import save
 
 
@@ -29,11 +29,11 @@ def performance(
     Should an id have several current rows, the swim belongs to the one with its own name, birth date, gender
     and nationality; so a swim never becomes several rows, also when many swimmers share one id. Whether there
     are such ids is looked up in the dimension unless ``shared_ids`` tells.
-    Ids follow competition, event, place and swimmer. ``tie`` names raw columns that settle what is left,
-    and that spread exact copies over several tasks; see ``read_results(with_source=True)``.
+    Ids follow competition, event, place and swimmer. ``tie`` names raw columns that settle what is left; by
+    default these are the source columns of ``read_results``, which spread even exact copies over tasks.
     No side is hinted: Spark broadcasts dimensions below its threshold, and else AQE splits hot keys.
     """
-    tie = tie or []
+    tie = tie_columns(raw, tie)
     swims = raw.select(
         *swimmer_columns(),
         F.col("Competition_Competition_Id").alias("competition_id"),
@@ -56,7 +56,7 @@ def performance(
         .drop("distance", "stroke", *SWIMMER_ATTRIBUTES)
     )
     order = ["competition_id", "event", F.col("overall_rank").asc_nulls_last(), "swimmer_id"]
-    order += tie or ["time_seconds", "age"]
+    order += ["time_seconds", "age"] if not tie else tie
     return number_rows(joined, order, "performance_id", start).select(*FACT_PERFORMANCE.names)
 
 

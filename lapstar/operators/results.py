@@ -1,4 +1,8 @@
-"""Jobs that complete raw results: places, top places, personal bests, histories, eligibility, summary."""
+"""Jobs that complete raw results: places, top places, personal bests, histories, eligibility, summary.
+
+``tie`` names columns that settle what the order of a job leaves open; by default the source columns of
+``read_results``, where the rows have them.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ from pyspark.sql.window import Window
 from lapstar.functions.columns import as_date, as_int, distance, history_text, parse_time, stroke, top_flag
 from lapstar.operators.joins import join_null_safe
 from lapstar.operators.scans import MAX_ROWS, number_in_groups, running_min, trailing_list
-from lapstar.schemas import ENTRY_CAPS, HISTORY_LENGTH, STROKE_DISTANCES
+from lapstar.schemas import ENTRY_CAPS, HISTORY_LENGTH, STROKE_DISTANCES, tie_columns
 from lapstar.session import save
 
 COMPETITION_EVENT = ["Competition_Competition_Id", "Event"]
@@ -22,13 +26,13 @@ def _timed(raw: DataFrame) -> DataFrame:
     return raw.withColumn("time_seconds", parse_time("Time"))
 
 
-def _fastest_first(tie: list[str] | None) -> list[Column | str]:
-    return [F.col("time_seconds").asc_nulls_last(), "SwimmerId", *(tie or [])]
+def _fastest_first(raw: DataFrame, tie: list[str] | None) -> list[Column | str]:
+    return [F.col("time_seconds").asc_nulls_last(), "SwimmerId", *tie_columns(raw, tie)]
 
 
 def places(raw: DataFrame, tie: list[str] | None = None, max_rows: int = MAX_ROWS) -> DataFrame:
     """Place of every swim in its event of its competition, and the top-5 flag. Swims without time come last."""
-    placed = number_in_groups(_timed(raw), COMPETITION_EVENT, _fastest_first(tie), "place", max_rows)
+    placed = number_in_groups(_timed(raw), COMPETITION_EVENT, _fastest_first(raw, tie), "place", max_rows)
     return placed.withColumn("Top_5", top_flag("place"))
 
 
@@ -37,7 +41,7 @@ def top5(raw: DataFrame, tie: list[str] | None = None, k: int = 5) -> DataFrame:
 
     The filter on the row number lets Spark cut every group to ``k`` rows before the shuffle.
     """
-    window = Window.partitionBy(*COMPETITION_EVENT).orderBy(*_fastest_first(tie))
+    window = Window.partitionBy(*COMPETITION_EVENT).orderBy(*_fastest_first(raw, tie))
     return _timed(raw).withColumn("place", F.row_number().over(window)).filter(F.col("place") <= k)
 
 
@@ -65,13 +69,13 @@ def _career(raw: DataFrame) -> DataFrame:
 CAREER_KEYS = ["SwimmerId", "stroke", "distance"]
 
 
-def _oldest_first(tie: list[str] | None) -> list[Column | str]:
-    return ["swim_date", "Competition_Competition_Id", *(tie or [])]
+def _oldest_first(raw: DataFrame, tie: list[str] | None) -> list[str]:
+    return ["swim_date", "Competition_Competition_Id", *tie_columns(raw, tie)]
 
 
 def personal_bests(raw: DataFrame, tie: list[str] | None = None, max_rows: int = MAX_ROWS) -> DataFrame:
     """Best time so far of swimmer, stroke and distance at every swim, and whether the swim set or met it."""
-    best = running_min(_career(raw), CAREER_KEYS, _oldest_first(tie), "time_seconds", "best_so_far", max_rows)
+    best = running_min(_career(raw), CAREER_KEYS, _oldest_first(raw, tie), "time_seconds", "best_so_far", max_rows)
     return best.withColumn(
         "is_personal_best", F.coalesce(F.col("time_seconds") == F.col("best_so_far"), F.lit(False))
     )
@@ -82,7 +86,7 @@ def rolling_history(
 ) -> DataFrame:
     """The last ``length`` times of swimmer, stroke and distance up to every swim, oldest first."""
     return trailing_list(
-        _career(raw), CAREER_KEYS, _oldest_first(tie), "time_seconds", length, "history", max_rows
+        _career(raw), CAREER_KEYS, _oldest_first(raw, tie), "time_seconds", length, "history", max_rows
     )
 
 
@@ -104,7 +108,7 @@ def top_entries(raw: DataFrame, caps: dict[str, int] = ENTRY_CAPS, tie: list[str
 
     The largest cap is a constant filter, so that Spark cuts the groups before the shuffle.
     """
-    window = Window.partitionBy(*COMPETITION_EVENT).orderBy("SwimmerId", *(tie or []))
+    window = Window.partitionBy(*COMPETITION_EVENT).orderBy("SwimmerId", *tie_columns(raw, tie))
     cap = F.create_map(*[F.lit(v) for v in chain.from_iterable(caps.items())])[F.col("Competition_Level")]
     return (
         raw.withColumn("entry_no", F.row_number().over(window))
@@ -116,7 +120,7 @@ def top_entries(raw: DataFrame, caps: dict[str, int] = ENTRY_CAPS, tie: list[str
 def _histories(raw: DataFrame, length: int, tie: list[str] | None) -> DataFrame:
     """Map distance → last ``length`` times, oldest first, per swimmer and stroke."""
     swims = _career(raw).filter(F.col("time_seconds").isNotNull() & F.col("distance").isNotNull())
-    order = _oldest_first(tie)
+    order = _oldest_first(raw, tie)
     newest = Window.partitionBy(*CAREER_KEYS).orderBy(*[F.col(c).desc_nulls_last() for c in order])
     last = swims.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") <= length)
     # Bounded lists: at most ``length`` times per distance, then one entry per distance.
@@ -129,6 +133,7 @@ def _histories(raw: DataFrame, length: int, tie: list[str] | None) -> DataFrame:
     )
 
 
+# The summary's names of the swimmer's attributes, in order, and the raw columns they come from.
 SUMMARY_ATTRIBUTES = {
     "id": "SwimmerId", "name": "Name", "age": "Age", "gender": "Gender", "citizenship": "Citizenship",
     "birth_country": "Birth_Country", "residency_years": "Residency_Years",

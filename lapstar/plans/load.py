@@ -137,7 +137,7 @@ def load_files(
     """
     raw = save(read_results(spark, path, with_source=True), "staged")
     profile = quality.profile(raw, "source_file", RAW_COLUMNS)
-    loaded = run_load(spark, raw, database, as_of, load_id, tie=["source_file", "source_block"])
+    loaded = run_load(spark, raw, database, as_of, load_id)
     return loaded, profile
 
 

@@ -16,6 +16,7 @@ from lapstar.functions.columns import age_group, age_years, cut_label
 from lapstar.operators.scd2 import current
 from lapstar.schemas import CLUB_PLACEHOLDER, Params, Warehouse
 
+# The report's column per stroke.
 STROKE_COUNTS = {
     "Butterfly": "butterfly_count",
     "Freestyle": "freestyle_count",

@@ -90,6 +90,9 @@ STROKE_DISTANCES = {
 # Most entries per event, by competition level.
 ENTRY_CAPS = {"National": 60, "Province": 45, "Local": 35}
 
+# Where a row was read: an order over these is stable, and separates even exact copies of a row.
+SOURCE = ["source_file", "source_block"]
+
 # How many times a competitor's history keeps per event.
 HISTORY_LENGTH = 50
 
@@ -97,6 +100,11 @@ CLUB_PLACEHOLDER = "Club data not available"
 COURSE = "LCM"
 
 
+def tie_columns(raw: DataFrame, tie: list[str] | None) -> list[str]:
+    """Columns that settle ties: the given ones, else the source columns if the rows have them."""
+    return tie if tie is not None else [c for c in SOURCE if c in raw.columns]
+
+
 @dataclass(frozen=True)
 class Params:
     """Gates and limits of the reports."""

@@ -12,7 +12,7 @@ from lapstar.functions.columns import as_int, parse_time
 from lapstar.plans.load import run_load
 from lapstar.schemas import RAW, Warehouse
 from lapstar.session import save
-from lapstar.sources.files import CSV_OPTIONS, results_glob
+from lapstar.sources.files import CSV_OPTIONS, add_source, results_glob
 
 
 def results_stream(
@@ -69,7 +69,8 @@ def load_stream(
         if not rows.isEmpty():
             run_load(batch.sparkSession, rows, database, as_of, load_id=f"batch-{batch_id}")
 
-    _run(results_stream(spark, path, max_files, archive).writeStream.foreachBatch(load_batch), checkpoint, every)
+    stream = add_source(results_stream(spark, path, max_files, archive))
+    _run(stream.writeStream.foreachBatch(load_batch), checkpoint, every)
 
 
 def rankings_stream(

@@ -98,7 +98,8 @@ def test_history_text_and_back(spark):
 
 
 def test_competition_code_and_file_name(spark):
-    assert evaluate(spark, fn.competition_code("x", F.lit(7)), ["National", "Local"], "string") == ["NAT_007", "LOC_007"]
+    codes = evaluate(spark, fn.competition_code("x", F.lit(7)), ["National", "Local"], "string")
+    assert codes == ["NAT_007", "LOC_007"]
     assert evaluate(spark, fn.competition_code("x", F.lit(1234)), ["Province"], "string") == ["PRO_1234"]
     assert evaluate(spark, fn.file_name("x", F.lit("NAT_001")), ["2025-12-03 19:43:00.1"], "string") == [
         "20251203_NAT_001_results.csv"]

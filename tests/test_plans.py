@@ -47,7 +47,10 @@ def test_numbering_gathers_only_partition_sizes(spark, name):
     assert "HashAggregate" in below.splitlines()[1]
 
 
-@pytest.mark.parametrize("name", ["event_top5", "place_counts", "top_entries", "last_five_rankings", "swimmer_rankings"])
+TOP_K = ["event_top5", "place_counts", "top_entries", "last_five_rankings", "swimmer_rankings"]
+
+
+@pytest.mark.parametrize("name", TOP_K)
 def test_top_k_is_cut_before_the_shuffle(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     assert "WindowGroupLimit" in text and "Partial" in text

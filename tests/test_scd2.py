@@ -72,7 +72,8 @@ def test_merging_again_changes_nothing(spark, frames):
 
 def test_ids_that_occur_twice_do_not_multiply(spark):
     existing = spark.createDataFrame([version("x", "A", "USA"), version("x", "B", "USA")], COLUMNS)
-    feed = spark.createDataFrame([("x", "B", "USA"), ("x", "C", "USA"), ("x", "C", "USA")], "k string, name string, nat string")
+    rows = [("x", "B", "USA"), ("x", "C", "USA"), ("x", "C", "USA")]
+    feed = spark.createDataFrame(rows, "k string, name string, nat string")
     merged = scd2.merge(existing, feed, "k", ["name", "nat"], DAY)
     found = sorted((r.name, r.is_current, r.version) for r in merged.collect())
     assert found == [("A", False, 1), ("B", True, 1), ("C", True, 2)]

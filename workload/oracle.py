@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lapstar.schemas import STROKE_DISTANCES
 from workload.staging import AS_OF, GATES, SCD_EXISTING, SCD_FEED, STAGING_SQL
 
 SRC = "src_order, src_line, src_part, src_supp, src_price"
@@ -30,6 +31,8 @@ GENDER = "CASE Gender WHEN 'Women' THEN 'F' WHEN 'Men' THEN 'M' ELSE 'U' END"
 DISTANCE = r"TRY_CAST(regexp_extract(Event, '(\d+)m', 1) AS INTEGER)"
 STROKE = r"regexp_replace(Event, '\d+m\s*', '', 'g')"
 AGE = f"CAST(date_part('year', age(DATE '{AS_OF}', birth_date)) AS INTEGER)"
+NEWEST = ", ".join(f"{c} DESC" for c in ["swum_on", "Competition_Competition_Id", *SRC.split(", ")])
+STROKE_ROWS = ", ".join(f"('{stroke}', {d})" for stroke, distances in STROKE_DISTANCES.items() for d in distances)
 AGE_GROUP = f"CASE WHEN {AGE} BETWEEN 12 AND 14 THEN '12-14' WHEN {AGE} BETWEEN 15 AND 17 THEN '15-17' ELSE '17+' END"
 
 CTES = {
@@ -68,6 +71,13 @@ CTES = {
         FILTER (time_seconds IS NOT NULL) OVER (PARTITION BY SwimmerId, stroke, distance
         ORDER BY swum_on, Competition_Competition_Id, {SRC}) AS every_time FROM swims""",
     "recent": "SELECT *, coalesce(every_time[-50:], []) AS times FROM history",
+    "records": f"""SELECT SwimmerId, stroke, distance, count(*) AS n,
+        string_agg({_format('time_seconds')}, ';' ORDER BY nth DESC) AS times FROM (
+          SELECT *, row_number() OVER (PARTITION BY SwimmerId, stroke, distance ORDER BY {NEWEST}) AS nth
+          FROM swims WHERE time_seconds IS NOT NULL) WHERE nth <= 50 GROUP BY SwimmerId, stroke, distance""",
+    "grid": f"""SELECT s.swimmer_id, k.stroke, k.distance
+        FROM (SELECT DISTINCT SwimmerId AS swimmer_id FROM swims) s CROSS JOIN (VALUES {STROKE_ROWS}) k(stroke, distance)
+        UNION SELECT SwimmerId, stroke, distance FROM records WHERE stroke IN {tuple(STROKE_DISTANCES)}""",
     "existing": SCD_EXISTING.format(customer="customer"),
     "feed": SCD_FEED.format(customer="customer"),
     "changes": """SELECT coalesce(e.k, f.k) AS k, CASE WHEN e.k IS NULL THEN 'new' WHEN f.k IS NULL THEN 'absent'
@@ -79,32 +89,27 @@ CTES = {
         UNION ALL SELECT f.k, f.name, f.nat, true, DATE '{AS_OF}', NULL,
         CAST(CASE WHEN c.change = 'changed' THEN 2 ELSE 1 END AS INTEGER)
         FROM feed f JOIN changes c ON f.k = c.k WHERE c.change IN ('changed', 'new')""",
-    "cuts": f"""SELECT name, nationality, stroke, min(time_seconds) AS best_time,
-        CASE WHEN min(time_seconds) <= {GATES.a_cut} THEN 'A Cut' WHEN min(time_seconds) <= {GATES.b_cut} THEN 'B Cut'
-        ELSE 'Not Qualified' END AS olympic_cut FROM star WHERE is_current GROUP BY name, nationality, stroke""",
-    "last_five": f"""SELECT name, nationality, stroke, count(CASE WHEN overall_rank = 1 THEN 1 END) AS rank_1_count
-        FROM (SELECT *, row_number() OVER (PARTITION BY swimmer_sk, stroke
-              ORDER BY competition_date DESC NULLS FIRST, competition_sk, performance_id) AS comp_order
-              FROM star WHERE is_current)
-        WHERE comp_order <= {GATES.last_swims} GROUP BY name, nationality, stroke
-        HAVING count(CASE WHEN overall_rank = 1 THEN 1 END) >= {GATES.min_wins}""",
-    "qualifications": f"""SELECT name, nationality, age, age_group, stroke, total_competitions,
-        qualifying_competitions, ranked_competitions FROM (
-        SELECT swimmer_sk, name, nationality, {AGE} AS age, {AGE_GROUP} AS age_group, stroke,
-          count(DISTINCT competition_sk) AS total_competitions,
-          count(DISTINCT CASE WHEN time_seconds BETWEEN {GATES.qualifying_from} AND {GATES.qualifying_to}
-                THEN competition_sk END) AS qualifying_competitions,
-          count(DISTINCT CASE WHEN overall_rank BETWEEN 1 AND {GATES.top_places}
-                THEN competition_sk END) AS ranked_competitions
+    "cuts": f"""SELECT *, CASE WHEN best_time <= {GATES.a_cut} THEN 'A Cut' WHEN best_time <= {GATES.b_cut} THEN 'B Cut'
+        ELSE 'Not Qualified' END AS olympic_cut
+        FROM (SELECT name, nationality, stroke, min(time_seconds) AS best_time FROM star WHERE is_current GROUP BY ALL)""",
+    "last_five": f"""SELECT * FROM (
+        SELECT name, nationality, stroke, count(*) FILTER (overall_rank = 1) AS rank_1_count
+        FROM (SELECT * FROM star WHERE is_current QUALIFY row_number() OVER (
+              PARTITION BY swimmer_sk, stroke
+              ORDER BY competition_date DESC NULLS FIRST, competition_sk, performance_id) <= {GATES.last_swims})
+        GROUP BY ALL) WHERE rank_1_count >= {GATES.min_wins}""",
+    "qualifications": f"""SELECT name, nationality, {AGE} AS age, {AGE_GROUP} AS age_group, stroke,
+        count(DISTINCT competition_sk) AS total_competitions,
+        count(DISTINCT competition_sk) FILTER (time_seconds >= {GATES.qualifying_from}
+          AND time_seconds <= {GATES.qualifying_to}) AS qualifying_competitions,
+        count(DISTINCT competition_sk) FILTER (overall_rank IN {tuple(range(1, GATES.top_places + 1))}) AS ranked_competitions
         FROM star WHERE is_current AND {AGE} >= {GATES.min_age}
         GROUP BY swimmer_sk, name, nationality, birth_date, stroke
-        HAVING count(DISTINCT competition_sk) >= {GATES.min_competitions})
-        WHERE qualifying_competitions >= {GATES.min_qualifying}""",
-    "qualified": f"""SELECT DISTINCT q.name, q.nationality, q.age, q.age_group, q.stroke, c.olympic_cut,
-        coalesce(r.rank_1_count, 0) AS rank_1_count, q.total_competitions, q.qualifying_competitions
-        FROM qualifications q JOIN cuts c ON q.name = c.name AND q.stroke = c.stroke
-        LEFT JOIN last_five r ON q.name = r.name AND q.stroke = r.stroke
-        WHERE c.olympic_cut IN ('A Cut', 'B Cut')""",
+        HAVING total_competitions >= {GATES.min_competitions} AND qualifying_competitions >= {GATES.min_qualifying}""",
+    "qualified": """SELECT DISTINCT name, q.nationality, age, age_group, stroke, olympic_cut,
+        ifnull(rank_1_count, 0) AS rank_1_count, total_competitions, qualifying_competitions
+        FROM qualifications q JOIN (FROM cuts WHERE olympic_cut <> 'Not Qualified') USING (name, stroke)
+        LEFT JOIN last_five USING (name, stroke)""",
 }
 
 # What each table expression reads, so that a query carries only what it needs.
@@ -122,6 +127,8 @@ USES = {
     "counts": ["placed"],
     "history": ["swims"],
     "recent": ["history"],
+    "records": ["swims"],
+    "grid": ["records"],
     "changes": ["existing", "feed"],
     "snapshot": ["changes"],
     "cuts": ["star"],
@@ -283,16 +290,16 @@ ORACLE: dict[str, str] = {
         "recent",
     ),
     "rankings_summary": _sql(
-        """SELECT s.swimmer_id, k.stroke, """
-        + ", ".join(f"coalesce(c.rank{k}_count, 0) AS rank{k}_count" for k in range(1, 6))
-        + """, CAST(coalesce(t.n_times, 0) AS BIGINT) AS n_times
-        FROM (SELECT DISTINCT SwimmerId AS swimmer_id FROM swims) s
-        CROSS JOIN (VALUES ('Butterfly'), ('Freestyle'), ('Backstroke'), ('Breaststroke'), ('Individual Medley')) k(stroke)
-        LEFT JOIN counts c ON c.swimmer_id = s.swimmer_id AND c.stroke = k.stroke
-        LEFT JOIN (SELECT SwimmerId, stroke, sum(least(n, 50)) AS n_times FROM (
-            SELECT SwimmerId, stroke, distance, count(time_seconds) AS n FROM swims GROUP BY ALL) GROUP BY ALL) t
-          ON t.SwimmerId = s.swimmer_id AND t.stroke = k.stroke""",
+        """SELECT g.swimmer_id, g.stroke, """
+        + ", ".join(f"coalesce(any_value(c.rank{k}_count), 0) AS rank{k}_count" for k in range(1, 6))
+        + """, CAST(sum(coalesce(r.n, 0)) AS BIGINT) AS n_times,
+        string_agg(g.distance || ':' || coalesce(r.times, ''), '|' ORDER BY g.distance) AS records
+        FROM grid g LEFT JOIN records r
+          ON r.SwimmerId = g.swimmer_id AND r.stroke = g.stroke AND r.distance = g.distance
+        LEFT JOIN counts c ON c.swimmer_id = g.swimmer_id AND c.stroke = g.stroke
+        GROUP BY g.swimmer_id, g.stroke""",
         "counts",
+        "grid",
     ),
     "top_entries": _sql(
         f"""SELECT {SRC}, entry_no FROM (SELECT *, row_number() OVER (
@@ -302,19 +309,23 @@ ORACLE: dict[str, str] = {
     ),
     "swimmer_rankings": _sql(
         "SELECT name AS swimmer_name, stroke, "
-        + ", ".join(f"count(*) FILTER (WHERE stroke_rank = {k}) AS rank_{k}_count" for k in range(1, 6))
-        + """ FROM (SELECT *, rank() OVER (PARTITION BY swimmer_sk, stroke ORDER BY time_seconds NULLS LAST)
-        AS stroke_rank FROM star) GROUP BY name, stroke""",
+        + ", ".join(f"count(*) FILTER (own_rank = {k}) AS rank_{k}_count" for k in range(1, 6))
+        + """ FROM (SELECT name, stroke, rank() OVER (PARTITION BY swimmer_sk, stroke
+          ORDER BY time_seconds NULLS LAST) AS own_rank FROM star) GROUP BY ALL""",
         "star",
     ),
     "club_region_performance": _sql(
-        """SELECT country, 'Club data not available' AS club_name,
-        coalesce(max(CASE WHEN stroke = 'Butterfly' THEN n END), 0) AS butterfly_count,
-        coalesce(max(CASE WHEN stroke = 'Freestyle' THEN n END), 0) AS freestyle_count,
-        coalesce(max(CASE WHEN stroke = 'Backstroke' THEN n END), 0) AS back_count,
-        coalesce(max(CASE WHEN stroke = 'Breaststroke' THEN n END), 0) AS breast_count
-        FROM (SELECT nationality AS country, stroke, count(DISTINCT swimmer_sk) AS n FROM star GROUP BY ALL)
-        GROUP BY country""",
+        "SELECT nationality AS country, 'Club data not available' AS club_name, "
+        + ", ".join(
+            f"count(DISTINCT swimmer_sk) FILTER (stroke = '{stroke}') AS {name}"
+            for stroke, name in {
+                "Butterfly": "butterfly_count",
+                "Freestyle": "freestyle_count",
+                "Backstroke": "back_count",
+                "Breaststroke": "breast_count",
+            }.items()
+        )
+        + " FROM star GROUP BY nationality",
         "star",
     ),
     "swimmer_demographics": _sql(

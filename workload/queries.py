@@ -354,14 +354,23 @@ def rolling_history(spark, sf_dir):
 
 @query
 def rankings_summary(spark, sf_dir):
+    """The map of times is compared as text: ``50:25.30;26.10|100:`` and so on, by distance."""
     summary = results.rankings_summary(raw_results(spark, sf_dir), tie=SRC)
     sizes = F.transform(F.map_values("Historical_Records"), lambda times: F.size(times).cast("bigint"))
     total = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    entries = F.array_sort(F.map_entries("Historical_Records"))
+    texts = F.transform(
+        entries,
+        lambda e: F.concat(
+            e["key"].cast("string"), F.lit(":"), F.array_join(F.transform(e["value"], fn.format_time), ";")
+        ),
+    )
     return summary.select(
         F.col("id").alias("swimmer_id"),
         F.col("Stroke").alias("stroke"),
         *[F.col(f"Rank{k}_Count").alias(f"rank{k}_count") for k in range(1, 6)],
         total.alias("n_times"),
+        F.array_join(texts, "|").alias("records"),
     )
 
 
