@@ -30,7 +30,7 @@ def seconds(work: Callable[[], object]) -> float:
     return round(time.perf_counter() - start, 3)
 
 
-LONG = 4.0
+LONG = 10.0
 
 
 def main() -> None:

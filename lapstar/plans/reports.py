@@ -1,7 +1,7 @@
-"""The analytical reports. Each aggregates swims on surrogate keys before it joins the swimmers.
+"""The analytical reports.
 
-Reports that need only best times or which events were swum read ``fact_rankings``: it holds one row per
-swimmer and event, kept up to date by the load, where the performance fact has one per swim.
+Swims are aggregated on surrogate keys before they meet the swimmers. Reports that need only best times, or which
+events were swum, read ``fact_rankings`` instead: the load keeps one row per swimmer and event there.
 """
 
 from __future__ import annotations
@@ -51,8 +51,10 @@ def swimmer_rankings(warehouse: Warehouse) -> DataFrame:
 
 def club_region_performance(warehouse: Warehouse) -> DataFrame:
     """Swimmers per country and stroke; all versions of a swimmer count."""
-    swum = _with_stroke(warehouse.rankings, warehouse).select("swimmer_sk", "stroke").distinct()
-    by_country = swum.join(warehouse.swimmers.select("swimmer_sk", "nationality"), "swimmer_sk")
+    swimmers = warehouse.swimmers.select("swimmer_sk", "nationality")
+    # A distinct by swimmer, right after the join by swimmer, needs no further shuffle.
+    swum = _with_stroke(warehouse.rankings, warehouse).join(swimmers, "swimmer_sk")
+    by_country = swum.select("swimmer_sk", "nationality", "stroke").distinct()
     counts = by_country.groupBy(F.col("nationality").alias("country")).agg(
         *[F.count_if(F.col("stroke") == stroke).alias(name) for stroke, name in STROKE_COUNTS.items()]
     )
@@ -74,12 +76,10 @@ def swimmer_demographics(warehouse: Warehouse) -> DataFrame:
 
 
 def _cuts(warehouse: Warehouse, params: Params) -> DataFrame:
-    best = _with_stroke(warehouse.rankings, warehouse).groupBy("swimmer_sk", "stroke").agg(
-        F.min("best_time").alias("best_time")
-    )
     swimmers = current(warehouse.swimmers).select("swimmer_sk", "name", "nationality")
     return (
-        best.join(swimmers, "swimmer_sk")
+        _with_stroke(warehouse.rankings, warehouse)
+        .join(swimmers, "swimmer_sk")
         .groupBy("name", "nationality", "stroke")
         .agg(F.min("best_time").alias("best_time"))
         .withColumn("olympic_cut", cut_label("best_time", params))

@@ -1,5 +1,6 @@
 import logging
 import sys
+from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
@@ -12,6 +13,19 @@ from lapstar.session import local_session  # noqa: E402
 SMALL = "/root/testdata/sf0.001"
 
 
+@contextmanager
+def settings(spark, values):
+    """Session settings for a while."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")

@@ -1,12 +1,12 @@
 """What the plans must look like for inputs that do not fit one task."""
 
 import pytest
-from conftest import SMALL
+from conftest import SMALL, settings
 from pyspark.sql import functions as F
 
-from lapstar.operators import results
+from lapstar.operators import facts, results
 from lapstar.plans import reports
-from lapstar.session import shared_folder
+from lapstar.session import save, shared_folder
 from lapstar.sources.files import read_results
 from workload.queries import QUERIES
 from workload.staging import AS_OF, GATES, SRC, raw_results, results_folder, warehouse
@@ -71,22 +71,47 @@ def test_csv_columns_are_pruned(spark):
     assert "ReadSchema: struct<Event:string,Time:string>" in text
 
 
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
 def test_results_do_not_depend_on_broadcasts(spark):
     wh = warehouse(spark, SMALL)
     small = {tuple(r) for r in reports.olympic_qualified_swimmers(wh, AS_OF, GATES).collect()}
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
+    with settings(spark, NO_BROADCAST):
         large = reports.olympic_qualified_swimmers(wh, AS_OF, GATES)
         assert "BroadcastHashJoin" not in plan(large) and "SortMergeJoin" in plan(large)
         assert {tuple(r) for r in large.collect()} == small
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
+
+
+def test_hot_keys_of_the_fact_join_are_split(spark, monkeypatch):
+    """Without broadcasts, a swimmer with a third of all rows must not become one task."""
+    wh = warehouse(spark, SMALL)
+    copies = raw_results(spark, SMALL).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    hot = F.when(F.col("copy") == 1, F.lit("SWM000000007")).otherwise(F.col("SwimmerId"))
+    skewed = save(copies.withColumn("SwimmerId", hot))
+    joined = []
+
+    def keep(df, *rest):
+        joined.append(df)
+        return df.withColumn("performance_id", F.lit(1))
+
+    monkeypatch.setattr(facts, "number_rows", keep)
+    small_steps = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "24",
+    }
+    with settings(spark, {**NO_BROADCAST, **small_steps}):
+        facts.performance(skewed, wh.swimmers, wh.events, wh.competitions, [*SRC, "copy"], 0, False)
+        ranged = joined[0].repartitionByRange("competition_id", "event", *SRC)
+        assert len(ranged.collect()) == skewed.count()
+        joins = [line for line in plan(ranged).splitlines() if "SortMergeJoin" in line]
+        assert "skew=true" in next(line for line in joins if "swimmer_id" in line)
 
 
 def test_places_equal_the_staged_places(spark):

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from conftest import settings
 from pyspark.sql import functions as F
 
 from lapstar.operators.keys import number_rows
@@ -87,15 +88,12 @@ def test_only_large_groups_leave_the_plain_path(frame, rows):
 
 def test_numbers_are_dense_over_many_partitions(spark):
     df = spark.range(0, 20_000, numPartitions=16).select((F.col("id") * 7919 % 20_011).alias("x"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         numbered = number_rows(df, [F.col("x").desc()], "n", start=100)
-        values = [r.x for r in numbered.orderBy("n").collect()]
-        assert values == sorted(values, reverse=True)
-        span = numbered.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()
-        assert tuple(span) == (101, 20_100, 20_000)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    values = [r.x for r in numbered.orderBy("n").collect()]
+    assert values == sorted(values, reverse=True)
+    span = numbered.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()
+    assert tuple(span) == (101, 20_100, 20_000)
 
 
 def test_copies_of_a_row_get_numbers_of_their_own(spark):

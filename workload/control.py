@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lapstar.functions import age_years
+from lapstar.functions import age_years, cut_label
 from lapstar.operators.scd2 import current
 from workload.staging import AS_OF, GATES, SRC, raw_results, warehouse
 
@@ -27,7 +27,7 @@ def parse_results_time(spark, sf_dir):
         except (AttributeError, ValueError):
             return None
 
-    # A row-at-a-time function, with Arrow transfer off as in the session's defaults of older releases.
+    # Row at a time, without Arrow transfer.
     parse = F.udf(seconds, "double", useArrow=False)
     return raw_results(spark, sf_dir).select(*SRC, parse("Time").alias("time_seconds"))
 
@@ -35,7 +35,8 @@ def parse_results_time(spark, sf_dir):
 def olympic_cuts(spark, sf_dir):
     wh = warehouse(spark, sf_dir)
     star = wh.performance.join(current(wh.swimmers), "swimmer_sk").join(wh.events, "event_sk")
-    return star.groupBy("name", "nationality", "stroke").agg(F.min("time_seconds").alias("best_time"))
+    best = star.groupBy("name", "nationality", "stroke").agg(F.min("time_seconds").alias("best_time"))
+    return best.withColumn("olympic_cut", cut_label("best_time", GATES)).orderBy("stroke", "best_time")
 
 
 def olympic_qualifications(spark, sf_dir):
@@ -57,6 +58,7 @@ def olympic_qualifications(spark, sf_dir):
             F.countDistinct(F.when(in_rank, F.col("competition_sk"))).alias("ranked"),
         )
         .filter((F.col("total") >= GATES.min_competitions) & (F.col("qualifying") >= GATES.min_qualifying))
+        .orderBy("name", "stroke")
     )
 
 

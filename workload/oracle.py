@@ -72,7 +72,7 @@ CTES = {
         ORDER BY swum_on, Competition_Competition_Id, {SRC}) AS every_time FROM swims""",
     "recent": "SELECT *, coalesce(every_time[-50:], []) AS times FROM history",
     "records": f"""SELECT SwimmerId, stroke, distance, count(*) AS n,
-        string_agg({_format('time_seconds')}, ';' ORDER BY nth DESC) AS times FROM (
+        string_agg(CAST(CAST(round(time_seconds * 100) AS BIGINT) AS VARCHAR), ';' ORDER BY nth DESC) AS times FROM (
           SELECT *, row_number() OVER (PARTITION BY SwimmerId, stroke, distance ORDER BY {NEWEST}) AS nth
           FROM swims WHERE time_seconds IS NOT NULL) WHERE nth <= 50 GROUP BY SwimmerId, stroke, distance""",
     "grid": f"""SELECT s.swimmer_id, k.stroke, k.distance

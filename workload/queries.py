@@ -354,7 +354,7 @@ def rolling_history(spark, sf_dir):
 
 @query
 def rankings_summary(spark, sf_dir):
-    """The map of times is compared as text: ``50:25.30;26.10|100:`` and so on, by distance."""
+    """The map of times is compared as text, in hundredths: ``50:2530;2610|100:`` and so on, by distance."""
     summary = results.rankings_summary(raw_results(spark, sf_dir), tie=SRC)
     sizes = F.transform(F.map_values("Historical_Records"), lambda times: F.size(times).cast("bigint"))
     total = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, b: a + b)
@@ -362,7 +362,9 @@ def rankings_summary(spark, sf_dir):
     texts = F.transform(
         entries,
         lambda e: F.concat(
-            e["key"].cast("string"), F.lit(":"), F.array_join(F.transform(e["value"], fn.format_time), ";")
+            e["key"].cast("string"),
+            F.lit(":"),
+            F.array_join(F.transform(e["value"], lambda t: F.round(t * 100).cast("bigint").cast("string")), ";"),
         ),
     )
     return summary.select(
