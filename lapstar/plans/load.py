@@ -85,14 +85,14 @@ def run_load(
     spark: SparkSession,
     raw: DataFrame,
     database: str,
+    load_id: str,
     as_of: dt.date | str | None = None,
-    load_id: str = "initial",
     tie: list[str] | None = None,
 ) -> Warehouse:
     """Add raw results to the warehouse and return it as it is afterwards.
 
-    Keys of known rows never change. Facts are stored per ``load_id``, and the dimensions give the same rows
-    when merged again, so a load that stopped half-way is simply run again. ``raw`` is read once for the
+    Keys of known rows never change. Facts are stored per ``load_id``, where a load replaces its own, and the
+    dimensions give the same rows when merged again, so a load that stopped half-way is simply run again. ``raw`` is read once for the
     swimmers, once for the other dimensions and twice for the swims: pass a table, as ``load_files`` does.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -128,8 +128,8 @@ def load_files(
     spark: SparkSession,
     path: str,
     database: str,
+    load_id: str,
     as_of: dt.date | str | None = None,
-    load_id: str = "initial",
 ) -> tuple[Warehouse, DataFrame]:
     """The whole job on a folder of results files: the warehouse after the load, and a profile of each file.
 
@@ -137,7 +137,7 @@ def load_files(
     """
     raw = save(read_results(spark, path, with_source=True), "staged")
     profile = quality.profile(raw, "source_file", RAW_COLUMNS)
-    loaded = run_load(spark, raw, database, as_of, load_id)
+    loaded = run_load(spark, raw, database, load_id, as_of)
     return loaded, profile
 
 

@@ -61,13 +61,17 @@ def load_stream(
     max_files: int | None = None,
     archive: str | None = None,
     every: str | None = None,
+    label: str = "batch",
 ) -> None:
-    """Load new files into the warehouse. A batch that is repeated after a failure replaces its own swims."""
+    """Load new files into the warehouse. A batch that is repeated after a failure replaces its own swims.
+
+    Batches are known by ``label`` and number: each stream into one warehouse needs a label of its own.
+    """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         rows = save(batch, "batch")
         if not rows.isEmpty():
-            run_load(batch.sparkSession, rows, database, as_of, load_id=f"batch-{batch_id}")
+            run_load(batch.sparkSession, rows, database, f"{label}-{batch_id}", as_of)
 
     stream = add_source(results_stream(spark, path, max_files, archive))
     _run(stream.writeStream.foreachBatch(load_batch), checkpoint, every)

@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +30,24 @@ def test_parse_time_in_sql_text_agrees(spark):
     assert evaluate(spark, F.expr("parse_time(x)"), list(TIMES), "string") == list(TIMES.values())
 
 
+def python_seconds(text):
+    parts = text.split(":")
+    if len(parts) > 3 or not all(re.fullmatch(r"[ \t]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)[ \t]*", p) for p in parts):
+        return None
+    values = [float(p) for p in parts]
+    weights = [3600, 60, 1][-len(values):]
+    return sum(v * w for v, w in zip(values[:-1], weights)) + values[-1] if len(values) > 1 else values[0]
+
+
+def test_parse_time_on_random_text(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("0123456789.: +-e") for _ in range(rng.randrange(9))) for _ in range(3000)]
+    texts += [f"{rng.randrange(3)}:{rng.randrange(60):02}.{rng.randrange(100):02}" for _ in range(500)]
+    expected = [python_seconds(t) for t in texts]
+    assert sum(e is not None for e in expected) > 800
+    assert evaluate(spark, fn.parse_time("x"), texts, "string") == expected
+
+
 def test_format_time(spark):
     times = {25.3: "25.30", 62.33: "1:02.33", 59.996: "1:00.00", 119.996: "2:00.00", 0.05: "0.05", 3601.5: "60:01.50"}
     assert evaluate(spark, fn.format_time("x"), [*times, None], "double") == [*times.values(), None]

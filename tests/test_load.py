@@ -30,10 +30,10 @@ SECOND = [
 
 def test_second_load_keeps_keys_and_history(spark, raw_frame):
     name = new_database(spark)
-    first = run_load(spark, raw_frame(FIRST), name, "2018-01-02", "first")
+    first = run_load(spark, raw_frame(FIRST), name, "first", "2018-01-02")
     keys = dict(values(first.swimmers, "swimmer_id", "swimmer_sk"))
     events = dict(values(first.events.selectExpr("concat(distance, stroke) AS e", "event_sk"), "e", "event_sk"))
-    loaded = run_load(spark, raw_frame(SECOND), name, "2018-02-02", "second")
+    loaded = run_load(spark, raw_frame(SECOND), name, "second", "2018-02-02")
 
     history = values(loaded.swimmers, "swimmer_id", "nationality", "is_current", "version", "swimmer_sk", "valid_to")
     assert history == [
@@ -61,7 +61,7 @@ def test_second_load_keeps_keys_and_history(spark, raw_frame):
         return [values(f, *f.columns) for f in frames]
 
     before = everything()
-    run_load(spark, raw_frame(SECOND), name, "2018-02-02", "second")
+    run_load(spark, raw_frame(SECOND), name, "second", "2018-02-02")
     assert everything() == before
 
     reset(spark, name)
@@ -70,7 +70,7 @@ def test_second_load_keeps_keys_and_history(spark, raw_frame):
 
 def test_a_load_that_broke_off_never_shares_keys(spark, raw_frame, monkeypatch):
     name = new_database(spark)
-    run_load(spark, raw_frame(FIRST), name, "2018-01-02", "first")
+    run_load(spark, raw_frame(FIRST), name, "first", "2018-01-02")
     store = load.replace_load
 
     def break_off(rows, table, load_id):
@@ -80,11 +80,11 @@ def test_a_load_that_broke_off_never_shares_keys(spark, raw_frame, monkeypatch):
 
     monkeypatch.setattr(load, "replace_load", break_off)
     with pytest.raises(RuntimeError):
-        run_load(spark, raw_frame(SECOND), name, "2018-02-02", "second")
+        run_load(spark, raw_frame(SECOND), name, "second", "2018-02-02")
     monkeypatch.setattr(load, "replace_load", store)
     third = [swim(4, "50m Freestyle", "29.00", "M3", "2018-03-01")]
-    run_load(spark, raw_frame(third), name, "2018-03-02", "third")
-    loaded = run_load(spark, raw_frame(SECOND), name, "2018-02-02", "second")
+    run_load(spark, raw_frame(third), name, "third", "2018-03-02")
+    loaded = run_load(spark, raw_frame(SECOND), name, "second", "2018-02-02")
     assert loaded.performance.count() == 3 + 3 + 1
     keyed = {"performance_id": loaded.performance, "ranking_id": loaded.rankings, "swimmer_sk": loaded.swimmers}
     for key, frame in keyed.items():
@@ -105,7 +105,7 @@ def test_changed_competition_keeps_its_key(spark, raw_frame):
 
 def test_load_from_files(spark, raw_frame, tmp_path):
     write_results(raw_frame(FIRST + FIRST + SECOND), str(tmp_path / "in"))
-    loaded, profile = load_files(spark, str(tmp_path / "in"), new_database(spark), "2018-03-01")
+    loaded, profile = load_files(spark, str(tmp_path / "in"), new_database(spark), "one", "2018-03-01")
     # Swimmer 2 comes with two nationalities in one feed: both rows are current, and each swim has its own.
     # The relay has no distance and so no event.
     assert loaded.performance.count() == 3 + 3 + 3

@@ -1,10 +1,13 @@
 import random
 
 import pytest
-from conftest import swim
+from conftest import SMALL, swim
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lapstar.operators import results
 from lapstar.sources.files import read_summary, write_summary
+from workload.staging import SRC, raw_results
 
 EVENTS = ["50m Freestyle", "100m Freestyle", "50m Butterfly"]
 
@@ -179,3 +182,18 @@ def test_summary_keeps_the_newest_times_oldest_first(raw_frame):
     found = results.rankings_summary(raw_frame(rows), length=4).filter("Stroke = 'Freestyle'").first()
     assert found.Historical_Records[50] == [35.0, 36.0, 37.0, 38.0]
     assert found.Rank1_Count == 9
+
+
+def test_properties_of_the_staged_results(spark):
+    raw = raw_results(spark, SMALL)
+    placed = results.places(raw, SRC)
+    spans = placed.groupBy(*results.COMPETITION_EVENT).agg(
+        F.min("place").alias("low"), F.max("place").alias("high"), F.count_distinct("place").alias("n"),
+        F.count("*").alias("rows"),
+    )
+    assert spans.filter("low <> 1 OR high <> rows OR n <> rows").isEmpty()
+    best = results.personal_bests(raw, SRC)
+    career = Window.partitionBy(*results.CAREER_KEYS).orderBy("swim_date", "Competition_Competition_Id", *SRC)
+    before = F.lag("best_so_far").over(career)
+    assert best.withColumn("before", before).filter("best_so_far > before").isEmpty()
+    assert best.filter("is_personal_best AND time_seconds > best_so_far").isEmpty()

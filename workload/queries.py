@@ -313,7 +313,7 @@ def fact_rankings(spark, sf_dir):
 
 @query
 def warehouse_row_counts(spark, sf_dir):
-    loaded = load.run_load(spark, raw_results(spark, sf_dir), new_database(spark), AS_OF, tie=SRC)
+    loaded = load.run_load(spark, raw_results(spark, sf_dir), new_database(spark), "initial", AS_OF, SRC)
     return load.row_counts(loaded)
 
 

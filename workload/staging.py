@@ -141,7 +141,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
     def build() -> str:
         database = new_database(spark, "warehouse")
-        run_load(spark, raw_results(spark, sf_dir), database, AS_OF, tie=SRC)
+        run_load(spark, raw_results(spark, sf_dir), database, "initial", AS_OF, SRC)
         return database
 
     return read_warehouse(spark, _once(spark, sf_dir, "warehouse", build))
