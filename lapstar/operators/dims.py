@@ -13,7 +13,7 @@ from lapstar.operators import scd2
 from lapstar.operators.joins import join_null_safe
 from lapstar.operators.keys import highest, number_rows
 from lapstar.schemas import COURSE, DIM_COMPETITION, DIM_EVENT, DIM_SWIMMER, SWIMMER_ATTRIBUTES
-from lapstar.session import save
+from lapstar.session import empty, save
 
 
 def swimmer_columns() -> list[Column]:
@@ -61,10 +61,6 @@ def project_competitions(raw: DataFrame) -> DataFrame:
     )
 
 
-def empty(df: DataFrame, schema) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schema)
-
-
 @dataclass(frozen=True)
 class Change:
     """What a feed does to a dimension: ``kept`` rows, some of them altered if ``rewrites``, and ``added`` ones.
@@ -82,7 +78,7 @@ class Change:
 
 def swimmers(feed: DataFrame, as_of: dt.date | str | None = None, existing: DataFrame | None = None) -> Change:
     """Type 2 history of the rows of ``swimmer_feed``. Rows keep their keys, new versions get the next ones."""
-    existing = existing if existing is not None else empty(feed, DIM_SWIMMER)
+    existing = existing if existing is not None else empty(feed.sparkSession, DIM_SWIMMER)
     key = "swimmer_id"
     touched = save(scd2.of_keys(existing, feed, key), "touched")
     new = scd2.new_versions(touched, feed, key, SWIMMER_ATTRIBUTES, as_of)
@@ -94,7 +90,7 @@ def swimmers(feed: DataFrame, as_of: dt.date | str | None = None, existing: Data
 
 
 def events(raw: DataFrame, existing: DataFrame | None = None) -> Change:
-    existing = existing if existing is not None else empty(raw, DIM_EVENT)
+    existing = existing if existing is not None else empty(raw.sparkSession, DIM_EVENT)
     missing = join_null_safe(project_events(raw), existing, ["distance", "stroke"], "left_anti")
     numbered = number_rows(missing, ["distance", "stroke"], "event_sk", highest(existing, "event_sk"))
     return Change(existing, numbered.select(*DIM_EVENT.names), False)
@@ -102,7 +98,7 @@ def events(raw: DataFrame, existing: DataFrame | None = None) -> Change:
 
 def competitions(raw: DataFrame, existing: DataFrame | None = None) -> Change:
     """Known ids keep their keys and take the attributes of the new results."""
-    existing = existing if existing is not None else empty(raw, DIM_COMPETITION)
+    existing = existing if existing is not None else empty(raw.sparkSession, DIM_COMPETITION)
     found = save(project_competitions(raw), "competitions")
     key, attributes = ["competition_id"], ["competition_date", "location_code", "competition_name"]
     missing = join_null_safe(found, existing, key, "left_anti")

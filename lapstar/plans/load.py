@@ -32,7 +32,6 @@ TABLES = {
     "fact_rankings": FACT_RANKINGS,
 }
 
-
 # Last keys per load, in the place of sequences.
 KEYS = "load_keys"
 
@@ -92,8 +91,9 @@ def run_load(
     """Add raw results to the warehouse and return it as it is afterwards.
 
     Keys of known rows never change. Facts are stored per ``load_id``, where a load replaces its own, and the
-    dimensions give the same rows when merged again, so a load that stopped half-way is simply run again. ``raw`` is read once for the
-    swimmers, once for the other dimensions and twice for the swims: pass a table, as ``load_files`` does.
+    dimensions give the same rows when merged again, so a load that stopped half-way is simply run again.
+    ``raw`` is read once for the swimmers, once for the other dimensions and twice for the swims: pass a table,
+    as ``load_files`` does.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     known = read_warehouse(spark, database)

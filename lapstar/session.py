@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,3 +55,8 @@ def save(df: DataFrame, label: str = "rows") -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, and known to have none when a plan is optimised: joins with it fall away."""
+    return spark.createDataFrame([], schema).where("false")

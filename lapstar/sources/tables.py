@@ -8,6 +8,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lapstar.session import empty
+
 LOG = logging.getLogger(__name__)
 
 
@@ -16,7 +18,7 @@ def read_table(spark: SparkSession, name: str, schema: StructType | None = None)
     if spark.catalog.tableExists(name):
         return spark.read.table(name)
     LOG.warning("table %s not found", name)
-    return None if schema is None else spark.createDataFrame([], schema)
+    return None if schema is None else empty(spark, schema)
 
 
 def append(df: DataFrame, name: str) -> None:

@@ -208,8 +208,8 @@ ORACLE: dict[str, str] = {
         _counted("violations", {c: f"length({c}) > {n}" for c, n in LIMITS.items()}), "raw_results"
     ),
     "dq_foreign_key": _sql(
-        "SELECT swimmer_sk, count(*) AS n FROM performance WHERE swimmer_sk % 10 = 0 GROUP BY swimmer_sk",
-        "performance",
+        "SELECT swimmer_sk, count(*) AS n FROM star WHERE nationality = 'N07' GROUP BY swimmer_sk",
+        "star",
     ),
     "project_swimmers": _sql("SELECT * FROM project_swimmers", "project_swimmers"),
     "filter_current": _sql("SELECT k AS swimmer_id, version FROM snapshot WHERE is_current", "snapshot"),
