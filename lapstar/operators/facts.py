@@ -44,17 +44,19 @@ def performance(
         as_int("Overall_Rank").alias("overall_rank"),
         as_int("Age").alias("age"),
         *tie,
-    )
+    ).filter(F.col("swimmer_id").isNotNull())
     held = current(swimmers).filter(F.col("swimmer_id").isNotNull())
     if shared_ids is None:
         shared_ids = not duplicates(held, ["swimmer_id"]).isEmpty()
-    match = ["swimmer_id", *(SWIMMER_ATTRIBUTES if shared_ids else [])]
-    joined = (
-        swims.join(events.select("event_sk", "distance", "stroke"), ["distance", "stroke"])
-        .join(competitions.select("competition_sk", "competition_id"), "competition_id")
-        .transform(lambda rows: join_null_safe(rows, held.select("swimmer_sk", *match), match))
-        .drop("distance", "stroke", *SWIMMER_ATTRIBUTES)
+    joined = swims.join(events.select("event_sk", "distance", "stroke"), ["distance", "stroke"]).join(
+        competitions.select("competition_sk", "competition_id"), "competition_id"
     )
+    if shared_ids:
+        match = ["swimmer_id", *SWIMMER_ATTRIBUTES]
+        joined = join_null_safe(joined, held.select("swimmer_sk", *match), match)
+    else:
+        joined = joined.join(held.select("swimmer_sk", "swimmer_id"), "swimmer_id")
+    joined = joined.drop("distance", "stroke", *SWIMMER_ATTRIBUTES)
     order = ["competition_id", "event", F.col("overall_rank").asc_nulls_last(), "swimmer_id"]
     order += ["time_seconds", "age"] if not tie else tie
     return number_rows(joined, order, "performance_id", start).select(*FACT_PERFORMANCE.names)

@@ -14,7 +14,7 @@ def database(spark, tmp_path, name):
 SWIMS = [
     swim(1, "50m Butterfly", "25.30", "NAT_001", "2025-12-03 19:43:00.1", Sponsor="None", Club='The "Fast", one'),
     swim(2, "50m Butterfly", None, "NAT_001", "2025-12-03 19:43:00.1", Historical_Times="['25.30', '1:02.33']"),
-    swim(1, "50m Butterfly", "26.00", "LOC_002", "2025-12-10"),
+    swim(1, "50m Butterfly", "26.00", "LOC_002", "2025-12-10", Name="  Blanks ", Sponsor="back\\slash"),
 ]
 
 
