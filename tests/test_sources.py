@@ -1,9 +1,11 @@
 import pytest
-from conftest import swim
+from conftest import SMALL, settings, swim
 from py4j.protocol import Py4JJavaError
+from pyspark.sql import functions as F
 
 from lapstar.schemas import FACT_RANKINGS, RAW, RAW_COLUMNS
 from lapstar.sources import files, jdbc, tables
+from workload.staging import raw_results
 
 
 def database(spark, tmp_path, name):
@@ -28,6 +30,18 @@ def test_results_come_back_as_written(raw_frame, spark, tmp_path):
     assert sorted(back.collect(), key=str) == sorted(raw.collect(), key=str)
 
 
+def test_a_large_competition_is_written_by_several_tasks(spark, tmp_path):
+    one = raw_results(spark, SMALL).withColumns(
+        {"Competition_Competition_Id": F.lit("HOT"), "Competition_Date": F.lit("2018-01-01")}
+    )
+    small_steps = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.shuffle.partitions": "4"}
+    with settings(spark, small_steps):
+        files.write_results(one.repartition(8), str(tmp_path / "out"))
+    folder = tmp_path / "out" / "results=20180101_HOT_results.csv"
+    assert len(list(folder.glob("*.csv"))) > 2
+    assert files.read_results(spark, str(tmp_path / "out")).count() == 6000
+
+
 def test_single_files_are_read_and_others_are_not(spark, tmp_path):
     header = ",".join(RAW_COLUMNS)
     row = ",".join(f'"a ""quoted"", cell {i}"' if i == 1 else "" if i == 2 else str(i) for i in range(29))
