@@ -48,8 +48,8 @@ def test_single_files_are_read_and_others_are_not(spark, tmp_path):
     (tmp_path / "20250101_NAT_001_results.csv").write_text(f"{header}\n{row}\n")
     (tmp_path / "20250102_NAT_002_results.csv").write_text(f"{header}\n{row}\n{row}\n")
     sample = b"SwimmerId,Name,Birth_Date,Education_Level\r\nSWM001,A,2000-01-01,MBA\r\n"
-    (tmp_path / "sample_data.csv").write_bytes(sample)
-    (tmp_path / "swimmer_rankings_summary.csv").write_text("id\n1\n")
+    (tmp_path / "people.csv").write_bytes(sample)
+    (tmp_path / "summary.csv").write_text("id\n1\n")
     raw = files.read_results(spark, str(tmp_path), with_source=True)
     found = raw.collect()
     assert len(found) == 3

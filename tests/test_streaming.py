@@ -1,6 +1,11 @@
+import os
+import threading
+import time
+
 from conftest import swim
 
 from lapstar.plans.load import read_warehouse
+from lapstar.schemas import RAW
 from lapstar.sources.files import write_results
 from lapstar.streaming import files as streaming
 from workload.staging import new_database
@@ -56,6 +61,35 @@ def test_rankings_follow_the_files(spark, raw_frame, tmp_path):
         ("SWM1", "50m Freestyle", 24.5, 2), ("SWM2", "50m Freestyle", None, 3), ("SWM3", "100m Freestyle", 61.0, 1)]
 
 
+def test_polling_takes_files_as_they_come(spark, raw_frame, tmp_path):
+    path, sink, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    (tmp_path / "in").mkdir()
+    worker = threading.Thread(
+        target=streaming.ingest, args=(spark, path, sink, progress), kwargs={"every": "1 second"}
+    )
+    worker.start()
+    try:
+        for part, expected in ((FIRST, 2), (SECOND, 4)):
+            write_results(raw_frame(part), path)
+            wait_until(lambda: any(q.lastProgress for q in spark.streams.active) and rows_in(spark, sink) == expected)
+    finally:
+        for query in spark.streams.active:
+            query.stop()
+        worker.join(30)
+    assert not worker.is_alive()
+
+
+def rows_in(spark, sink):
+    return spark.read.schema(RAW).parquet(sink).count() if os.path.isdir(f"{sink}/_spark_metadata") else 0
+
+
+def wait_until(done, seconds=60):
+    deadline = time.monotonic() + seconds
+    while not done():
+        assert time.monotonic() < deadline
+        time.sleep(0.5)
+
+
 def test_archive_never_loses_rows(spark, raw_frame, tmp_path):
     path, sink, progress, archive = (str(tmp_path / n) for n in ("in", "out", "progress", "archive"))
     for i, part in enumerate((FIRST, SECOND, FIRST)):
