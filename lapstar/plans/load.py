@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from lapstar.schemas import (
     RAW_COLUMNS,
     Warehouse,
 )
-from lapstar.session import save
+from lapstar.session import new_path, save, scratch
 from lapstar.sources.files import read_results
 from lapstar.sources.tables import append, overwrite_swap, read_table, replace_load
 
@@ -96,9 +97,18 @@ def run_load(
     as ``load_files`` does.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    with scratch(spark):
+        feed = dims.swimmer_feed(raw)
+        _load_dimensions(spark, feed, dims.programme(raw), database, as_of)
+        shared_ids = not quality.duplicates(feed, ["swimmer_id"], allow_null=True).isEmpty()
+        _load_facts(spark, raw, database, load_id, tie, shared_ids)
+    return read_warehouse(spark, database)
+
+
+def _load_dimensions(
+    spark: SparkSession, feed: DataFrame, programme: DataFrame, database: str, as_of: dt.date | str | None
+) -> None:
     known = read_warehouse(spark, database)
-    keys = _last_keys(spark, database, load_id)
-    feed, programme = dims.swimmer_feed(raw), dims.programme(raw)
     steps = [
         lambda: _apply(dims.swimmers(feed, as_of, known.swimmers), f"{database}.dim_swimmer"),
         lambda: _apply(dims.events(programme, known.events), f"{database}.dim_event"),
@@ -106,13 +116,17 @@ def run_load(
     ]
     # The dimensions do not depend on each other: their jobs share the cluster.
     with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(step) for step in steps]:
+        for done in [pool.submit(copy_context().run, step) for step in steps]:
             done.result()
 
+
+def _load_facts(
+    spark: SparkSession, raw: DataFrame, database: str, load_id: str, tie: list[str] | None, shared_ids: bool
+) -> None:
+    keys = _last_keys(spark, database, load_id)
+    swims_name, rankings_name = "fact_swimming_performance", "fact_rankings"
     loaded = read_warehouse(spark, database)
-    shared_ids = not quality.duplicates(feed, ["swimmer_id"], allow_null=True).isEmpty()
     dimensions = (loaded.swimmers, loaded.events, loaded.competitions)
-    swims_name, rankings_name = "fact_swimming_performance", "fact_rankings"
     swims = facts.performance(raw, *dimensions, tie, keys.get(swims_name, 0), shared_ids)
     _load_fact(swims, database, swims_name, load_id, keys)
 
@@ -121,7 +135,6 @@ def run_load(
     others = _other_loads(spark, f"{database}.{rankings_name}", load_id)
     rankings = facts.rankings(added, others, keys.get(rankings_name, 0))
     _load_fact(rankings, database, rankings_name, load_id, keys)
-    return read_warehouse(spark, database)
 
 
 def load_files(
@@ -135,10 +148,11 @@ def load_files(
 
     The text is parsed once, into a Parquet table that the profile and the load read by column.
     """
-    raw = save(read_results(spark, path, with_source=True), "staged")
-    profile = quality.profile(raw, "source_file", RAW_COLUMNS)
-    loaded = run_load(spark, raw, database, load_id, as_of)
-    return loaded, profile
+    kept = new_path(spark, "profile")
+    with scratch(spark):
+        raw = save(read_results(spark, path, with_source=True), "staged")
+        profile = save(quality.profile(raw, "source_file", RAW_COLUMNS), path=kept)
+        return run_load(spark, raw, database, load_id, as_of), profile
 
 
 def row_counts(warehouse: Warehouse) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -45,14 +48,34 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/lapstar-{context.applicationId}"
 
 
+# The folder of the innermost scratch() block of this thread.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_SCRATCH.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables saved inside the block are deleted at its end, so store what is needed of them elsewhere.
+
+    Threads started in the block belong to it if they run in a copy of its context.
+    """
+    folder = new_path(spark, "scratch")
+    token = _SCRATCH.set(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def save(df: DataFrame, label: str = "rows") -> DataFrame:
+def save(df: DataFrame, label: str = "rows", path: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage and survives the loss of executors."""
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = path or new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

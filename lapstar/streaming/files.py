@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from lapstar.functions.columns import as_int, parse_time
 from lapstar.plans.load import run_load
 from lapstar.schemas import RAW, Warehouse
-from lapstar.session import save
+from lapstar.session import save, scratch
 from lapstar.sources.files import CSV_OPTIONS, add_source, results_glob
 
 
@@ -69,9 +69,11 @@ def load_stream(
     """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = save(batch, "batch")
-        if not rows.isEmpty():
-            run_load(batch.sparkSession, rows, database, f"{label}-{batch_id}", as_of)
+        session = batch.sparkSession
+        with scratch(session):
+            rows = save(batch, "batch")
+            if not rows.isEmpty():
+                run_load(session, rows, database, f"{label}-{batch_id}", as_of)
 
     stream = add_source(results_stream(spark, path, max_files, archive))
     _run(stream.writeStream.foreachBatch(load_batch), checkpoint, every)

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from conftest import SMALL, swim
@@ -7,6 +8,7 @@ from lapstar.operators import dims, facts, quality
 from lapstar.plans import load
 from lapstar.plans.load import load_files, read_warehouse, reset, row_counts, run_load
 from lapstar.schemas import TEXT_LIMITS
+from lapstar.session import shared_folder
 from lapstar.sources.files import write_results
 from workload.staging import AS_OF, SRC, new_database, raw_results, warehouse
 
@@ -92,6 +94,19 @@ def test_a_load_that_broke_off_never_shares_keys(spark, raw_frame, monkeypatch):
     assert quality.duplicates(loaded.rankings, ["swimmer_sk", "event_sk"]).isEmpty()
 
 
+def test_loads_leave_nothing_behind(spark, raw_frame, tmp_path):
+    folder = Path(shared_folder(spark))
+    write_results(raw_frame(FIRST), str(tmp_path / "in"))
+    name = new_database(spark)
+    before = set(folder.iterdir())
+    run_load(spark, raw_frame(FIRST), name, "first", "2018-01-02")
+    run_load(spark, raw_frame(SECOND), name, "second", "2018-02-02")
+    assert set(folder.iterdir()) == before
+    _, profile = load_files(spark, str(tmp_path / "in"), name, "third", "2018-03-01")
+    left = [p.name.split("-")[0] for p in set(folder.iterdir()) - before]
+    assert left == ["profile"] and profile.count() == 1
+
+
 def test_changed_competition_keeps_its_key(spark, raw_frame):
     first = dims.competitions(raw_frame(FIRST + SECOND)).whole()
     known = spark.createDataFrame(first.collect(), first.schema)
