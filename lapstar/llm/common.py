@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 21
+STRING_ROWS = 500
 
 
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -60,6 +61,22 @@ def map_texts(
     return df.mapInArrow(batches, schema)
 
 
+def map_strings(
+    df: DataFrame, function: Callable[[list[str]], dict[str, list]], schema: str,
+    text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
+    """As ``map_texts``, for functions of Python strings."""
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for begin in range(0, len(batch), STRING_ROWS):
+                part = batch.slice(begin, STRING_ROWS)
+                kept = {name: part.column(name) for name in keep}
+                yield pa.RecordBatch.from_pydict({**kept, **function(part.column(text_col).to_pylist())})
+
+    return df.mapInArrow(batches, schema)
+
+
 def ragged(counts: np.ndarray) -> np.ndarray:
     """0, 1, ... inside each group of ``counts`` entries."""
     ends = np.cumsum(counts)

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapstar.llm import urls
+from lapstar.llm import idfile, secrets, urls, wordpieces
+
+TOKENIZERS = "/opt/tokenizers"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +25,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids written with a Huffman code and read back."""
+    docs = table(spark, sf_dir, "documents")
+    return idfile.read_summary(spark, idfile.encoded_folder(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word pieces of the word vocabulary in every text."""
+    return wordpieces.count_pieces(
+        table(spark, sf_dir, "documents"), wordpieces.read_vocabulary(f"{TOKENIZERS}/word_bpe_49k.json")
+    )
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [
     urls.Rule("net", "/", "block"),
     urls.Rule("example.net", "/en/", "allow"),
