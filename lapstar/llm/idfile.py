@@ -29,48 +29,71 @@ from lapstar.llm.huffman import BLOCK, Code, code_lengths
 from lapstar.session import new_path, save, scratch
 
 SEGMENT = 1 << 18
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 400_000
 END_ID = 1
-MARK = "\x01"
+END_MARK = "</w>"
+STOPS = frozenset(".,;:!?")
 
 
 class Words:
-    """Ids of space-free words, kept for the words seen lately."""
+    """Ids of space-free words, kept for the words seen lately.
+
+    A word of letters that lower-casing leaves as it is, is one run of letters to the tokenizer and ends with an id
+    that carries the end mark, so many such words are encoded as one text. A stop behind it is a run of its own.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.size = max(vocabulary.values()) + 1
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.mark = self._ids([MARK])[0]
+        self.ends = np.zeros(self.size, bool)
+        self.ends[[i for text, i in vocabulary.items() if text.endswith(END_MARK)]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _plain(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of letters."""
+        if words:
+            ids = self._ids([" ".join(words)])[0]
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
+            if len(ends) == len(words):
+                raw = ids.tobytes()
+                return {word: raw[b:e] for word, b, e in zip(words, [0, *ends[:-1]], ends, strict=True)}
+        return self._singly(words)
+
+    def _singly(self, words: list[str]) -> dict[str, bytes]:
+        return {word: ids.tobytes() for word, ids in zip(words, self._ids(words), strict=True)}
+
     def _learn(self, words: set[str]) -> None:
         if len(self.young) > KNOWN_WORDS:
             self.old, self.young = self.young, {}
-        new = words - self.young.keys()
-        for word in new & self.old.keys():
-            self.young[word] = self.old[word]
-        new -= self.old.keys()
-        plain = [w for w in new if MARK not in w and "<|" not in w] if len(self.mark) == 1 else []
-        if plain:
-            # One long text instead of many short ones; the mark between the words is an id of its own.
-            ids = self._ids([f" {MARK} ".join(plain)])[0]
-            cuts = np.flatnonzero(ids == self.mark[0])
-            begins, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
-            raw, width = ids.tobytes(), self.kind.itemsize
-            for word, begin, end in zip(plain, (begins * width).tolist(), (ends * width).tolist(), strict=True):
-                self.young[word] = raw[begin:end]
-            new.difference_update(plain)
-        rest = list(new)
-        for word, ids in zip(rest, self._ids(rest), strict=True):
-            self.young[word] = ids.tobytes()
+        known, old = self.young, self.old
+        rest, parts = [], []
+        for word in words - known.keys():
+            if word in old:
+                known[word] = old[word]
+                continue
+            core, stop = (word.lower() if word.isascii() else word), ""
+            if core[-1:] in STOPS:
+                core, stop = core[:-1], core[-1:]
+            if core.isalpha() and core.lower() == core:
+                parts.append((word, core, stop))
+            else:
+                rest.append(word)
+        known.update(self._singly(rest))
+        cores = {core for _, core, _ in parts}
+        found = {core: known.get(core) or old.get(core) for core in cores}
+        found.update(self._plain([core for core in cores if found[core] is None]))
+        stops = self._singly(list({stop for _, _, stop in parts}))
+        for word, core, stop in parts:
+            known[word] = found[core] + stops[stop]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lapstar.llm import idfile, secrets, urls, wordpieces
+from lapstar.llm import idfile, secrets, topk, toxicity, urls, wordpieces
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -25,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids written with a Huffman code and read back."""
@@ -40,6 +47,28 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all other vectors for every twentieth vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.whole(F.col("embedding")).alias("vector"))
+    return topk.search(vectors.filter("vec_id % 20 = 0"), vectors, 20)
+
+
+ORACLE["op7_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS vector FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vector, c.vector)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored
+)
+SELECT query_id, n::INTEGER AS rank, vec_id, score FROM ranked WHERE n <= 20
+"""
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
