@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstar.llm import idfile, secrets, topk, toxicity, urls, wordpieces
+from lapstar.llm import idfile, nearcopies, secrets, topk, toxicity, urls, wordpieces
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -39,6 +39,38 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.read_summary(spark, idfile.encoded_folder(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
 
 
+@query
+def op4_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.group(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_near_copies"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+    ELSE array_to_string(w[i : i + 4], ' ') END AS s
+  FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 85 * (p.n + q.n - c)
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, b.y FROM reached r JOIN edges b ON r.other = b.x
+)
+SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+FROM documents d LEFT JOIN sizes z USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1) r USING (doc_id)
+"""
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy word pieces of the word vocabulary in every text."""
