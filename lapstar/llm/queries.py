@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstar.llm import idfile, nearcopies, secrets, topk, toxicity, urls, wordpieces
+from lapstar.llm import decontaminate, idfile, nearcopies, secrets, topk, toxicity, urls, wordpieces
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -101,6 +101,11 @@ SELECT query_id, n::INTEGER AS rank, vec_id, score FROM ranked WHERE n <= 20
 """
 
 
+@query
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
