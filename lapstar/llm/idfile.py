@@ -8,8 +8,8 @@ of the blocks follow, so each can be decoded alone), and the documents' lengths.
     code/                 one row per token id that occurs: ``id, bits``
     segments/part=…/      ``seq, first, doc_ids, lengths, marks, payload``, parts and sequences ascending
 
-Words are encoded by the tokenizer once per run of texts and worker; a text's ids are put together from its words',
-which is exact for a tokenizer whose pieces never span a space.
+A word is encoded by the tokenizer once per worker; a text's ids are put together from its words', which is exact for
+a tokenizer whose pieces never span a space.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -24,27 +25,36 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstar.llm.common import STRING_ROWS, texts_of
-from lapstar.llm.huffman import BLOCK, Code, code_lengths
+from lapstar.llm.common import slices, texts_of, utf8
+from lapstar.llm.huffman import Code, code_lengths
+from lapstar.llm.words import Ranges, word_ranges
 from lapstar.session import new_path, save, scratch
 
-SEGMENT = 1 << 18
-KNOWN_WORDS = 400_000
+SEGMENT_BYTES = 1 << 20
+TABLE_BITS = 21
+KNOWN_WORDS = 1 << 20
+WORDS_AT_ONCE = 100
 END_ID = 1
 END_MARK = "</w>"
+BREAK = np.zeros(256, bool)
+BREAK[[0x20, 0x0A]] = True
+ODD_CASE = frozenset("\u03a3\u0130")  # lower-cased by their surroundings, or to more than a letter
 STOPS = frozenset(".,;:!?")
 
 
 class Words:
-    """Ids of space-free words, kept for the words seen lately.
+    """Ids of space-free words, kept for the words seen so far.
 
-    A word of letters that lower-casing leaves as it is, is one run of letters to the tokenizer and ends with an id
-    that carries the end mark, so many such words are encoded as one text. A stop behind it is a run of its own.
+    Words are known by a 64-bit hash of their bytes in a hash table of arrays, which takes some 30 bytes a word and is
+    looked up for all words of a run of texts at once; when it is full it starts anew. Unknown words of letters are
+    lower-cased here and encoded many at a time, by the same model without the normalising and splitting that they do
+    not need: such a word is one run of letters to the tokenizer and ends with an id that carries the end mark. A stop
+    behind a word is a run of its own.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -52,54 +62,145 @@ class Words:
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for text, i in vocabulary.items() if text.endswith(END_MARK)]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)  # 0: free
+        self.rows = np.zeros(1 << TABLE_BITS, np.int32)
+        self.begins = np.zeros(KNOWN_WORDS, np.int64)
+        self.lengths = np.zeros(KNOWN_WORDS, np.int32)
+        self.pool = np.zeros(8 * KNOWN_WORDS, self.kind)
+        self.known = self.pooled = 0
+
+    def _ids(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, self.kind) for x in found]
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _singly(self, words: list[str]) -> dict[str, bytes]:
+        return {word: ids.tobytes() for word, ids in zip(words, self._ids(words), strict=True)}
 
     def _plain(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words of letters."""
-        if words:
-            ids = self._ids([" ".join(words)])[0]
+        out: dict[str, bytes] = {}
+        runs = [words[i : i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE)]
+        for run, ids in zip(runs, self._ids([" ".join(run) for run in runs], self.letters), strict=True):
             ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
-            if len(ends) == len(words):
+            if len(ends) == len(run):
                 raw = ids.tobytes()
-                return {word: raw[b:e] for word, b, e in zip(words, [0, *ends[:-1]], ends, strict=True)}
-        return self._singly(words)
-
-    def _singly(self, words: list[str]) -> dict[str, bytes]:
-        return {word: ids.tobytes() for word, ids in zip(words, self._ids(words), strict=True)}
+                out.update((word, raw[b:e]) for word, b, e in zip(run, [0, *ends[:-1]], ends, strict=True))
+            else:
+                out.update(self._singly(run))
+        return out
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.young) > KNOWN_WORDS:
-            self.old, self.young = self.young, {}
-        known, old = self.young, self.old
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word."""
         rest, parts = [], []
-        for word in words - known.keys():
-            if word in old:
-                known[word] = old[word]
-                continue
-            core, stop = (word.lower() if word.isascii() else word), ""
+        for word in words:
+            core, stop = word, ""
             if core[-1:] in STOPS:
                 core, stop = core[:-1], core[-1:]
-            if core.isalpha() and core.lower() == core:
-                parts.append((word, core, stop))
-            else:
-                rest.append(word)
-        known.update(self._singly(rest))
-        cores = {core for _, core, _ in parts}
-        found = {core: known.get(core) or old.get(core) for core in cores}
-        found.update(self._plain([core for core in cores if found[core] is None]))
+            if core.isalpha() and (core.isascii() or (is_normalized("NFC", core) and not ODD_CASE & set(core))):
+                core = core.lower()
+                if core.isalpha():
+                    parts.append((word, core, stop))
+                    continue
+            rest.append(word)
+        found = self._singly(rest)
+        cores = self._plain(list({core for _, core, _ in parts}))
         stops = self._singly(list({stop for _, _, stop in parts}))
         for word, core, stop in parts:
-            known[word] = found[core] + stops[stop]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        self._learn(set().union(*split) if split else set())
-        known = self.young
-        return [b"".join([known[word] for word in words]) for words in split]
+            found[word] = cores[core] + stops[stop]
+        return [found[word] for word in words]
+
+    def _look_up(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each key, or -1."""
+        mask = len(self.keys) - 1
+        slot = (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        found = self.keys[slot]
+        out = np.where(found == keys, self.rows[slot], -1)
+        open_ = np.flatnonzero((found != keys) & (found != 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & mask
+            found = self.keys[slot[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.rows[slot[open_[hit]]]
+            open_ = open_[~hit & (found != 0)]
+        return out
+
+    def _add(self, keys: np.ndarray, ids: list[bytes]) -> None:
+        """Adds distinct unknown keys."""
+        lengths = np.array([len(x) for x in ids], np.int64) // self.kind.itemsize
+        total = int(lengths.sum())
+        if self.pooled + total > len(self.pool):
+            more = np.zeros(max(len(self.pool), total), self.kind)
+            self.pool = np.concatenate([self.pool, more])
+        self.pool[self.pooled : self.pooled + total] = np.frombuffer(b"".join(ids), self.kind)
+        rows = np.arange(self.known, self.known + len(keys))
+        self.begins[rows] = self.pooled + np.cumsum(lengths) - lengths
+        self.lengths[rows] = lengths
+        self.known, self.pooled = self.known + len(keys), self.pooled + total
+        mask, left = len(self.keys) - 1, np.arange(len(keys))
+        slot = (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        while len(left):
+            free = left[self.keys[slot[left]] == 0]
+            self.keys[slot[free]] = keys[free]
+            placed = self.keys[slot[left]] == keys[left]
+            self.rows[slot[left[placed]]] = rows[left[placed]]
+            left = left[~placed]
+            slot[left] = (slot[left] + 1) & mask
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, ``end_id`` behind each, and how many each text has."""
+        starts, ends = word_ranges(offsets, ~BREAK[data])
+        keys = Ranges(data)(starts, ends)
+        keys[keys == 0] = 1
+        rows = self._look_up(keys)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            unknown, first = np.unique(keys[new], return_index=True)
+            if self.known + len(unknown) > KNOWN_WORDS:
+                self._forget()
+                unknown, first = np.unique(keys, return_index=True)
+                new = np.arange(len(keys))
+            if len(unknown) > KNOWN_WORDS:  # more words in one text than the table holds
+                return self._encode_parts(data, offsets, end_id)
+            raw, at = data.tobytes(), new[first]
+            words = [raw[b:e].decode() for b, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            self._add(unknown, self.word_ids(words))
+            rows[new] = self._look_up(keys[new])
+        # The end id of each text is one more item, behind the text's words.
+        upto = np.searchsorted(starts, offsets[1:])
+        begins, lengths = np.insert(self.begins[rows], upto, -1), np.insert(self.lengths[rows], upto, 1)
+        bounds = np.cumsum(lengths, dtype=np.int64)
+        at = np.arange(bounds[-1] if len(bounds) else 0) + np.repeat(begins - (bounds - lengths), lengths)
+        ids = self.pool[np.maximum(at, 0)]
+        text_ends = bounds[upto + np.arange(len(upto))]
+        ids[text_ends - 1] = end_id
+        return ids, np.diff(text_ends, prepend=0)
+
+    def _encode_parts(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts with very many different words: in parts that end at a break."""
+        found, counts = [], []
+        for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            n = 0
+            while begin < end:
+                upto = min(end, begin + KNOWN_WORDS)
+                breaks = np.flatnonzero(BREAK[data[begin:upto]])
+                if upto < end:
+                    later = np.flatnonzero(BREAK[data[upto:end]])
+                    upto = begin + int(breaks[-1]) + 1 if len(breaks) else upto + int(later[0]) + 1 if len(later) else end
+                ids, _ = self.encode(data[begin:upto], np.array([0, upto - begin]), end_id)
+                found.append(ids[:-1])
+                n += len(ids) - 1
+                begin = upto
+            found.append(np.array([end_id], self.kind))
+            counts.append(n + 1)
+        return np.concatenate(found), np.array(counts)
 
 
 _WORDS: dict[str, Words] = {}
@@ -120,35 +221,21 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID, text_col: s
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(tokenizer)
-        end = np.array([end_id], words.kind).tobytes()
-        width = words.kind.itemsize
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        ids: list[bytes] = []
-        doc_ids: list[int | None] = []
-        held = 0
-
-        def segment() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({
-                "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
-                "before": pa.array([before], pa.int64()), "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())),
-                "lengths": pa.array([[len(x) // width for x in ids]], pa.list_(pa.int64())),
-                "ids": pa.array([b"".join(ids)], pa.binary()),
-            })
-
         for batch in batches:
-            for begin in range(0, len(batch), STRING_ROWS):
-                rows = batch.slice(begin, STRING_ROWS)
-                for doc_id, found in zip(
-                    rows.column("doc_id").to_pylist(), words.encode(rows.column("text").to_pylist()), strict=True
-                ):
-                    ids.append(found + end)
-                    doc_ids.append(doc_id)
-                    held += len(ids[-1]) // width
-                    if held >= SEGMENT:
-                        yield segment()
-                        ids, doc_ids, seq, before, held = [], [], seq + 1, before + held, 0
-        if ids:
-            yield segment()
+            data, offsets = utf8(batch.column("text"))
+            for begin, end in slices(offsets, SEGMENT_BYTES):
+                bounds = offsets[begin : end + 1]
+                ids, lengths = words.encode(data[bounds[0] : bounds[-1]], bounds - bounds[0], end_id)
+                one = pa.array([0, end - begin], pa.int32())
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
+                    "before": pa.array([before], pa.int64()),
+                    "doc_ids": pa.ListArray.from_arrays(one, batch.column("doc_id").slice(begin, end - begin)),
+                    "lengths": pa.ListArray.from_arrays(one, pa.array(lengths, pa.int64())),
+                    "ids": pa.array([ids.tobytes()], pa.binary()),
+                })
+                seq, before = seq + 1, before + len(ids)
 
     schema = "part int, seq int, before long, doc_ids array<long>, lengths array<long>, ids binary"
     return texts.mapInArrow(encode, schema)
