@@ -44,18 +44,22 @@ def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 def map_texts(
-    df: DataFrame, function: Callable[[np.ndarray, np.ndarray], dict[str, object]], schema: str,
-    text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+    df: DataFrame, function: Callable[..., dict[str, object]], schema: str,
+    text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False,
 ) -> DataFrame:
-    """One output row per text: ``function(bytes, offsets)`` gives the new columns for a run of texts."""
+    """One output row per text: ``function(bytes, offsets)`` gives the new columns for a run of texts.
+
+    With ``with_ids`` it also gets the first column of ``keep``.
+    """
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             data, offsets = utf8(batch.column(text_col))
             for begin, end in slices(offsets):
                 part = offsets[begin : end + 1]
-                made = function(data[part[0] : part[-1]], part - part[0])
                 kept = {name: batch.column(name).slice(begin, end - begin) for name in keep}
+                ids = (kept[keep[0]],) if with_ids else ()
+                made = function(data[part[0] : part[-1]], part - part[0], *ids)
                 yield pa.RecordBatch.from_pydict({**kept, **made})
 
     return df.mapInArrow(batches, schema)

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstar.llm import decontaminate, idfile, nearcopies, secrets, topk, toxicity, urls, wordpieces
+from lapstar.llm import decontaminate, idfile, nearcopies, secrets, sentencepieces, topk, toxicity, urls, wordpieces
 
 TOKENIZERS = "/opt/tokenizers"
+SEED = 20240229
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces with one candidate merge in ten skipped."""
+    return sentencepieces.summary(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", SEED)
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

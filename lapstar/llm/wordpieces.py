@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lapstar.llm.common import map_texts, texts_of
+from lapstar.llm.hashing import Table
 from lapstar.llm.words import LOWER, SPACE, word_ranges
 
 SYMBOLS = 512
@@ -76,7 +77,8 @@ class Automaton:
                 token[node] = True
         self.fail, self.pops, self.rest = self._links(children, token)
         self.children = children
-        self._hash()
+        keys = np.array([v * SYMBOLS + s for v, own in enumerate(children) for s in own], np.int64)
+        self.table = Table(keys, np.array([child for own in children for child in own.values()], np.int64))
 
     @staticmethod
     def _links(children, token):
@@ -102,41 +104,9 @@ class Automaton:
                     rest[node] = pops[node] + rest[fail[node]]
         return fail, pops, rest
 
-    def _hash(self) -> None:
-        """Branches by (node, symbol) in an open hash table, so that many nodes can be looked up at once."""
-        keys = np.array([v * SYMBOLS + s for v, own in enumerate(self.children) for s in own], np.int64)
-        values = np.array([child for own in self.children for child in own.values()], np.int32)
-        bits = max(4, int(4 * len(keys)).bit_length())
-        self.shift = np.uint64(64 - bits)
-        self.mask = (1 << bits) - 1
-        self.keys = np.full(1 << bits, -1, np.int64)
-        self.values = np.full(1 << bits, -1, np.int32)
-        slot, left = self._slot(keys), np.arange(len(keys))
-        while len(left):
-            free = self.keys[slot[left]] < 0
-            self.keys[slot[left[free]]] = keys[left[free]]
-            placed = self.keys[slot[left]] == keys[left]
-            self.values[slot[left[placed]]] = values[left[placed]]
-            left = left[~placed]
-            slot[left] = (slot[left] + 1) & self.mask
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
-
     def step(self, nodes: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The child of each node by its symbol, or -1."""
-        keys = nodes * SYMBOLS + symbols
-        slot = self._slot(keys)
-        found = self.keys[slot]
-        out = np.where(found == keys, self.values[slot], -1).astype(np.int64)
-        open_ = np.flatnonzero((found != keys) & (found >= 0))
-        while len(open_):
-            slot[open_] = (slot[open_] + 1) & self.mask
-            found = self.keys[slot[open_]]
-            hit = found == keys[open_]
-            out[open_[hit]] = self.values[slot[open_[hit]]]
-            open_ = open_[~hit & (found >= 0)]
-        return out
+        return self.table.get(nodes * SYMBOLS + symbols)
 
     def count(self, word: bytes) -> int:
         """Pieces of one word; -1 if it cannot be split."""
