@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstar.llm import decontaminate, idfile, nearcopies, secrets, sentencepieces, topk, toxicity, urls, wordpieces
+from lapstar.llm import decontaminate, idfile, nearcopies, repeats, secrets, sentencepieces, topk, toxicity, urls, wordpieces
 
 TOKENIZERS = "/opt/tokenizers"
 SEED = 20240229
@@ -86,6 +86,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best of all other vectors for every twentieth vector."""
