@@ -183,11 +183,9 @@ def group(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def one_of_each(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """One row of each component, with all its columns: the one with the smallest id; rows with a null id stay."""
-    found = group(docs, text_col).select("doc_id", "kept")
+    found = save(group(docs, text_col).select("doc_id", "kept"), "kept")
     kept = found.filter("kept and doc_id is not null").select("doc_id").distinct()
     stay = docs.join(kept, "doc_id", "left_semi")
-    twice = found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
-    once = stay.join(twice, "doc_id", "left_anti")
-    repeated = stay.join(twice, "doc_id", "left_semi")
-    rest = docs.filter("doc_id is null")
-    return once.unionByName(repeated.dropDuplicates(["doc_id"])).unionByName(rest).select(*docs.columns)
+    if found.filter("kept and doc_id is not null").count() > kept.count():  # repeated rows
+        stay = stay.dropDuplicates(["doc_id"])
+    return stay.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
