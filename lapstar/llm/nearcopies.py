@@ -73,6 +73,7 @@ def _members(classes: DataFrame) -> DataFrame:
     first = F.max(F.struct("met", (-F.col("cid")).alias("last"), "n")).alias("first")
     hubs = rows.join(met, "cid").groupBy("key").agg(first)
     hubs = hubs.select("key", (-F.col("first.last")).alias("hub"), F.col("first.n").alias("hub_n"))
+    hubs = save(hubs, "hubs")  # so that the join has its own exchanges and a crowded bucket can be split
     return rows.join(hubs, "key").select("hub", "hub_n", "cid", "n").distinct()
 
 
