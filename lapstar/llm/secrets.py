@@ -45,7 +45,7 @@ LITERAL = re.compile(r'"((?:[^"\\\n]|\\.)*)"|\'((?:[^\'\\\n]|\\.)*)\'|`([^`\n]*)
 BARE = re.compile(r"""[^\s,;"'`(){}\[\]<>]+""")
 NAME = re.compile(r"[A-Za-z_$][A-Za-z0-9_$]*(?:[.\-][A-Za-z0-9_$]+)*")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change.?me|example.*|your.*|none|null|true|false|test|todo|<.*>|\$\{.*\}|\{\{.*\}\})$")
+PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change.?me|example.*|your.*|none|null|true|false|test|todo|<.*>|\[.*\]|\$\{.*\}|\{\{.*\}\})$")
 NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_$.-")
 
 SENSITIVE = {
