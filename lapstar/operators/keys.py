@@ -9,8 +9,8 @@ from pyspark.sql.window import Window
 from lapstar.session import save
 
 # monotonically_increasing_id() keeps the row's position in its low 33 bits, the partition above them.
-_POSITION_BITS = 33
-_POSITION_MASK = (1 << _POSITION_BITS) - 1
+POSITION_BITS = 33
+_POSITION_MASK = (1 << POSITION_BITS) - 1
 
 
 def number_rows(df: DataFrame, order: list[str | Column], name: str, start: int = 0) -> DataFrame:
@@ -26,7 +26,7 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str, start: int
         .withColumn("_position", F.monotonically_increasing_id()),
         "numbered",
     )
-    partition = F.shiftright("_position", _POSITION_BITS)
+    partition = F.shiftright("_position", POSITION_BITS)
     sizes = kept.groupBy(partition.alias("_partition")).agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = sizes.select(

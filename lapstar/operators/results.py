@@ -14,9 +14,8 @@ from pyspark.sql.window import Window
 
 from lapstar.functions.columns import as_date, as_int, distance, history_text, parse_time, stroke, top_flag
 from lapstar.operators.joins import join_null_safe
-from lapstar.operators.scans import MAX_ROWS, number_in_groups, running_min, trailing_list
+from lapstar.operators.scans import number_in_groups, running_min, running_min_and_list, trailing_list
 from lapstar.schemas import ENTRY_CAPS, HISTORY_LENGTH, STROKE_DISTANCES, tie_columns
-from lapstar.session import save
 
 COMPETITION_EVENT = ["Competition_Competition_Id", "Event"]
 RANKS = range(1, 6)
@@ -30,9 +29,10 @@ def _fastest_first(raw: DataFrame, tie: list[str] | None) -> list[Column | str]:
     return [F.col("time_seconds").asc_nulls_last(), "SwimmerId", *tie_columns(raw, tie)]
 
 
-def places(raw: DataFrame, tie: list[str] | None = None, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Place of every swim in its event of its competition, and the top-5 flag. Swims without time come last."""
-    placed = number_in_groups(_timed(raw), COMPETITION_EVENT, _fastest_first(raw, tie), "place", max_rows)
+def places(raw: DataFrame, tie: list[str] | None = None) -> DataFrame:
+    """Place of every swim in its event of its competition, and the top-5 flag. A swim without a time has no place."""
+    placed = number_in_groups(_timed(raw), COMPETITION_EVENT, _fastest_first(raw, tie), "place")
+    placed = placed.withColumn("place", F.when(F.col("time_seconds").isNotNull(), F.col("place")))
     return placed.withColumn("Top_5", top_flag("place"))
 
 
@@ -42,7 +42,8 @@ def top5(raw: DataFrame, tie: list[str] | None = None, k: int = 5) -> DataFrame:
     The filter on the row number lets Spark cut every group to ``k`` rows before the shuffle.
     """
     window = Window.partitionBy(*COMPETITION_EVENT).orderBy(*_fastest_first(raw, tie))
-    return _timed(raw).withColumn("place", F.row_number().over(window)).filter(F.col("place") <= k)
+    timed = _timed(raw).filter(F.col("time_seconds").isNotNull())
+    return timed.withColumn("place", F.row_number().over(window)).filter(F.col("place") <= k)
 
 
 def rank_counts(place: str) -> list[Column]:
@@ -73,21 +74,21 @@ def _oldest_first(raw: DataFrame, tie: list[str] | None) -> list[str]:
     return ["swim_date", "Competition_Competition_Id", *tie_columns(raw, tie)]
 
 
-def personal_bests(raw: DataFrame, tie: list[str] | None = None, max_rows: int = MAX_ROWS) -> DataFrame:
+def _best_flag(swims: DataFrame) -> DataFrame:
+    flag = F.coalesce(F.col("time_seconds") == F.col("best_so_far"), F.lit(False))
+    return swims.withColumn("is_personal_best", flag)
+
+
+def personal_bests(raw: DataFrame, tie: list[str] | None = None) -> DataFrame:
     """Best time so far of swimmer, stroke and distance at every swim, and whether the swim set or met it."""
-    best = running_min(_career(raw), CAREER_KEYS, _oldest_first(raw, tie), "time_seconds", "best_so_far", max_rows)
-    return best.withColumn(
-        "is_personal_best", F.coalesce(F.col("time_seconds") == F.col("best_so_far"), F.lit(False))
+    return _best_flag(
+        running_min(_career(raw), CAREER_KEYS, _oldest_first(raw, tie), "time_seconds", "best_so_far")
     )
 
 
-def rolling_history(
-    raw: DataFrame, length: int = HISTORY_LENGTH, tie: list[str] | None = None, max_rows: int = MAX_ROWS
-) -> DataFrame:
+def rolling_history(raw: DataFrame, length: int = HISTORY_LENGTH, tie: list[str] | None = None) -> DataFrame:
     """The last ``length`` times of swimmer, stroke and distance up to every swim, oldest first."""
-    return trailing_list(
-        _career(raw), CAREER_KEYS, _oldest_first(raw, tie), "time_seconds", length, "history", max_rows
-    )
+    return trailing_list(_career(raw), CAREER_KEYS, _oldest_first(raw, tie), "time_seconds", length, "history")
 
 
 def eligible(raw: DataFrame) -> DataFrame:
@@ -104,17 +105,18 @@ def eligible(raw: DataFrame) -> DataFrame:
 
 
 def top_entries(raw: DataFrame, caps: dict[str, int] = ENTRY_CAPS, tie: list[str] | None = None) -> DataFrame:
-    """The first entries of each event of each competition, up to the cap of the competition's level.
+    """The first entries of each event of each competition and level, up to the level's cap.
 
-    The largest cap is a constant filter, so that Spark cuts the groups before the shuffle.
+    A level that ``caps`` does not list, or a null one, has no cap: all its entries stay. For listed levels the
+    largest cap is a constant filter, so that Spark cuts the groups before the shuffle.
     """
-    window = Window.partitionBy(*COMPETITION_EVENT).orderBy("SwimmerId", *tie_columns(raw, tie))
+    group, order = [*COMPETITION_EVENT, "Competition_Level"], ["SwimmerId", *tie_columns(raw, tie)]
     cap = F.create_map(*[F.lit(v) for v in chain.from_iterable(caps.items())])[F.col("Competition_Level")]
-    return (
-        raw.withColumn("entry_no", F.row_number().over(window))
-        .filter(F.col("entry_no") <= max(caps.values()))
-        .filter(F.col("entry_no") <= cap)
-    )
+    listed = F.coalesce(F.col("Competition_Level").isin(*caps), F.lit(False))
+    number = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint")
+    capped = raw.filter(listed).withColumn("entry_no", number).filter(F.col("entry_no") <= max(caps.values()))
+    free = number_in_groups(raw.filter(~listed), group, order, "entry_no")
+    return capped.filter(F.col("entry_no") <= cap).unionByName(free)
 
 
 def _histories(raw: DataFrame, length: int, tie: list[str] | None) -> DataFrame:
@@ -176,18 +178,22 @@ def rankings_summary(raw: DataFrame, length: int = HISTORY_LENGTH, tie: list[str
     )
 
 
-def as_results(raw: DataFrame, tie: list[str] | None = None, max_rows: int = MAX_ROWS) -> DataFrame:
+def as_results(raw: DataFrame, tie: list[str] | None = None) -> DataFrame:
     """Raw results with the computed columns filled in, as text: place, top-5 flag, best flag and history.
 
-    A record, once set, stays valid, so that flag is true throughout.
+    The best flag and the history come from one pass over the careers. A record, once set, stays valid, so that
+    flag is true throughout.
     """
     names = raw.columns
-    placed = places(raw, tie, max_rows).withColumn("Overall_Rank", F.col("place").cast("string"))
-    placed = save(placed.select(*names), "placed")
-    flag = F.initcap(F.col("is_personal_best").cast("string"))
-    flagged = personal_bests(placed, tie, max_rows).withColumn("Is_Personal_Best", flag)
-    flagged = save(flagged.select(*names), "flagged")
-    filled = rolling_history(flagged, HISTORY_LENGTH, tie, max_rows)
-    return filled.withColumns(
-        {"Historical_Times": history_text("history"), "Is_Valid_Record": F.lit("True")}
+    placed = places(raw, tie).withColumn("Overall_Rank", F.col("place").cast("string")).select(*names)
+    order = _oldest_first(raw, tie)
+    career = running_min_and_list(
+        _career(placed), CAREER_KEYS, order, "time_seconds", HISTORY_LENGTH, "best_so_far", "history"
+    )
+    return _best_flag(career).withColumns(
+        {
+            "Is_Personal_Best": F.initcap(F.col("is_personal_best").cast("string")),
+            "Historical_Times": history_text("history"),
+            "Is_Valid_Record": F.lit("True"),
+        }
     ).select(*names)

@@ -1,133 +1,103 @@
-"""Ordered work inside groups, safe when one group holds a large share of all rows.
+"""Ordered work inside groups of any size.
 
-A window function gives each group to one task. Here groups of at most ``max_rows`` rows go that way, with one
-shuffle. Larger groups, usually none, are numbered by ``number_rows``, cut into blocks of ``max_rows`` rows
-that windows can take, and each block gets what it needs from the blocks before it. Both give the same rows.
-
-The input is read once to count the groups and once for each kind of group: pass a table, not a long lineage.
+A window function gives each group to one task. Here the rows are range-partitioned by group and order, sorted and
+written once; a group's rows in one partition are a block, so a large group is several blocks. Windows run inside
+blocks, and each block gets from the blocks of its group before it what it needs: their number of rows, their minimum,
+their last values. Every input takes this path.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from lapstar.operators.joins import join_null_safe
-from lapstar.operators.keys import number_rows
+from lapstar.operators.keys import POSITION_BITS
 from lapstar.session import save
 
-MAX_ROWS = 1_000_000
+ROW, BLOCK = "_position", "_block"
+
+
+def blocks(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+    """The rows with their block and their position in the order, written once."""
+    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    kept = save(ranged.withColumn(ROW, F.monotonically_increasing_id()), "blocks")
+    return kept.withColumn(BLOCK, F.shiftright(ROW, POSITION_BITS))
 
 
-def split_groups(df: DataFrame, keys: list[str], max_rows: int = MAX_ROWS) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of the small groups, and those of the large ones with ``_before`` = rows in earlier large groups.
+def _in_block(keys: list[str]) -> WindowSpec:
+    rows = Window.partitionBy(*keys, BLOCK).orderBy(ROW)
+    return rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    The list of large groups has at most (all rows / max_rows) rows. It is written, so that Spark knows its
-    size and broadcasts it only below its threshold.
+
+def _carried(rows: DataFrame, keys: list[str], **values: tuple[Column, Column]) -> DataFrame:
+    """Each row with, per name, the second aggregate of the first over the earlier blocks of its group.
+
+    A block is combined where it was written, so few rows are shuffled; a group has at most one per partition.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > max_rows)
-    earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    large = save(
-        sizes.select(*keys, (F.sum("_rows").over(earlier) - F.col("_rows")).alias("_before")), "large-groups"
-    )
-    if large.isEmpty():
-        return df, None
-    return join_null_safe(df, large, keys, "left_anti"), join_null_safe(df, large, keys)
+    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    each = rows.groupBy(*keys, BLOCK).agg(*[first.alias(name) for name, (first, _) in values.items()])
+    carry = each.select(*keys, BLOCK, *[merge.over(earlier).alias(name) for name, (_, merge) in values.items()])
+    return join_null_safe(rows, carry, [*keys, BLOCK])
 
 
-def _numbered(large: DataFrame, keys: list[str], order: list[Column | str], max_rows: int) -> DataFrame:
-    """Position ``_n`` of each row in its group, and its block ``_block`` of ``max_rows`` rows."""
-    rows = number_rows(large, [*keys, *order], "_n").withColumn("_n", F.col("_n") - F.col("_before"))
-    return rows.drop("_before").withColumn("_block", F.floor((F.col("_n") - 1) / max_rows).cast("bigint"))
+def _minimum(value: str, name: str = "_least") -> dict[str, tuple[Column, Column]]:
+    return {name: (F.min(value), F.min(name))}
 
 
-def number_in_groups(
-    df: DataFrame, keys: list[str], order: list[Column | str], name: str, max_rows: int = MAX_ROWS
-) -> DataFrame:
+def _count(value: str, name: str = "_before") -> dict[str, tuple[Column, Column]]:
+    return {name: (F.count(value), F.sum(name))}
+
+
+def number_in_groups(df: DataFrame, keys: list[str], order: list[Column | str], name: str) -> DataFrame:
     """``row_number`` within groups."""
-    small, large = split_groups(df, keys, max_rows)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    out = small.withColumn(name, F.row_number().over(window).cast("bigint"))
-    if large is None:
-        return out
-    numbered = number_rows(large, [*keys, *order], name).withColumn(name, F.col(name) - F.col("_before"))
-    return out.unionByName(numbered.drop("_before"))
+    rows = _carried(blocks(df, keys, order), keys, **_count(ROW))
+    number = F.coalesce("_before", F.lit(0)) + F.count(ROW).over(_in_block(keys))
+    return rows.withColumn(name, number).select(*df.columns, name)
 
 
-def _with_carry(
-    blocks: DataFrame, keys: list[str], block_value: Column, merge: Callable[[Column], Column], name: str
-) -> DataFrame:
-    """Each row with ``name`` = the merged ``block_value`` of all earlier blocks of its group."""
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carry = save(
-        blocks.groupBy(*keys, "_block")
-        .agg(block_value.alias("_value"))
-        .select(*keys, "_block", merge(F.col("_value")).over(earlier).alias(name)),
-        "carry",
-    )
-    return join_null_safe(blocks, carry, [*keys, "_block"])
+def _with_minimum(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    return rows.withColumn(name, F.least("_least", F.min(value).over(_in_block(keys))))
 
 
-def _so_far(keys: list[str], order: list[Column | str]) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _with_lists(rows: DataFrame, keys: list[str], value: str, length: int, name: str) -> DataFrame:
+    """``rows`` have the number of values before their block in ``_before``, and are read several times."""
+    # Null values take no slot: the frame counts values (_v), not rows.
+    counted = F.coalesce("_before", F.lit(0)) + F.count(value).over(_in_block(keys))
+    rows = save(rows.withColumn("_v", counted).withColumn("_own", F.lit(True)), "counted")
+    # A block also needs the values before it, at most ``length``: found by their number.
+    wanted = (
+        rows.groupBy(*keys, BLOCK)
+        .agg(F.max("_before").alias("_last"))
+        .filter("_last > 0")
+        .withColumn("_v", F.explode(F.sequence(F.greatest(F.col("_last") - length + 1, F.lit(1)), "_last")))
+        .drop("_last")
+    )
+    values = rows.filter(F.col(value).isNotNull()).drop(BLOCK, "_own")
+    halo = join_null_safe(values, wanted, [*keys, "_v"]).withColumn("_own", F.lit(False))
+    window = Window.partitionBy(*keys, BLOCK).orderBy("_v").rangeBetween(1 - length, Window.currentRow)
+    return rows.unionByName(halo).withColumn(name, F.collect_list(value).over(window)).filter("_own")
 
 
-def running_min(
-    df: DataFrame, keys: list[str], order: list[Column | str], value: str, name: str, max_rows: int = MAX_ROWS
-) -> DataFrame:
+def running_min(df: DataFrame, keys: list[str], order: list[Column | str], value: str, name: str) -> DataFrame:
     """Smallest non-null ``value`` of the group up to and including each row."""
-    small, large = split_groups(df, keys, max_rows)
-    out = small.withColumn(name, F.min(value).over(_so_far(keys, order)))
-    if large is None:
-        return out
-    blocks = _numbered(large, keys, order, max_rows)
-    carried = _with_carry(blocks, keys, F.min(value), F.min, "_carry")
-    local = F.min(value).over(_so_far([*keys, "_block"], ["_n"]))
-    rows = carried.withColumn(name, F.least("_carry", local))
-    return out.unionByName(rows.select(*out.columns))
+    rows = _carried(blocks(df, keys, order), keys, **_minimum(value))
+    return _with_minimum(rows, keys, value, name).select(*df.columns, name)
 
 
 def trailing_list(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column | str],
-    value: str,
-    length: int,
-    name: str,
-    max_rows: int = MAX_ROWS,
+    df: DataFrame, keys: list[str], order: list[Column | str], value: str, length: int, name: str
 ) -> DataFrame:
     """The last ``length`` non-null values of the group up to and including each row, oldest first."""
-    small, large = split_groups(df, keys, max_rows)
-
-    def lists(rows: DataFrame, groups: list[str]) -> DataFrame:
-        # Null values take no slot: the frame counts values (_v), not rows.
-        window = Window.partitionBy(*groups).orderBy("_v").rangeBetween(1 - length, Window.currentRow)
-        return rows.withColumn(name, F.collect_list(value).over(window))
-
-    counted = small.withColumn("_v", F.count(value).over(_so_far(keys, order)))
-    out = lists(counted, keys).drop("_v")
-    if large is None:
-        return out
+    rows = _carried(blocks(df, keys, order), keys, **_count(value))
+    return _with_lists(rows, keys, value, length, name).select(*df.columns, name)
 
-    blocks = _numbered(large, keys, order, max_rows)
-    carried = _with_carry(blocks, keys, F.count(value), F.sum, "_carry")
-    carried = carried.withColumn("_carry", F.coalesce("_carry", F.lit(0)))
-    local = F.count(value).over(_so_far([*keys, "_block"], ["_n"]))
-    rows = save(carried.withColumn("_v", F.col("_carry") + local).withColumn("_own", F.lit(True)), "blocks")
 
-    # A block also needs the values before it, at most ``length``: found by their number.
-    wanted = save(
-        rows.groupBy(*keys, "_block")
-        .agg(F.max("_carry").alias("_last"))
-        .filter("_last > 0")
-        .withColumn("_v", F.explode(F.sequence(F.greatest(F.col("_last") - length + 1, F.lit(1)), "_last")))
-        .drop("_last"),
-        "wanted",
-    )
-    values = rows.filter(F.col(value).isNotNull()).drop("_block", "_own")
-    halo = join_null_safe(values, wanted, [*keys, "_v"]).withColumn("_own", F.lit(False))
-    listed = lists(rows.unionByName(halo), [*keys, "_block"])
-    return out.unionByName(listed.filter("_own").select(*out.columns))
+def running_min_and_list(
+    df: DataFrame, keys: list[str], order: list[Column | str], value: str, length: int, least: str, last: str
+) -> DataFrame:
+    """``running_min`` and ``trailing_list`` from one pass over the rows."""
+    rows = _carried(blocks(df, keys, order), keys, **_minimum(value), **_count(value))
+    rows = _with_minimum(rows, keys, value, least)
+    return _with_lists(rows, keys, value, length, last).select(*df.columns, least, last)

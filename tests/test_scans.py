@@ -1,4 +1,4 @@
-"""The path for large groups must give what a plain window gives; here a group is large from a few rows on."""
+"""Ordered work must give what a plain loop gives, in however many partitions a group ends up."""
 
 import random
 
@@ -7,7 +7,7 @@ from conftest import settings
 from pyspark.sql import functions as F
 
 from lapstar.operators.keys import number_rows
-from lapstar.operators.scans import number_in_groups, running_min, split_groups, trailing_list
+from lapstar.operators.scans import blocks, number_in_groups, running_min, running_min_and_list, trailing_list
 
 ORDER = ["day", "id"]
 
@@ -47,43 +47,51 @@ def by_id(df, name):
     return {r.id: r[name] for r in found}
 
 
-LIMITS = [13, 50, 10_000]
+@pytest.fixture(params=[1, 8, 40])
+def parts(spark, request):
+    """Partitions of every shuffle: with many, each group is cut into several blocks."""
+    some = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with settings(spark, some):
+        yield request.param
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_number_in_groups(frame, rows, limit):
+def test_number_in_groups(frame, rows, parts):
     expected = {row[0]: i for group in groups(rows) for i, row in enumerate(group, 1)}
-    assert by_id(number_in_groups(frame, ["key"], ORDER, "n", limit), "n") == expected
+    assert by_id(number_in_groups(frame, ["key"], ORDER, "n"), "n") == expected
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_running_min(frame, rows, limit):
+def test_running_min(frame, rows, parts):
     expected = {}
     for group in groups(rows):
         best = None
         for i, _, _, value in group:
             best = value if best is None else best if value is None else min(best, value)
             expected[i] = best
-    assert by_id(running_min(frame, ["key"], ORDER, "value", "best", limit), "best") == expected
+    assert by_id(running_min(frame, ["key"], ORDER, "value", "best"), "best") == expected
 
 
-@pytest.mark.parametrize("limit", LIMITS)
 @pytest.mark.parametrize("length", [1, 5, 40])
-def test_trailing_list(frame, rows, limit, length):
+def test_trailing_list(frame, rows, parts, length):
     expected = {}
     for group in groups(rows):
         values = []
         for i, _, _, value in group:
             values += [] if value is None else [value]
             expected[i] = values[-length:]
-    assert by_id(trailing_list(frame, ["key"], ORDER, "value", length, "last", limit), "last") == expected
+    assert by_id(trailing_list(frame, ["key"], ORDER, "value", length, "last"), "last") == expected
 
 
-def test_only_large_groups_leave_the_plain_path(frame, rows):
-    sizes = [len(g) for g in groups(rows)]
-    small, large = split_groups(frame, ["key"], 70)
-    assert (large.count() if large else 0) == sum(n for n in sizes if n > 70)
-    assert small.count() == sum(n for n in sizes if n <= 70)
+def test_both_in_one_pass(frame, rows, parts):
+    both = running_min_and_list(frame, ["key"], ORDER, "value", 7, "best", "last")
+    assert by_id(both, "best") == by_id(running_min(frame, ["key"], ORDER, "value", "best"), "best")
+    assert by_id(both, "last") == by_id(trailing_list(frame, ["key"], ORDER, "value", 7, "last"), "last")
+
+
+def test_a_hot_group_is_cut_into_blocks(spark):
+    rows = spark.range(0, 60_000, numPartitions=8).selectExpr("id", "if(id % 3 = 0, 0, id) AS key", "id * 7919 % 60013 AS day")
+    with settings(spark, {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        sizes = [r["count"] for r in blocks(rows, ["key"], ["day"]).groupBy("key", "_block").count().collect()]
+    assert max(sizes) < 2 * 60_000 / 12 and sum(sizes) == 60_000
 
 
 def test_numbers_are_dense_over_many_partitions(spark):

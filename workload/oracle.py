@@ -62,8 +62,9 @@ CTES = {
     "star": """SELECT p.*, s.name, s.nationality, s.birth_date, s.is_current, e.stroke, c.competition_date
         FROM performance p JOIN dim_swimmer s ON p.swimmer_sk = s.swimmer_sk
         JOIN dim_event e ON p.event_sk = e.event_sk JOIN dim_competition c ON p.competition_sk = c.competition_sk""",
-    "placed": f"""SELECT *, row_number() OVER (PARTITION BY Competition_Competition_Id, Event
-        ORDER BY time_seconds NULLS LAST, SwimmerId, {SRC}) AS place FROM swims""",
+    "placed": f"""SELECT *, CASE WHEN time_seconds IS NOT NULL THEN row_number() OVER (
+        PARTITION BY Competition_Competition_Id, Event ORDER BY time_seconds NULLS LAST, SwimmerId, {SRC}) END AS place
+        FROM swims""",
     "counts": """SELECT SwimmerId AS swimmer_id, stroke, """
     + ", ".join(f"count(*) FILTER (place = {k}) AS rank{k}_count" for k in range(1, 6))
     + " FROM placed WHERE place <= 5 GROUP BY ALL",
@@ -271,7 +272,9 @@ ORACLE: dict[str, str] = {
         ),
         "rankings",
     ),
-    "event_places": _sql(f"SELECT {SRC}, place FROM placed", "placed"),
+    "event_places": _sql(
+        f"SELECT {SRC}, place, CASE WHEN place <= 5 THEN 'Yes' ELSE 'No' END AS top_5 FROM placed", "placed"
+    ),
     "event_top5": _sql(
         """SELECT Competition_Competition_Id AS competition_id, Event AS event, place, SwimmerId AS swimmer_id
         FROM placed WHERE place <= 5""",
@@ -289,6 +292,13 @@ ORACLE: dict[str, str] = {
         array_to_string(list_transform(times, lambda t: {_format('t')}), ';') AS history FROM recent""",
         "recent",
     ),
+    "completed_results": _sql(
+        f"""SELECT {SRC}, p.place, CASE WHEN p.place <= 5 THEN 'Yes' ELSE 'No' END AS top_5,
+        CASE WHEN h.time_seconds = list_min(h.every_time) THEN 'True' ELSE 'False' END AS is_best, 'True' AS is_valid,
+        CAST(len(h.times) AS BIGINT) AS n_times, h.times[-1] AS last_time
+        FROM recent h JOIN placed p USING ({SRC})""",
+        "recent", "placed",
+    ),
     "rankings_summary": _sql(
         """SELECT g.swimmer_id, g.stroke, """
         + ", ".join(f"coalesce(any_value(c.rank{k}_count), 0) AS rank{k}_count" for k in range(1, 6))
@@ -302,9 +312,12 @@ ORACLE: dict[str, str] = {
         "grid",
     ),
     "top_entries": _sql(
-        f"""SELECT {SRC}, entry_no FROM (SELECT *, row_number() OVER (
-          PARTITION BY Competition_Competition_Id, Event ORDER BY SwimmerId, {SRC}) AS entry_no FROM raw_results)
-        WHERE entry_no <= CASE Competition_Level WHEN 'National' THEN 60 WHEN 'Province' THEN 45 WHEN 'Local' THEN 35 END""",
+        f"""SELECT {SRC}, level, entry_no FROM (SELECT *, row_number() OVER (
+          PARTITION BY Competition_Competition_Id, Event, level ORDER BY SwimmerId, {SRC}) AS entry_no
+          FROM (SELECT *, CASE WHEN month(CAST(Competition_Date AS DATE)) = 5 THEN 'Club'
+            WHEN month(CAST(Competition_Date AS DATE)) <> 11 THEN Competition_Level END AS level FROM raw_results))
+        WHERE entry_no <= CASE level WHEN 'National' THEN 60 WHEN 'Province' THEN 45 WHEN 'Local' THEN 35
+          ELSE entry_no END""",
         "raw_results",
     ),
     "swimmer_rankings": _sql(

@@ -48,7 +48,7 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The raw results as they come: the meets up to a day, then all later ones."""
     raw = raw_results(spark, sf_dir)
     early = fn.as_date("Competition_Date") <= F.lit("1998-03-31").cast("date")
-    return [raw.filter(early), raw.filter(~early)]
+    return [raw.filter(early), raw.filter(~F.coalesce(early, F.lit(False)))]
 
 
 # Sources and sinks
@@ -323,7 +323,7 @@ def warehouse_row_counts(spark, sf_dir):
 
 @query
 def event_places(spark, sf_dir):
-    return results.places(raw_results(spark, sf_dir), SRC).select(*SRC, "place")
+    return results.places(raw_results(spark, sf_dir), SRC).select(*SRC, "place", F.col("Top_5").alias("top_5"))
 
 
 @query
@@ -379,8 +379,23 @@ def rankings_summary(spark, sf_dir):
 
 @query
 def top_entries(spark, sf_dir):
-    entries = results.top_entries(raw_results(spark, sf_dir), ENTRY_CAPS, SRC)
-    return entries.select(*SRC, F.col("entry_no").cast("bigint").alias("entry_no"))
+    """Capped levels, one that is not listed (May) and a null one (November)."""
+    month = F.month(fn.as_date("Competition_Date"))
+    level = F.when(month == 5, "Club").when(month != 11, F.col("Competition_Level"))
+    entries = results.top_entries(raw_results(spark, sf_dir).withColumn("Competition_Level", level), ENTRY_CAPS, SRC)
+    return entries.select(*SRC, F.col("Competition_Level").alias("level"), "entry_no")
+
+
+@query
+def completed_results(spark, sf_dir):
+    """Raw results with places, flags and histories filled in."""
+    done = results.as_results(raw_results(spark, sf_dir), SRC)
+    history = fn.history_array("Historical_Times")
+    return done.select(
+        *SRC, F.col("Overall_Rank").cast("bigint").alias("place"), F.col("Top_5").alias("top_5"),
+        F.col("Is_Personal_Best").alias("is_best"), F.col("Is_Valid_Record").alias("is_valid"),
+        F.size(history).cast("bigint").alias("n_times"), F.try_element_at(history, F.lit(-1)).alias("last_time"),
+    )
 
 
 # Reports
