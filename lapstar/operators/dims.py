@@ -89,6 +89,20 @@ def swimmers(feed: DataFrame, as_of: dt.date | str | None = None, existing: Data
     return Change(old, numbered.select(*DIM_SWIMMER.names), closes)
 
 
+def unknown_swimmers(feed: DataFrame, existing: DataFrame) -> DataFrame:
+    """The rows of a feed whose ids the dimension does not have at all."""
+    return join_null_safe(feed, existing.select("swimmer_id"), ["swimmer_id"], "left_anti")
+
+
+def versions_of(feed: DataFrame, existing: DataFrame) -> DataFrame:
+    """For each row of a feed its own version in the dimension, the last if several are equal, or else the current one."""
+    match = ["swimmer_id", *SWIMMER_ATTRIBUTES]
+    own = existing.groupBy(*match).agg(F.max("swimmer_sk").alias("_own"))
+    now = scd2.current(existing).groupBy("swimmer_id").agg(F.min("swimmer_sk").alias("_now"))
+    found = join_null_safe(feed.select(*match), own, match, "left").join(now, "swimmer_id", "left")
+    return found.select(*match, F.coalesce("_own", "_now").alias("swimmer_sk")).filter("swimmer_sk IS NOT NULL")
+
+
 def events(raw: DataFrame, existing: DataFrame | None = None) -> Change:
     existing = existing if existing is not None else empty(raw.sparkSession, DIM_EVENT)
     missing = join_null_safe(project_events(raw), existing, ["distance", "stroke"], "left_anti")
@@ -96,14 +110,16 @@ def events(raw: DataFrame, existing: DataFrame | None = None) -> Change:
     return Change(existing, numbered.select(*DIM_EVENT.names), False)
 
 
-def competitions(raw: DataFrame, existing: DataFrame | None = None) -> Change:
-    """Known ids keep their keys and take the attributes of the new results."""
+def competitions(raw: DataFrame, existing: DataFrame | None = None, update: bool = True) -> Change:
+    """Known ids keep their keys and, with ``update``, take the attributes of the new results."""
     existing = existing if existing is not None else empty(raw.sparkSession, DIM_COMPETITION)
     found = save(project_competitions(raw), "competitions")
     key, attributes = ["competition_id"], ["competition_date", "location_code", "competition_name"]
     missing = join_null_safe(found, existing, key, "left_anti")
     start = highest(existing, "competition_sk")
     numbered = number_rows(missing, [*key, *attributes], "competition_sk", start)
+    if not update:
+        return Change(existing, numbered.select(*DIM_COMPETITION.names), False)
     known = join_null_safe(found, existing.select("competition_sk", *key), key).select(*DIM_COMPETITION.names)
     kept = join_null_safe(existing, found, key, "left_anti").unionByName(known)
     differs = not join_null_safe(known, existing, [*key, *attributes], "left_anti").isEmpty()

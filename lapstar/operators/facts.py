@@ -12,7 +12,29 @@ from lapstar.operators.keys import number_rows
 from lapstar.operators.quality import duplicates
 from lapstar.operators.scd2 import current
 from lapstar.schemas import FACT_PERFORMANCE, FACT_RANKINGS, SWIMMER_ATTRIBUTES, tie_columns
-from lapstar.session import save
+
+
+def numbered_swims(raw: DataFrame, tie: list[str] | None = None) -> DataFrame:
+    """The swims that have a swimmer, an event and a competition, numbered from 1 on, written.
+
+    Numbers follow competition, event, place and swimmer. ``tie`` names raw columns that settle what is left; by
+    default these are the source columns of ``read_results``, which spread even exact copies over tasks. Time and age
+    come last. The rows are narrow and not joined yet, so that the range partitioning samples little.
+    """
+    tie = tie_columns(raw, tie)
+    swims = raw.select(
+        *swimmer_columns(),
+        F.col("Competition_Competition_Id").alias("competition_id"),
+        F.col("Event").alias("event"),
+        distance("Event").alias("distance"),
+        stroke("Event").alias("stroke"),
+        parse_time("Time").alias("time_seconds"),
+        as_int("Overall_Rank").alias("overall_rank"),
+        as_int("Age").alias("age"),
+        *tie,
+    ).dropna(subset=["swimmer_id", "distance", "stroke", "competition_id"])
+    order = ["competition_id", "event", F.col("overall_rank").asc_nulls_last(), "swimmer_id"]
+    return number_rows(swims, [*order, *tie, "time_seconds", "age"], "performance_id").drop("event", *tie)
 
 
 def performance(
@@ -21,45 +43,45 @@ def performance(
     events: DataFrame,
     competitions: DataFrame,
     tie: list[str] | None = None,
-    start: int = 0,
     shared_ids: bool | None = None,
 ) -> DataFrame:
-    """One row per swim, for the current version of the swimmer.
+    """One row per swim, for the current version of the swimmer; ids from 1 on."""
+    return resolved(numbered_swims(raw, tie), swimmers, events, competitions, shared_ids)
+
+
+def resolved(
+    swims: DataFrame,
+    swimmers: DataFrame,
+    events: DataFrame,
+    competitions: DataFrame,
+    shared_ids: bool | None = None,
+) -> DataFrame:
+    """Fact rows of ``numbered_swims`` for the current versions of ``swimmers``.
 
     Should an id have several current rows, the swim belongs to the one with its own name, birth date, gender
     and nationality; so a swim never becomes several rows, also when many swimmers share one id. Whether there
     are such ids is looked up in the dimension unless ``shared_ids`` tells.
-    Ids follow competition, event, place and swimmer. ``tie`` names raw columns that settle what is left; by
-    default these are the source columns of ``read_results``, which spread even exact copies over tasks.
     No side is hinted: Spark broadcasts dimensions below its threshold, and else AQE splits hot keys.
     """
-    tie = tie_columns(raw, tie)
-    swims = raw.select(
-        *swimmer_columns(),
-        F.col("Competition_Competition_Id").alias("competition_id"),
-        F.col("Event").alias("event"),
-        distance("Event").alias("distance"),
-        stroke("Event").alias("stroke"),
-        parse_time("Time").alias("time_seconds"),
-        as_int("Overall_Rank").alias("overall_rank"),
-        as_int("Age").alias("age"),
-        *tie,
-    ).filter(F.col("swimmer_id").isNotNull())
     held = current(swimmers).filter(F.col("swimmer_id").isNotNull())
     if shared_ids is None:
         shared_ids = not duplicates(held, ["swimmer_id"]).isEmpty()
+    return of_versions(swims, held, events, competitions, shared_ids)
+
+
+def of_versions(
+    swims: DataFrame, held: DataFrame, events: DataFrame, competitions: DataFrame, by_attributes: bool
+) -> DataFrame:
+    """Fact rows of ``numbered_swims`` for the given rows of the swimmers, matched by id or by all attributes."""
     joined = swims.join(events.select("event_sk", "distance", "stroke"), ["distance", "stroke"]).join(
         competitions.select("competition_sk", "competition_id"), "competition_id"
     )
-    if shared_ids:
+    if by_attributes:
         match = ["swimmer_id", *SWIMMER_ATTRIBUTES]
         joined = join_null_safe(joined, held.select("swimmer_sk", *match), match)
     else:
         joined = joined.join(held.select("swimmer_sk", "swimmer_id"), "swimmer_id")
-    joined = joined.drop("distance", "stroke", *SWIMMER_ATTRIBUTES)
-    order = ["competition_id", "event", F.col("overall_rank").asc_nulls_last(), "swimmer_id"]
-    order += ["time_seconds", "age"] if not tie else tie
-    return number_rows(joined, order, "performance_id", start).select(*FACT_PERFORMANCE.names)
+    return joined.select(*FACT_PERFORMANCE.names)
 
 
 def best_results(performance: DataFrame) -> DataFrame:
@@ -69,29 +91,22 @@ def best_results(performance: DataFrame) -> DataFrame:
     )
 
 
-def rankings(performance: DataFrame, existing: DataFrame | None = None, start: int = 0) -> DataFrame:
-    """The ranking rows that these swims add: pairs of swimmer and event that are new, or do better than before.
+PAIR = ["swimmer_sk", "event_sk"]
 
-    A pair that ``existing`` knows keeps its id, new ones follow ``start``. Only the pairs of these swims are
-    looked up, so a small load does not rewrite or shuffle the rest.
-    """
-    best = best_results(performance)
-    pair = ["swimmer_sk", "event_sk"]
-    if existing is None:
-        return number_rows(best, pair, "ranking_id", start).select(*FACT_RANKINGS.names)
-    best = save(best, "best-results")
-    held = merge_rankings(existing.join(best.select(*pair), pair, "left_semi"))
-    held = held.withColumnsRenamed({"best_time": "old_time", "best_rank": "old_rank"})
-    joined = save(best.join(held, pair, "left"), "ranked-pairs")
-    better = (F.col("best_time") < F.col("old_time")) | (F.col("best_rank") < F.col("old_rank"))
-    first_value = (F.col("old_time").isNull() & F.col("best_time").isNotNull()) | (
-        F.col("old_rank").isNull() & F.col("best_rank").isNotNull()
-    )
-    improved = joined.filter("ranking_id IS NOT NULL").filter(F.coalesce(better, F.lit(False)) | first_value)
-    added = joined.filter("ranking_id IS NULL").select(*best.columns)
-    numbered = number_rows(added, pair, "ranking_id", start)
-    names = FACT_RANKINGS.names
-    return improved.select(*names).unionByName(numbered.select(*names))
+
+def rankings(performance: DataFrame) -> DataFrame:
+    """Best time and place of every swimmer and event, with ids from 1 on."""
+    return number_rows(best_results(performance), PAIR, "ranking_id").select(*FACT_RANKINGS.names)
+
+
+def new_pairs(best: DataFrame, ids: DataFrame, start: int) -> DataFrame:
+    """``ranking_id`` for the pairs of swimmer and event that ``ids`` does not have, following ``start``."""
+    return number_rows(best.select(*PAIR).join(ids, PAIR, "left_anti"), PAIR, "ranking_id", start)
+
+
+def load_rankings(best: DataFrame, ids: DataFrame) -> DataFrame:
+    """One load's ranking rows: its own minima, whatever other loads have, so that each can be replaced alone."""
+    return best.join(ids, PAIR).select(*FACT_RANKINGS.names)
 
 
 def merge_rankings(stored: DataFrame) -> DataFrame:

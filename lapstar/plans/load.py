@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lapstar.operators import dims, facts, quality
 from lapstar.operators.facts import merge_rankings
@@ -19,11 +23,12 @@ from lapstar.schemas import (
     FACT_PERFORMANCE,
     FACT_RANKINGS,
     RAW_COLUMNS,
+    RAW_WITH_SOURCE,
     Warehouse,
 )
-from lapstar.session import new_path, save, scratch
-from lapstar.sources.files import read_results
-from lapstar.sources.tables import append, overwrite_swap, read_table, replace_load
+from lapstar.session import empty, new_path, save, scratch
+from lapstar.sources.files import read_results, results_glob
+from lapstar.sources.tables import OLD, STAGING, append, overwrite_swap, read_table, recover, replace_load
 
 TABLES = {
     "dim_swimmer": DIM_SWIMMER,
@@ -33,15 +38,19 @@ TABLES = {
     "fact_rankings": FACT_RANKINGS,
 }
 
-# Last keys per load, in the place of sequences.
-KEYS = "load_keys"
+# The ranges of keys that loads have taken, in the place of sequences; the ids of ranked pairs; the loads in the order
+# in which they first came; and the files they have read.
+KEYS, PAIRS, LOADS, FILES = "load_keys", "ranking_ids", "loads", "loaded_files"
+PAIR_IDS = FACT_RANKINGS.fieldNames()[:3]
+
+_WRITERS: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
 
 def _rankings(spark: SparkSession, database: str) -> DataFrame:
     name = f"{database}.fact_rankings"
     stored = read_table(spark, name, FACT_RANKINGS)
     # A single load has one row per swimmer and event already.
-    merged = "load_id" in stored.columns and spark.sql(f"SHOW PARTITIONS {name}").count() > 1
+    merged = "load_id" in stored.columns and len(spark.sql(f"SHOW PARTITIONS {name}").take(2)) > 1
     return merge_rankings(stored) if merged else stored
 
 
@@ -58,27 +67,48 @@ def _apply(change: dims.Change, name: str) -> None:
         append(change.added, name)
 
 
-def _other_loads(spark: SparkSession, name: str, load_id: str) -> DataFrame | None:
-    stored = read_table(spark, name)
-    return None if stored is None else stored.filter(F.col("load_id") != load_id)
+def _recover(spark: SparkSession, database: str) -> None:
+    """Undo a swap that broke off, and refuse to go on if a dimension of stored facts is gone."""
+    for name in TABLES:
+        recover(spark, f"{database}.{name}")
+    stored = {name: spark.catalog.tableExists(f"{database}.{name}") for name in TABLES}
+    lost = [name for name in TABLES if name.startswith("dim_") and not stored[name]]
+    if lost and stored["fact_swimming_performance"]:
+        raise RuntimeError(f"{database} has facts but not {', '.join(lost)}: new keys would name other rows")
+
 
+def _known_load(spark: SparkSession, database: str, load_id: str) -> bool:
+    """Note the load; whether it is an older one that comes again, after others."""
+    known = read_table(spark, f"{database}.{LOADS}")
+    number, last = 1, 0
+    if known is not None:
+        first = known.agg(F.min(F.when(F.col("load_id") == load_id, F.col("number"))), F.max("number")).first()
+        if first[0] is not None:
+            return first[0] < first[1]
+        last = first[1] or 0
+    noted = spark.createDataFrame([(load_id, last + number)], "load_id string, number bigint")
+    append(noted.coalesce(1), f"{database}.{LOADS}")
+    return False
 
-def _last_keys(spark: SparkSession, database: str, load_id: str) -> dict[str, int]:
-    """Last key given out per fact by the other loads, from one row per load and not from the facts."""
-    others = _other_loads(spark, f"{database}.{KEYS}", load_id)
-    if others is None:
-        return {}
-    last = others.groupBy("table_name").agg(F.max("last_key").alias("last_key"))
-    return {row.table_name: row.last_key for row in last.collect()}
 
+def _take_keys(spark: SparkSession, database: str, load_id: str, rows: int) -> int:
+    """Number before the first key of a load of so many swims; the keys up to the last are then its own.
 
-def _load_fact(rows: DataFrame, database: str, table: str, load_id: str, keys: dict[str, int]) -> None:
-    """Reserve the keys of the rows, then store the rows: a load that fails in between leaves a gap, no overlap."""
-    key = TABLES[table].names[0]
-    keys[table] = max(highest(rows, key), keys.get(table, 0))
-    reserved = rows.sparkSession.createDataFrame(list(keys.items()), "table_name string, last_key bigint")
-    replace_load(reserved, f"{database}.{KEYS}", load_id)
-    replace_load(rows, f"{database}.{table}", load_id)
+    A load that comes again gets the same keys if they are enough, else a new range behind all others.
+    """
+    first, last, most = None, 0, 0
+    stored = read_table(spark, f"{database}.{KEYS}")
+    if stored is not None:
+        own = F.when(F.col("load_id") == load_id, F.struct("first_key", "last_key"))
+        row = stored.agg(F.max(own).alias("own"), F.max("last_key").alias("most")).first()
+        most = row["most"] or 0
+        if row["own"] is not None:
+            first, last = row["own"]
+    if first is None or first + rows > last:
+        first, last = most, most + rows
+    taken = spark.createDataFrame([(first, last)], "first_key bigint, last_key bigint")
+    replace_load(taken, f"{database}.{KEYS}", load_id)
+    return first
 
 
 def run_load(
@@ -91,28 +121,33 @@ def run_load(
 ) -> Warehouse:
     """Add raw results to the warehouse and return it as it is afterwards.
 
-    Keys of known rows never change. Facts are stored per ``load_id``, where a load replaces its own, and the
-    dimensions give the same rows when merged again, so a load that stopped half-way is simply run again.
-    ``raw`` is read once for the swimmers, once for the other dimensions and twice for the swims: pass a table,
+    Keys of known rows never change. Facts are stored per ``load_id``, where a load replaces its own, under the same
+    ids; so a load that stopped half-way is simply run again. If other loads came since, its swimmers and competitions
+    are older than what the dimensions have: only those that are unknown are added, and swims keep their versions.
+    A warehouse has one writer: loads of one session wait for each other, those of other sessions must.
+    ``raw`` is read once for the swimmers, once for the other dimensions and once for the swims: pass a table,
     as ``load_files`` does.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    with scratch(spark):
+    with _WRITERS[database], scratch(spark):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        _recover(spark, database)
+        older = _known_load(spark, database, load_id)
         feed = dims.swimmer_feed(raw)
-        _load_dimensions(spark, feed, dims.programme(raw), database, as_of)
-        shared_ids = not quality.duplicates(feed, ["swimmer_id"], allow_null=True).isEmpty()
-        _load_facts(spark, raw, database, load_id, tie, shared_ids)
+        _load_dimensions(spark, feed, dims.programme(raw), database, as_of, older)
+        _load_facts(spark, raw, database, load_id, tie, feed, older)
     return read_warehouse(spark, database)
 
 
 def _load_dimensions(
-    spark: SparkSession, feed: DataFrame, programme: DataFrame, database: str, as_of: dt.date | str | None
+    spark: SparkSession, feed: DataFrame, programme: DataFrame, database: str, as_of: dt.date | str | None, older: bool
 ) -> None:
     known = read_warehouse(spark, database)
+    if older:
+        feed = dims.unknown_swimmers(feed, known.swimmers)
     steps = [
         lambda: _apply(dims.swimmers(feed, as_of, known.swimmers), f"{database}.dim_swimmer"),
         lambda: _apply(dims.events(programme, known.events), f"{database}.dim_event"),
-        lambda: _apply(dims.competitions(programme, known.competitions), f"{database}.dim_competition"),
+        lambda: _apply(dims.competitions(programme, known.competitions, not older), f"{database}.dim_competition"),
     ]
     # The dimensions do not depend on each other: their jobs share the cluster.
     with ThreadPoolExecutor(len(steps)) as pool:
@@ -121,20 +156,37 @@ def _load_dimensions(
 
 
 def _load_facts(
-    spark: SparkSession, raw: DataFrame, database: str, load_id: str, tie: list[str] | None, shared_ids: bool
+    spark: SparkSession, raw: DataFrame, database: str, load_id: str, tie: list[str] | None, feed: DataFrame, older: bool
 ) -> None:
-    keys = _last_keys(spark, database, load_id)
-    swims_name, rankings_name = "fact_swimming_performance", "fact_rankings"
     loaded = read_warehouse(spark, database)
-    dimensions = (loaded.swimmers, loaded.events, loaded.competitions)
-    swims = facts.performance(raw, *dimensions, tie, keys.get(swims_name, 0), shared_ids)
-    _load_fact(swims, database, swims_name, load_id, keys)
+    swims = facts.numbered_swims(raw, tie)
+    start = _take_keys(spark, database, load_id, swims.count())
+    swims = swims.withColumn("performance_id", F.col("performance_id") + start)
+    if older:  # its swims keep the versions that they had
+        held = save(dims.versions_of(feed, loaded.swimmers), "versions")
+        rows = facts.of_versions(swims, held, loaded.events, loaded.competitions, True)
+    else:
+        shared_ids = not quality.duplicates(feed, ["swimmer_id"], allow_null=True).isEmpty()
+        rows = facts.resolved(swims, loaded.swimmers, loaded.events, loaded.competitions, shared_ids)
+    replace_load(rows, f"{database}.fact_swimming_performance", load_id)
+
+    added = spark.read.table(f"{database}.fact_swimming_performance").filter(F.col("load_id") == load_id)
+    best = save(facts.best_results(added), "best-results")
+    pairs, schema = f"{database}.{PAIRS}", StructType([FACT_RANKINGS[name] for name in PAIR_IDS])
+    ids = read_table(spark, pairs, schema)
+    append(facts.new_pairs(best, ids, highest(ids, "ranking_id")).select(*PAIR_IDS), pairs)
+    replace_load(facts.load_rankings(best, spark.read.table(pairs)), f"{database}.fact_rankings", load_id)
+
 
-    # Only this load's swims are aggregated: the stored minima hold the rest.
-    added = spark.read.table(f"{database}.{swims_name}").filter(F.col("load_id") == load_id)
-    others = _other_loads(spark, f"{database}.{rankings_name}", load_id)
-    rankings = facts.rankings(added, others, keys.get(rankings_name, 0))
-    _load_fact(rankings, database, rankings_name, load_id, keys)
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """The results files of a folder as ``file, size``; their content is not read."""
+    try:
+        found = spark.read.format("binaryFile").load(results_glob(path))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no result files in {path}") from error
+        raise
+    return found.select(F.col("path").alias("file"), F.col("length").alias("size"))
 
 
 def load_files(
@@ -144,15 +196,29 @@ def load_files(
     load_id: str,
     as_of: dt.date | str | None = None,
 ) -> tuple[Warehouse, DataFrame]:
-    """The whole job on a folder of results files: the warehouse after the load, and a profile of each file.
+    """The whole job on the new files of a folder: the warehouse after the load, and a profile of each file.
 
+    New are files that no other load has read, by path and size; the load's own are read again if it is repeated.
     The text is parsed once, into a Parquet table that the profile and the load read by column.
     """
     kept = new_path(spark, "profile")
     with scratch(spark):
-        raw = save(read_results(spark, path, with_source=True), "staged")
+        files = _files(spark, path)
+        log = read_table(spark, f"{database}.{FILES}")
+        if log is not None:
+            others = log.filter(F.col("load_id") != load_id)
+            files = files.join(others, ["file", "size"], "left_anti")
+        files = save(files, "files")
+        # Spark lists the files on the driver in any case; only the new ones are opened.
+        paths = [row["file"] for row in files.select("file").collect()]
+        new = read_results(spark, paths, with_source=True) if paths else empty(spark, RAW_WITH_SOURCE)
+        raw = save(new, "staged")
         profile = save(quality.profile(raw, "source_file", RAW_COLUMNS), path=kept)
-        return run_load(spark, raw, database, load_id, as_of), profile
+        if not paths:
+            return read_warehouse(spark, database), profile
+        loaded = run_load(spark, raw, database, load_id, as_of)
+        replace_load(files, f"{database}.{FILES}", load_id)
+        return loaded, profile
 
 
 def row_counts(warehouse: Warehouse) -> DataFrame:
@@ -169,5 +235,6 @@ def row_counts(warehouse: Warehouse) -> DataFrame:
 
 def reset(spark: SparkSession, database: str) -> None:
     """Drop the tables, facts before the dimensions they point to."""
-    for name in [*reversed(TABLES), KEYS]:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+    for name in [*reversed(TABLES), KEYS, PAIRS, LOADS, FILES]:
+        for part in (name, name + OLD, name + STAGING):
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{part}")

@@ -92,6 +92,9 @@ ENTRY_CAPS = {"National": 60, "Province": 45, "Local": 35}
 
 # Where a row was read: an order over these is stable, and separates even exact copies of a row.
 SOURCE = ["source_file", "source_block"]
+RAW_WITH_SOURCE = T.StructType(
+    [*RAW, T.StructField(SOURCE[0], T.StringType()), T.StructField(SOURCE[1], T.LongType())]
+)
 
 # How many times a competitor's history keeps per event.
 HISTORY_LENGTH = 50

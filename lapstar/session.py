@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -35,13 +36,13 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
 def shared_folder(spark: SparkSession) -> str:
     """This application's part of the folder named by ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder. On a cluster the setting is
-    required: a folder of one machine would lose its files with that machine.
+    A session in one process without the setting gets a temporary folder. On a cluster, also a simulated one, the
+    setting is required: a folder of one machine would lose its files with that machine.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lapstar-"))
         folder = context.getCheckpointDir()

@@ -13,14 +13,35 @@ from lapstar.session import empty
 LOG = logging.getLogger(__name__)
 
 
+STAGING, OLD = "__staging", "__old"
+
+
 def read_table(spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame | None:
-    """A table. A missing one gives an empty frame of ``schema``, or None without a schema."""
-    if spark.catalog.tableExists(name):
-        return spark.read.table(name)
+    """A table. A missing one gives an empty frame of ``schema``, or None without a schema.
+
+    If an ``overwrite_swap`` broke off between its renames, the name is missing but the old table is not lost: that
+    one is read.
+    """
+    for found in (name, name + OLD):
+        if spark.catalog.tableExists(found):
+            return spark.read.table(found)
     LOG.warning("table %s not found", name)
     return None if schema is None else empty(spark, schema)
 
 
+def recover(spark: SparkSession, name: str) -> None:
+    """Bring a table back to what it was before an ``overwrite_swap`` that broke off, or leave it as that finished.
+
+    Only the writer may call this.
+    """
+    if spark.catalog.tableExists(name + OLD):
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE {name + OLD}")
+        else:
+            spark.sql(f"ALTER TABLE {name + OLD} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {name + STAGING}")
+
+
 def append(df: DataFrame, name: str) -> None:
     df.write.mode("append").saveAsTable(name)
 
@@ -29,12 +50,14 @@ def overwrite_swap(df: DataFrame, name: str) -> None:
     """Replace a table; ``df`` may read the table it replaces.
 
     The rows go to a staging table first. Then the names are exchanged, and put back should that fail, so the
-    old table stays whole until the new one is. Frames of the old table must be read again afterwards.
+    old table stays whole until the new one is. Wherever this stops, one whole table is left, which ``read_table``
+    finds and ``recover`` gives its name back. Frames of the old table must be read again afterwards.
     """
     spark = df.sparkSession
-    staging, old = f"{name}__staging", f"{name}__old"
-    for leftover in (staging, old):
-        spark.sql(f"DROP TABLE IF EXISTS {leftover}")
+    staging, old = name + STAGING, name + OLD
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
     df.write.saveAsTable(staging)
     existed = spark.catalog.tableExists(name)
     if existed:

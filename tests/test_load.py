@@ -1,4 +1,5 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -70,6 +71,125 @@ def test_second_load_keeps_keys_and_history(spark, raw_frame):
     assert row_counts(read_warehouse(spark, name)).agg({"rows": "sum"}).first()[0] == 0
 
 
+def test_replacing_a_load_leaves_only_its_own_minima(spark, raw_frame):
+    def one(time, rank="1", number=1):
+        return raw_frame([swim(number, "50m Freestyle", time, "M1", "2018-01-01", Overall_Rank=rank)])
+
+    name = new_database(spark)
+    first = run_load(spark, one("25.00"), name, "a", "2018-01-02")
+    pair = values(first.rankings, "ranking_id")
+    run_load(spark, one("26.00", "2"), name, "b", "2018-01-02")
+    slower = run_load(spark, one("28.00", "4"), name, "a", "2018-01-02")
+    assert values(slower.rankings, "best_time", "best_rank") == [(26.0, 2)]
+    other = run_load(spark, one("20.00", number=2), name, "a", "2018-01-02")
+    assert values(other.rankings, "best_time") == [(20.0,), (26.0,)]
+    back = run_load(spark, one("25.00"), name, "a", "2018-01-02")
+    assert values(back.rankings, "ranking_id", "best_time") == [(*pair[0], 25.0)]
+
+
+def test_an_older_load_comes_again(spark, raw_frame):
+    def named(text, time):
+        return raw_frame([swim(1, "50m Freestyle", time, "M1", "2018-01-01", Name=text)])
+
+    name = new_database(spark)
+    run_load(spark, named("Ann", "25.00"), name, "a", "2018-01-02")
+    before = run_load(spark, named("Ann Lee", "26.00"), name, "b", "2018-01-03")
+    before = [values(f, *f.columns) for f in (before.swimmers, before.performance, before.rankings)]
+    after = run_load(spark, named("Ann", "25.00"), name, "a", "2018-01-04")
+    assert values(after.swimmers, "name", "version", "is_current") == [("Ann Lee", 2, True), ("Ann", 1, False)]
+    assert values(after.swimmers, *after.swimmers.columns) == before[0]
+    assert [values(f, *f.columns) for f in (after.performance, after.rankings)] == before[1:]
+    # More swims than the load had before get a range of their own.
+    more = raw_frame([swim(1, "50m Freestyle", f"3{i}.00", "M1", "2018-01-01", Name="Ann") for i in range(3)])
+    grown = run_load(spark, more, name, "a", "2018-01-04")
+    assert values(grown.performance, "performance_id") == [(2,), (3,), (4,), (5,)]
+
+
+def test_two_loads_at_once_follow_each_other(spark, raw_frame):
+    name = new_database(spark)
+    frames = {"first": raw_frame(FIRST), "second": raw_frame(SECOND)}
+    with ThreadPoolExecutor(2) as pool:
+        done = [pool.submit(run_load, spark, raw, name, load_id, "2018-03-01") for load_id, raw in frames.items()]
+        for each in done:
+            each.result()
+    loaded = read_warehouse(spark, name)
+    assert loaded.performance.count() == 6
+    for key, frame in {"performance_id": loaded.performance, "ranking_id": loaded.rankings, "swimmer_sk": loaded.swimmers}.items():
+        assert quality.duplicates(frame, [key]).isEmpty()
+
+
+@pytest.mark.parametrize("stop", [2, 3, 4])
+def test_a_swap_that_stops_anywhere(spark, raw_frame, monkeypatch, stop):
+    """The process dies after a statement of the swap; the next load must end as if nothing had happened."""
+    def state(database):
+        wh = read_warehouse(spark, database)
+        frames = [wh.swimmers, wh.events, wh.competitions, wh.performance, wh.rankings]
+        return [values(f, *[c for c in f.columns if not c.endswith("_at")]) for f in frames]
+
+    changed = [{**r, "Name": r["Name"] + " II"} for r in FIRST]
+    calm, name = new_database(spark), new_database(spark)
+    for database in (calm, name):
+        run_load(spark, raw_frame(FIRST), database, "first", "2018-01-02")
+    run_load(spark, raw_frame(changed), calm, "second", "2018-02-02")
+
+    done = []
+    statement, table = type(spark).sql, f"{name}.dim_swimmer"
+
+    class Death(BaseException):
+        pass
+
+    def sql(self, query, *args, **more):
+        mine = table in query and ("RENAME" in query or "DROP" in query) and armed
+        if mine and len(done) >= stop:
+            raise Death
+        found = statement(self, query, *args, **more)
+        if mine:
+            done.append(query)
+        return found
+
+    armed = False
+    monkeypatch.setattr(type(spark), "sql", sql)
+    swap = load.overwrite_swap
+
+    def armed_swap(*args):
+        nonlocal armed
+        armed = True
+        swap(*args)
+
+    monkeypatch.setattr(load, "overwrite_swap", armed_swap)
+    try:
+        run_load(spark, raw_frame(changed), name, "second", "2018-02-02")
+    except Death:
+        pass
+    monkeypatch.undo()
+    assert read_warehouse(spark, name).swimmers.count() >= 2  # never an empty dimension
+    third = [swim(9, "50m Freestyle", "29.00", "M3", "2018-03-01")]
+    for database in (name, calm):
+        run_load(spark, raw_frame(changed), database, "second", "2018-02-02")
+        run_load(spark, raw_frame(third), database, "third", "2018-03-02")
+    assert state(name) == state(calm)
+
+
+def test_facts_without_their_dimension_are_refused(spark, raw_frame):
+    name = new_database(spark)
+    run_load(spark, raw_frame(FIRST), name, "first", "2018-01-02")
+    spark.sql(f"DROP TABLE {name}.dim_swimmer")
+    with pytest.raises(RuntimeError, match="dim_swimmer"):
+        run_load(spark, raw_frame(SECOND), name, "second", "2018-02-02")
+
+
+def test_files_are_loaded_once(spark, raw_frame, tmp_path):
+    path, name = str(tmp_path / "in"), new_database(spark)
+    write_results(raw_frame(FIRST), path)
+    assert load_files(spark, path, name, "one", "2018-03-01")[0].performance.count() == 3
+    loaded, profile = load_files(spark, path, name, "two", "2018-03-01")
+    assert loaded.performance.count() == 3 and profile.count() == 0
+    write_results(raw_frame(SECOND), path)
+    loaded, profile = load_files(spark, path, name, "two", "2018-03-01")
+    assert loaded.performance.count() == 6 and profile.count() == 1
+    assert load_files(spark, path, name, "one", "2018-03-01")[0].performance.count() == 6
+
+
 def test_a_load_that_broke_off_never_shares_keys(spark, raw_frame, monkeypatch):
     name = new_database(spark)
     run_load(spark, raw_frame(FIRST), name, "first", "2018-01-02")

@@ -149,6 +149,33 @@ def _sql(select: str, *reads: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
 
+CLUBS = (
+    "SELECT nationality AS country, 'Club data not available' AS club_name, "
+    + ", ".join(
+        f"count(DISTINCT swimmer_sk) FILTER (stroke = '{stroke}') AS {name}"
+        for stroke, name in {
+            "Butterfly": "butterfly_count",
+            "Freestyle": "freestyle_count",
+            "Backstroke": "back_count",
+            "Breaststroke": "breast_count",
+        }.items()
+    )
+    + " FROM star GROUP BY nationality"
+)
+
+REPLACED = """SELECT * REPLACE (CASE WHEN NOT early OR src_line <> 1 THEN Time END AS Time) FROM (
+    SELECT *, coalesce(CAST(Competition_Date AS DATE) <= DATE '1998-03-31', false) AS early FROM staged)
+    WHERE NOT early OR src_line % 2 = 1"""
+
+
+def _sql_replaced(select: str, *reads: str) -> str:
+    """As ``_sql``, over the swims that are left when the early load was replaced by less."""
+    whole = _sql(select, *reads)
+    head = f"raw_results AS MATERIALIZED ({CTES['raw_results']})"
+    assert head in whole
+    return whole.replace(head, f"staged AS MATERIALIZED ({CTES['raw_results']}),\nraw_results AS MATERIALIZED ({REPLACED})")
+
+
 LINES = "SELECT src_order, CASE WHEN src_line <> 7 THEN src_line END AS src_line FROM raw_results"
 BY_COMPETITION = "SELECT Competition_Competition_Id AS competition_id, count(*) AS rows FROM raw_results GROUP BY ALL"
 SCANNED = """SELECT SwimmerId AS swimmer_id, Name AS name, Birth_Date AS birth_date, Gender AS gender,
@@ -272,6 +299,28 @@ ORACLE: dict[str, str] = {
         ),
         "rankings",
     ),
+    "replaced_load_rankings": _sql_replaced(
+        """SELECT s.swimmer_id, e.distance, e.stroke, r.best_time, r.best_rank FROM rankings r
+        JOIN dim_swimmer s ON r.swimmer_sk = s.swimmer_sk JOIN dim_event e ON r.event_sk = e.event_sk""",
+        "rankings",
+    ),
+    "replaced_load_cuts": _sql_replaced("SELECT * FROM cuts", "cuts"),
+    "replaced_load_qualified": _sql_replaced("SELECT * FROM qualified", "qualified"),
+    "repeat_older_load": _sql(
+        """SELECT table_name, CAST(rows AS BIGINT) AS rows, CAST(0 AS BIGINT) AS differing FROM (
+        WITH b AS (SELECT SwimmerId, coalesce(CAST(Competition_Date AS DATE) <= DATE '1998-03-31', false) AS early
+          FROM raw_results)
+        SELECT 'dim_swimmer' AS table_name, (SELECT count(DISTINCT SwimmerId) FROM b WHERE early)
+          + (SELECT count(DISTINCT SwimmerId) FROM b WHERE NOT early) AS rows
+        UNION ALL SELECT 'dim_event', count(*) FROM dim_event UNION ALL SELECT 'dim_competition', count(*) FROM dim_competition
+        UNION ALL SELECT 'fact_swimming_performance', count(*) FROM performance
+        UNION ALL SELECT 'fact_rankings', (SELECT count(*) FROM (
+          SELECT DISTINCT SwimmerId, distance, stroke, coalesce(swum_on <= DATE '1998-03-31', false) FROM swims)))""",
+        "rankings",
+    ),
+    "load_files_twice": _sql(
+        "SELECT Competition_Competition_Id AS competition_id, count(*) AS rows FROM swims GROUP BY ALL", "swims"
+    ),
     "event_places": _sql(
         f"SELECT {SRC}, place, CASE WHEN place <= 5 THEN 'Yes' ELSE 'No' END AS top_5 FROM placed", "placed"
     ),
@@ -327,20 +376,8 @@ ORACLE: dict[str, str] = {
           ORDER BY time_seconds NULLS LAST) AS own_rank FROM star) GROUP BY ALL""",
         "star",
     ),
-    "club_region_performance": _sql(
-        "SELECT nationality AS country, 'Club data not available' AS club_name, "
-        + ", ".join(
-            f"count(DISTINCT swimmer_sk) FILTER (stroke = '{stroke}') AS {name}"
-            for stroke, name in {
-                "Butterfly": "butterfly_count",
-                "Freestyle": "freestyle_count",
-                "Backstroke": "back_count",
-                "Breaststroke": "breast_count",
-            }.items()
-        )
-        + " FROM star GROUP BY nationality",
-        "star",
-    ),
+    "club_region_performance": _sql(CLUBS, "star"),
+    "replaced_load_club": _sql_replaced(CLUBS, "star"),
     "swimmer_demographics": _sql(
         """SELECT nationality AS swimmer_citizenship, count(*) AS total_swimmers,
         CAST(1 AS INTEGER) AS birth_countries_count, nationality AS birth_countries

@@ -12,7 +12,7 @@ from lapstar.operators import dims, facts, quality, results, scd2
 from lapstar.operators.keys import number_rows
 from lapstar.plans import load, reports
 from lapstar.schemas import ENTRY_CAPS, REQUIRED_SWIMMER_COLUMNS
-from lapstar.session import new_path
+from lapstar.session import new_path, save
 from lapstar.sources import files, tables
 from lapstar.streaming import files as streaming
 from workload.staging import (
@@ -318,6 +318,74 @@ def warehouse_row_counts(spark, sf_dir):
     return load.row_counts(loaded)
 
 
+# Loads that are replaced, repeated or find nothing new
+
+
+def _replaced(spark, sf_dir):
+    """Two loads, then the first again with half of its swims, some of them without a time."""
+    early, late = _arrivals(spark, sf_dir)
+    database = new_database(spark)
+    load.run_load(spark, early, database, "early", AS_OF, SRC)
+    load.run_load(spark, late, database, "late", AS_OF, SRC)
+    less = early.filter("src_line % 2 = 1").withColumn("Time", F.when(F.col("src_line") != 1, F.col("Time")))
+    return load.run_load(spark, less, database, "early", AS_OF, SRC)
+
+
+@query
+def replaced_load_rankings(spark, sf_dir):
+    wh = _replaced(spark, sf_dir)
+    named = wh.rankings.join(wh.swimmers, "swimmer_sk").join(wh.events, "event_sk")
+    return named.select("swimmer_id", "distance", "stroke", "best_time", "best_rank")
+
+
+@query
+def replaced_load_cuts(spark, sf_dir):
+    return reports.olympic_cuts(_replaced(spark, sf_dir), GATES)
+
+
+@query
+def replaced_load_club(spark, sf_dir):
+    return reports.club_region_performance(_replaced(spark, sf_dir))
+
+
+@query
+def replaced_load_qualified(spark, sf_dir):
+    return reports.olympic_qualified_swimmers(_replaced(spark, sf_dir), AS_OF, GATES)
+
+
+@query
+def repeat_older_load(spark, sf_dir):
+    """Rows per table that are not the same after an older load, with names that were changed since, came again."""
+    early, late = _arrivals(spark, sf_dir)
+    late = late.withColumn("Name", F.concat("Name", F.lit(" II")))
+    database = new_database(spark)
+    load.run_load(spark, early, database, "early", AS_OF, SRC)
+    before = load.run_load(spark, late, database, "late", AS_OF, SRC)
+    before = [save(frame, "before") for frame in (before.swimmers, before.events, before.competitions,
+                                                  before.performance, before.rankings)]
+    after = load.run_load(spark, early, database, "early", AS_OF, SRC)
+    after = [after.swimmers, after.events, after.competitions, after.performance, after.rankings]
+    found = None
+    for name, old, new in zip(load.TABLES, before, after, strict=True):
+        moved = old.exceptAll(new).unionByName(new.exceptAll(old)).agg(F.count("*").alias("differing"))
+        one = moved.crossJoin(new.agg(F.count("*").alias("rows"))).select(F.lit(name).alias("table_name"), "rows", "differing")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query
+def load_files_twice(spark, sf_dir):
+    """Swims per competition after a folder was loaded, more files came, and it was loaded under other ids."""
+    path, database = new_path(spark, "arriving"), new_database(spark)
+    for number, part in enumerate([*_arrivals(spark, sf_dir), None]):
+        if part is not None:
+            files.write_results(part, path)
+        loaded, _ = load.load_files(spark, path, database, f"load-{number}", AS_OF)
+    return loaded.performance.join(loaded.competitions, "competition_sk").groupBy("competition_id").agg(
+        F.count("*").alias("rows")
+    )
+
+
 # Result-building jobs
 
 
