@@ -27,7 +27,7 @@ from lapstar.schemas import (
     Warehouse,
 )
 from lapstar.session import empty, new_path, save, scratch
-from lapstar.sources.files import read_results, results_glob
+from lapstar.sources.files import read_by_name, read_results, results_glob
 from lapstar.sources.tables import OLD, STAGING, append, overwrite_swap, read_table, recover, replace_load
 
 TABLES = {
@@ -195,11 +195,13 @@ def load_files(
     database: str,
     load_id: str,
     as_of: dt.date | str | None = None,
+    by_name: bool = False,
 ) -> tuple[Warehouse, DataFrame]:
     """The whole job on the new files of a folder: the warehouse after the load, and a profile of each file.
 
     New are files that no other load has read, by path and size; the load's own are read again if it is repeated.
-    The text is parsed once, into a Parquet table that the profile and the load read by column.
+    The text is parsed once, into a Parquet table that the profile and the load read by column. With ``by_name`` the
+    files' columns are found by their headers, in any order.
     """
     kept = new_path(spark, "profile")
     with scratch(spark):
@@ -211,7 +213,8 @@ def load_files(
         files = save(files, "files")
         # Spark lists the files on the driver in any case; only the new ones are opened.
         paths = [row["file"] for row in files.select("file").collect()]
-        new = read_results(spark, paths, with_source=True) if paths else empty(spark, RAW_WITH_SOURCE)
+        read = read_by_name if by_name else read_results
+        new = read(spark, paths, with_source=True) if paths else empty(spark, RAW_WITH_SOURCE)
         raw = save(new, "staged")
         profile = save(quality.profile(raw, "source_file", RAW_COLUMNS), path=kept)
         if not paths:

@@ -16,6 +16,12 @@ RAW_COLUMNS = [
     "Competition_Country", "Competition_Region", "Competition_Pool_Type",
 ]
 
+# The columns that dimensions and facts are made of.
+USED_COLUMNS = [
+    "SwimmerId", "Name", "Birth_Date", "Gender", "Citizenship", "Event", "Time", "Overall_Rank", "Age",
+    "Competition_Competition_Id", "Competition_Date", "Competition_Country", "Competition_Level",
+]
+
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 
 _KINDS = {

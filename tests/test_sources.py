@@ -137,3 +137,24 @@ def test_jdbc_errors(spark, monkeypatch):
     fail_with("08001")
     with pytest.raises(Py4JJavaError):
         jdbc.read_jdbc(spark, "jdbc:x", "t")
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    from lapstar.schemas import RAW_COLUMNS, USED_COLUMNS
+    from lapstar.sources.files import read_by_name
+
+    values = {name: f"{name}, x" for name in RAW_COLUMNS}
+    layouts = {"a": RAW_COLUMNS, "b": USED_COLUMNS[::-1], "c": ["More", *USED_COLUMNS], "d": USED_COLUMNS[::-1]}
+    for name, columns in layouts.items():
+        cells = ",".join(f'"{values.get(c, "more")}"' for c in columns)
+        (tmp_path / f"{name}_results.csv").write_text(",".join(columns) + "\n" + cells + "\n")
+    rows = read_by_name(spark, str(tmp_path), with_source=True).collect()
+    assert len(rows) == 4
+    for row in rows:
+        columns = layouts[row["source_file"].rsplit("/", 1)[1][0]]
+        assert {c: row[c] for c in RAW_COLUMNS} == {c: values[c] if c in columns else None for c in RAW_COLUMNS}
+    (tmp_path / "e_results.csv").write_text(",".join(USED_COLUMNS[1:]) + "\n")
+    with pytest.raises(ValueError, match="SwimmerId"):
+        read_by_name(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        read_by_name(spark, str(tmp_path / "none"))

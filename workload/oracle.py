@@ -391,6 +391,29 @@ ORACLE: dict[str, str] = {
     "qualified_summary": _sql(
         "SELECT olympic_cut, stroke, count(*) AS qualified_count FROM qualified GROUP BY ALL", "qualified"
     ),
+    "olympic_cuts_order": _sql(
+        """SELECT stroke, best_time, row_number() OVER (ORDER BY stroke NULLS LAST, best_time NULLS LAST) AS position
+        FROM cuts""",
+        "cuts",
+    ),
+    "qualified_order": _sql(
+        """SELECT olympic_cut, stroke, rank_1_count, name, row_number() OVER (
+        ORDER BY CASE olympic_cut WHEN 'A Cut' THEN 1 WHEN 'B Cut' THEN 2 ELSE 3 END, stroke, rank_1_count DESC, name)
+        AS position FROM qualified""",
+        "qualified",
+    ),
+    "club_region_order": _sql(
+        """SELECT nationality AS country, row_number() OVER (ORDER BY nationality NULLS LAST) AS position
+        FROM (SELECT DISTINCT nationality FROM star)""",
+        "star",
+    ),
+    "sql_parse_time": _sql("SELECT DISTINCT Time AS time_text, time_seconds FROM swims", "swims"),
+    "event_labels": _sql(
+        """SELECT DISTINCT distance || 'm ' || stroke AS label,
+        upper(Competition_Level[1:3]) || '_' || lpad(CAST(month(swum_on) AS VARCHAR), 3, '0') AS code,
+        strftime(swum_on, '%Y%m%d') || '_' || Competition_Competition_Id || '_results.csv' AS file FROM swims""",
+        "swims",
+    ),
     "stream_ingest": _sql(BY_COMPETITION, "raw_results"),
     "stream_load_facts": _sql(
         """SELECT c.competition_id, count(*) AS rows, min(p.time_seconds) AS min_time
@@ -403,3 +426,4 @@ ORACLE: dict[str, str] = {
         "swims",
     ),
 }
+ORACLE["summary_csv"] = ORACLE["rankings_summary"]

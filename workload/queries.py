@@ -421,10 +421,8 @@ def rolling_history(spark, sf_dir):
     return swims.select(*SRC, F.size("history").cast("bigint").alias("n_times"), text.alias("history"))
 
 
-@query
-def rankings_summary(spark, sf_dir):
+def _summary_rows(summary: DataFrame) -> DataFrame:
     """The map of times is compared as text, in hundredths: ``50:2530;2610|100:`` and so on, by distance."""
-    summary = results.rankings_summary(raw_results(spark, sf_dir), tie=SRC)
     sizes = F.transform(F.map_values("Historical_Records"), lambda times: F.size(times).cast("bigint"))
     total = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, b: a + b)
     entries = F.array_sort(F.map_entries("Historical_Records"))
@@ -445,6 +443,37 @@ def rankings_summary(spark, sf_dir):
     )
 
 
+@query
+def rankings_summary(spark, sf_dir):
+    return _summary_rows(results.rankings_summary(raw_results(spark, sf_dir), tie=SRC))
+
+
+@query
+def summary_csv(spark, sf_dir):
+    """The summary as CSV, read again."""
+    path = new_path(spark, "summary")
+    files.write_summary(results.rankings_summary(raw_results(spark, sf_dir), tie=SRC), path)
+    return _summary_rows(files.read_summary(spark, path))
+
+
+@query
+def sql_parse_time(spark, sf_dir):
+    """The registered function in SQL text."""
+    fn.register(spark)
+    raw = raw_results(spark, sf_dir)
+    return spark.sql("SELECT DISTINCT Time AS time_text, parse_time(Time) AS time_seconds FROM {raw}", raw=raw)
+
+
+@query
+def event_labels(spark, sf_dir):
+    raw = raw_results(spark, sf_dir)
+    return raw.select(
+        fn.event_label(fn.distance("Event"), fn.stroke("Event")).alias("label"),
+        fn.competition_code("Competition_Level", F.month(fn.as_date("Competition_Date"))).alias("code"),
+        fn.file_name("Competition_Date", "Competition_Competition_Id").alias("file"),
+    ).distinct()
+
+
 @query
 def top_entries(spark, sf_dir):
     """Capped levels, one that is not listed (May) and a null one (November)."""
@@ -509,6 +538,30 @@ def qualified_summary(spark, sf_dir):
     return reports.qualified_summary(warehouse(spark, sf_dir), AS_OF, GATES)
 
 
+# Reports in their order: the position of each row, with the columns that decide it
+
+
+def _positions(report: DataFrame, *columns: str) -> DataFrame:
+    rows = report.select(*columns).withColumn("_row", F.monotonically_increasing_id())
+    return number_rows(rows, ["_row"], "position").drop("_row")
+
+
+@query
+def olympic_cuts_order(spark, sf_dir):
+    return _positions(reports.olympic_cuts(warehouse(spark, sf_dir), GATES), "stroke", "best_time")
+
+
+@query
+def qualified_order(spark, sf_dir):
+    report = reports.olympic_qualified_swimmers(warehouse(spark, sf_dir), AS_OF, GATES)
+    return _positions(report, "olympic_cut", "stroke", "rank_1_count", "name")
+
+
+@query
+def club_region_order(spark, sf_dir):
+    return _positions(reports.club_region_performance(warehouse(spark, sf_dir)), "country")
+
+
 # Streams: the files arrive in two steps, and a third run finds nothing new
 
 
