@@ -184,9 +184,11 @@ def group(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def one_of_each(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """One row of each component, with all its columns: the one with the smallest id; rows with a null id stay."""
-    found = save(group(docs, text_col).select("doc_id", "kept"), "kept")
-    kept = found.filter("kept and doc_id is not null").select("doc_id").distinct()
-    stay = docs.join(kept, "doc_id", "left_semi")
-    if found.filter("kept and doc_id is not null").count() > kept.count():  # repeated rows
-        stay = stay.dropDuplicates(["doc_id"])
-    return stay.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    found = group(docs, text_col).filter("doc_id is not null").groupBy("doc_id")
+    found = save(found.agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
+    gone = found.filter("not kept").select("doc_id")  # the smaller part, mostly
+    stay = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if found.filter("kept and rows > 1").isEmpty():
+        return stay
+    once = stay.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    return once.unionByName(stay.filter("doc_id is null"))
