@@ -60,11 +60,17 @@ def read_warehouse(spark: SparkSession, database: str) -> Warehouse:
     return Warehouse(*[frames[name].select(*schema.names) for name, schema in TABLES.items()])
 
 
+def _add(rows: DataFrame, name: str) -> None:
+    """Append, unless that would only add an empty file to a table: small batches mostly bring nothing new."""
+    if not rows.sparkSession.catalog.tableExists(name) or not rows.isEmpty():
+        append(rows, name)
+
+
 def _apply(change: dims.Change, name: str) -> None:
     if change.rewrites:
         overwrite_swap(change.whole(), name)
     else:
-        append(change.added, name)
+        _add(change.added, name)
 
 
 def _recover(spark: SparkSession, database: str) -> None:
@@ -174,7 +180,7 @@ def _load_facts(
     best = save(facts.best_results(added), "best-results")
     pairs, schema = f"{database}.{PAIRS}", StructType([FACT_RANKINGS[name] for name in PAIR_IDS])
     ids = read_table(spark, pairs, schema)
-    append(facts.new_pairs(best, ids, highest(ids, "ranking_id")).select(*PAIR_IDS), pairs)
+    _add(facts.new_pairs(best, ids, highest(ids, "ranking_id")).select(*PAIR_IDS), pairs)
     replace_load(facts.load_rankings(best, spark.read.table(pairs)), f"{database}.fact_rankings", load_id)
 
 
