@@ -186,7 +186,8 @@ def one_of_each(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """One row of each component, with all its columns: the one with the smallest id; rows with a null id stay."""
     found = group(docs, text_col).filter("doc_id is not null").groupBy("doc_id")
     found = save(found.agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
-    gone = found.filter("not kept").select("doc_id")  # the smaller part, mostly
+    # The smaller part, mostly; stored, so that Spark knows its size and broadcasts it only below its threshold.
+    gone = save(found.filter("not kept").select("doc_id"), "gone")
     stay = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     if found.filter("kept and rows > 1").isEmpty():
         return stay
