@@ -7,13 +7,23 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 19
 STRING_ROWS = 500
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python 2,000 rows at a time, unless the session says otherwise: Spark's 10,000 take 40 MB and more,
+    several times over, in each task."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "2000")
+
+
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns, ``doc_id`` and ``text``; a null text is empty. All other columns are left out."""
     return df.select(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapstar.llm import decontaminate, idfile, nearcopies, repeats, secrets, sentencepieces, topk, toxicity, urls, wordpieces
+from lapstar.llm.common import small_batches
 
 TOKENIZERS = "/opt/tokenizers"
 SEED = 20240229
@@ -24,6 +25,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
