@@ -6,8 +6,11 @@ short vectors per pair of terms, so that two terms may mean together what neithe
 terms of a text costs as much as a few plain sums.
 
 The model learns from a bounded sample of labelled texts, up to ``SAMPLE`` of each class, chosen by a hash of the id;
-their terms are extracted on the executors. It keeps the ``KEPT_TERMS`` terms whose presence differs most between the
-classes of the sample, by ``LEAST_Z`` standard errors at least. All texts are scored on the executors.
+their terms are extracted on the executors. All terms of ``LEAST_TEXTS`` texts or more are learnt, in two turns. The
+first turn has only the ``FIRST_TERMS`` terms whose presence differs most between the classes of the sample, by
+``LEAST_Z`` standard errors at least. The second has all terms, with an L1 penalty of half a standard error on the weights of
+the others, so that they learn from what the first ones leave unexplained: rare insults, and terms that tell only
+together. All texts are scored on the executors.
 """
 
 from __future__ import annotations
@@ -28,12 +31,13 @@ BITS = 21
 PREFIXES = (4, 5, 6)
 LEAST_TEXTS = 3
 LEAST_Z = 4
-KEPT_TERMS = 1000
+FIRST_TERMS = 1000
 FACTORS = 4
 EPOCHS = 40
 BATCH = 500
 RATE = 0.5
 DECAY = 1e-6
+PENALTY = 0.5
 THRESHOLD = 0.7
 
 WORD = np.zeros(256, bool)
@@ -98,7 +102,7 @@ def telling_terms(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     gap = np.abs(toxic / n_toxic - (both - toxic) / (n - n_toxic))
     z = gap * np.sqrt(n_toxic * (n - n_toxic) / n / (share * (1 - share) + 1 / n))
     z[both < LEAST_TEXTS] = -1
-    chosen = np.argsort(-z, kind="stable")[:KEPT_TERMS]
+    chosen = np.argsort(-z, kind="stable")[:FIRST_TERMS]
     return np.sort(found[chosen[z[chosen] >= LEAST_Z]]).astype(np.int64)
 
 
@@ -107,7 +111,8 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: in
     if len(np.unique(labels)) < 2:
         none = np.zeros((0, FACTORS))
         return Model(4.0 if labels.sum() else -4.0, np.zeros(0, np.int64), none[:, 0], none)
-    buckets = telling_terms([b for b, _ in texts], labels)
+    found, count = np.unique(np.concatenate([b for b, _ in texts]), return_counts=True)
+    buckets = found[count >= LEAST_TEXTS].astype(np.int64)
     model = Model(0.0, buckets, np.zeros(len(buckets)), np.zeros((len(buckets), FACTORS)))
     rng = np.random.default_rng(seed)
     model.factors = rng.normal(0, 0.01, model.factors.shape)
@@ -116,15 +121,26 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: in
     for bucket, weight in texts:
         at = number[bucket]
         rows.append((at[at >= 0], weight[at >= 0]))
-    sums = [1e-8, np.full(len(buckets), 1e-8), np.full(model.factors.shape, 1e-8)]
+    first = np.isin(buckets, telling_terms([b for b, _ in texts], labels))
+    # At most the standard error of the mean gradient of a term that has nothing to do with the label.
+    squares = np.zeros(len(buckets))
+    for term, weight in rows:
+        squares[term] += weight**2
+    penalty = PENALTY * np.where(first, 0, 0.5 * np.sqrt(squares) / len(rows))
+    sums = [1e-8, np.full(len(buckets), 1e-8), 1e-8]
 
     def step(value, gradient, k, n):
-        """A step down the mean loss, scaled by the parameter's own past gradients."""
+        """A step down the mean loss. Biases and weights are scaled by their own past gradients, factors by the
+        greatest of all factors, so that those of rare terms move little."""
         gradient = gradient / n + DECAY * value
-        sums[k] = sums[k] + gradient**2
+        sums[k] = sums[k] + ((gradient**2).max(initial=0) if k == 2 else gradient**2)
         return value - RATE * gradient / np.sqrt(sums[k])
 
-    for _ in range(EPOCHS):
+    turns = [[(term[first[term]], weight[first[term]]) for term, weight in rows], rows]
+    for epoch in range(2 * EPOCHS):
+        rows = turns[epoch // EPOCHS]
+        if epoch == EPOCHS:
+            sums[2] = 1e-8
         order = rng.permutation(len(rows))
         for begin in range(0, len(order), BATCH):
             chosen = order[begin : begin + BATCH]
@@ -141,6 +157,9 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: in
                 gradients.append(np.bincount(term, spread * inner, size))
             model.bias = float(step(model.bias, error.sum(), 0, len(chosen)))
             model.weights = step(model.weights, np.bincount(term, spread, size), 1, len(chosen))
+            if epoch >= EPOCHS:
+                shrunk = np.abs(model.weights) - RATE * penalty / np.sqrt(sums[1])
+                model.weights = np.sign(model.weights) * np.maximum(shrunk, 0)
             model.factors = step(model.factors, np.stack(gradients, 1), 2, len(chosen))
     return model
 

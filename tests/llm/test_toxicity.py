@@ -100,3 +100,32 @@ def test_frames(spark):
     assert toxicity.score(docs.limit(0), model).collect() == []
     nobody = toxicity.train(docs.limit(0), labels)
     assert all(r["predicted"] == 0 for r in toxicity.score(docs, nobody).collect())
+
+
+def test_pairs_are_learnt_with_the_settings_of_production():
+    """An insult and a group, each as common in both classes, that are toxic only together."""
+    rng = np.random.default_rng(3)
+    filler = [f"word{i}" for i in range(30)]
+    texts = [
+        " ".join(rng.permutation([*rng.choice(filler, 5), *["grobian"] * (i % 2), *["others"] * (i // 2 % 2)]))
+        for i in range(600)
+    ]
+    labels = np.array([i % 2 == i // 2 % 2 for i in range(600)], float)
+    model = toxicity.fit(features(texts[:400]), labels[:400])
+    data, offsets = utf8(pa.array(texts[400:]))
+    scores = model.scores(*toxicity.terms(data, offsets, model.numbers()), 200)
+    assert ((scores > 0.5) == labels[400:]).mean() > 0.95
+
+
+def test_rare_insults_are_learnt():
+    """One insult in 592 of 600 toxic texts, another in the eight that are left."""
+    rng = np.random.default_rng(5)
+    filler = [f"word{i}" for i in range(800)]
+    texts = []
+    for i in range(1500):
+        insult = ["halunke" if i < 16 or i >= 1200 else "grobian"] * (i % 2)
+        texts.append(" ".join(rng.permutation([*rng.choice(filler, 30), *insult])))
+    model = toxicity.fit(features(texts[:1200]), np.arange(1200) % 2.0)
+    data, offsets = utf8(pa.array(texts[1200:]))
+    scores = model.scores(*toxicity.terms(data, offsets, model.numbers()), 300)
+    assert ((scores > 0.5) == np.arange(300) % 2).mean() > 0.95
