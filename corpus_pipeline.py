@@ -24,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group."""
-    return nearcopies.one_of_each(docs)
+    """The document with the smallest id of each group of a similarity of 0.85 or more."""
+    return nearcopies.one_of_each(docs, link=85)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

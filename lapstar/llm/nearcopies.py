@@ -12,12 +12,15 @@ that meets most others over all bands, and
 So a large group of near copies costs one comparison per member as far as its members are like its hub, and the
 comparisons of the others are spread over many tasks.
 
-Two classes with a similarity of ``LINK / 100`` share no bucket with a probability of 2e-8, and their signatures agree
-in fewer than ``LEAST_SLOTS`` slots with about 2e-9. Nothing else is left to chance but 64-bit hashes of shingles.
+Sets are linked from a similarity of ``link / 100``, the caller's. Two classes just there share no bucket with a
+probability of 2e-8 for 85 and 3.2e-6 for 80, and their signatures agree in fewer than ``least_slots(link)`` slots with
+less than 1e-9, reckoned for independent slots. Nothing else is left to chance but 64-bit hashes of shingles.
 """
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -33,10 +36,20 @@ from lapstar.session import save
 LINK = 85
 SLOTS = 96
 PER_BAND = 4
-LEAST_SLOTS = 62
+MISSED = 1e-9
 BLOCK = 128
 
 
+def least_slots(link: int) -> int:
+    """In so many slots two sets with a similarity of ``link / 100`` agree, but for a probability below ``MISSED``."""
+    share, tail = link / 100, 0.0
+    for n in range(SLOTS):
+        tail += comb(SLOTS, n) * share**n * (1 - share) ** (SLOTS - n)
+        if tail >= MISSED:
+            return n
+    return SLOTS
+
+
 def described(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``doc_id, n, d1, d2, bands`` of every row: size and digests of its set, and a key per band."""
 
@@ -55,13 +68,13 @@ def described(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def _alike(n: str, m: str) -> Column:
+def _alike(n: str, m: str, link: int) -> Column:
     """Whether sets of these sizes can be linked at all."""
-    return F.greatest(n, m) * LINK <= F.least(n, m) * 100
+    return F.greatest(n, m) * link <= F.least(n, m) * 100
 
 
-def _linked(common: Column, n: str, m: str) -> Column:
-    return common * 100 >= (F.col(n) + F.col(m) - common) * LINK
+def _linked(common: Column, n: str, m: str, link: int) -> Column:
+    return common * 100 >= (F.col(n) + F.col(m) - common) * link
 
 
 def _members(classes: DataFrame) -> DataFrame:
@@ -95,12 +108,13 @@ def _sets(docs: DataFrame, classes: DataFrame, text_col: str) -> DataFrame:
     return found.filter("d1 = e1 and d2 = e2").select("cid", "members").dropDuplicates(["cid"])
 
 
-def _compare(rows: pd.DataFrame) -> pd.DataFrame:
+def _compare(rows: pd.DataFrame, link: int) -> pd.DataFrame:
     """Links between different components of one pair of blocks, as few as join them."""
     sets = [np.asarray(x).view(np.uint64) for x in rows["members"]]
     sizes = rows["n"].to_numpy()
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
     marks = signatures(np.concatenate(sets), bounds, SLOTS)
+    least = least_slots(link)
     cid, block = rows["cid"].to_numpy(), rows["block"].to_numpy()
     hub, one = rows["hub"].iloc[0], rows["i"].iloc[0] == rows["j"].iloc[0]
     parent = {c: c for c in rows["comp"].unique().tolist()}
@@ -120,20 +134,20 @@ def _compare(rows: pd.DataFrame) -> pd.DataFrame:
         if not one:
             later = later[block[later] != block[x]]
         small, great = np.minimum(sizes[x], sizes[later]), np.maximum(sizes[x], sizes[later])
-        later = later[(great * LINK <= small * 100) & (cid[later] != hub)]
+        later = later[(great * link <= small * 100) & (cid[later] != hub)]
         if len(later):
-            later = later[(marks[later] == marks[x]).sum(1) >= LEAST_SLOTS]
+            later = later[(marks[later] == marks[x]).sum(1) >= least]
         for y in later.tolist():
             a, b = root(comp[x]), root(comp[y])
             if a != b:
                 common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if common * 100 >= (len(sets[x]) + len(sets[y]) - common) * LINK:
+                if common * 100 >= (len(sets[x]) + len(sets[y]) - common) * link:
                     parent[max(a, b)] = min(a, b)
                     found.append((int(cid[x]), int(cid[y])))
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _across(members: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
+def _across(members: DataFrame, sets: DataFrame, known: DataFrame, link: int) -> DataFrame:
     """Links ``a, b`` between classes of one hub that ``known`` (``node, component``) has in different components."""
     rows = members.join(known.withColumnRenamed("node", "cid"), "cid", "left")
     rows = rows.select("hub", "cid", "n", F.coalesce("component", "cid").alias("comp"))
@@ -146,11 +160,11 @@ def _across(members: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
     rows = rows.join(sets, "cid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     rows = rows.select("hub", "i", "j", "block", "cid", "comp", "n", "members")
-    return rows.groupBy("hub", "i", "j").applyInPandas(_compare, "a long, b long")
+    return rows.groupBy("hub", "i", "j").applyInPandas(lambda rows: _compare(rows, link), "a long, b long")
 
 
-def group(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``.
+def group(docs: DataFrame, text_col: str = "text", link: int = LINK) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``, linked from a similarity of ``link / 100``.
 
     A null text, an empty one and one without words has an empty set, is linked with nothing and stays. Rows with a
     null id take part; a component without any id has a null one, and its rows stay. Repeated rows are copies of each
@@ -163,13 +177,13 @@ def group(docs: DataFrame, text_col: str = "text") -> DataFrame:
     members = save(_members(classes), "members")
     sets = save(_sets(docs, classes.join(members.select("cid").distinct(), "cid"), text_col), "sets")
 
-    pairs = members.filter("cid <> hub").filter(_alike("n", "hub_n"))
+    pairs = members.filter("cid <> hub").filter(_alike("n", "hub_n", link))
     pairs = pairs.join(sets.withColumnRenamed("members", "own"), "cid")
     pairs = pairs.join(sets.select(F.col("cid").alias("hub"), "members"), "hub")
     common = F.size(F.array_intersect("own", "members")).cast("long")
-    links = pairs.withColumn("common", common).filter(_linked(F.col("common"), "n", "hub_n"))
+    links = pairs.withColumn("common", common).filter(_linked(F.col("common"), "n", "hub_n", link))
     known = save(components(links.select(F.col("hub").alias("a"), F.col("cid").alias("b"))), "components")
-    more = _across(members, sets, known)
+    more = _across(members, sets, known, link)
     known = components(more.unionByName(known.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     named = classes.join(known.withColumnRenamed("node", "cid"), "cid", "left")
@@ -182,9 +196,9 @@ def group(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def one_of_each(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, text_col: str = "text", link: int = LINK) -> DataFrame:
     """One row of each component, with all its columns: the one with the smallest id; rows with a null id stay."""
-    found = group(docs, text_col).filter("doc_id is not null").groupBy("doc_id")
+    found = group(docs, text_col, link).filter("doc_id is not null").groupBy("doc_id")
     found = save(found.agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
     # The smaller part, mostly; stored, so that Spark knows its size and broadcasts it only below its threshold.
     gone = save(found.filter("not kept").select("doc_id"), "gone")

@@ -50,7 +50,7 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nearcopies.group(table(spark, sf_dir, "documents"))
+    return nearcopies.group(table(spark, sf_dir, "documents"), link=85)
 
 
 ORACLE["op4_near_copies"] = r"""

@@ -85,6 +85,24 @@ def test_blocks_and_one_of_each(spark, corpus, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r[0] for r in want if r[3])
 
 
+def test_threshold_is_the_callers(spark):
+    """Sets of 96 shingles with 86 in common have a similarity of 0.81: a link from 0.8, none from 0.85."""
+    words = [f"w{i}" for i in range(100)]
+    docs = documents(spark, [(1, " ".join(words)), (2, " ".join([*words[10:], *[f"v{i}" for i in range(10)]]))])
+    assert [r["kept"] for r in nearcopies.group(docs, link=85).collect()] == [True, True]
+    assert [r["doc_id"] for r in nearcopies.one_of_each(docs, link=80).collect()] == [1]
+    assert nearcopies.one_of_each(docs, link=85).count() == 2
+
+
+def test_least_slots_miss_few():
+    from math import comb
+
+    for link in (80, 85):
+        least, share = nearcopies.least_slots(link), link / 100
+        below = [comb(96, n) * share**n * (1 - share) ** (96 - n) for n in range(least + 1)]
+        assert sum(below[:-1]) < 1e-9 <= sum(below)
+
+
 def test_frames(spark):
     docs = odd_documents(spark)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
