@@ -119,7 +119,7 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: in
     number = model.numbers()
     rows = []
     for bucket, weight in texts:
-        at = number[bucket]
+        at = number[bucket].astype(np.int32)
         rows.append((at[at >= 0], weight[at >= 0]))
     first = np.isin(buckets, telling_terms([b for b, _ in texts], labels))
     # At most the standard error of the mean gradient of a term that has nothing to do with the label.
@@ -196,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> Model:
     sample = map_texts(texts, extract, schema, keep=("doc_id", "toxic")).dropDuplicates(["doc_id"]).toArrow()
     order = np.argsort(sample["doc_id"].to_numpy(), kind="stable")
     rows = [
-        (np.asarray(sample["buckets"][int(i)].values, np.int64), np.asarray(sample["weights"][int(i)].values, np.float64))
+        (np.asarray(sample["buckets"][int(i)].values), np.asarray(sample["weights"][int(i)].values))  # no copies
         for i in order
     ]
     return fit(rows, sample["toxic"].to_numpy()[order].astype(np.float64))
