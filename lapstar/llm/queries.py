@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstar.llm import decontaminate, idfile, nearcopies, repeats, secrets, sentencepieces, topk, toxicity, urls, wordpieces
+from lapstar.llm import (
+    decontaminate,
+    idfile,
+    nearcopies,
+    repeats,
+    secrets,
+    sentencepieces,
+    topk,
+    toxicity,
+    urls,
+    whitening,
+    wordpieces,
+)
 from lapstar.llm.common import small_batches
 
 TOKENIZERS = "/opt/tokenizers"
@@ -161,3 +173,9 @@ SELECT page_id, host, path, rule, CASE
   WHEN host <> '' AND host || path IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four leading components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

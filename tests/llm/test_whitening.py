@@ -1,0 +1,123 @@
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lapstar.llm import whitening
+from lapstar.llm.queries import QUERIES
+
+
+def symmetric(values, seed=0):
+    rng = np.random.default_rng(seed)
+    turn, _ = np.linalg.qr(rng.normal(size=(len(values), len(values))))
+    made = turn @ np.diag(values) @ turn.T
+    return (made + made.T) / 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_counts(seed):
+    rng = np.random.default_rng(seed)
+    a = rng.normal(size=(12, 12))
+    a = a + a.T
+    values = np.linalg.eigvalsh(a)
+    for shift in [*rng.uniform(values[0] - 1, values[-1] + 1, 20), *((values[1:] + values[:-1]) / 2)]:
+        assert whitening.above(a, shift) == (values > shift).sum()
+    zero_diagonal = np.array([[0.0, 1.0], [1.0, 0.0]])
+    assert whitening.above(zero_diagonal, 0) == 1 and whitening.above(np.zeros((3, 3)), 0) == 0
+
+
+@pytest.mark.parametrize("values", [
+    np.arange(1.0, 21.0), np.geomspace(1e-9, 1e9, 24), [5, 5, 5, 1, 1.0], [7, 7 - 1e-9, 7 - 2e-9, 3, 2.0], [3.0], [0.0, 0, 0],
+    [2, 1, 0, 0, 0.0], [1.0] * 9, [10, 9.999999, 1e-3, 0, 0, 0],
+])
+def test_leading(values):
+    a = symmetric(np.array(values, float))
+    found, vectors = whitening.leading(a, 4)
+    want = np.sort(values)[::-1][:4]
+    assert np.allclose(found, want, rtol=0, atol=1e-13 * len(a) * max(np.abs(values)))
+    assert np.allclose(vectors.T @ vectors, np.eye(len(want)), atol=1e-12)
+    assert np.abs(a @ vectors - vectors * found).max() <= 1e-13 * len(a) * max(np.abs(values))
+    assert all(v[np.abs(v).argmax()] > 0 for v in vectors.T)
+
+
+def brute(rows, k=4, scale=256):
+    kept = [(i, [math.floor(scale * float(np.float32(c))) for c in v]) for i, v in rows
+            if v and all(c is not None and math.isfinite(c) for c in v)]
+    points = sorted({tuple(x) for _, x in kept})
+    n, d = len(points), len(points[0])
+    sums = [sum(p[j] for p in points) for j in range(d)]
+    mean = [Fraction(s, n) for s in sums]
+    off = np.array([[n * a - s for a, s in zip(p, sums, strict=True)] for p in points], object)
+    v = [[int(x) / n**3 for x in row] for row in off.T @ off]
+    values, vectors = np.linalg.eigh(np.array(v))
+    values, vectors = values[::-1], vectors[:, ::-1]
+    out = {}
+    for i, x in kept:
+        deviation = sum((n * a - s) ** 2 for a, s in zip(x, sums, strict=True))
+        centred = np.array([float(a - m) for a, m in zip(x, mean, strict=True)])
+        for c in range(min(k, d)):
+            out.setdefault((i, c + 1), []).append(
+                (n, deviation, float(centred @ vectors[:, c] / np.sqrt(values[c])), values[c] / np.trace(v)))
+    return out
+
+
+def same(found, want):
+    assert len(found) == sum(map(len, want.values()))
+    for c in {r["component"] for r in found}:
+        rows = [r for r in found if r["component"] == c]
+        sign = 1
+        for r in rows:
+            n, deviation, whitened, explained = want[r["vec_id"], c][0]
+            if abs(whitened) > 0.1:
+                sign = np.sign(whitened * r["whitened"])
+                break
+        for r in rows:
+            assert any(
+                (r["n"], r["deviation"]) == w[:2] and math.isclose(r["whitened"], sign * w[2], rel_tol=1e-8, abs_tol=1e-8)
+                and math.isclose(r["explained"], w[3], rel_tol=1e-9) for w in want[r["vec_id"], c]
+            )
+    assert {r["identity_error"] for r in found} == {found[0]["identity_error"]} and found[0]["identity_error"] < 1e-9
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+
+
+def test_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=6) * [5, 3, 2, 1, 0.5, 0.1] + 7).tolist()) for i in range(400)]
+    rows += [(1000 + i, rows[0][1]) for i in range(300)] + [(5, rows[9][1]), (5, rows[9][1])]
+    rows += [(2000, None), (2001, [None] * 6), (2002, [float("nan")] * 6), (2003, [1.0, 2.0, 3.0, 4.0, 5.0, float("inf")]), (2004, [])]
+    df = frame(spark, rows).withColumn("n", F.lit(1)).withColumn("x", F.lit("x")).withColumn("component", F.lit(0))
+    found = whitening.whiten(df.repartition(7)).collect()
+    same(found, brute(rows))
+    again = whitening.whiten(df.repartition(3)).collect()
+    assert sorted(tuple(r)[:6] for r in found) == sorted(tuple(r)[:6] for r in again)
+
+
+def test_query_against_brute_force(spark):
+    directory = "/root/testdata/sf0.001"
+    rows = [(r[0], r[1]) for r in spark.read.parquet(f"{directory}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    same(QUERIES["op11_whitening"](spark, directory).collect(), brute(rows))
+
+
+def test_odd_tables(spark):
+    def run(rows):
+        return sorted((tuple(r) for r in whitening.whiten(frame(spark, rows)).collect()), key=repr)
+
+    assert run([]) == [] == run([(1, None), (2, [float("nan")]), (3, [])])
+    assert run([(1, [1.0, 2.0]), (None, [1.0, 2.0])]) == [
+        (1, c, 1, 0, None, None, None) for c in (1, 2)] + [(None, c, 1, 0, None, None, None) for c in (1, 2)]
+    flat = run([(1, [-0.0, 1.0]), (2, [1.0, 1.0]), (3, [7.0])])  # one dimension varies; another length is left out
+    assert [(r[0], r[1], r[2], r[3]) for r in flat] == [(i, c, 2, 65536) for i in (1, 2) for c in (1, 2)]
+    assert [abs(r[4]) if r[4] is not None else None for r in flat] == [1.0, None, 1.0, None]
+    assert [r[5] for r in flat] == [1.0, 0.0, 1.0, 0.0]
+    with pytest.raises(Exception, match="64 bits"):
+        run([(1, [1e30, 0.0]), (2, [-1e30, 5.0])])
+
+
+def test_large_sums_stay_exact(spark):
+    rows = [(i, [float(2**20 + (i % 3)), float(i)]) for i in range(3000)]
+    same(whitening.whiten(frame(spark, rows)).collect(), brute(rows, scale=256))
