@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapstar.llm import (
+    collocations,
     decontaminate,
     idfile,
     nearcopies,
@@ -179,3 +180,45 @@ FROM ruled
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four leading components of every vector."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, words FROM (
+    SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words FROM (
+      SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)
+  ) WHERE len(words) > 0
+), placed AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces
+), f AS (
+  SELECT lang, k, CASE k WHEN 1 THEN words[i] WHEN 2 THEN words[i] || ' ' || words[i + 1]
+      ELSE words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] END AS phrase, count(*)::HUGEINT AS f
+  FROM placed, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(words) GROUP BY ALL
+), candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.k, c.phrase, a, cut, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1 : ], ' ')
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM candidates WHERE k = 3
+  ) GROUP BY ALL
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN inside i ON s.k = 2 AND i.lang = s.lang AND i.phrase = s.phrase
+  WHERE i.most IS NULL OR 100 * i.most < 50 * a
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+  (SELECT sum(f) FROM f WHERE k = 1 AND f.lang = ranked.lang)::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
