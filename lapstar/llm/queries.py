@@ -11,6 +11,7 @@ from lapstar.llm import (
     collocations,
     decontaminate,
     idfile,
+    mixing,
     nearcopies,
     repeats,
     secrets,
@@ -222,3 +223,9 @@ SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
   (SELECT sum(f) FROM f WHERE k = 1 AND f.lang = ranked.lang)::BIGINT AS n, score::BIGINT AS score
 FROM ranked WHERE rank <= 2000
 """
+
+
+@query
+def op13_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources weigh 1, 2, 3, repeating."""
+    return mixing.summary(table(spark, sf_dir, "documents"), SEED)
