@@ -34,7 +34,7 @@ from lapstar.session import save
 LEAST = 10
 SUBSUMED = 50
 TOP = 2000
-RUN_BYTES = 1 << 23
+RUN_BYTES = 1 << 22
 WIDE = 100_000
 FILTER_BITS = 25
 NO_LANG = "und"
