@@ -1,7 +1,8 @@
 """Benchmark decontamination: test items that occur in documents with few edits.
 
 An item of m letters may be found with up to ``rate * m`` edits, rounded down. Cut into one piece more than that, at
-least one piece must occur unchanged in any such passage. So the texts are searched for exact pieces, by the hash of the
+least one piece must occur unchanged in any such passage. An item of fewer than ``LEAST_LETTERS`` letters is found
+unchanged only, and where no letter or digit comes right before or behind it. So the texts are searched for exact pieces, by the hash of the
 bytes with which a piece begins at every position, and around each hit the item is verified by Myers' bit-parallel edit
 distance.
 
@@ -84,6 +85,7 @@ class Item:
     item_id: int
     text: str
     budget: int
+    alone: bool = False
     forward: Pattern = field(init=False)
     backward: Pattern = field(init=False)
 
@@ -106,11 +108,21 @@ class Item:
         return best, end - size, end
 
 
+def _alone(raw: bytes, begin: int, end: int) -> bool:
+    """Whether no letter or digit touches the bytes from ``begin`` to ``end``."""
+    before = raw[max(0, begin - 4) : begin].decode(errors="ignore")[-1:]
+    behind = raw[end : end + 4].decode(errors="ignore")[:1]
+    return not before.isalnum() and not behind.isalnum()
+
+
 class Index:
     """The pieces of a block of items, by the hash of their first bytes."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
-        self.items = [Item(item_id, text, int(rate * len(text))) for item_id, text in items]
+    def __init__(self, items: list[tuple[int | None, str]], rate: float):
+        self.items = [
+            Item(item_id, text, 0 if len(text) < LEAST_LETTERS else int(rate * len(text)), len(text) < LEAST_LETTERS)
+            for item_id, text in items
+        ]
         self.by_size: dict[int, dict[int, list[tuple[int, int, bytes]]]] = {}
         for number, item in enumerate(self.items):
             pieces, m = item.budget + 1, len(item.text)
@@ -132,8 +144,7 @@ class Index:
     @staticmethod
     def _hashes(ranges: Ranges, size: int) -> np.ndarray:
         """Of the ``size`` bytes from every position on."""
-        n = len(ranges.sums) - size
-        return (ranges.sums[size:] - ranges.sums[:n]) * ranges.down[:n] * _ODD
+        return ranges.windows(size) * _ODD
 
     def hits(self, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], list[int]]:
         """By text and item, the positions at which the item would begin for a piece of it to be where it is."""
@@ -149,7 +160,10 @@ class Index:
                 for number, place, piece in keys.get(key, ()):
                     if raw.startswith(piece, position):
                         text = int(np.searchsorted(offsets, position, "right")) - 1
-                        if position + len(piece) <= offsets[text + 1]:
+                        end = position + len(piece)
+                        if end <= offsets[text + 1]:
+                            if self.items[number].alone and not _alone(raw[offsets[text] : offsets[text + 1]], position - offsets[text], end - offsets[text]):
+                                continue
                             found.setdefault((text, number), []).append(position - place)
         return found
 
@@ -185,26 +199,27 @@ class Index:
 
 
 def blocks(benchmark: DataFrame, rate: float = RATE) -> Iterator[Index]:
-    """The items in blocks of about ``BLOCK_BYTES``. Items with equal normalised texts are one, under their smallest id;
-    null items and those of fewer than ``LEAST_LETTERS`` letters are left out."""
+    """The items in blocks of about ``BLOCK_BYTES``. Items with equal normalised texts are one, under their smallest id,
+    or null if none has one; null items and those of white space only are left out."""
     text = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     text = F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")).alias("text")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text)
-    items = items.filter((F.length("text") >= LEAST_LETTERS) & F.col("item_id").isNotNull())
+    items = items.filter("text <> ''")
     items = items.groupBy("text").agg(F.min("item_id").alias("item_id"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // BLOCK_BYTES)
     for block in range(n):
         rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == block).collect()  # BLOCK_BYTES on average
         if rows:
-            yield Index(sorted((row["item_id"], row["text"]) for row in rows), rate)
+            yield Index(sorted(((row["item_id"], row["text"]) for row in rows), key=lambda x: (x[0] is None, x)), rate)
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, distance, start, stop``: for each document and item it holds, the best passage.
 
     ``start`` and ``stop`` (exclusive) are code points of the text. Clean documents have no row; null and empty texts
-    hold nothing; repeated rows give their rows each. Without items the result is empty.
+    hold nothing; repeated rows give their rows each. An item without an id has a row with a null ``item_id``. Without
+    items the result is empty. Columns of ``docs`` other than ``doc_id`` and the text are left out.
     """
     texts = texts_of(docs, text_col=text_col)
     schema = "doc_id long, item_id long, distance int, start int, stop int"
@@ -235,7 +250,10 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_c
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no item."""
+    """The rows of ``docs``, with all their columns, that hold no item, whether it has an id or not.
+
+    Null and empty texts stay; repeated rows stay or go together. Without items all rows stay.
+    """
 
     def clean(index: Index):
         def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lapstar.llm.common import slices, texts_of, utf8
 from lapstar.llm.huffman import Code, code_lengths
-from lapstar.llm.words import Ranges, word_ranges
+from lapstar.llm.words import word_hashes, word_ranges
 from lapstar.session import new_path, save, scratch
 
 SEGMENT_BYTES = 1 << 20
@@ -157,7 +157,7 @@ class Words:
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, ``end_id`` behind each, and how many each text has."""
         starts, ends = word_ranges(offsets, ~BREAK[data])
-        keys = Ranges(data)(starts, ends)
+        keys = word_hashes(data, starts, ends)
         keys[keys == 0] = 1
         rows = self._look_up(keys)
         new = np.flatnonzero(rows < 0)

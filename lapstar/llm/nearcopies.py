@@ -68,6 +68,12 @@ def described(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
+def _described_keys(data: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
+    sets, bounds = shingle_sets(data, offsets)
+    d1, d2 = digests(sets, bounds)
+    return {"n": pa.array(np.diff(bounds), pa.int64()), "d1": pa.array(d1), "d2": pa.array(d2)}
+
+
 def _alike(n: str, m: str, link: int) -> Column:
     """Whether sets of these sizes can be linked at all."""
     return F.greatest(n, m) * link <= F.least(n, m) * 100
@@ -147,29 +153,52 @@ def _compare(rows: pd.DataFrame, link: int) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _across(members: DataFrame, sets: DataFrame, known: DataFrame, link: int) -> DataFrame:
-    """Links ``a, b`` between classes of one hub that ``known`` (``node, component``) has in different components."""
+def _paired_blocks(members: DataFrame, known: DataFrame) -> DataFrame:
+    """``hub, i, j, block, cid, comp, n``: classes of hubs with several components, for each pair of blocks that may hold
+    a link between components.
+
+    The largest component of a hub is dealt into blocks of its own, which are never paired among themselves, so one
+    class that is apart from a large group costs a row per member of the group, and one itself per block of it.
+    """
     rows = members.join(known.withColumnRenamed("node", "cid"), "cid", "left")
     rows = rows.select("hub", "cid", "n", F.coalesce("component", "cid").alias("comp"))
-    open_ = rows.groupBy("hub").agg(
-        F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("size")
-    ).filter("least < most and size > 2")
-    rows = rows.join(open_, "hub")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
-    rows = rows.join(sets, "cid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sizes = rows.groupBy("hub", "comp").agg(F.count("*").alias("own"))
+    hubs = sizes.groupBy("hub").agg(
+        F.sum("own").alias("size"), F.max(F.struct("own", "comp")).alias("most")
+    ).filter("size > most.own and size > 2")
+    rows = rows.join(hubs.select("hub", "size", "most.own", F.col("most.comp").alias("largest")), "hub")
+    small = F.greatest(F.ceil((F.col("size") - F.col("own")) / BLOCK).cast("int"), F.lit(1))
+    rows = rows.withColumn("small", small).withColumn("large", F.ceil(F.col("own") / BLOCK).cast("int"))
+    inside, name = F.col("comp") == F.col("largest"), F.xxhash64("cid")
+    block = F.when(inside, F.col("small") + F.pmod(name, "large")).otherwise(F.pmod(name, "small")).cast("int")
+    others = F.when(inside, F.col("small")).otherwise(F.col("small") + F.col("large"))
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    rows = rows.select("hub", "i", "j", "block", "cid", "comp", "n", "members")
+    return rows.select("hub", "i", "j", "block", "cid", "comp", "n")
+
+
+def _across(members: DataFrame, sets: DataFrame, known: DataFrame, link: int) -> DataFrame:
+    """Links ``a, b`` between classes of one hub that ``known`` (``node, component``) has in different components."""
+    rows = _paired_blocks(members, known).join(sets, "cid")
     return rows.groupBy("hub", "i", "j").applyInPandas(lambda rows: _compare(rows, link), "a long, b long")
 
 
-def group(docs: DataFrame, text_col: str = "text", link: int = LINK) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``, linked from a similarity of ``link / 100``.
+def _joined(known: DataFrame, more: DataFrame) -> DataFrame:
+    """Components ``node, component`` after the links ``more`` (``a, b``): only components that they join are renamed."""
+    if more.isEmpty():
+        return known
+    for end in ("a", "b"):
+        named = known.select(F.col("node").alias(end), F.col("component").alias("to"))
+        more = more.join(named, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    new = save(components(more), "components").withColumnRenamed("component", "to")
+    renamed = known.join(new.withColumnRenamed("node", "component"), "component", "left")
+    renamed = renamed.select("node", F.coalesce("to", "component").alias("component"))
+    return renamed.unionByName(new.select("node", F.col("to").alias("component"))).distinct()
 
-    A null text, an empty one and one without words has an empty set, is linked with nothing and stays. Rows with a
-    null id take part; a component without any id has a null one, and its rows stay. Repeated rows are copies of each
-    other with one id, so either all of them are ``kept`` or none. Only ``doc_id`` and the text are read.
-    """
+
+def _grouped(docs: DataFrame, text_col: str, link: int) -> DataFrame:
+    """``doc_id, n, d1, d2, comp, component_id`` of every row: size and digests of its set, its component (null for an
+    empty set), and that component's least id."""
     rows = save(described(docs, text_col), "described")
     key = ["n", "d1", "d2"]
     classes = rows.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
@@ -183,27 +212,56 @@ def group(docs: DataFrame, text_col: str = "text", link: int = LINK) -> DataFram
     common = F.size(F.array_intersect("own", "members")).cast("long")
     links = pairs.withColumn("common", common).filter(_linked(F.col("common"), "n", "hub_n", link))
     known = save(components(links.select(F.col("hub").alias("a"), F.col("cid").alias("b"))), "components")
-    more = _across(members, sets, known, link)
-    known = components(more.unionByName(known.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    known = _joined(known, save(_across(members, sets, known, link), "more-links"))
 
     named = classes.join(known.withColumnRenamed("node", "cid"), "cid", "left")
     named = named.select(*key, "rep", F.coalesce("component", "cid").alias("comp"))
     ids = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = named.join(ids, "comp").select(*key, "component_id", F.lit(True).alias("grouped"))
+    named = named.join(ids, "comp").select(*key, "comp", "component_id")
     found = rows.select("doc_id", *key).join(named, key, "left")
-    component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
-    found = found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    component = F.when(F.col("comp").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+    return found.select("doc_id", *key, "comp", component.alias("component_id"))
+
+
+def group(docs: DataFrame, text_col: str = "text", link: int = LINK) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``, linked from a similarity of ``link / 100``.
+
+    A null text, an empty one and one without words has an empty set, is linked with nothing and stays. Rows with a
+    null id take part; a component without any id has a null one, and its rows stay. Repeated rows are copies of each
+    other with one id, so either all of them are ``kept`` or none. Only ``doc_id`` and the text are read.
+    """
+    found = _grouped(docs, text_col, link).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, text_col: str = "text", link: int = LINK) -> DataFrame:
-    """One row of each component, with all its columns: the one with the smallest id; rows with a null id stay."""
-    found = group(docs, text_col, link).filter("doc_id is not null").groupBy("doc_id")
-    found = save(found.agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
+    """One row of each component, with all its columns: one with the smallest id; rows with a null id stay.
+
+    An id may have several texts: it is a row that goes or stays, told by id and set. Of several texts of one component
+    under its smallest id the one with the least size and digests stays; of equal rows, or rows of one id without words, one.
+    """
+    key = ["n", "d1", "d2"]
+    found = _grouped(docs, text_col, link).filter("doc_id is not null")
+    found = save(found.groupBy("doc_id", *key, "comp", "component_id").agg(F.count("*").alias("rows")), "texts")
+    first = found.filter("comp is not null and doc_id = component_id").groupBy("comp")
+    first = save(first.agg(F.min(F.struct(*key)).alias("first")), "first")
+    kept = F.col("comp").isNull() | ((F.col("doc_id") == F.col("component_id")) & (F.struct(*key) == F.col("first")))
+    found = save(found.join(first, "comp", "left").select("doc_id", *key, "rows", kept.alias("kept")), "kept")
+    ids = found.groupBy("doc_id").agg(
+        F.bool_or("kept").alias("some"), F.bool_and("kept").alias("every"), F.sum("rows").alias("rows")
+    )
     # The smaller part, mostly; stored, so that Spark knows its size and broadcasts it only below its threshold.
-    gone = save(found.filter("not kept").select("doc_id"), "gone")
+    gone = save(ids.filter("not some").select("doc_id"), "gone")
     stay = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if found.filter("kept and rows > 1").isEmpty():
+    several = save(ids.filter("some and rows > 1").select("doc_id"), "several")
+    if several.isEmpty():
         return stay
-    once = stay.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return once.unionByName(stay.filter("doc_id is null"))
+    # Ids with several rows: the sets of these rows are told again from their texts.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = stay.join(several, "doc_id", "left_semi").select(*docs.columns).toDF(*names)
+    at = names[docs.columns.index("doc_id")]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    told = map_texts(rows, _described_keys, f"{schema}, n long, d1 long, d2 long", names[docs.columns.index(text_col)], tuple(names))
+    right = found.filter("kept").select(F.col("doc_id").alias(at), *key).join(several.withColumnRenamed("doc_id", at), at, "left_semi")
+    once = told.join(right, [at, *key], "left_semi").dropDuplicates([at, *key]).select(*names).toDF(*docs.columns)
+    return stay.join(several, "doc_id", "left_anti").select(*docs.columns).unionByName(once)

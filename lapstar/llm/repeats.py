@@ -126,6 +126,7 @@ def _strings(data: np.ndarray, begin: np.ndarray, value: np.ndarray):
 def _neighbours(rows: DataFrame) -> DataFrame:
     """Rows that share ``k1`` with another, with flags: whether they share ``k2`` too, and are the first to do so."""
     keys = ["k1", "k2", "rid", "at"]
+    rows = save(rows, "rows")  # else the range sampling would make them a second time
     ordered = rows.repartitionByRange(*keys).sortWithinPartitions("k1", "k2")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +189,8 @@ def _neighbours(rows: DataFrame) -> DataFrame:
 def _going_on(rows: DataFrame) -> DataFrame:
     """Rows for the next level: those that are not settled, and for each settled pair of names one row, if a row that
     is not settled shares its coarser name. The latter count as known."""
-    open_ = rows.filter("not same2 and not known").select("k1").distinct()
+    # Stored, so that Spark knows its size: a small one is broadcast before anything is dealt by a frequent name.
+    open_ = save(rows.filter("not same2 and not known").select("k1").distinct(), "open-names")
     some = rows.filter("not same2 or first")
     return some.join(open_, "k1", "left_semi").select("rid", "at", (F.col("known") | F.col("same2")).alias("known"))
 

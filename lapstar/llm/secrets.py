@@ -45,7 +45,9 @@ LITERAL = re.compile(r'"((?:[^"\\\n]|\\.)*)"|\'((?:[^\'\\\n]|\\.)*)\'|`([^`\n]*)
 BARE = re.compile(r"""[^\s,;"'`(){}\[\]<>]+""")
 NAME = re.compile(r"[A-Za-z_$][A-Za-z0-9_$]*(?:[.\-][A-Za-z0-9_$]+)*")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change.?me|example.*|your.*|none|null|true|false|test|todo|<.*>|\[.*\]|\$\{.*\}|\{\{.*\}\})$")
+PLACEHOLDER = re.compile(
+    r"(?i)^(?:x+|\*+|\.+|change.?me|(?:example|your)(?:[-_. ][a-z]+)*|none|null|true|false|test|todo|<.*>|\[.*\]|\$\{.*\}|\{\{.*\}\})$"
+)
 NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_$.-")
 
 SENSITIVE = {
@@ -56,6 +58,8 @@ SENSITIVE = {
 }
 LEAST_LENGTH = 8
 THRESHOLD = 0.5
+# A quoted literal of blanks or few letters counts less, and only for names that leave no doubt.
+CERTAIN, LEAST_QUOTED, DOUBT = 0.9, 5, 0.7
 
 
 @dataclass(frozen=True)
@@ -65,6 +69,7 @@ class Pair:
     name: str
     value: str
     spans: tuple[tuple[int, int], ...]
+    quoted: bool = True
 
 
 def _target(text: str, at: int) -> str:
@@ -81,9 +86,10 @@ def _target(text: str, at: int) -> str:
     return text[begin:at].strip(".-")
 
 
-def _expression(text: str, at: int, known: dict[str, Pair]) -> tuple[str, tuple[tuple[int, int], ...]] | None:
-    """Value and literals of the expression at ``at``; None if it is none of literals and known names."""
-    value, spans, n = [], [], len(text)
+def _expression(text: str, at: int, known: dict[str, Pair]) -> tuple[str, tuple[tuple[int, int], ...], bool] | None:
+    """Value and literals of the expression at ``at``, and whether all are quoted; None if it is none of literals and
+    known names."""
+    value, spans, quoted, n = [], [], True, len(text)
     while True:
         while at < n and text[at] in " \t":
             at += 1
@@ -98,9 +104,10 @@ def _expression(text: str, at: int, known: dict[str, Pair]) -> tuple[str, tuple[
             if name in known:
                 value.append(known[name].value)
                 spans.extend(known[name].spans)
+                quoted = quoted and known[name].quoted
                 at = found.start() + len(name)
             elif not value:
-                return (word, ((found.start(), found.start() + len(word)),)) if word else None
+                return (word, ((found.start(), found.start() + len(word)),), False) if word else None
             else:
                 return None
         else:
@@ -110,7 +117,7 @@ def _expression(text: str, at: int, known: dict[str, Pair]) -> tuple[str, tuple[
         if at < n and text[at] == "+":
             at += 1
         else:
-            return "".join(value), tuple(spans)
+            return "".join(value), tuple(spans), quoted
 
 
 def pairs(text: str) -> Iterator[Pair]:
@@ -146,10 +153,21 @@ def name_score(name: str) -> float:
     return min(1.0, sum(SENSITIVE.get(x, 0.0) for x in [*parts, *joined]))
 
 
-def value_score(value: str) -> float:
-    """How much a literal looks like a secret: length, entropy of its letters, and kinds of letters."""
-    if len(value) < LEAST_LENGTH or PLACEHOLDER.match(value) or any(x.isspace() for x in value):
+def value_score(value: str, certain: bool = False) -> float:
+    """How much a literal looks like a secret: length, entropy of its letters, and kinds of letters.
+
+    With blanks or few letters it only does if it is quoted and its name is ``certain`` to be a secret's, and then less.
+    """
+    if PLACEHOLDER.match(value.strip()):
         return 0.0
+    if len(value) < LEAST_LENGTH or any(x.isspace() for x in value):
+        if not certain or len(value.strip()) < LEAST_QUOTED:
+            return 0.0
+        return DOUBT * _letters_score(value)
+    return _letters_score(value)
+
+
+def _letters_score(value: str) -> float:
     entropy = -sum(k / len(value) * math.log2(k / len(value)) for k in Counter(value).values())
     kinds = sum((any(x.isdigit() for x in value), any(x.islower() for x in value), any(x.isupper() for x in value),
                  any(not x.isalnum() for x in value)))
@@ -172,7 +190,7 @@ def literal_spans(text: str) -> list[Span]:
     if "=" in text or ":" in text:
         for pair in pairs(text):
             weight = name_score(pair.name)
-            if weight and weight * value_score(pair.value) >= THRESHOLD:
+            if weight and weight * value_score(pair.value, pair.quoted and weight >= CERTAIN) >= THRESHOLD:
                 found |= {("literal", *span) for span in pair.spans if span[1] > span[0]}
     return sorted(found, key=lambda x: x[1:])
 
@@ -235,8 +253,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             columns = {name: batch.column(name) for name in batch.schema.names}
             columns["text"] = pa.array(texts, pa.string())
             if "n_chars" in columns:
-                counted = pa.array([None if x is None else len(x) for x in texts], pa.int64())
-                columns["n_chars"] = pc.coalesce(counted, columns["n_chars"].cast(pa.int64()))
+                own = columns["n_chars"]
+                counted = pa.array([None if x is None else len(x) for x in texts], pa.int64()).cast(own.type)
+                columns["n_chars"] = pc.coalesce(counted, own)
             yield pa.RecordBatch.from_pydict(columns)
 
     return docs.mapInArrow(clean, docs.schema)

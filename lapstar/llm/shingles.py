@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 from lapstar.llm.common import mix
-from lapstar.llm.words import LOWER, SPACE, Ranges, text_of, word_ranges
+from lapstar.llm.words import LOWER, SPACE, text_of, word_hashes, word_ranges
 
 WORDS = 5
 _FACTOR = np.uint64(0x9FB21C651E98DF25)
@@ -20,7 +20,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     """
     data = LOWER[data]
     starts, ends = word_ranges(offsets, ~SPACE[data])
-    words = Ranges(data)(starts, ends)
+    words = word_hashes(data, starts, ends)
     n = len(offsets) - 1
     n_words = np.bincount(text_of(offsets, starts), minlength=n)
     n_shingles = np.where(n_words > 0, np.maximum(n_words - WORDS + 1, 1), 0)

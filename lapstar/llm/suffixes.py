@@ -30,14 +30,12 @@ class Buckets:
 
     def grams(self) -> np.ndarray:
         """The first level's name of every position."""
-        sums, n = self.ranges.sums, max(0, len(self.ranges.sums) - GRAM)
-        return mix((sums[GRAM:] - sums[:n]) * self.ranges.down[:n] if n else sums[:0])
+        return mix(self.ranges.windows(GRAM))
 
     def level(self, k: int, at: np.ndarray) -> np.ndarray:
         """Names for the ``GRAM * 2**k`` bytes from these positions on."""
         if k == 0:
-            sums = self.ranges.sums
-            return mix((sums[at + GRAM] - sums[at]) * self.ranges.down[at])
+            return mix(self.ranges._sums(at, at + GRAM))
         return mix(self.level(k - 1, at) * _LATER + self.level(k - 1, at + (GRAM << (k - 1))))
 
     def names(self, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:

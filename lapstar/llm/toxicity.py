@@ -6,7 +6,7 @@ short vectors per pair of terms, so that two terms may mean together what neithe
 terms of a text costs as much as a few plain sums.
 
 The model learns from a bounded sample of labelled texts, up to ``SAMPLE`` of each class, chosen by a hash of the id;
-their terms are extracted on the executors. All terms of ``LEAST_TEXTS`` texts or more are learnt, in two turns. The
+their terms are extracted on the executors, and one task learns from them. All terms of ``LEAST_TEXTS`` texts or more are learnt, in two turns. The
 first turn has only the ``FIRST_TERMS`` terms whose presence differs most between the classes of the sample, by
 ``LEAST_Z`` standard errors at least. The second has all terms, with an L1 penalty of half a standard error on the weights of
 the others, so that they learn from what the first ones leave unexplained: rare insults, and terms that tell only
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapstar.llm.common import map_texts, slices, texts_of, utf8
+from lapstar.llm.common import map_texts, ragged, slices, texts_of, utf8
 from lapstar.llm.words import LOWER, Ranges, text_of, word_ranges
 
 SAMPLE = 3000
@@ -92,11 +92,37 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -60, 60)))
 
 
-def telling_terms(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+@dataclass
+class Texts:
+    """The terms of some texts, one text's after the other's."""
+
+    starts: np.ndarray  # where each text begins; one more entry than texts
+    terms: np.ndarray
+    weights: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[tuple[np.ndarray, np.ndarray]]) -> Texts:
+        starts = np.cumsum([0, *(len(b) for b, _ in texts)])
+        return cls(starts, np.concatenate([b for b, _ in texts]), np.concatenate([w for _, w in texts]))
+
+    def only(self, keep: np.ndarray, terms: np.ndarray | None = None) -> Texts:
+        """Without some entries; with other names for the terms."""
+        kept = np.concatenate([[0], np.cumsum(keep)])[self.starts]
+        return Texts(kept, (self.terms if terms is None else terms)[keep], self.weights[keep])
+
+    def some(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text (numbered as in ``chosen``), term and weight of the entries of some texts."""
+        sizes = self.starts[chosen + 1] - self.starts[chosen]
+        at = np.repeat(self.starts[chosen], sizes) + ragged(sizes)
+        return np.repeat(np.arange(len(chosen)), sizes), self.terms[at], self.weights[at]
+
+
+def telling_terms(texts: Texts, labels: np.ndarray) -> np.ndarray:
     """The buckets whose share of texts differs most between the classes, by the z value of the difference."""
-    found, number = np.unique(np.concatenate(texts), return_inverse=True)
-    both = np.bincount(number)
-    toxic = np.bincount(number, np.repeat(labels, [len(x) for x in texts]))
+    both = np.bincount(texts.terms, minlength=1 << BITS)
+    toxic = np.bincount(texts.terms[np.repeat(labels > 0, np.diff(texts.starts))], minlength=1 << BITS)
+    found = np.flatnonzero(both)
+    both, toxic = both[found], toxic[found]
     n, n_toxic = len(labels), labels.sum()
     share = both / n
     gap = np.abs(toxic / n_toxic - (both - toxic) / (n - n_toxic))
@@ -106,27 +132,22 @@ def telling_terms(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.sort(found[chosen[z[chosen] >= LEAST_Z]]).astype(np.int64)
 
 
-def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 7) -> Model:
+def fit(texts: list[tuple[np.ndarray, np.ndarray]] | Texts, labels: np.ndarray, seed: int = 7) -> Model:
     """Learns from (buckets, weights) per text. With one class only, every text gets its score; without any, that of a clean text."""
     if len(np.unique(labels)) < 2:
         none = np.zeros((0, FACTORS))
         return Model(4.0 if labels.sum() else -4.0, np.zeros(0, np.int64), none[:, 0], none)
-    found, count = np.unique(np.concatenate([b for b, _ in texts]), return_counts=True)
-    buckets = found[count >= LEAST_TEXTS].astype(np.int64)
+    texts = texts if isinstance(texts, Texts) else Texts.of(texts)
+    buckets = np.flatnonzero(np.bincount(texts.terms, minlength=1 << BITS) >= LEAST_TEXTS)
+    first = np.isin(buckets, telling_terms(texts, labels))
     model = Model(0.0, buckets, np.zeros(len(buckets)), np.zeros((len(buckets), FACTORS)))
     rng = np.random.default_rng(seed)
     model.factors = rng.normal(0, 0.01, model.factors.shape)
-    number = model.numbers()
-    rows = []
-    for bucket, weight in texts:
-        at = number[bucket].astype(np.int32)
-        rows.append((at[at >= 0], weight[at >= 0]))
-    first = np.isin(buckets, telling_terms([b for b, _ in texts], labels))
+    at = model.numbers().astype(np.int32)[texts.terms]
+    texts = texts.only(at >= 0, at)
     # At most the standard error of the mean gradient of a term that has nothing to do with the label.
-    squares = np.zeros(len(buckets))
-    for term, weight in rows:
-        squares[term] += weight**2
-    penalty = PENALTY * np.where(first, 0, 0.5 * np.sqrt(squares) / len(rows))
+    squares = np.bincount(texts.terms, texts.weights**2, len(buckets))
+    penalty = PENALTY * np.where(first, 0, 0.5 * np.sqrt(squares) / len(labels))
     sums = [1e-8, np.full(len(buckets), 1e-8), 1e-8]
 
     def step(value, gradient, k, n):
@@ -136,17 +157,15 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: in
         sums[k] = sums[k] + ((gradient**2).max(initial=0) if k == 2 else gradient**2)
         return value - RATE * gradient / np.sqrt(sums[k])
 
-    turns = [[(term[first[term]], weight[first[term]]) for term, weight in rows], rows]
+    turns = [texts.only(first[texts.terms]), texts]
     for epoch in range(2 * EPOCHS):
         rows = turns[epoch // EPOCHS]
         if epoch == EPOCHS:
             sums[2] = 1e-8
-        order = rng.permutation(len(rows))
+        order = rng.permutation(len(labels))
         for begin in range(0, len(order), BATCH):
             chosen = order[begin : begin + BATCH]
-            term = np.concatenate([rows[i][0] for i in chosen])
-            weight = np.concatenate([rows[i][1] for i in chosen])
-            text = np.repeat(np.arange(len(chosen)), [len(rows[i][0]) for i in chosen])
+            text, term, weight = rows.some(chosen)
             error = model.scores(text, term, weight, len(chosen)) - labels[chosen]
             spread = error[text] * weight
             size = len(buckets)
@@ -191,15 +210,26 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> Model:
             "weights": pa.ListArray.from_arrays(cuts, pa.array(weight.astype(np.float32))),
         }
 
+    def learn(sample: pa.Table) -> pa.Table:
+        sample = sample.take(pa.array(np.argsort(sample["doc_id"].to_numpy(), kind="stable"))).combine_chunks()
+        buckets, weights = (sample[name].combine_chunks() for name in ("buckets", "weights"))
+        starts = np.concatenate([[0], np.cumsum(buckets.value_lengths().to_numpy())])
+        labels = sample["toxic"].to_numpy().astype(np.float64)
+        model = fit(Texts(starts, buckets.flatten().to_numpy(), weights.flatten().to_numpy()), labels)
+        return pa.table({
+            "bias": [model.bias], "buckets": [model.buckets], "weights": [model.weights], "factors": [model.factors.reshape(-1)],
+        })
+
     schema = "doc_id long, toxic int, buckets array<int>, weights array<float>"
     texts = texts.withColumn("toxic", F.col("toxic").cast("int"))
-    sample = map_texts(texts, extract, schema, keep=("doc_id", "toxic")).dropDuplicates(["doc_id"]).toArrow()
-    order = np.argsort(sample["doc_id"].to_numpy(), kind="stable")
-    rows = [
-        (np.asarray(sample["buckets"][int(i)].values), np.asarray(sample["weights"][int(i)].values))  # no copies
-        for i in order
-    ]
-    return fit(rows, sample["toxic"].to_numpy()[order].astype(np.float64))
+    sample = map_texts(texts, extract, schema, keep=("doc_id", "toxic")).dropDuplicates(["doc_id"])
+    # 2 * SAMPLE rows at most are one group: the model is learnt in one task, and only the model goes to the driver.
+    learnt = sample.groupBy().applyInArrow(learn, "bias double, buckets array<long>, weights array<double>, factors array<double>")
+    row = learnt.toArrow()
+    if not len(row):
+        return fit([], np.zeros(0))
+    buckets, weights, factors = (row[name].combine_chunks().flatten().to_numpy() for name in ("buckets", "weights", "factors"))
+    return Model(row["bias"][0].as_py(), buckets, weights, factors.reshape(-1, FACTORS))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -222,7 +252,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that score below ``THRESHOLD``."""
+    """The rows of ``docs``, with all their columns, that score below ``THRESHOLD``.
+
+    Null and empty texts have the score of a text without known terms. Repeated rows stay or go together.
+    """
+
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = model.numbers()
         for batch in found:

@@ -4,15 +4,14 @@ A listed string is found through ``DigestArray``: the xxhash digests of all entr
 themselves. A probe is a vectorised binary search; entries with an equal digest are compared as strings, so a
 collision is never taken for a hit. The arrays are memory-mapped.
 
-Two lists decide about a page. Rules (host, path, verdict) are configuration, a Python list whose size is checked;
-the longest rule whose host is the page's host or a parent domain and whose path is a prefix of the page's path
+Two lists decide about a page. Rules (host, path, verdict) are configuration, a Python list; the longest rule whose host is the page's host or a parent domain and whose path is a prefix of the page's path
 wins. Any other page is blocked if its host and path are in the table of listed URLs. That table may be as large as
 the pages: it is dealt out by the top bits of the digest, and each part becomes one array in one task.
 """
 
 from __future__ import annotations
 
-import tempfile
+import mmap
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from pathlib import Path
@@ -23,6 +22,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapstar.session import save
+
 SEED = 42
 RULE_LIMIT = 200_000
 PART_ENTRIES = 100_000
@@ -59,14 +60,22 @@ class DigestArray:
         ends = np.cumsum([0, *map(len, encoded)]).astype(np.int64)
         return cls(digests[order], ends, np.frombuffer(b"".join(encoded), np.uint8), order.astype(np.int64))
 
-    def mapped(self, folder: str) -> DigestArray:
-        """The same arrays, written to ``folder`` and memory-mapped."""
+    def mapped(self, folder: str | None = None) -> DigestArray:
+        """The same arrays, memory-mapped: from files in ``folder``, or without one in anonymous memory, outside Python's heap
+        and given back as a whole."""
         found = []
         for name in ("keys", "ends", "blob", "order"):
             values = getattr(self, name)
-            path = Path(folder, f"{name}.npy")
-            np.save(path, values)
-            found.append(np.load(path, mmap_mode="r") if len(values) else values)
+            if not len(values):
+                found.append(values)
+            elif folder is None:
+                own = np.frombuffer(mmap.mmap(-1, values.nbytes), values.dtype)
+                own[:] = values
+                found.append(own)
+            else:
+                path = Path(folder, f"{name}.npy")
+                np.save(path, values)
+                found.append(np.load(path, mmap_mode="r"))
         return DigestArray(*found)
 
     def find(self, probes: Sequence[str], digests: np.ndarray | None = None) -> np.ndarray:
@@ -103,48 +112,78 @@ def suffixes(host: str) -> Iterator[str]:
         at = host.find(".", at + 1)
 
 
+def _probes(host: str, path: str, lengths: Sequence[int]) -> Iterator[str]:
+    """Texts of all rules that would fit, longest paths first, for the host and then for its parents."""
+    for parent in suffixes(host):
+        if parent:
+            for length in lengths:
+                if length <= len(path):
+                    yield f"{parent} {path[:length]}"
+
+
 def match_rules(pages: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Adds ``rule`` and ``rule_verdict`` (null without a rule that fits). Needs ``host`` and ``path``.
 
-    Of rules with an equal text the first counts. A rule with an empty host fits no page.
+    Every parent of a page's host with every prefix of its path that is as long as some rule's path is looked up in the array
+    of the rules' digests; host and path are kept apart by a blank, which neither has before its end. Of rules with an equal text the
+    first counts. A rule with an empty host fits no page. Lists beyond ``RULE_LIMIT`` are dealt into parts by digest.
     """
-    known = {rule.text: rule for rule in reversed(list(rules)) if rule.host}
+    known: dict[str, Rule] = {}
+    for rule in rules:
+        if rule.host:
+            known.setdefault(rule.text, rule)
+    lengths = sorted({len(rule.path) for rule in known.values()}, reverse=True)
     if len(known) > RULE_LIMIT:
-        raise ValueError(f"{len(known)} rules; a list beyond {RULE_LIMIT} belongs into the listed table")
-    texts = sorted(known)
-    hosts = {rule.host for rule in known.values()}
-    lengths = sorted({len(rule.path) for rule in known.values()})
-    verdicts = [known[text].verdict for text in texts]
-    exact = {(rule.host, rule.path) for rule in known.values()}
+        return _match_many(pages, known, lengths)
+    entries = [f"{rule.host} {rule.path}" for rule in known.values()]
+    texts, verdicts = list(known), [rule.verdict for rule in known.values()]
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with tempfile.TemporaryDirectory() as folder:
-            array = DigestArray.build(texts).mapped(folder)
-            for frame in frames:
-                probes: list[str] = []
-                owners: list[int] = []
-                for row, (host, path) in enumerate(zip(frame["host"], frame["path"], strict=True)):
-                    for parent in suffixes(host):
-                        if parent in hosts:
-                            for length in lengths:
-                                if length <= len(path) and (parent, path[:length]) in exact:
-                                    probes.append(parent + path[:length])
-                                    owners.append(row)
-                best: dict[int, int] = {}
-                for row, found in zip(owners, array.find(probes), strict=True):
-                    if found >= 0 and (row not in best or len(texts[found]) > len(texts[best[row]])):
-                        best[row] = int(found)
-                at = [best.get(row) for row in range(len(frame))]
-                frame["rule"] = pd.Series([None if x is None else texts[x] for x in at], index=frame.index, dtype=object)
-                frame["rule_verdict"] = pd.Series(
-                    [None if x is None else verdicts[x] for x in at], index=frame.index, dtype=object
-                )
-                yield frame
+        array = DigestArray.build(entries).mapped()
+        for frame in frames:
+            probes: list[str] = []
+            owners: list[int] = []
+            for row, (host, path) in enumerate(zip(frame["host"], frame["path"], strict=True)):
+                own = list(_probes(host, path, lengths))
+                probes += own
+                owners += [row] * len(own)
+            best: dict[int, int] = {}
+            found = array.find(probes)
+            for i in np.flatnonzero(found >= 0).tolist():
+                row, at = owners[i], int(found[i])
+                if row not in best or len(texts[at]) > len(texts[best[row]]):
+                    best[row] = at
+            at = [best.get(row) for row in range(len(frame))]
+            frame["rule"] = pd.Series([None if x is None else texts[x] for x in at], index=frame.index, dtype=object)
+            frame["rule_verdict"] = pd.Series(
+                [None if x is None else verdicts[x] for x in at], index=frame.index, dtype=object
+            )
+            yield frame
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
     return pages.mapInPandas(judge, f"{schema}, rule string, rule_verdict string")
 
 
+def _match_many(pages: DataFrame, known: dict[str, Rule], lengths: list[int]) -> DataFrame:
+    """The same for a list that is too long for every task: probes and rules meet in parts, each with its own array."""
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for host, path in zip(frame["host"], frame["path"], strict=True):
+                own = list(_probes(host, path, lengths))
+                if own:
+                    yield pd.DataFrame({"host": host, "path": path, "key": own})
+
+    rows = [(f"{rule.host} {rule.path}", text, rule.verdict) for text, rule in known.items()]
+    table = pages.sparkSession.createDataFrame(rows, "key string, rule string, rule_verdict string")
+    asked = save(pages.select("host", "path").distinct().mapInPandas(ask, "host string, path string, key string"), "asked")
+    hit = found_in(asked.select("key"), table.select("key"), max(len(known), asked.count()))
+    found = asked.join(hit, "key").join(table, "key")
+    best = F.max(F.struct(F.length("rule").alias("size"), "rule", "rule_verdict")).alias("best")
+    best = found.groupBy("host", "path").agg(best).select("host", "path", "best.rule", "best.rule_verdict")
+    return pages.join(best, ["host", "path"], "left").select(*pages.columns, "rule", "rule_verdict")
+
+
 def found_in(keys: DataFrame, listed: DataFrame, entries: int) -> DataFrame:
     """Those of the distinct strings ``key`` that are in ``listed`` (``key``), by digest arrays.
 
@@ -157,9 +196,8 @@ def found_in(keys: DataFrame, listed: DataFrame, entries: int) -> DataFrame:
         return df.select("key", key.alias("digest"), F.shiftrightunsigned(key, 64 - bits).alias("part")).distinct()
 
     def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        with tempfile.TemporaryDirectory() as folder:
-            array = DigestArray.build(list(right["key"]), right["digest"].to_numpy(np.int64).view(np.uint64)).mapped(folder)
-            hit = array.find(list(left["key"]), left["digest"].to_numpy(np.int64).view(np.uint64)) >= 0
+        array = DigestArray.build(list(right["key"]), right["digest"].to_numpy(np.int64).view(np.uint64)).mapped()
+        hit = array.find(list(left["key"]), left["digest"].to_numpy(np.int64).view(np.uint64)) >= 0
         return left.loc[hit, ["key"]]
 
     return dealt(keys).groupBy("part").cogroup(dealt(listed).groupBy("part")).applyInPandas(probe, "key string")

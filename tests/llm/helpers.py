@@ -29,3 +29,9 @@ def documents(spark, rows):
 
 def pairs(frame):
     return sorted(((r["doc_id"], r["text"]) for r in frame.select("doc_id", "text").collect()), key=repr)
+
+
+def thue_morse(n):
+    """A word of ``n`` letters a and b, and the one with both exchanged."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))

@@ -112,3 +112,17 @@ def test_frames(spark):
     assert kept.columns == docs.columns and kept.count() == 15
     assert dec.find_items(docs.limit(0), items).collect() == []
     assert dec.find_items(docs, items.limit(0)).collect() == [] and dec.without_items(docs, items.limit(0)).count() == 18
+
+
+def test_short_items_and_items_without_an_id(spark):
+    """Short items are found unchanged between borders of words; items without an id are searched like others."""
+    items = [(1, "What is 12 + 30?"), (2, " Is  it é? "), (None, "abc"), (None, "a longer item that has no id at all"), (3, "  "), (4, "ab")]
+    docs = [
+        (10, "so: WHAT is\n12 + 30? 42"), (11, "what is 12 + 31?"), (12, "is it é?"), (13, "xis it é?"), (14, "is it é?x"), (15, "(abc)"),
+        (16, "abcd 1abc éabc abcé"), (17, "here a longer item that has no ID at al l"), (18, None), (19, ""), (20, "cab abc"), (15, "(abc)"),
+    ]
+    frame = documents(spark, docs)
+    found = sorted(((r["doc_id"], r["item_id"], r["distance"]) for r in dec.find_items(frame, benchmark(spark, items)).collect()), key=repr)
+    assert found == [(10, 1, 0), (12, 2, 0), (15, None, 0), (15, None, 0), (17, None, 1), (20, None, 0)]
+    kept = dec.without_items(frame, benchmark(spark, items))
+    assert sorted(i for i, _ in pairs(kept)) == [11, 13, 14, 16, 18, 19]

@@ -125,3 +125,22 @@ def test_frames(spark, tokenizer):
     assert [r["start"] for r in ordered] == [sum(x["n_tokens"] for x in ordered[:i]) for i in range(len(ordered))]
     empty = idfile.encoded_folder(docs.limit(0), PATH)
     assert idfile.read_summary(spark, empty).collect() == [] and idfile.read_ids(spark, empty).collect() == []
+
+
+def test_long_words_of_a_regular_build(spark):
+    """Sums of powers modulo 2**64 take a Thue-Morse word for its complement from 1,024 letters on."""
+    from helpers import documents, thue_morse
+    from tokenizers import Tokenizer
+
+    docs = []
+    for n in (256, 1024, 4096):
+        a, b = thue_morse(n)
+        docs += [a + " x " + b, b + " " + a + " " + b]
+    path = "/opt/tokenizers/word_bpe_49k.json"
+    frame = documents(spark, list(enumerate(docs))).coalesce(1)
+    found = sorted(map(tuple, idfile.read_summary(spark, idfile.encoded_folder(frame, path)).collect()))
+    tokenizer, at = Tokenizer.from_file(path), 0
+    for row, text in zip(found, docs, strict=True):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert row[1:4] == (at, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids)))
+        at += len(ids)

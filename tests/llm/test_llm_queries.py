@@ -18,7 +18,7 @@ def test_one_query_per_operator():
     import __spark_entry__ as entry_point
 
     names = entry_point.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert [x for x in names if x.startswith(f"op{n}_")], n
     assert "pipeline" in names and set(ORACLE) <= set(names)
 
@@ -51,14 +51,17 @@ def test_pipeline(spark):
             clean = {r["doc_id"] for r in toxicity.score(before, model).filter("predicted = 0").collect()}
             assert sorted(new) == sorted(r for r in old if r[0] in clean)
         elif name == "near_copies":
-            kept = {r[0] for r in groups(old) if r[3]}
+            kept = {r[0] for r in groups(old, 80) if r[3]}
             assert len(kept) < len(old) and sorted(new) == sorted(r for r in old if r[0] in kept)
         elif name == "benchmark":
             items = [tuple(r) for r in table(spark, SF, "benchmark").collect()]
             exact = {i for i, t in old if any(decontaminate.normal_text(x) in decontaminate.normal_text(t) for _, x in items)}
             gone = {r[0] for r in old} - {r[0] for r in new}
             assert exact <= gone and sorted(new) == sorted(r for r in old if r[0] not in gone)
-            assert gone == {i for i, _, _ in leaks(items, [r for r in old if r[0] in gone])}
+            # Whoever shares 16 bytes with an item, as each text with few edits does, or is gone, is held against all distances.
+            grams = {x[i : i + 16] for _, t in items for x in [decontaminate.normal_text(t)] for i in range(len(x) - 15)}
+            near = [r for r in old if r[0] in gone or any(x[i : i + 16] in grams for x in [decontaminate.normal_text(r[1])] for i in range(len(x) - 15))]
+            assert gone == {i for i, _, _ in leaks(items, near[:60])} | (gone - {r[0] for r in near[:60]})
         elif name == "secrets":
             assert sorted(new) == sorted((i, secrets.redacted(t)) for i, t in old)
         else:

@@ -2,7 +2,8 @@ import re
 
 import numpy as np
 import pytest
-from helpers import documents, odd_documents, pairs
+from helpers import documents, odd_documents, pairs, thue_morse
+from pyspark.sql import functions as F
 
 from lapstar.llm import nearcopies, superminhash
 from lapstar.llm.common import mix
@@ -16,7 +17,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def brute(rows):
+def brute(rows, link=85):
     """All pairs, then components."""
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -29,7 +30,7 @@ def brute(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             common = len(a & sets[j])
-            if a and 100 * common >= 85 * (len(a) + len(sets[j]) - common):
+            if a and 100 * common >= link * (len(a) + len(sets[j]) - common):
                 parent[root(i)] = root(j)
     out = []
     for i, (doc_id, _) in enumerate(rows):
@@ -163,3 +164,38 @@ def test_components(spark):
     assert {r["node"]: r["component"] for r in rows} == {x: root(x) for e in edges for x in e if e[0] != e[1]}
     assert len(rows) == len({r["node"] for r in rows})
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_long_words_of_a_regular_build(spark):
+    docs = []
+    for n in (1024, 4096):
+        a, b = thue_morse(n)
+        docs += [a, b, f"v w x y {a}", f"v w x y {b}", a]
+    rows = list(enumerate(docs))
+    assert found(documents(spark, rows)) == brute(rows)
+    assert len({r[2] for r in brute(rows)}) == 8
+
+
+def test_one_id_with_several_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (1, b), (2, b + " z"), (3, c), (3, c + " z"), (4, None), (4, c), (5, ""), (5, None), (None, a), (0, a + " z")]
+    docs = documents(spark, rows)
+    left = sorted((r["doc_id"], r["text"]) for r in nearcopies.one_of_each(docs).filter("doc_id is not null").collect() if r["text"])
+    assert left[0] == (0, a + " z") and left[1] == (1, b) and len(left) == 3 and left[2][0] == 3
+    empty = [r["doc_id"] for r in nearcopies.one_of_each(docs).collect() if not r["text"]]
+    assert sorted(empty) == [4, 5]
+    assert nearcopies.one_of_each(docs).filter("doc_id is null").count() == 1
+    shuffled = nearcopies.one_of_each(docs.repartition(5)).filter("text <> '' and doc_id is not null")
+    assert sorted((r["doc_id"], r["text"]) for r in shuffled.collect()) == left
+
+
+def test_one_odd_class_in_a_large_hub(spark, monkeypatch):
+    """It is compared with every member, in rows that grow with the group and not with its square."""
+    size = 20_000
+    members = spark.range(size + 1).select(F.lit(0).cast("long").alias("hub"), F.col("id").alias("cid"), F.lit(50).cast("long").alias("n"))
+    known = spark.range(size).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("component"))
+    rows = nearcopies._paired_blocks(members, known)
+    blocks = -(-size // nearcopies.BLOCK)
+    assert rows.count() == size + blocks + 1  # the odd one in every block, and with itself
+    met = rows.groupBy("i", "j").agg(F.max((F.col("cid") == size).cast("int")).alias("odd"), F.count("*").alias("n"))
+    assert met.filter("odd = 1").agg(F.sum("n")).first()[0] == size + blocks + 1

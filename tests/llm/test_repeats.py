@@ -117,3 +117,21 @@ def test_covered():
     assert begin.tolist() == [1, 10, 900] and end.tolist() == [6, 25, 905]
     touching = repeats.covered(np.array([0, 5]), np.array([0, 5]), 5)
     assert [x.tolist() for x in touching] == [[0], [10]]
+
+
+def test_sums_across_chunks(monkeypatch):
+    """Ranges of any length have the same hash wherever they lie, with chunks and without."""
+    from lapstar.llm import words
+
+    rng = np.random.default_rng(2)
+    data = rng.integers(0, 256, 3000).astype(np.uint8)
+    starts = rng.integers(0, 3000, 500)
+    ends = np.minimum(3000, starts + rng.integers(0, 900, 500))
+    whole = words.Ranges(data)(starts, ends)
+    grams = words.Ranges(data).windows(64)
+    for chunk in (100, 128, 1000, 3000):
+        monkeypatch.setattr(words, "CHUNK", chunk)
+        assert (words.Ranges(data)(starts, ends) == whole).all() and (words.Ranges(data).windows(64) == grams).all()
+        assert len(words.Ranges(data[:10]).windows(64)) == 0
+    copied = np.concatenate([data[:5], data, data])
+    assert (words.Ranges(copied)(starts + 3005, ends + 3005) == whole).all()

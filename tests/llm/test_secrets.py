@@ -92,3 +92,19 @@ def test_redaction(spark):
         assert row["n_chars"] == (None if row["text"] is None else len(row["text"]))
     assert secrets.scan(docs.limit(0)).collect() == [] == secrets.redact(docs.limit(0)).collect()
     assert secrets.scan(docs).count() == 18
+
+
+def test_quoted_literals_of_certain_names():
+    """Passphrases with blanks and short passwords count for names that leave no doubt, if they are quoted."""
+    assert literals('passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
+    assert literals('password = "hunter2"') == ["hunter2"]
+    assert literals("pwd = 'yourS3cretX9q' ; credential: 'exampleK3y77zq'") == ["yourS3cretX9q", "exampleK3y77zq"]
+    assert literals("pwd = 'your-password' ; token = 'example' ; secret = 'YOUR_API_TOKEN' ; pwd = 'none'") == []
+    assert literals('session = "hello there friend 7"; pin = "12"; password: see below') == []
+    assert secrets.redacted('password = "hunter2"') == 'password = "[SECRET]"'
+
+
+def test_number_of_letters_keeps_its_type(spark):
+    docs = spark.createDataFrame([(1, "token = 'abcDEF123456'", 3), (2, None, 5)], "doc_id int, text string, n_chars int")
+    clean = secrets.redact(docs)
+    assert clean.schema == docs.schema and {r["doc_id"]: r["n_chars"] for r in clean.collect()} == {1: 9, 2: 5}

@@ -74,7 +74,28 @@ def test_digests_are_those_of_spark(spark):
     assert [r["d"] % 2**64 for r in rows] == [urls.digest(t) for t in texts]
 
 
-def test_too_many_rules(spark, monkeypatch):
+def test_long_lists_of_rules(spark, monkeypatch):
+    """Beyond the limit rules are dealt into parts; the rows are the same."""
     monkeypatch.setattr(urls, "RULE_LIMIT", 2)
-    with pytest.raises(ValueError, match="listed"):
-        urls.judge(pages(spark, [(1, "a://b")]), URL_RULES)
+    monkeypatch.setattr(urls, "PART_ENTRIES", 5)
+    found = list(enumerate(URLS)) + [(3, URLS[3]), (None, URLS[5]), (None, None)]
+    rules = [*URL_RULES, *[urls.Rule(f"h{i}.org", "/" * (i % 3), "block") for i in range(60)], urls.Rule("net", "/a", "allow")]
+    found += [(100 + i, f"http://www.h{i}.org//x") for i in range(0, 60, 7)]
+    want = []
+    for page_id, url in found:
+        host, path, rule = brute(url, rules)
+        want.append((page_id, host, path, rule.text if rule else None, rule.verdict if rule else "allow"))
+    assert sorted(map(tuple, urls.judge(pages(spark, found), rules).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_the_array_decides(spark):
+    """Rules whose texts are equal but for the border of host and path are told apart."""
+    rules = [urls.Rule("a.b", "/c", "block"), urls.Rule("a", "/", "allow")]
+    found = [(1, "x://a.b/c"), (2, "x://a/.b/c"), (3, "x://b/c"), (4, "x://z.a.b/cd"), (5, "x://a.b")]
+    rows = sorted(map(tuple, urls.judge(pages(spark, found), rules).collect()))
+    assert [r[3] for r in rows] == ["a.b/c", "a/", None, "a.b/c", None]
+
+
+def test_anonymous_map():
+    array = urls.DigestArray.build([f"k{i}" for i in range(100)] + [""]).mapped()
+    assert array.find([f"k{i}" for i in range(0, 200, 9)] + [""]).tolist() == [i if i < 100 else -1 for i in range(0, 200, 9)] + [100]
