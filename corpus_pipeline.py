@@ -19,27 +19,28 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is below the threshold."""
+    """Documents whose score is below the threshold. Null and empty texts are scored like others; repeated rows share a fate."""
     return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of a similarity of 0.85 or more."""
-    return nearcopies.one_of_each(docs, link=85)
+    """The document with the smallest id of each group of a similarity of 0.8 or more; texts without words stay, and of
+    equal rows, or rows of one id without words, one. Rows with a null id stay."""
+    return nearcopies.one_of_each(docs, link=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts hold none; repeated rows share a fate."""
     return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark."""
+    """All documents, repeated rows too, secrets replaced by a mark. A null text stays null."""
     return secrets.redact(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, ids, lossless``: pieces with merge-dropout."""
+    """``doc_id, ids, lossless`` of every row: pieces with merge-dropout. A null text is empty."""
     return sentencepieces.encoded(docs, f"{TOKENIZERS}/piece_bpe_32k.model", SEED)
 
 
