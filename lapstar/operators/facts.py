@@ -11,7 +11,7 @@ from lapstar.operators.joins import join_null_safe
 from lapstar.operators.keys import number_rows
 from lapstar.operators.quality import duplicates
 from lapstar.operators.scd2 import current
-from lapstar.schemas import FACT_PERFORMANCE, FACT_RANKINGS, SWIMMER_ATTRIBUTES, tie_columns
+from lapstar.schemas import FACT_PERFORMANCE, FACT_RANKINGS, SOURCE, SWIMMER_ATTRIBUTES, tie_columns
 
 
 def numbered_swims(raw: DataFrame, tie: list[str] | None = None) -> DataFrame:
@@ -32,9 +32,12 @@ def numbered_swims(raw: DataFrame, tie: list[str] | None = None) -> DataFrame:
         as_int("Overall_Rank").alias("overall_rank"),
         as_int("Age").alias("age"),
         *tie,
+        *([SOURCE[0]] if SOURCE[0] in raw.columns and SOURCE[0] not in tie else []),
     ).dropna(subset=["swimmer_id", "distance", "stroke", "competition_id"])
     order = ["competition_id", "event", F.col("overall_rank").asc_nulls_last(), "swimmer_id"]
-    return number_rows(swims, [*order, *tie, "time_seconds", "age"], "performance_id").drop("event", *tie)
+    return number_rows(swims, [*order, *tie, "time_seconds", "age"], "performance_id").drop(
+        "event", *[c for c in tie if c != SOURCE[0]]
+    )
 
 
 def performance(
@@ -46,7 +49,8 @@ def performance(
     shared_ids: bool | None = None,
 ) -> DataFrame:
     """One row per swim, for the current version of the swimmer; ids from 1 on."""
-    return resolved(numbered_swims(raw, tie), swimmers, events, competitions, shared_ids)
+    rows = resolved(numbered_swims(raw, tie), swimmers, events, competitions, shared_ids)
+    return rows.select(*FACT_PERFORMANCE.names)
 
 
 def resolved(
@@ -72,7 +76,8 @@ def resolved(
 def of_versions(
     swims: DataFrame, held: DataFrame, events: DataFrame, competitions: DataFrame, by_attributes: bool
 ) -> DataFrame:
-    """Fact rows of ``numbered_swims`` for the given rows of the swimmers, matched by id or by all attributes."""
+    """Fact rows of ``numbered_swims`` for the given rows of the swimmers, matched by id or by all attributes; with the
+    file they come from, where the swims have it."""
     joined = swims.join(events.select("event_sk", "distance", "stroke"), ["distance", "stroke"]).join(
         competitions.select("competition_sk", "competition_id"), "competition_id"
     )
@@ -81,7 +86,7 @@ def of_versions(
         joined = join_null_safe(joined, held.select("swimmer_sk", *match), match)
     else:
         joined = joined.join(held.select("swimmer_sk", "swimmer_id"), "swimmer_id")
-    return joined.select(*FACT_PERFORMANCE.names)
+    return joined.select(*FACT_PERFORMANCE.names, *([SOURCE[0]] if SOURCE[0] in joined.columns else []))
 
 
 def best_results(performance: DataFrame) -> DataFrame:

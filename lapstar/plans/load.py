@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import threading
 from collections import defaultdict
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from contextvars import copy_context
 
 from pyspark.errors import AnalysisException
@@ -24,10 +26,12 @@ from lapstar.schemas import (
     FACT_RANKINGS,
     RAW_COLUMNS,
     RAW_WITH_SOURCE,
+    SOURCE,
     Warehouse,
 )
 from lapstar.session import empty, new_path, save, scratch
 from lapstar.sources.files import read_by_name, read_results, results_glob
+from lapstar.sources.lock import writer
 from lapstar.sources.tables import OLD, STAGING, append, overwrite_swap, read_table, recover, replace_load
 
 TABLES = {
@@ -46,6 +50,15 @@ PAIR_IDS = FACT_RANKINGS.fieldNames()[:3]
 _WRITERS: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
 
+@contextmanager
+def _writing(spark: SparkSession, database: str) -> Iterator[None]:
+    """One writer at a time: threads of one session by a lock in the process, sessions by one in the file system."""
+    with _WRITERS[database]:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        with writer(spark, spark.catalog.getDatabase(database).locationUri):
+            yield
+
+
 def _rankings(spark: SparkSession, database: str) -> DataFrame:
     name = f"{database}.fact_rankings"
     stored = read_table(spark, name, FACT_RANKINGS)
@@ -130,12 +143,11 @@ def run_load(
     Keys of known rows never change. Facts are stored per ``load_id``, where a load replaces its own, under the same
     ids; so a load that stopped half-way is simply run again. If other loads came since, its swimmers and competitions
     are older than what the dimensions have: only those that are unknown are added, and swims keep their versions.
-    A warehouse has one writer: loads of one session wait for each other, those of other sessions must.
+    A warehouse has one writer: loads wait for each other, also those of other sessions and applications.
     ``raw`` is read once for the swimmers, once for the other dimensions and once for the swims: pass a table,
     as ``load_files`` does.
     """
-    with _WRITERS[database], scratch(spark):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    with _writing(spark, database), scratch(spark):
         _recover(spark, database)
         older = _known_load(spark, database, load_id)
         feed = dims.swimmer_feed(raw)
@@ -174,8 +186,14 @@ def _load_facts(
     else:
         shared_ids = not quality.duplicates(feed, ["swimmer_id"], allow_null=True).isEmpty()
         rows = facts.resolved(swims, loaded.swimmers, loaded.events, loaded.competitions, shared_ids)
+    if SOURCE[0] not in rows.columns:
+        rows = rows.withColumn(SOURCE[0], F.lit(None).cast("string"))
     replace_load(rows, f"{database}.fact_swimming_performance", load_id)
+    _load_rankings(spark, database, load_id)
 
+
+def _load_rankings(spark: SparkSession, database: str, load_id: str) -> None:
+    """The ranking rows of a load, from its swims as they are stored."""
     added = spark.read.table(f"{database}.fact_swimming_performance").filter(F.col("load_id") == load_id)
     best = save(facts.best_results(added), "best-results")
     pairs, schema = f"{database}.{PAIRS}", StructType([FACT_RANKINGS[name] for name in PAIR_IDS])
@@ -185,14 +203,45 @@ def _load_facts(
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    """The results files of a folder as ``file, size``; their content is not read."""
+    """The results files of a folder as ``file, size, modified, source_file, unit``; their content is not read.
+
+    ``source_file`` is the name under which rows know their file. ``unit`` is the results file, which is the file itself or
+    the folder of its parts.
+    """
     try:
         found = spark.read.format("binaryFile").load(results_glob(path))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no result files in {path}") from error
         raise
-    return found.select(F.col("path").alias("file"), F.col("length").alias("size"))
+    return found.select(
+        F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"),
+        F.col("_metadata.file_path").alias(SOURCE[0]),
+        F.regexp_extract("path", r"^(.*_results\.csv)(/.*)?$", 1).alias("unit"),
+    )
+
+
+def _outdated(files: DataFrame, new: DataFrame, others: DataFrame) -> DataFrame:
+    """``source_file, load_id`` of what other loads have of files that came again, or that are gone from a unit with new parts."""
+    again = others.join(new.select("file").distinct(), "file", "left_semi")
+    parts = others.join(new.select("unit").distinct(), "unit", "left_semi").join(files.select("file"), "file", "left_anti")
+    return again.unionByName(parts).select(SOURCE[0], "load_id").distinct()
+
+
+def _retire(spark: SparkSession, database: str, outdated: DataFrame) -> None:
+    """Takes the swims of older versions of files from the loads that brought them, and ranks those loads anew."""
+    name = f"{database}.fact_swimming_performance"
+    loads = [row["load_id"] for row in outdated.select("load_id").distinct().collect()]
+    if not loads:
+        return
+    files = outdated.select(SOURCE[0]).distinct()
+    with _writing(spark, database), scratch(spark):
+        stored = spark.read.table(name).filter(F.col("load_id").isin(loads))
+        hit = stored.join(files, SOURCE[0], "left_semi").select("load_id").distinct().collect()
+        for load_id in sorted(row["load_id"] for row in hit):
+            rest = stored.filter(F.col("load_id") == load_id).join(files, SOURCE[0], "left_anti")
+            replace_load(save(rest.drop("load_id").select(*FACT_PERFORMANCE.names, SOURCE[0]), "rest"), name, load_id)
+            _load_rankings(spark, database, load_id)
 
 
 def load_files(
@@ -205,18 +254,22 @@ def load_files(
 ) -> tuple[Warehouse, DataFrame]:
     """The whole job on the new files of a folder: the warehouse after the load, and a profile of each file.
 
-    New are files that no other load has read, by path and size; the load's own are read again if it is repeated.
+    New are files that no other load has read, by path, size and time of the last change; the load's own are read again
+    if it is repeated. A file that came again with other content replaces what its older versions brought, whichever load
+    did; so do new parts of a results file for parts that are gone. A results file that is gone as a whole keeps its swims.
     The text is parsed once, into a Parquet table that the profile and the load read by column. With ``by_name`` the
     files' columns are found by their headers, in any order.
     """
     kept = new_path(spark, "profile")
     with scratch(spark):
-        files = _files(spark, path)
+        found = save(_files(spark, path), "found")
         log = read_table(spark, f"{database}.{FILES}")
+        files, outdated = found, None
         if log is not None:
-            others = log.filter(F.col("load_id") != load_id)
-            files = files.join(others, ["file", "size"], "left_anti")
-        files = save(files, "files")
+            others = save(log.filter(F.col("load_id") != load_id), "others")
+            known = ["file", "size", "modified"]
+            files = save(found.join(others.filter("done"), known, "left_anti"), "files")
+            outdated = save(_outdated(found, files, others), "outdated")
         # Spark lists the files on the driver in any case; only the new ones are opened.
         paths = [row["file"] for row in files.select("file").collect()]
         read = read_by_name if by_name else read_results
@@ -225,9 +278,14 @@ def load_files(
         profile = save(quality.profile(raw, "source_file", RAW_COLUMNS), path=kept)
         if not paths:
             return read_warehouse(spark, database), profile
-        loaded = run_load(spark, raw, database, load_id, as_of)
-        replace_load(files, f"{database}.{FILES}", load_id)
-        return loaded, profile
+        # Noted before and after, so that what a load that breaks off has brought is found by the next one.
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        replace_load(files.withColumn("done", F.lit(False)), f"{database}.{FILES}", load_id)
+        run_load(spark, raw, database, load_id, as_of)
+        if outdated is not None:
+            _retire(spark, database, outdated)
+        replace_load(files.withColumn("done", F.lit(True)), f"{database}.{FILES}", load_id)
+        return read_warehouse(spark, database), profile
 
 
 def row_counts(warehouse: Warehouse) -> DataFrame:

@@ -24,6 +24,7 @@ def read_table(spark: SparkSession, name: str, schema: StructType | None = None)
     """
     for found in (name, name + OLD):
         if spark.catalog.tableExists(found):
+            spark.catalog.refreshTable(found)  # another session may have written it
             return spark.read.table(found)
     LOG.warning("table %s not found", name)
     return None if schema is None else empty(spark, schema)

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
@@ -8,7 +9,7 @@ from conftest import SMALL, swim
 from lapstar.operators import dims, facts, quality
 from lapstar.plans import load
 from lapstar.plans.load import load_files, read_warehouse, reset, row_counts, run_load
-from lapstar.schemas import TEXT_LIMITS
+from lapstar.schemas import RAW_COLUMNS, TEXT_LIMITS
 from lapstar.session import shared_folder
 from lapstar.sources.files import write_results
 from workload.staging import AS_OF, SRC, new_database, raw_results, warehouse
@@ -286,3 +287,101 @@ def test_ids_do_not_depend_on_the_layout(spark, small):
     again = facts.performance(raw.repartition(13), wh.swimmers, wh.events, wh.competitions, SRC)
     assert again.exceptAll(wh.performance).isEmpty() and wh.performance.exceptAll(again).isEmpty()
     assert wh.swimmers.filter(f"valid_from <> date'{AS_OF}' OR created_at IS NULL OR updated_at IS NULL").isEmpty()
+
+
+def results_file(folder, name, rows, when):
+    """A single results file as another program writes it, with its time of change."""
+    import csv
+    import os
+
+    folder.mkdir(exist_ok=True)
+    path = folder / f"{name}_results.csv"
+    with path.open("w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(RAW_COLUMNS)
+        writer.writerows([["" if row.get(c) is None else row[c] for c in RAW_COLUMNS] for row in rows])
+    os.utime(path, (when, when))
+    return path
+
+
+def times(loaded):
+    swims = loaded.performance.join(loaded.swimmers, "swimmer_sk").join(loaded.competitions, "competition_sk")
+    best = loaded.rankings.join(loaded.swimmers, "swimmer_sk").join(loaded.events, "event_sk")
+    return values(swims, "swimmer_id", "competition_id", "time_seconds"), values(best, "swimmer_id", "distance", "best_time")
+
+
+def test_corrected_files_replace_what_they_brought(spark, tmp_path):
+    folder, name = tmp_path / "in", new_database(spark)
+
+    def meet(number, time, swimmer=1):
+        return [swim(swimmer, "50m Freestyle", time, f"M{number}", "2018-01-01")]
+
+    paths = [results_file(folder, f"2018-01-01_M{i}", meet(i, f"2{i}.10"), 1_600_000_000) for i in range(5)]
+    loaded, _ = load_files(spark, str(folder), name, "one", "2018-03-01")
+    assert times(loaded)[1] == [("SWM1", 50, 20.1)]
+    size = paths[0].stat().st_size
+    results_file(folder, "2018-01-01_M0", meet(0, "25.10"), 1_600_000_500)  # as long as before
+    assert paths[0].stat().st_size == size
+    results_file(folder, "2018-01-01_M1", [*meet(1, "1:01.25"), *meet(1, "33.00", 2)], 1_600_000_500)  # longer
+    paths[2].unlink()  # gone
+    results_file(folder, "2018-01-01_M9", meet(9, "29.00"), 1_600_000_500)
+    loaded, profile = load_files(spark, str(folder), name, "two", "2018-03-01")
+    assert profile.count() == 3
+    want = [("SWM1", "M0", 25.1), ("SWM1", "M1", 61.25), ("SWM1", "M2", 22.1), ("SWM1", "M3", 23.1), ("SWM1", "M4", 24.1),
+            ("SWM1", "M9", 29.0), ("SWM2", "M1", 33.0)]
+    assert times(loaded) == (want, [("SWM1", 50, 22.1), ("SWM2", 50, 33.0)])
+    # Nothing changes when either load comes again, and a third version replaces the second.
+    assert times(load_files(spark, str(folder), name, "three", "2018-03-01")[0])[0] == want
+    assert times(load_files(spark, str(folder), name, "two", "2018-03-01")[0])[0] == want
+    results_file(folder, "2018-01-01_M0", meet(0, "21.00"), 1_600_000_900)
+    loaded, _ = load_files(spark, str(folder), name, "four", "2018-03-01")
+    assert times(loaded) == ([("SWM1", "M0", 21.0), *want[1:]], [("SWM1", 50, 21.0), ("SWM2", 50, 33.0)])
+
+
+def test_a_correction_that_broke_off_is_replaced_by_the_next(spark, tmp_path, monkeypatch):
+    folder, name = tmp_path / "in", new_database(spark)
+    one = [swim(1, "50m Freestyle", "25.00", "M0", "2018-01-01")]
+    results_file(folder, "2018-01-01_M0", one, 1_600_000_000)
+    load_files(spark, str(folder), name, "one", "2018-03-01")
+    results_file(folder, "2018-01-01_M0", [{**one[0], "Time": "24.00"}], 1_600_000_500)
+    monkeypatch.setattr(load, "_retire", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        load_files(spark, str(folder), name, "two", "2018-03-01")
+    monkeypatch.undo()
+    loaded, _ = load_files(spark, str(folder), name, "three", "2018-03-01")
+    assert times(loaded) == ([("SWM1", "M0", 24.0)], [("SWM1", 50, 24.0)])
+
+
+def test_writers_wait_for_each_other(spark, raw_frame, tmp_path):
+    """Two sessions load at once, each without the other's lock in the process; keys stay distinct."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from lapstar.sources import lock
+
+    name = new_database(spark)
+    rows = [raw_frame(FIRST), raw_frame(SECOND)]
+    run_load(spark, rows[0], name, "zero", "2018-01-02")
+
+    def work(number):
+        load._WRITERS.pop(name, None)  # as another process has it
+        return run_load(spark.newSession(), rows[number], name, f"load-{number}", "2018-01-02")
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(work, (0, 1)))
+    loaded = read_warehouse(spark, name)
+    assert loaded.performance.count() == 9 and quality.duplicates(loaded.performance, ["performance_id"]).isEmpty()
+    with lock.writer(spark, str(tmp_path)):
+        with pytest.raises(TimeoutError, match="another writer"), lock.writer(spark, str(tmp_path), patience=0.5):
+            pass
+    # A lock that nobody renews is taken away, once.
+    dead = lock._File(spark, str(tmp_path))
+    assert dead.create() and not lock._File(spark, str(tmp_path)).create()
+    with lock.writer(spark, str(tmp_path), lease=0.5, patience=20):
+        assert not dead.mine()
+        dead.release()
+        time.sleep(1.0)
+        with pytest.raises(TimeoutError), lock.writer(spark, str(tmp_path), lease=0.5, patience=1.0):
+            pass
+    assert not (tmp_path / lock.NAME).exists() and not list(tmp_path.iterdir())
+    with pytest.raises(RuntimeError, match="taken away"), lock.writer(spark, str(tmp_path), lease=30):
+        (tmp_path / lock.NAME).unlink()
