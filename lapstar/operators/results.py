@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from lapstar.functions.columns import as_date, as_int, distance, history_text, parse_time, stroke, top_flag
 from lapstar.operators.joins import join_null_safe
-from lapstar.operators.scans import number_in_groups, running_min, running_min_and_list, trailing_list
+from lapstar.operators.scans import nulls_last, number_in_groups, running_min, running_min_and_list, trailing_list
 from lapstar.schemas import ENTRY_CAPS, HISTORY_LENGTH, STROKE_DISTANCES, tie_columns
 
 COMPETITION_EVENT = ["Competition_Competition_Id", "Event"]
@@ -26,7 +26,7 @@ def _timed(raw: DataFrame) -> DataFrame:
 
 
 def _fastest_first(raw: DataFrame, tie: list[str] | None) -> list[Column | str]:
-    return [F.col("time_seconds").asc_nulls_last(), "SwimmerId", *tie_columns(raw, tie)]
+    return [*nulls_last("time_seconds"), "SwimmerId", *tie_columns(raw, tie)]
 
 
 def places(raw: DataFrame, tie: list[str] | None = None) -> DataFrame:

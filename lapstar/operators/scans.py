@@ -1,9 +1,13 @@
-"""Ordered work inside groups of any size.
+"""Ordered work inside groups of any size, with one shuffle of the rows.
 
-A window function gives each group to one task. Here the rows are range-partitioned by group and order, sorted and
-written once; a group's rows in one partition are a block, so a large group is several blocks. Windows run inside
-blocks, and each block gets from the blocks of its group before it what it needs: their number of rows, their minimum,
-their last values. Every input takes this path.
+A window function gives each group to one task. So groups with more rows than a shuffle partition should have are cut into
+blocks of consecutive rows: a sample of such a group, taken by a hash of the rows' order, gives the borders between its blocks. All
+rows are then shuffled once, by group and block, and windows run inside blocks; a block of a cut group also gets from
+the blocks before it what it needs: their number of rows, their minimum, their last values. There are at most twice as
+many blocks of cut groups as shuffle partitions, so borders and what blocks pass on are small tables of a known bound.
+
+Orders are lists of columns, ascending and nulls first; ``nulls_last`` puts nulls behind. Rows of a group that are equal in the
+whole order stay in one block.
 """
 
 from __future__ import annotations
@@ -13,91 +17,143 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from lapstar.operators.joins import join_null_safe
-from lapstar.operators.keys import POSITION_BITS
 from lapstar.session import save
 
-ROW, BLOCK = "_position", "_block"
+BLOCK = "_block"
+SAMPLES = 32  # of each block
 
 
-def blocks(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The rows with their block and their position in the order, written once."""
-    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
-    kept = save(ranged.withColumn(ROW, F.monotonically_increasing_id()), "blocks")
-    return kept.withColumn(BLOCK, F.shiftright(ROW, POSITION_BITS))
+def nulls_last(name: str) -> list[Column | str]:
+    """The items of an order by a column, nulls last."""
+    return [F.col(name).isNull(), name]
 
 
-def _in_block(keys: list[str]) -> WindowSpec:
-    rows = Window.partitionBy(*keys, BLOCK).orderBy(ROW)
-    return rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _place(order: list[Column | str]) -> Column:
+    items = [F.col(x) if isinstance(x, str) else x for x in order]
+    return F.struct(*[x.alias(f"o{i}") for i, x in enumerate(items)])
 
 
-def _carried(rows: DataFrame, keys: list[str], **values: tuple[Column, Column]) -> DataFrame:
-    """Each row with, per name, the second aggregate of the first over the earlier blocks of its group.
+def _borders(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame | None:
+    """``keys, _borders``: for each group that is too large for a partition, where its blocks after the first begin."""
+    spark = df.sparkSession
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total, most = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
+    size = -(-(total or 0) // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if not total or most <= size:
+        return None
+    large = save(sizes.filter(F.col("_rows") > size), "large")  # fewer than partitions
+    place = _place(order).alias("_place")
+    rows = join_null_safe(df.select(*keys, place), F.broadcast(large), keys)
+    sample = rows.filter(F.pmod(F.xxhash64("_place"), F.lit(max(1, size // SAMPLES))) == 0)
+    blocks = F.ceil(F.col("_rows") / size).cast("int")
+    found = sample.groupBy(*keys, "_rows").agg(F.sort_array(F.collect_list("_place")).alias("_sample"))
+    at = F.sequence(F.lit(1), F.least(blocks - 1, F.size("_sample")))
+    picked = F.transform(at, lambda i: F.get("_sample", (i * F.size("_sample") / blocks).cast("int")))
+    return save(found.select(*keys, F.array_distinct(picked).alias("_borders")), "borders")
 
-    A block is combined where it was written, so few rows are shuffled; a group has at most one per partition.
-    """
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    each = rows.groupBy(*keys, BLOCK).agg(*[first.alias(name) for name, (first, _) in values.items()])
-    carry = each.select(*keys, BLOCK, *[merge.over(earlier).alias(name) for name, (_, merge) in values.items()])
-    return join_null_safe(rows, carry, [*keys, BLOCK])
 
+def _cut(df: DataFrame, keys: list[str], order: list[Column | str]) -> tuple[DataFrame, bool]:
+    """The rows with their block, and whether any group has several. ``_large`` marks rows of groups that have."""
+    borders = _borders(df, keys, order)
+    if borders is None:
+        return df.withColumn(BLOCK, F.lit(0)).withColumn("_large", F.lit(False)), False
+    rows = join_null_safe(df, F.broadcast(borders), keys, "left").withColumn("_place", _place(order))
+    before = F.size(F.filter("_borders", lambda border: border <= F.col("_place")))
+    rows = rows.withColumn(BLOCK, F.when(F.col("_borders").isNull(), 0).otherwise(before))
+    return rows.withColumn("_large", F.col("_borders").isNotNull()).drop("_borders", "_place"), True
 
-def _minimum(value: str, name: str = "_least") -> dict[str, tuple[Column, Column]]:
-    return {name: (F.min(value), F.min(name))}
 
+def blocks(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+    """The rows with the number of their block inside their group."""
+    return _cut(df, keys, order)[0].drop("_large")
+
+
+def _in_block(keys: list[str], order: list[Column | str]) -> WindowSpec:
+    rows = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    return rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-def _count(value: str, name: str = "_before") -> dict[str, tuple[Column, Column]]:
-    return {name: (F.count(value), F.sum(name))}
+
+def _earlier(keys: list[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _handed_on(rows: DataFrame, keys: list[str], passed: DataFrame) -> DataFrame:
+    """Each row with what its block gets: one row of ``passed`` per block of a cut group."""
+    return join_null_safe(rows, F.broadcast(save(passed, "passed")), [*keys, BLOCK], "left")
 
 
 def number_in_groups(df: DataFrame, keys: list[str], order: list[Column | str], name: str) -> DataFrame:
     """``row_number`` within groups."""
-    rows = _carried(blocks(df, keys, order), keys, **_count(ROW))
-    number = F.coalesce("_before", F.lit(0)) + F.count(ROW).over(_in_block(keys))
+    rows, several = _cut(df, keys, order)
+    number = F.row_number().over(_in_block(keys, order)).cast("bigint")
+    if several:
+        each = rows.filter("_large").groupBy(*keys, BLOCK).agg(F.count("*").alias("_size"))
+        rows = _handed_on(rows, keys, each.select(*keys, BLOCK, F.sum("_size").over(_earlier(keys)).alias("_before")))
+        number = number + F.coalesce("_before", F.lit(0))
     return rows.withColumn(name, number).select(*df.columns, name)
 
 
-def _with_minimum(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    return rows.withColumn(name, F.least("_least", F.min(value).over(_in_block(keys))))
-
-
-def _with_lists(rows: DataFrame, keys: list[str], value: str, length: int, name: str) -> DataFrame:
-    """``rows`` have the number of values before their block in ``_before``, and are read several times."""
+def _with_minimum(rows: DataFrame, several: bool, keys: list[str], order: list[Column | str], value: str, name: str) -> DataFrame:
+    least = F.min(value).over(_in_block(keys, order))
+    if several:
+        each = rows.filter("_large").groupBy(*keys, BLOCK).agg(F.min(value).alias("_own"))
+        rows = _handed_on(rows, keys, each.select(*keys, BLOCK, F.min("_own").over(_earlier(keys)).alias("_least")))
+        least = F.least("_least", least)
+    return rows.withColumn(name, least)
+
+
+def _last_values(rows: DataFrame, keys: list[str], order: list[Column | str], value: str, length: int) -> DataFrame:
+    """``_halo`` for each block of a cut group: the last ``length`` values before it, oldest first."""
+    place = _place(order).alias("_place")
+    rows = rows.filter("_large").select(*keys, BLOCK, F.col(value).alias("_value"), place)
+    newest = Window.partitionBy(*keys, BLOCK).orderBy(F.desc("_place"))
+    last = rows.filter("_value is not null").withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") <= length)
+    oldest_first = F.reverse(F.array_sort(F.collect_list(F.struct("_age", "_value"))))
+    own = last.groupBy(*keys, BLOCK).agg(F.transform(oldest_first, lambda x: x["_value"]).alias("_values"))
+    # Blocks without values have nothing to pass on: the last ``length`` of the others hold enough.
+    recent = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(1 - length, Window.currentRow)
+    upto = own.withColumn("_upto", F.flatten(F.collect_list("_values").over(recent)))
+    upto = upto.select(*keys, BLOCK, F.slice("_upto", F.greatest(F.size("_upto") - length + 1, F.lit(1)), length).alias("_upto"))
+    every = join_null_safe(rows.select(*keys, BLOCK).distinct(), upto, [*keys, BLOCK], "left")
+    return every.select(*keys, BLOCK, F.last("_upto", ignorenulls=True).over(_earlier(keys)).alias("_halo"))
+
+
+def _with_lists(
+    rows: DataFrame, several: bool, keys: list[str], order: list[Column | str], value: str, length: int, name: str
+) -> DataFrame:
+    if several:
+        rows = _handed_on(rows, keys, _last_values(rows, keys, order, value, length))
     # Null values take no slot: the frame counts values (_v), not rows.
-    counted = F.coalesce("_before", F.lit(0)) + F.count(value).over(_in_block(keys))
-    rows = save(rows.withColumn("_v", counted).withColumn("_own", F.lit(True)), "counted")
-    # A block also needs the values before it, at most ``length``: found by their number.
-    wanted = (
-        rows.groupBy(*keys, BLOCK)
-        .agg(F.max("_before").alias("_last"))
-        .filter("_last > 0")
-        .withColumn("_v", F.explode(F.sequence(F.greatest(F.col("_last") - length + 1, F.lit(1)), "_last")))
-        .drop("_last")
-    )
-    values = rows.filter(F.col(value).isNotNull()).drop(BLOCK, "_own")
-    halo = join_null_safe(values, wanted, [*keys, "_v"]).withColumn("_own", F.lit(False))
+    rows = rows.withColumn("_v", F.count(value).over(_in_block(keys, order)))
     window = Window.partitionBy(*keys, BLOCK).orderBy("_v").rangeBetween(1 - length, Window.currentRow)
-    return rows.unionByName(halo).withColumn(name, F.collect_list(value).over(window)).filter("_own")
+    # The values of equal numbers: one, and rows without a value.
+    rows = rows.withColumn("_own", F.collect_list(value).over(window))
+    if not several:
+        return rows.withColumn(name, F.col("_own"))
+    whole = F.concat("_halo", "_own")
+    whole = F.slice(whole, F.greatest(F.size(whole) - length + 1, F.lit(1)), length)
+    short = F.col("_halo").isNotNull() & (F.size("_own") < length)
+    return rows.withColumn(name, F.when(short, whole).otherwise(F.col("_own")))
 
 
 def running_min(df: DataFrame, keys: list[str], order: list[Column | str], value: str, name: str) -> DataFrame:
     """Smallest non-null ``value`` of the group up to and including each row."""
-    rows = _carried(blocks(df, keys, order), keys, **_minimum(value))
-    return _with_minimum(rows, keys, value, name).select(*df.columns, name)
+    rows, several = _cut(df, keys, order)
+    return _with_minimum(rows, several, keys, order, value, name).select(*df.columns, name)
 
 
 def trailing_list(
     df: DataFrame, keys: list[str], order: list[Column | str], value: str, length: int, name: str
 ) -> DataFrame:
     """The last ``length`` non-null values of the group up to and including each row, oldest first."""
-    rows = _carried(blocks(df, keys, order), keys, **_count(value))
-    return _with_lists(rows, keys, value, length, name).select(*df.columns, name)
+    rows, several = _cut(df, keys, order)
+    return _with_lists(rows, several, keys, order, value, length, name).select(*df.columns, name)
 
 
 def running_min_and_list(
     df: DataFrame, keys: list[str], order: list[Column | str], value: str, length: int, least: str, last: str
 ) -> DataFrame:
-    """``running_min`` and ``trailing_list`` from one pass over the rows."""
-    rows = _carried(blocks(df, keys, order), keys, **_minimum(value), **_count(value))
-    rows = _with_minimum(rows, keys, value, least)
-    return _with_lists(rows, keys, value, length, last).select(*df.columns, least, last)
+    """``running_min`` and ``trailing_list`` from one shuffle of the rows."""
+    rows, several = _cut(df, keys, order)
+    rows = _with_minimum(rows, several, keys, order, value, least)
+    return _with_lists(rows, several, keys, order, value, length, last).select(*df.columns, least, last)

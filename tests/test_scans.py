@@ -7,7 +7,7 @@ from conftest import settings
 from pyspark.sql import functions as F
 
 from lapstar.operators.keys import number_rows
-from lapstar.operators.scans import blocks, number_in_groups, running_min, running_min_and_list, trailing_list
+from lapstar.operators.scans import blocks, nulls_last, number_in_groups, running_min, running_min_and_list, trailing_list
 
 ORDER = ["day", "id"]
 
@@ -113,3 +113,35 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], "id int, key string, day int, value double")
     assert number_rows(empty, ["id"], "n").count() == 0
     assert number_in_groups(empty, ["key"], ORDER, "n").count() == 0
+
+
+def test_rows_are_shuffled_once(spark):
+    """Without a large group the plan has one exchange of the rows and no write."""
+    df = spark.range(0, 4000, numPartitions=8).selectExpr("id", "id % 997 AS key", "id * 7919 % 4001 AS day", "id * 1.0D AS value")
+    for made in (
+        number_in_groups(df, ["key"], ["day"], "n"), running_min(df, ["key"], ["day"], "value", "m"),
+        trailing_list(df, ["key"], ["day"], "value", 5, "l"), running_min_and_list(df, ["key"], ["day"], "value", 5, "m", "l"),
+    ):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in plan and "Join" not in plan
+
+
+def test_a_third_of_the_rows_in_one_group(spark):
+    """Its rows are in many tasks; small groups stay whole; ties, nulls last and nulls in the order are kept."""
+    rows = spark.range(0, 30_000, numPartitions=8).selectExpr(
+        "id", "if(id % 3 = 0, 0, id) AS key", "if(id % 50 = 0, null, id % 700) AS day", "if(id % 7 = 0, null, id * 1.5D) AS value"
+    )
+    order = [*nulls_last("day"), "id"]
+    some = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with settings(spark, some):
+        made = number_in_groups(rows, ["key"], order, "n").filter("key = 0")
+        parts = made.groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) > 4 and max(r["count"] for r in parts) < 5_000
+        found = sorted((tuple(r) for r in made.select("id", "day", "n").collect()), key=lambda r: r[2])
+        assert [r[2] for r in found] == list(range(1, 10_001))
+        assert [r[:2] for r in found] == sorted((r[:2] for r in found), key=lambda r: (r[1] is None, r[1] or 0, r[0]))
+        listed = {r["id"]: r["l"] for r in trailing_list(rows, ["key"], order, "value", 3, "l").filter("key = 0").collect()}
+    values = []
+    for i, _, _ in found:
+        values += [] if i % 7 == 0 else [i * 1.5]
+        assert listed[i] == values[-3:]

@@ -321,6 +321,13 @@ ORACLE: dict[str, str] = {
     "load_files_twice": _sql(
         "SELECT Competition_Competition_Id AS competition_id, count(*) AS rows FROM swims GROUP BY ALL", "swims"
     ),
+    "corrected_file": _sql(
+        """SELECT competition_id, count(*) AS rows, CAST(sum(CASE WHEN ym % 3 = 0 THEN h + 9 - 2 * (h % 10) ELSE h END) AS BIGINT) AS hundredths
+        FROM (SELECT Competition_Competition_Id AS competition_id, CAST(substr(Competition_Competition_Id, 2) AS INTEGER) AS ym,
+          CAST(round(time_seconds * 100) AS BIGINT) AS h, src_line FROM swims)
+        WHERE ym % 3 <> 1 OR src_line % 2 = 1 GROUP BY ALL""",
+        "swims",
+    ),
     "event_places": _sql(
         f"SELECT {SRC}, place, CASE WHEN place <= 5 THEN 'Yes' ELSE 'No' END AS top_5 FROM placed", "placed"
     ),

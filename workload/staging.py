@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstar.operators.scans import number_in_groups
+from lapstar.operators.scans import nulls_last, number_in_groups
 from lapstar.plans.load import read_warehouse, run_load
 from lapstar.schemas import RAW_COLUMNS, Params, Warehouse
 from lapstar.session import new_path, save
@@ -93,7 +93,7 @@ FROM {customer} WHERE c_custkey % 11 <> 0"""
 _KEPT: dict[tuple[str, str, str], object] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, what: str, build):
+def once(spark: SparkSession, sf_dir: str, what: str, build):
     """Built once per application and data folder: stored tables, as a user of the reports has them."""
     key = (spark.sparkContext.applicationId, sf_dir, what)
     if key not in _KEPT:
@@ -109,7 +109,7 @@ def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw results with the ``src_*`` columns that identify a row; not stored."""
     tables = {name: table(spark, sf_dir, name) for name in TABLES}
     swims = spark.sql(SWIMS + " SELECT * FROM t", **tables)
-    order = [F.col("tcs").asc_nulls_last(), "k", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+    order = [*nulls_last("tcs"), "k", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
              "l_extendedprice"]
     placed = number_in_groups(swims, ["ym", "Event"], order, "place")
     placed = placed.withColumn("place", F.when(F.col("tcs").isNotNull(), F.col("place")))
@@ -117,7 +117,7 @@ def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "raw", lambda: save(stage(spark, sf_dir), "raw"))
+    return once(spark, sf_dir, "raw", lambda: save(stage(spark, sf_dir), "raw"))
 
 
 def results_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -128,7 +128,7 @@ def results_folder(spark: SparkSession, sf_dir: str) -> str:
         write_results(raw_results(spark, sf_dir), path)
         return path
 
-    return _once(spark, sf_dir, "files", build)
+    return once(spark, sf_dir, "files", build)
 
 
 def new_database(spark: SparkSession, label: str = "lapstar") -> str:
@@ -147,7 +147,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         run_load(spark, raw_results(spark, sf_dir), database, "initial", AS_OF, SRC)
         return database
 
-    return read_warehouse(spark, _once(spark, sf_dir, "warehouse", build))
+    return read_warehouse(spark, once(spark, sf_dir, "warehouse", build))
 
 
 def scd_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
