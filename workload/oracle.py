@@ -385,6 +385,9 @@ ORACLE: dict[str, str] = {
     ),
     "club_region_performance": _sql(CLUBS, "star"),
     "replaced_load_club": _sql_replaced(CLUBS, "star"),
+    "approximate_club_region": _sql(
+        f"SELECT country, butterfly_count, freestyle_count, back_count, breast_count, true AS within_bound FROM ({CLUBS})", "star"
+    ),
     "swimmer_demographics": _sql(
         """SELECT nationality AS swimmer_citizenship, count(*) AS total_swimmers,
         CAST(1 AS INTEGER) AS birth_countries_count, nationality AS birth_countries

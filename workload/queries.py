@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapstar import functions as fn
 from lapstar.operators import dims, facts, quality, results, scd2
+from lapstar.operators.joins import join_null_safe
 from lapstar.operators.keys import number_rows
 from lapstar.plans import load, reports
 from lapstar.schemas import ENTRY_CAPS, REQUIRED_SWIMMER_COLUMNS
@@ -540,6 +543,20 @@ def club_region_performance(spark, sf_dir):
     return reports.club_region_performance(warehouse(spark, sf_dir))
 
 
+@query
+def approximate_club_region(spark, sf_dir):
+    """The exact counts, and whether those from the merged sketches of two halves are within five standard errors."""
+    wh = warehouse(spark, sf_dir)
+    halves = [replace(wh, rankings=wh.rankings.filter(F.pmod("event_sk", F.lit(2)) == k)) for k in range(2)]
+    sketches = reports.club_sketches(halves[0]).unionByName(reports.club_sketches(halves[1]))
+    names = list(reports.STROKE_COUNTS.values())
+    rough = reports.approximate_club_region_performance(sketches).withColumnsRenamed({n: f"rough_{n}" for n in names})
+    both = join_null_safe(reports.club_region_performance(wh), rough.drop("club_name"), ["country"], "left")
+    near = [F.abs(F.col(n) - F.col(f"rough_{n}")) <= F.ceil(F.col(n) * 5 * 1.04 / 2 ** (reports.SKETCH_BITS / 2)) for n in names]
+    within = F.coalesce(reduce(lambda a, b: a & b, near), F.lit(False))
+    return both.select("country", *names, within.alias("within_bound"))
+
+
 @query
 def swimmer_demographics(spark, sf_dir):
     return reports.swimmer_demographics(warehouse(spark, sf_dir))
