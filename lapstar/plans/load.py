@@ -30,6 +30,7 @@ from lapstar.schemas import (
     Warehouse,
 )
 from lapstar.session import empty, new_path, save, scratch
+from lapstar.sources import parts
 from lapstar.sources.files import read_by_name, read_results, results_glob
 from lapstar.sources.lock import writer
 from lapstar.sources.tables import OLD, STAGING, append, overwrite_swap, read_table, recover, replace_load
@@ -47,6 +48,12 @@ TABLES = {
 KEYS, PAIRS, LOADS, FILES = "load_keys", "ranking_ids", "loads", "loaded_files"
 PAIR_IDS = FACT_RANKINGS.fieldNames()[:3]
 
+# Names the load of a row where several are merged into one part.
+BROUGHT_BY = "brought_by"
+FANOUT = 10
+# A table that is appended to is written anew from so many files on, and two more for each full file it has.
+MANY_FILES, FILE_BYTES = 32, 128 << 20
+
 _WRITERS: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
 
@@ -60,15 +67,14 @@ def _writing(spark: SparkSession, database: str) -> Iterator[None]:
 
 
 def _rankings(spark: SparkSession, database: str) -> DataFrame:
-    name = f"{database}.fact_rankings"
-    stored = read_table(spark, name, FACT_RANKINGS)
-    # A single load has one row per swimmer and event already.
-    merged = "load_id" in stored.columns and len(spark.sql(f"SHOW PARTITIONS {name}").take(2)) > 1
-    return merge_rankings(stored) if merged else stored
+    rows, count = parts.read(spark, database, "fact_rankings", FACT_RANKINGS)
+    # A single part has one row per swimmer and event already.
+    return merge_rankings(rows) if count > 1 else rows
 
 
 def read_warehouse(spark: SparkSession, database: str) -> Warehouse:
-    frames = {name: read_table(spark, f"{database}.{name}", schema) for name, schema in TABLES.items()}
+    frames = {name: read_table(spark, f"{database}.{name}", TABLES[name]) for name in TABLES if name.startswith("dim_")}
+    frames["fact_swimming_performance"], _ = parts.read(spark, database, "fact_swimming_performance", FACT_PERFORMANCE)
     frames["fact_rankings"] = _rankings(spark, database)
     return Warehouse(*[frames[name].select(*schema.names) for name, schema in TABLES.items()])
 
@@ -88,7 +94,7 @@ def _apply(change: dims.Change, name: str) -> None:
 
 def _recover(spark: SparkSession, database: str) -> None:
     """Undo a swap that broke off, and refuse to go on if a dimension of stored facts is gone."""
-    for name in TABLES:
+    for name in [*TABLES, KEYS, PAIRS, LOADS, parts.MERGED]:
         recover(spark, f"{database}.{name}")
     stored = {name: spark.catalog.tableExists(f"{database}.{name}") for name in TABLES}
     lost = [name for name in TABLES if name.startswith("dim_") and not stored[name]]
@@ -118,6 +124,7 @@ def _take_keys(spark: SparkSession, database: str, load_id: str, rows: int) -> i
     first, last, most = None, 0, 0
     stored = read_table(spark, f"{database}.{KEYS}")
     if stored is not None:
+        # The newest of its ranges: each one is behind all those before.
         own = F.when(F.col("load_id") == load_id, F.struct("first_key", "last_key"))
         row = stored.agg(F.max(own).alias("own"), F.max("last_key").alias("most")).first()
         most = row["most"] or 0
@@ -125,8 +132,8 @@ def _take_keys(spark: SparkSession, database: str, load_id: str, rows: int) -> i
             first, last = row["own"]
     if first is None or first + rows > last:
         first, last = most, most + rows
-    taken = spark.createDataFrame([(first, last)], "first_key bigint, last_key bigint")
-    replace_load(taken, f"{database}.{KEYS}", load_id)
+        taken = spark.createDataFrame([(load_id, first, last)], "load_id string, first_key bigint, last_key bigint")
+        append(taken.coalesce(1), f"{database}.{KEYS}")
     return first
 
 
@@ -147,8 +154,10 @@ def run_load(
     ``raw`` is read once for the swimmers, once for the other dimensions and once for the swims: pass a table,
     as ``load_files`` does.
     """
+    parts.check(load_id)
     with _writing(spark, database), scratch(spark):
         _recover(spark, database)
+        _reopen(spark, database, [load_id])
         older = _known_load(spark, database, load_id)
         feed = dims.swimmer_feed(raw)
         _load_dimensions(spark, feed, dims.programme(raw), database, as_of, older)
@@ -188,6 +197,7 @@ def _load_facts(
         rows = facts.resolved(swims, loaded.swimmers, loaded.events, loaded.competitions, shared_ids)
     if SOURCE[0] not in rows.columns:
         rows = rows.withColumn(SOURCE[0], F.lit(None).cast("string"))
+    rows = rows.withColumn(BROUGHT_BY, F.lit(load_id))
     replace_load(rows, f"{database}.fact_swimming_performance", load_id)
     _load_rankings(spark, database, load_id)
 
@@ -224,8 +234,8 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 def _outdated(files: DataFrame, new: DataFrame, others: DataFrame) -> DataFrame:
     """``source_file, load_id`` of what other loads have of files that came again, or that are gone from a unit with new parts."""
     again = others.join(new.select("file").distinct(), "file", "left_semi")
-    parts = others.join(new.select("unit").distinct(), "unit", "left_semi").join(files.select("file"), "file", "left_anti")
-    return again.unionByName(parts).select(SOURCE[0], "load_id").distinct()
+    gone = others.join(new.select("unit").distinct(), "unit", "left_semi").join(files.select("file"), "file", "left_anti")
+    return again.unionByName(gone).select(SOURCE[0], F.col(BROUGHT_BY).alias("load_id")).distinct()
 
 
 def _retire(spark: SparkSession, database: str, outdated: DataFrame) -> None:
@@ -236,14 +246,75 @@ def _retire(spark: SparkSession, database: str, outdated: DataFrame) -> None:
         return
     files = outdated.select(SOURCE[0]).distinct()
     with _writing(spark, database), scratch(spark):
-        stored = spark.read.table(name).filter(F.col("load_id").isin(loads))
-        hit = stored.join(files, SOURCE[0], "left_semi").select("load_id").distinct().collect()
-        for load_id in sorted(row["load_id"] for row in hit):
-            rest = stored.filter(F.col("load_id") == load_id).join(files, SOURCE[0], "left_anti")
-            replace_load(save(rest.drop("load_id").select(*FACT_PERFORMANCE.names, SOURCE[0]), "rest"), name, load_id)
+        stored, _ = parts.read(spark, database, "fact_swimming_performance")
+        stored = stored.filter(F.col(BROUGHT_BY).isin(loads))
+        hit = stored.join(files, SOURCE[0], "left_semi").select(BROUGHT_BY).distinct().collect()
+        hit = sorted(row[BROUGHT_BY] for row in hit)
+        _reopen(spark, database, hit)
+        for load_id in hit:
+            swims = spark.read.table(name).filter(F.col("load_id") == load_id)
+            rest = swims.join(files, SOURCE[0], "left_anti").drop("load_id")
+            replace_load(save(rest.select(*FACT_PERFORMANCE.names, SOURCE[0], BROUGHT_BY), "rest"), name, load_id)
             _load_rankings(spark, database, load_id)
 
 
+def _in_parts(spark: SparkSession, database: str) -> dict[str, parts.Combine]:
+    """The tables that are stored in parts, and how parts of them become one."""
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        if "ranking_id" in rows.columns:
+            return merge_rankings(rows).select(*FACT_RANKINGS.names)
+        return facts.load_rankings(facts.best_results(rows), spark.read.table(f"{database}.{PAIRS}"))
+
+    return {"fact_swimming_performance": _as_they_are, "fact_rankings": ranked, FILES: _as_they_are}
+
+
+def _as_they_are(rows: DataFrame) -> DataFrame:
+    return rows
+
+
+def _reopen(spark: SparkSession, database: str, load_ids: list[str]) -> None:
+    """Loads that are to be replaced, as parts of their own. Costs a rewrite of the merged parts they are in."""
+    if load_ids and spark.catalog.tableExists(f"{database}.{parts.MERGED}"):
+        parts.reopen(spark, database, _in_parts(spark, database), load_ids, "fact_swimming_performance")
+
+
+def _fold(spark: SparkSession, name: str) -> None:
+    """Write a table anew that has many appended files, the more the larger it is."""
+    if not spark.catalog.tableExists(name):
+        return
+    rows = spark.read.table(name)
+    files = rows.inputFiles()
+    if len(files) >= MANY_FILES:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+        if len(files) >= MANY_FILES + 2 * size // FILE_BYTES:
+            overwrite_swap(rows.hint("rebalance"), name)
+
+
+def compact(spark: SparkSession, database: str, fanout: int = FANOUT) -> int:
+    """Merge closed loads and small files; returns the number of merges. Reports do not change.
+
+    From ``fanout`` loads on, their facts become one part, from ``fanout`` of these on those become one, and so on: a swim
+    is rewritten as often as the number of loads has digits, and reports read fewer than ``fanout`` parts per digit.
+    A merged load can still be replaced, and its files corrected; that takes it out of its part first, which rewrites it.
+    Readers that began before see the loads as they were, until the merge after this one.
+    """
+    tables = _in_parts(spark, database)
+    if not parts.due(spark, database, list(tables), fanout):
+        return 0
+    with _writing(spark, database), scratch(spark):
+        _recover(spark, database)
+        merges = parts.merge(spark, database, tables, fanout)
+        for name in [*[name for name in TABLES if name.startswith("dim_")], KEYS, PAIRS, LOADS]:
+            _fold(spark, f"{database}.{name}")
+    return merges
+
+
+def _noted(files: DataFrame, load_id: str, done: bool) -> DataFrame:
+    return files.withColumns({"done": F.lit(done), BROUGHT_BY: F.lit(load_id)})
+
+
 def load_files(
     spark: SparkSession,
     path: str,
@@ -260,13 +331,14 @@ def load_files(
     The text is parsed once, into a Parquet table that the profile and the load read by column. With ``by_name`` the
     files' columns are found by their headers, in any order.
     """
+    parts.check(load_id)
     kept = new_path(spark, "profile")
     with scratch(spark):
         found = save(_files(spark, path), "found")
-        log = read_table(spark, f"{database}.{FILES}")
+        log, _ = parts.read(spark, database, FILES)
         files, outdated = found, None
         if log is not None:
-            others = save(log.filter(F.col("load_id") != load_id), "others")
+            others = save(log.filter(F.col(BROUGHT_BY) != load_id), "others")
             known = ["file", "size", "modified"]
             files = save(found.join(others.filter("done"), known, "left_anti"), "files")
             outdated = save(_outdated(found, files, others), "outdated")
@@ -279,12 +351,15 @@ def load_files(
         if not paths:
             return read_warehouse(spark, database), profile
         # Noted before and after, so that what a load that breaks off has brought is found by the next one.
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        replace_load(files.withColumn("done", F.lit(False)), f"{database}.{FILES}", load_id)
+        with _writing(spark, database):
+            _reopen(spark, database, [load_id])
+            replace_load(_noted(files, load_id, False), f"{database}.{FILES}", load_id)
         run_load(spark, raw, database, load_id, as_of)
         if outdated is not None:
             _retire(spark, database, outdated)
-        replace_load(files.withColumn("done", F.lit(True)), f"{database}.{FILES}", load_id)
+        with _writing(spark, database):
+            _reopen(spark, database, [load_id])  # another writer may have merged it
+            replace_load(_noted(files, load_id, True), f"{database}.{FILES}", load_id)
         return read_warehouse(spark, database), profile
 
 
@@ -302,6 +377,6 @@ def row_counts(warehouse: Warehouse) -> DataFrame:
 
 def reset(spark: SparkSession, database: str) -> None:
     """Drop the tables, facts before the dimensions they point to."""
-    for name in [*reversed(TABLES), KEYS, PAIRS, LOADS, FILES]:
+    for name in [*reversed(TABLES), KEYS, PAIRS, LOADS, FILES, parts.MERGED]:
         for part in (name, name + OLD, name + STAGING):
             spark.sql(f"DROP TABLE IF EXISTS {database}.{part}")

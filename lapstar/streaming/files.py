@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from lapstar.functions.columns import as_int, parse_time
-from lapstar.plans.load import run_load
+from lapstar.plans.load import FANOUT, compact, run_load
 from lapstar.schemas import RAW, Warehouse
 from lapstar.session import save, scratch
 from lapstar.sources.files import CSV_OPTIONS, add_source, results_glob
@@ -62,10 +64,12 @@ def load_stream(
     archive: str | None = None,
     every: str | None = None,
     label: str = "batch",
+    fanout: int = FANOUT,
 ) -> None:
     """Load new files into the warehouse. A batch that is repeated after a failure replaces its own swims.
 
-    Batches are known by ``label`` and number: each stream into one warehouse needs a label of its own.
+    Batches are known by ``label`` and number: each stream into one warehouse needs a label of its own. From ``fanout`` batches
+    on they are merged as ``compact`` does, so that the number of their files stays small.
     """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
@@ -74,11 +78,31 @@ def load_stream(
             rows = save(batch, "batch")
             if not rows.isEmpty():
                 run_load(session, rows, database, f"{label}-{batch_id}", as_of)
+                compact(session, database, fanout)
 
     stream = add_source(results_stream(spark, path, max_files, archive))
     _run(stream.writeStream.foreachBatch(load_batch), checkpoint, every)
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+FOLD_EVERY = 20
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """State in RocksDB for the queries that start in the block, unless the session names a store itself."""
+    own = spark.conf.get(STATE_STORE, None)
+    chosen = own is not None and "HDFSBacked" not in own
+    if not chosen:
+        spark.conf.set(STATE_STORE, ROCKS_DB)
+    try:
+        yield
+    finally:
+        if not chosen:
+            spark.conf.unset(STATE_STORE) if own is None else spark.conf.set(STATE_STORE, own)
+
+
 def rankings_stream(
     spark: SparkSession,
     path: str,
@@ -86,12 +110,13 @@ def rankings_stream(
     checkpoint: str,
     max_files: int | None = None,
     every: str | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> DataFrame:
     """Best time and place per swimmer and event, kept up to date as files arrive.
 
-    The state has one row per swimmer and event, however many swims there are. A batch writes the rows it
+    The state has one row per swimmer and event, however many swims there are, in RocksDB. A batch writes the rows it
     changed to a folder of its own, which a repeated batch writes again; minima merge, so the result is the
-    minimum over the batches.
+    minimum over the folders. Every ``fold_every`` batches these are folded into one, so at most as many are read.
     """
     best = results_stream(spark, path, max_files).groupBy(
         F.col("SwimmerId").alias("swimmer_id"), F.col("Event").alias("event")
@@ -99,11 +124,30 @@ def rankings_stream(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        if (batch_id + 1) % fold_every == 0:
+            fold_rankings(batch.sparkSession, sink, batch_id)
 
-    _run(best.writeStream.outputMode("update").foreachBatch(write_batch), checkpoint, every)
+    with _state_on_disk(spark):
+        _run(best.writeStream.outputMode("update").foreachBatch(write_batch), checkpoint, every)
     return current_rankings(spark, sink)
 
 
+def fold_rankings(spark: SparkSession, sink: str, batch_id: int) -> None:
+    """Write the minima over all folders to one, then delete the others.
+
+    The new folder has a number that no batch has, and rows are added to it only, so whatever breaks off here, no minimum is
+    lost: a row that is there twice does not change one. A reader that began before has to read again.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [status.getPath() for status in system.listStatus(folder) if status.getPath().getName().startswith("batch=")]
+    into = f"batch={-1 - batch_id}"
+    current_rankings(spark, sink).hint("rebalance").write.mode("append").parquet(f"{sink}/{into}")
+    for path in found:
+        if path.getName() != into:
+            system.delete(path, True)
+
+
 def current_rankings(spark: SparkSession, sink: str) -> DataFrame:
     schema = "swimmer_id string, event string, best_time double, best_rank int, batch bigint"
     return spark.read.schema(schema).parquet(sink).groupBy("swimmer_id", "event").agg(

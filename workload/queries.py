@@ -14,7 +14,7 @@ from lapstar.operators import dims, facts, quality, results, scd2
 from lapstar.operators.joins import join_null_safe
 from lapstar.operators.keys import number_rows
 from lapstar.plans import load, reports
-from lapstar.schemas import ENTRY_CAPS, REQUIRED_SWIMMER_COLUMNS
+from lapstar.schemas import ENTRY_CAPS, RAW, REQUIRED_SWIMMER_COLUMNS
 from lapstar.session import new_path, save
 from lapstar.sources import files, tables
 from lapstar.streaming import files as streaming
@@ -58,6 +58,20 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 # Sources and sinks
 
 
+@query
+def find_results(spark, sf_dir):
+    """Rows in a folder of results and in one without; the latter is an error."""
+    found = None
+    for name, path in (("given", results_folder(spark, sf_dir)), ("missing", new_path(spark, "missing"))):
+        try:
+            rows = files.read_results(spark, path).agg(F.count("*").alias("rows"))
+        except FileNotFoundError:
+            rows = spark.range(1).select(F.lit(None).cast("bigint").alias("rows"))
+        rows = rows.select(F.lit(name).alias("folder"), F.col("rows").isNotNull().alias("found"), "rows")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query
 def scan_results_csv(spark, sf_dir):
     raw = files.read_results(spark, results_folder(spark, sf_dir))
@@ -421,6 +435,36 @@ def corrected_file(spark, sf_dir):
     )
 
 
+@query
+def compacted_load(spark, sf_dir):
+    """Swims, their times and best places per competition after loads were merged twice over, and one of them came again."""
+    raw, database = raw_results(spark, sf_dir), new_database(spark)
+    fifth = F.pmod(F.substring("Competition_Competition_Id", 2, 6).cast("int"), F.lit(5))
+    for number in range(5):
+        load.run_load(spark, raw.filter(fifth == number), database, f"load-{number}", AS_OF, SRC)
+        load.compact(spark, database, 2)
+    again = raw.filter((fifth == 1) & (F.col("src_line") % 2 == 1))
+    loaded = load.run_load(spark, again, database, "load-1", AS_OF, SRC)
+    swims = loaded.performance.groupBy("competition_sk", "swimmer_sk", "event_sk").agg(
+        F.count("*").alias("rows"), F.sum(F.round(F.col("time_seconds") * 100).cast("bigint")).alias("hundredths")
+    )
+    best = loaded.rankings.select("swimmer_sk", "event_sk", "best_rank")
+    return swims.join(best, ["swimmer_sk", "event_sk"]).join(loaded.competitions, "competition_sk").groupBy(
+        "competition_id"
+    ).agg(F.sum("rows").alias("rows"), F.sum("hundredths").alias("hundredths"), F.min("best_rank").alias("best_rank"))
+
+
+@query
+def reset_warehouse(spark, sf_dir):
+    """Rows per table after a load, and after a reset."""
+    database = new_database(spark)
+    early, _ = _arrivals(spark, sf_dir)
+    loaded = save(load.row_counts(load.run_load(spark, early, database, "early", AS_OF, SRC)), "counts")
+    load.reset(spark, database)
+    left = load.row_counts(load.read_warehouse(spark, database)).withColumnRenamed("rows", "rows_after")
+    return loaded.join(left, "table_name")
+
+
 # Result-building jobs
 
 
@@ -628,6 +672,17 @@ def stream_ingest(spark, sf_dir):
     return _rows_by_competition(spark.read.parquet(sink))
 
 
+@query
+def stream_archive(spark, sf_dir):
+    """Rows per competition of the files that wait and of those that were moved away after use: together all of them."""
+    names = ("arriving", "ingested", "progress", "archive")
+    path, sink, checkpoint, archive = (new_path(spark, name) for name in names)
+    _run_on_arrival(spark, sf_dir, path, lambda: streaming.ingest(spark, path, sink, checkpoint, archive=archive))
+    found = spark.read.schema(RAW).options(**files.CSV_OPTIONS)
+    places = [place for place in (path, archive) if files.holds_results(spark, place)]
+    return _rows_by_competition(found.option("recursiveFileLookup", "true").csv(places))
+
+
 @query
 def stream_load_facts(spark, sf_dir):
     path, checkpoint = new_path(spark, "arriving"), new_path(spark, "progress")
