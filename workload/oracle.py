@@ -329,23 +329,23 @@ ORACLE: dict[str, str] = {
         "swims",
     ),
     "compacted_load": _sql(
-        """WITH x AS (SELECT *, CAST(substr(Competition_Competition_Id, 2) AS INTEGER) % 5 AS fifth FROM swims),
+        """SELECT * FROM (WITH x AS (SELECT *, CAST(substr(Competition_Competition_Id, 2) AS INTEGER) % 5 AS fifth FROM swims),
         y AS (SELECT * FROM x WHERE fifth <> 1 OR src_line % 2 = 1),
         best AS (SELECT SwimmerId, distance, stroke, min(CAST(Overall_Rank AS INTEGER)) AS best_rank FROM y GROUP BY ALL)
         SELECT y.Competition_Competition_Id AS competition_id, count(*) AS rows,
           CAST(sum(CAST(round(y.time_seconds * 100) AS BIGINT)) AS BIGINT) AS hundredths, min(best.best_rank) AS best_rank
         FROM y JOIN best ON y.SwimmerId = best.SwimmerId AND y.distance = best.distance AND y.stroke = best.stroke
-        GROUP BY ALL""",
+        GROUP BY ALL)""",
         "swims",
     ),
     "reset_warehouse": _sql(
-        """WITH e AS (SELECT * FROM swims WHERE swum_on <= DATE '1998-03-31')
+        """SELECT * FROM (WITH e AS (SELECT * FROM swims WHERE swum_on <= DATE '1998-03-31')
         SELECT table_name, rows, CAST(0 AS BIGINT) AS rows_after FROM (
         SELECT 'dim_swimmer' AS table_name, count(DISTINCT SwimmerId) AS rows FROM e
         UNION ALL SELECT 'dim_event', count(*) FROM (SELECT DISTINCT distance, stroke FROM e)
         UNION ALL SELECT 'dim_competition', count(DISTINCT Competition_Competition_Id) FROM e
         UNION ALL SELECT 'fact_swimming_performance', count(*) FROM e
-        UNION ALL SELECT 'fact_rankings', count(*) FROM (SELECT DISTINCT SwimmerId, distance, stroke FROM e))""",
+        UNION ALL SELECT 'fact_rankings', count(*) FROM (SELECT DISTINCT SwimmerId, distance, stroke FROM e)))""",
         "swims",
     ),
     "find_results": _sql(
