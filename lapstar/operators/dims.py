@@ -65,12 +65,14 @@ def project_competitions(raw: DataFrame) -> DataFrame:
 class Change:
     """What a feed does to a dimension: ``kept`` rows, some of them altered if ``rewrites``, and ``added`` ones.
 
-    When nothing known is altered, the added rows can be appended and the table need not be written again.
+    When nothing known is altered, the added rows can be appended and the table need not be written again. Nor need it
+    where the altered rows are given by themselves: ``closed`` has them as they are afterwards.
     """
 
     kept: DataFrame
     added: DataFrame
     rewrites: bool
+    closed: DataFrame | None = None
 
     def whole(self) -> DataFrame:
         return self.kept.unionByName(self.added)
@@ -84,9 +86,9 @@ def swimmers(feed: DataFrame, as_of: dt.date | str | None = None, existing: Data
     new = scd2.new_versions(touched, feed, key, SWIMMER_ATTRIBUTES, as_of)
     order = [key, "valid_from", *SWIMMER_ATTRIBUTES]
     numbered = number_rows(new.drop("swimmer_sk"), order, "swimmer_sk", highest(existing, "swimmer_sk"))
-    closes = not scd2.superseded(touched, feed, key, SWIMMER_ATTRIBUTES).isEmpty()
+    closed = save(scd2.closed(touched, feed, key, SWIMMER_ATTRIBUTES, as_of), "closed")
     old = scd2.kept(existing, feed, key, SWIMMER_ATTRIBUTES, as_of)
-    return Change(old, numbered.select(*DIM_SWIMMER.names), closes)
+    return Change(old, numbered.select(*DIM_SWIMMER.names), not closed.isEmpty(), closed)
 
 
 def unknown_swimmers(feed: DataFrame, existing: DataFrame) -> DataFrame:

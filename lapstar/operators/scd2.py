@@ -57,6 +57,17 @@ def superseded(existing: DataFrame, feed: DataFrame, key: str, attributes: list[
     return _flagged(existing, feed, key, attributes).filter("_closed").drop("_closed")
 
 
+def _closing(flagged: DataFrame, columns: list[str], as_of: dt.date | str | None, now: Column | None) -> DataFrame:
+    """The rows of ``_flagged`` after the merge."""
+    on = day(as_of)
+    now = now if now is not None else on.cast("timestamp")
+    changes = {"valid_to": F.when(F.col("_closed"), on).otherwise(F.col("valid_to"))}
+    if "updated_at" in columns:
+        changes["updated_at"] = F.when(F.col("_closed"), now).otherwise(F.col("updated_at"))
+    changes["is_current"] = F.col("is_current") & ~F.col("_closed")
+    return flagged.withColumns(changes).select(*columns)
+
+
 def kept(
     existing: DataFrame,
     feed: DataFrame,
@@ -66,13 +77,20 @@ def kept(
     now: Column | None = None,
 ) -> DataFrame:
     """All old rows, closed where superseded."""
-    on = day(as_of)
-    now = now if now is not None else on.cast("timestamp")
-    closing = {"valid_to": F.when(F.col("_closed"), on).otherwise(F.col("valid_to"))}
-    if "updated_at" in existing.columns:
-        closing["updated_at"] = F.when(F.col("_closed"), now).otherwise(F.col("updated_at"))
-    closing["is_current"] = F.col("is_current") & ~F.col("_closed")
-    return _flagged(existing, feed, key, attributes).withColumns(closing).select(*existing.columns)
+    return _closing(_flagged(existing, feed, key, attributes), existing.columns, as_of, now)
+
+
+def closed(
+    existing: DataFrame,
+    feed: DataFrame,
+    key: str,
+    attributes: list[str],
+    as_of: dt.date | str | None = None,
+    now: Column | None = None,
+) -> DataFrame:
+    """The rows that a merge closes, as they are afterwards."""
+    over = _flagged(existing, feed, key, attributes).filter("_closed")
+    return _closing(over, existing.columns, as_of, now)
 
 
 def new_versions(

@@ -30,7 +30,7 @@ from lapstar.schemas import (
     Warehouse,
 )
 from lapstar.session import empty, new_path, save, scratch
-from lapstar.sources import parts
+from lapstar.sources import history, parts
 from lapstar.sources.files import read_by_name, read_results, results_glob
 from lapstar.sources.lock import writer
 from lapstar.sources.tables import OLD, STAGING, append, overwrite_swap, read_table, recover, replace_load
@@ -47,6 +47,7 @@ TABLES = {
 # in which they first came; and the files they have read.
 KEYS, PAIRS, LOADS, FILES = "load_keys", "ranking_ids", "loads", "loaded_files"
 PAIR_IDS = FACT_RANKINGS.fieldNames()[:3]
+SWIMMER_KEY = "swimmer_sk"
 
 # Names the load of a row where several are merged into one part.
 BROUGHT_BY = "brought_by"
@@ -73,7 +74,8 @@ def _rankings(spark: SparkSession, database: str) -> DataFrame:
 
 
 def read_warehouse(spark: SparkSession, database: str) -> Warehouse:
-    frames = {name: read_table(spark, f"{database}.{name}", TABLES[name]) for name in TABLES if name.startswith("dim_")}
+    frames = {name: read_table(spark, f"{database}.{name}", TABLES[name]) for name in ("dim_event", "dim_competition")}
+    frames["dim_swimmer"] = history.read(spark, f"{database}.dim_swimmer", DIM_SWIMMER, SWIMMER_KEY)
     frames["fact_swimming_performance"], _ = parts.read(spark, database, "fact_swimming_performance", FACT_PERFORMANCE)
     frames["fact_rankings"] = _rankings(spark, database)
     return Warehouse(*[frames[name].select(*schema.names) for name, schema in TABLES.items()])
@@ -86,7 +88,9 @@ def _add(rows: DataFrame, name: str) -> None:
 
 
 def _apply(change: dims.Change, name: str) -> None:
-    if change.rewrites:
+    if change.rewrites and change.closed is not None:
+        history.change(change.closed, change.added, name, SWIMMER_KEY)
+    elif change.rewrites:
         overwrite_swap(change.whole(), name)
     else:
         _add(change.added, name)
@@ -96,6 +100,7 @@ def _recover(spark: SparkSession, database: str) -> None:
     """Undo a swap that broke off, and refuse to go on if a dimension of stored facts is gone."""
     for name in [*TABLES, KEYS, PAIRS, LOADS, parts.MERGED]:
         recover(spark, f"{database}.{name}")
+    history.recover(spark, f"{database}.dim_swimmer", SWIMMER_KEY)
     stored = {name: spark.catalog.tableExists(f"{database}.{name}") for name in TABLES}
     lost = [name for name in TABLES if name.startswith("dim_") and not stored[name]]
     if lost and stored["fact_swimming_performance"]:
@@ -279,17 +284,26 @@ def _reopen(spark: SparkSession, database: str, load_ids: list[str]) -> None:
         parts.reopen(spark, database, _in_parts(spark, database), load_ids, "fact_swimming_performance")
 
 
-def _fold(spark: SparkSession, name: str) -> None:
-    """Write a table anew that has many appended files, the more the larger it is."""
+def _many_files(spark: SparkSession, name: str) -> bool:
+    """Whether a table has many appended files, the more the larger it is."""
     if not spark.catalog.tableExists(name):
-        return
-    rows = spark.read.table(name)
-    files = rows.inputFiles()
-    if len(files) >= MANY_FILES:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
-        if len(files) >= MANY_FILES + 2 * size // FILE_BYTES:
-            overwrite_swap(rows.hint("rebalance"), name)
+        return False
+    files = spark.read.table(name).inputFiles()
+    if len(files) < MANY_FILES:
+        return False
+    folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return len(files) >= MANY_FILES + 2 * size // FILE_BYTES
+
+
+def _fold(spark: SparkSession, database: str) -> None:
+    """Write tables anew that have many files."""
+    for name in ["dim_event", "dim_competition", KEYS, PAIRS, LOADS]:
+        if _many_files(spark, f"{database}.{name}"):
+            overwrite_swap(spark.read.table(f"{database}.{name}").hint("rebalance"), f"{database}.{name}")
+    swimmers = f"{database}.dim_swimmer"
+    if any(_many_files(spark, name) for name in history.names(swimmers)):
+        history.fold(spark, swimmers, DIM_SWIMMER, SWIMMER_KEY)
 
 
 def compact(spark: SparkSession, database: str, fanout: int = FANOUT) -> int:
@@ -306,8 +320,7 @@ def compact(spark: SparkSession, database: str, fanout: int = FANOUT) -> int:
     with _writing(spark, database), scratch(spark):
         _recover(spark, database)
         merges = parts.merge(spark, database, tables, fanout)
-        for name in [*[name for name in TABLES if name.startswith("dim_")], KEYS, PAIRS, LOADS]:
-            _fold(spark, f"{database}.{name}")
+        _fold(spark, database)
     return merges
 
 
@@ -380,3 +393,4 @@ def reset(spark: SparkSession, database: str) -> None:
     for name in [*reversed(TABLES), KEYS, PAIRS, LOADS, FILES, parts.MERGED]:
         for part in (name, name + OLD, name + STAGING):
             spark.sql(f"DROP TABLE IF EXISTS {database}.{part}")
+    history.drop(spark, f"{database}.dim_swimmer")

@@ -1,0 +1,114 @@
+"""Histories that are only appended to: readers see them before a load or after it, and nothing known is written again."""
+
+import datetime as dt
+
+import pytest
+from conftest import swim
+from test_load import FIRST, values
+
+from lapstar.plans import load
+from lapstar.plans.load import compact, read_warehouse, reset, run_load
+from lapstar.sources import history
+from workload.staging import new_database
+
+COLUMNS = ["swimmer_sk", "swimmer_id", "name", "is_current", "version", "valid_from", "valid_to"]
+RENAMED = [{**row, "Name": row["Name"] + " II"} for row in FIRST if row["SwimmerId"] == "SWM1"]
+DAY, LATER = dt.date(2018, 1, 2), dt.date(2018, 2, 2)
+BEFORE = [(1, "SWM1", "Name 1", True, 1, DAY, None), (2, "SWM2", "Name 2", True, 1, DAY, None)]
+AFTER = [
+    (1, "SWM1", "Name 1", False, 1, DAY, LATER),
+    (2, "SWM2", "Name 2", True, 1, DAY, None),
+    (3, "SWM1", "Name 1 II", True, 2, LATER, None),
+]
+
+
+def swimmers(spark, name):
+    return values(read_warehouse(spark, name).swimmers, *COLUMNS)
+
+
+@pytest.fixture()
+def first(spark, raw_frame):
+    name = new_database(spark)
+    run_load(spark, raw_frame(FIRST), name, "first", str(DAY))
+    assert swimmers(spark, name) == BEFORE
+    return name
+
+
+def test_a_changed_swimmer_writes_its_own_rows(spark, raw_frame, first, monkeypatch):
+    files = set(spark.read.table(f"{first}.dim_swimmer").inputFiles())
+    swapped = []
+    swap = load.overwrite_swap
+    monkeypatch.setattr(load, "overwrite_swap", lambda rows, name: (swapped.append(name), swap(rows, name)))
+    run_load(spark, raw_frame(RENAMED), first, "second", str(LATER))
+    assert swimmers(spark, first) == AFTER and f"{first}.dim_swimmer" not in swapped
+    stored = spark.read.table(f"{first}.dim_swimmer")
+    assert files < set(stored.inputFiles()) and stored.count() == 3
+    assert spark.read.table(f"{first}.dim_swimmer__closed").count() == 1
+    # Closed rows have been closed: the same load again, and the next change, find the current row only.
+    run_load(spark, raw_frame(RENAMED), first, "second", str(LATER))
+    assert swimmers(spark, first) == AFTER
+    run_load(spark, raw_frame(FIRST), first, "third", "2018-03-02")
+    third = dt.date(2018, 3, 2)
+    assert swimmers(spark, first) == [
+        *AFTER[:2], (3, "SWM1", "Name 1 II", False, 2, LATER, third), (4, "SWM1", "Name 1", True, 3, third, None)
+    ]
+    reset(spark, first)
+    assert not spark.catalog.tableExists(f"{first}.dim_swimmer__closed") and swimmers(spark, first) == []
+
+
+@pytest.mark.parametrize("again", [True, False])
+def test_a_change_that_stops_in_between_does_not_count(spark, raw_frame, first, monkeypatch, again):
+    append = history.append
+
+    def stops(rows, name):
+        if name.endswith(".dim_swimmer"):
+            raise RuntimeError("stopped")
+        append(rows, name)
+
+    monkeypatch.setattr(history, "append", stops)
+    with pytest.raises(RuntimeError, match="stopped"):
+        run_load(spark, raw_frame(RENAMED), first, "second", str(LATER))
+    monkeypatch.undo()
+    assert spark.read.table(f"{first}.dim_swimmer__closed").count() == 1
+    assert swimmers(spark, first) == BEFORE
+    if again:
+        run_load(spark, raw_frame(RENAMED), first, "second", str(LATER))
+        assert swimmers(spark, first) == AFTER
+    else:  # another load's new rows do not close what the stopped one would have
+        run_load(spark, raw_frame([swim(9, "50m Freestyle", "29.00", "M3", "2018-03-01")]), first, "third", "2018-03-02")
+        assert swimmers(spark, first)[:2] == BEFORE
+        assert spark.read.table(f"{first}.dim_swimmer__closed").isEmpty()
+
+
+def test_rows_that_close_without_a_new_version(spark, raw_frame):
+    name = new_database(spark)
+    twins = [FIRST[0], {**FIRST[0], "Name": "Twin"}]
+    run_load(spark, raw_frame(twins), name, "first", str(DAY))
+    run_load(spark, raw_frame(twins[:1]), name, "second", str(LATER))
+    found = values(read_warehouse(spark, name).swimmers, "name", "is_current", "valid_to")
+    assert found == [("Name 1", True, None), ("Twin", False, LATER)]
+
+
+def test_folding_keeps_the_history(spark, raw_frame, first, monkeypatch):
+    run_load(spark, raw_frame(RENAMED), first, "second", str(LATER))
+    monkeypatch.setattr(load, "MANY_FILES", 1)
+    monkeypatch.setattr(load, "FILE_BYTES", 1 << 60)
+    statement = type(spark).sql
+
+    def sql(self, query, *args, **more):
+        if query.startswith("DROP") and query.endswith("dim_swimmer__closed"):
+            raise RuntimeError("stopped")
+        return statement(self, query, *args, **more)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", sql)
+        with pytest.raises(RuntimeError, match="stopped"):
+            compact(spark, first, 2)
+    assert swimmers(spark, first) == AFTER  # folded, the closed rows not yet dropped
+    run_load(spark, raw_frame(FIRST[:1]), first, "third", "2018-03-02")
+    run_load(spark, raw_frame(RENAMED), first, "fourth", "2018-04-02")
+    before = swimmers(spark, first)
+    assert len(before) == 5 and [row[0] for row in before if row[3]] == [2, 5]
+    compact(spark, first, 2)
+    assert swimmers(spark, first) == before
+    assert not spark.catalog.tableExists(f"{first}.dim_swimmer__closed")

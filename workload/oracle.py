@@ -328,6 +328,15 @@ ORACLE: dict[str, str] = {
         WHERE ym % 3 <> 1 OR src_line % 2 = 1 GROUP BY ALL""",
         "swims",
     ),
+    "swimmer_history": _sql(
+        f"""SELECT * FROM (WITH b AS (SELECT SwimmerId AS swimmer_id, Name AS name,
+          bool_or(coalesce(CAST(Competition_Date AS DATE) <= DATE '1998-03-31', false)) AS early,
+          bool_or(coalesce(CAST(Competition_Date AS DATE) > DATE '1998-03-31', true)) AS late FROM raw_results GROUP BY ALL)
+        SELECT swimmer_id, name, 1 AS version, NOT late AS is_current, DATE '2018-06-29' AS valid_from,
+          CASE WHEN late THEN DATE '{AS_OF}' END AS valid_to FROM b WHERE early
+        UNION ALL SELECT swimmer_id, name || ' II', CASE WHEN early THEN 2 ELSE 1 END, true, DATE '{AS_OF}', NULL FROM b WHERE late)""",
+        "swims",
+    ),
     "compacted_load": _sql(
         """SELECT * FROM (WITH x AS (SELECT *, CAST(substr(Competition_Competition_Id, 2) AS INTEGER) % 5 AS fifth FROM swims),
         y AS (SELECT * FROM x WHERE fifth <> 1 OR src_line % 2 = 1),

@@ -435,6 +435,16 @@ def corrected_file(spark, sf_dir):
     )
 
 
+@query
+def swimmer_history(spark, sf_dir):
+    """The versions of all swimmers after later meets came with other names; the known rows are not written again."""
+    early, late = _arrivals(spark, sf_dir)
+    database = new_database(spark)
+    load.run_load(spark, early, database, "early", "2018-06-29", SRC)
+    loaded = load.run_load(spark, late.withColumn("Name", F.concat("Name", F.lit(" II"))), database, "late", AS_OF, SRC)
+    return loaded.swimmers.select("swimmer_id", "name", "version", "is_current", "valid_from", "valid_to")
+
+
 @query
 def compacted_load(spark, sf_dir):
     """Swims, their times and best places per competition after loads were merged twice over, and one of them came again."""
