@@ -30,6 +30,15 @@ def test_results_come_back_as_written(raw_frame, spark, tmp_path):
     assert sorted(back.collect(), key=str) == sorted(raw.collect(), key=str)
 
 
+def test_compressed_results_come_back_as_written(raw_frame, spark, tmp_path):
+    raw, path = raw_frame(SWIMS), str(tmp_path / "out")
+    files.write_results(raw, path, compression="gzip")
+    assert [f.suffixes[-2:] for f in (tmp_path / "out").rglob("part-*")] == [[".csv", ".gz"]] * 2
+    found = files.read_results(spark, path)
+    assert found.exceptAll(raw).isEmpty() and raw.exceptAll(found).isEmpty()
+    assert files.holds_results(spark, path) and not files.holds_results(spark, str(tmp_path / "other"))
+
+
 def test_a_large_competition_is_written_by_several_tasks(spark, tmp_path):
     one = raw_results(spark, SMALL).withColumns(
         {"Competition_Competition_Id": F.lit("HOT"), "Competition_Date": F.lit("2018-01-01")}
