@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from conftest import SMALL, swim
 
-from lapstar.operators import dims, facts, quality
+from lapstar.operators import dims, facts, keys, quality
 from lapstar.plans import load
 from lapstar.plans.load import load_files, read_warehouse, reset, row_counts, run_load
 from lapstar.schemas import RAW_COLUMNS, TEXT_LIMITS
@@ -385,3 +385,31 @@ def test_writers_wait_for_each_other(spark, raw_frame, tmp_path):
     assert not (tmp_path / lock.NAME).exists() and not list(tmp_path.iterdir())
     with pytest.raises(RuntimeError, match="taken away"), lock.writer(spark, str(tmp_path), lease=30):
         (tmp_path / lock.NAME).unlink()
+
+
+def test_what_only_orders_swims_is_not_written(raw_frame, monkeypatch):
+    written = []
+
+    def save(df, label):
+        written.append((label, df.columns))
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(keys, "save", save)
+    raw = raw_frame([{**row, "Sponsor": f"{i:03}"} for i, row in enumerate(FIRST + SECOND)])
+    wide, slim = (facts.numbered_swims(raw, ["Sponsor"], attributes) for attributes in (True, False))
+    assert not {"Sponsor", "distance", "stroke"} & set(written[0][1])
+    assert not {"Sponsor", "name", "birth_date", "gender", "nationality", "distance", "stroke"} & set(written[1][1])
+    columns = ["performance_id", "swimmer_id", "competition_id", "distance", "stroke", "time_seconds"]
+    assert sorted(wide.select(*columns).collect(), key=str) == sorted(slim.select(*columns).collect(), key=str)
+    assert wide.columns != slim.columns and wide.count() == len({row[0] for row in slim.select("performance_id").collect()})
+
+
+def test_rankings_get_known_and_new_ids_from_one_join(spark):
+    best = spark.createDataFrame(
+        [(1, 1, 20.0, 3), (1, 2, None, None), (2, 1, 21.0, 1)], "swimmer_sk long, event_sk long, best_time double, best_rank int"
+    )
+    ids = spark.createDataFrame([(7, 1, 2), (8, 9, 9)], "ranking_id long, swimmer_sk long, event_sk long")
+    found = facts.with_ids(best, ids)
+    assert [tuple(row) for row in facts.known_rankings(found).collect()] == [(7, 1, 2, None, None)]
+    fresh = sorted(tuple(row) for row in facts.new_rankings(found, 8).collect())
+    assert fresh == [(9, 1, 1, 20.0, 3), (10, 2, 1, 21.0, 1)]
