@@ -12,6 +12,7 @@ from lapstar.plans.load import load_files, read_warehouse, reset, row_counts, ru
 from lapstar.schemas import RAW_COLUMNS, TEXT_LIMITS
 from lapstar.session import shared_folder
 from lapstar.sources.files import write_results
+from workload import queries
 from workload.staging import AS_OF, SRC, new_database, raw_results, warehouse
 
 
@@ -413,3 +414,14 @@ def test_rankings_get_known_and_new_ids_from_one_join(spark):
     assert [tuple(row) for row in facts.known_rankings(found).collect()] == [(7, 1, 2, None, None)]
     fresh = sorted(tuple(row) for row in facts.new_rankings(found, 8).collect())
     assert fresh == [(9, 1, 1, 20.0, 3), (10, 2, 1, 21.0, 1)]
+
+
+def test_rows_that_differ_are_counted_with_repeats(spark):
+    schema = "a int, b string"
+    old = spark.createDataFrame([(1, "x"), (1, "x"), (1, None), (2, "y")], schema)
+    new = spark.createDataFrame([(1, "x"), (1, None), (1, None), (1, None), (3, "z")], schema)
+    assert queries._differing(old, new).first()["differing"] == 5
+    assert queries._differing(old, old).first()["differing"] == 0
+    assert queries._differing(old.limit(0), new.limit(0)).first()["differing"] == 0
+    plan = queries._differing(old, new)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1
