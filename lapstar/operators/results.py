@@ -120,8 +120,9 @@ def top_entries(raw: DataFrame, caps: dict[str, int] = ENTRY_CAPS, tie: list[str
 
 
 def _histories(raw: DataFrame, length: int, tie: list[str] | None) -> DataFrame:
-    """Map distance → last ``length`` times, oldest first, per swimmer and stroke."""
+    """Per swimmer the listed strokes and distances swum, each with its last ``length`` times, oldest first."""
     swims = _career(raw).filter(F.col("time_seconds").isNotNull() & F.col("distance").isNotNull())
+    swims = swims.filter(F.col("stroke").isin(*STROKE_DISTANCES))
     order = _oldest_first(raw, tie)
     newest = Window.partitionBy(*CAREER_KEYS).orderBy(*[F.col(c).desc_nulls_last() for c in order])
     last = swims.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") <= length)
@@ -130,9 +131,7 @@ def _histories(raw: DataFrame, length: int, tie: list[str] | None) -> DataFrame:
     times = last.groupBy(*CAREER_KEYS).agg(
         F.transform(oldest_first, lambda swim: swim["time_seconds"]).alias("times")
     )
-    return times.groupBy("SwimmerId", "stroke").agg(
-        F.map_from_entries(F.collect_list(F.struct("distance", "times"))).alias("swum")
-    )
+    return times.groupBy("SwimmerId").agg(F.collect_list(F.struct("stroke", "distance", "times")).alias("_swum"))
 
 
 # The summary's names of the swimmer's attributes, in order, and the raw columns they come from.
@@ -152,28 +151,40 @@ def rankings_summary(raw: DataFrame, length: int = HISTORY_LENGTH, tie: list[str
     where none was swum.
     """
     attributes = F.struct(*[F.col(c).alias(a) for a, c in SUMMARY_ATTRIBUTES.items()])
-    newest = F.max(F.struct(as_date("Competition_Date").alias("swim_date"), attributes.alias("attributes")))
-    swimmers = raw.groupBy("SwimmerId").agg(newest.alias("newest")).select("newest.attributes.*")
+    # The texts are grouped by before their greatest is taken: a hash table of the swimmers, where the greatest text among
+    # all swims would have every task sort whole rows of its part of the input.
+    dated = raw.groupBy(*SUMMARY_ATTRIBUTES.values()).agg(F.max(as_date("Competition_Date")).alias("swim_date"))
+    newest = F.max(F.struct("swim_date", attributes.alias("attributes")))
+    swimmers = dated.groupBy("SwimmerId").agg(newest.alias("newest")).select("newest.attributes.*")
     listed = F.create_map(
         *chain.from_iterable(
             (F.lit(name), F.array(*[F.lit(d) for d in metres])) for name, metres in STROKE_DISTANCES.items()
         )
     )
     strokes = F.array(*[F.lit(name) for name in STROKE_DISTANCES])
-    grid = swimmers.withColumn("stroke", F.explode(strokes)).withColumn("SwimmerId", F.col("id"))
     counts = place_counts(raw, tie).withColumnRenamed("swimmer_id", "SwimmerId")
-    joined = join_null_safe(grid, counts, ["SwimmerId", "stroke"], "left")
-    joined = join_null_safe(joined, _histories(raw, length, tie), ["SwimmerId", "stroke"], "left")
+    counts = counts.filter(F.col("stroke").isin(*STROKE_DISTANCES)).groupBy("SwimmerId").agg(
+        F.collect_list(F.struct("stroke", *[f"rank{k}_count" for k in RANKS])).alias("_counts")
+    )
+    # One row per swimmer is joined; the strokes come afterwards, so that no join sorts a swimmer's texts five times.
+    joined = join_null_safe(swimmers.withColumn("SwimmerId", F.col("id")), counts, ["SwimmerId"], "left")
+    joined = join_null_safe(joined, _histories(raw, length, tie), ["SwimmerId"], "left")
+    joined = joined.withColumn("stroke", F.explode(strokes))
+
+    def own(name: str) -> Column:
+        return F.filter(name, lambda x: x["stroke"] == F.col("stroke"))
 
+    count = F.get(own("_counts"), F.lit(0))
+    distances = F.transform(own("_swum"), lambda x: F.struct(x["distance"], x["times"]))
     none = F.array().cast("array<double>")
     nothing = F.map_from_arrays(F.array().cast("array<int>"), F.array().cast("array<array<double>>"))
-    swum = F.coalesce("swum", nothing)
+    swum = F.coalesce(F.map_from_entries(distances), nothing)
     metres = F.array_sort(F.array_union(listed[F.col("stroke")], F.map_keys(swum)))
     records = F.map_from_arrays(metres, F.transform(metres, lambda d: F.coalesce(F.try_element_at(swum, d), none)))
     return joined.select(
         *SUMMARY_ATTRIBUTES,
         F.col("stroke").alias("Stroke"),
-        *[F.coalesce(f"rank{k}_count", F.lit(0)).alias(f"Rank{k}_Count") for k in RANKS],
+        *[F.coalesce(count[f"rank{k}_count"], F.lit(0)).alias(f"Rank{k}_Count") for k in RANKS],
         records.alias("Historical_Records"),
     )
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from conftest import SMALL, swim
@@ -199,3 +200,21 @@ def test_properties_of_the_staged_results(spark):
     before = F.lag("best_so_far").over(career)
     assert best.withColumn("before", before).filter("best_so_far > before").isEmpty()
     assert best.filter("is_personal_best AND time_seconds > best_so_far").isEmpty()
+
+
+def test_summary_sorts_no_raw_rows_for_the_newest_attributes(raw):
+    plan = results.rankings_summary(raw, tie=TIE)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[SwimmerId[^\]]*Education_Level[^\]]*\], functions=\[partial_max", plan)
+
+
+def test_newest_attributes_of_the_summary(raw_frame):
+    rows = [
+        swim(1, EVENTS[0], "20.00", "M1", "2018-01-01", Name="old"),
+        swim(1, EVENTS[0], "20.00", "M2", "2018-02-01", Name="new", Club=None),
+        swim(1, EVENTS[0], "20.00", "M3", "2018-02-01", Name="new", Club="A"),
+        swim(1, EVENTS[0], "20.00", "M4", None, Name="undated"),
+        swim(2, EVENTS[0], "20.00", "M4", None, Name="a"),
+        swim(2, EVENTS[0], "20.00", "M4", None, Name="b"),
+    ]
+    found = results.rankings_summary(raw_frame(rows), tie=["Name"]).select("id", "name", "club").distinct().collect()
+    assert sorted(map(tuple, found)) == [("SWM1", "new", "A"), ("SWM2", "b", None)]
