@@ -6,6 +6,10 @@ rows are then shuffled once, by group and block, and windows run inside blocks;
 the blocks before it what it needs: their number of rows, their minimum, their last values. There are at most twice as
 many blocks of cut groups as shuffle partitions, so borders and what blocks pass on are small tables of a known bound.
 
+Which groups are large is told by the counts of ``BUCKETS`` hashes of the keys: a group has no more rows than its bucket, so
+only groups of buckets above the size are counted one by one. There are more partitions than the session asks for where
+tasks would get more than ``TASK_ROWS`` rows and sort on disk.
+
 Orders are lists of columns, ascending and nulls first; ``nulls_last`` puts nulls behind. Rows of a group that are equal in the
 whole order stay in one block.
 """
@@ -17,10 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from lapstar.operators.joins import join_null_safe
-from lapstar.session import save
+from lapstar.session import save, tasks_for
 
 BLOCK = "_block"
 SAMPLES = 32  # of each block
+BUCKETS = 1 << 16
 
 
 def nulls_last(name: str) -> list[Column | str]:
@@ -33,15 +38,29 @@ def _place(order: list[Column | str]) -> Column:
     return F.struct(*[x.alias(f"o{i}") for i, x in enumerate(items)])
 
 
-def _borders(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame | None:
-    """``keys, _borders``: for each group that is too large for a partition, where its blocks after the first begin."""
-    spark = df.sparkSession
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total, most = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
-    size = -(-(total or 0) // int(spark.conf.get("spark.sql.shuffle.partitions")))
+def _large(df: DataFrame, keys: list[str], counts: DataFrame, size: int) -> DataFrame:
+    """``keys, _rows`` of the groups with more than ``size`` rows, fewer than partitions, from the counts of buckets."""
+    full = counts.filter(F.col("_rows") > size).select("_bucket")
+    rows = df.select(*keys, _bucket(keys)).join(F.broadcast(full), "_bucket", "left_semi")
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return save(sizes.filter(F.col("_rows") > size), "large")
+
+
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("_bucket")
+
+
+def _borders(df: DataFrame, keys: list[str], order: list[Column | str]) -> tuple[DataFrame | None, int]:
+    """``keys, _borders``: for each group that is too large for a partition, where its blocks after the first begin. And
+    the number of rows."""
+    counts = save(df.groupBy(_bucket(keys)).agg(F.count("*").alias("_rows")), "buckets")
+    total, most = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.max("_rows")).first()
+    size = -(-total // tasks_for(df.sparkSession, total)[0])
     if not total or most <= size:
-        return None
-    large = save(sizes.filter(F.col("_rows") > size), "large")  # fewer than partitions
+        return None, total
+    large = _large(df, keys, counts, size)
+    if large.isEmpty():
+        return None, total
     place = _place(order).alias("_place")
     rows = join_null_safe(df.select(*keys, place), F.broadcast(large), keys)
     sample = rows.filter(F.pmod(F.xxhash64("_place"), F.lit(max(1, size // SAMPLES))) == 0)
@@ -49,18 +68,19 @@ def _borders(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataF
     found = sample.groupBy(*keys, "_rows").agg(F.sort_array(F.collect_list("_place")).alias("_sample"))
     at = F.sequence(F.lit(1), F.least(blocks - 1, F.size("_sample")))
     picked = F.transform(at, lambda i: F.get("_sample", (i * F.size("_sample") / blocks).cast("int")))
-    return save(found.select(*keys, F.array_distinct(picked).alias("_borders")), "borders")
+    return save(found.select(*keys, F.array_distinct(picked).alias("_borders")), "borders"), total
 
 
-def _cut(df: DataFrame, keys: list[str], order: list[Column | str]) -> tuple[DataFrame, bool]:
-    """The rows with their block, and whether any group has several. ``_large`` marks rows of groups that have."""
-    borders = _borders(df, keys, order)
+def _cut(df: DataFrame, keys: list[str], order: list[Column | str]) -> tuple[DataFrame, bool, int]:
+    """The rows with their block, whether any group has several, and the number of rows. ``_large`` marks rows of groups
+    that have."""
+    borders, total = _borders(df, keys, order)
     if borders is None:
-        return df.withColumn(BLOCK, F.lit(0)).withColumn("_large", F.lit(False)), False
+        return df.withColumn(BLOCK, F.lit(0)).withColumn("_large", F.lit(False)), False, total
     rows = join_null_safe(df, F.broadcast(borders), keys, "left").withColumn("_place", _place(order))
     before = F.size(F.filter("_borders", lambda border: border <= F.col("_place")))
     rows = rows.withColumn(BLOCK, F.when(F.col("_borders").isNull(), 0).otherwise(before))
-    return rows.withColumn("_large", F.col("_borders").isNotNull()).drop("_borders", "_place"), True
+    return rows.withColumn("_large", F.col("_borders").isNotNull()).drop("_borders", "_place"), True, total
 
 
 def blocks(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -68,6 +88,13 @@ def blocks(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFra
     return _cut(df, keys, order)[0].drop("_large")
 
 
+def _dealt(rows: DataFrame, keys: list[str], several: bool, total: int) -> DataFrame:
+    """The rows shuffled by group and block, as the windows need them, where they are too many to leave that to Spark."""
+    tasks, insist = tasks_for(rows.sparkSession, total)
+    # Spark drops a constant block from the windows' keys and would shuffle again if the rows were dealt by it.
+    return rows.repartition(tasks, *keys, *([BLOCK] if several else [])) if insist else rows
+
+
 def _in_block(keys: list[str], order: list[Column | str]) -> WindowSpec:
     rows = Window.partitionBy(*keys, BLOCK).orderBy(*order)
     return rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -78,28 +105,34 @@ def _earlier(keys: list[str]) -> WindowSpec:
 
 
 def _handed_on(rows: DataFrame, keys: list[str], passed: DataFrame) -> DataFrame:
-    """Each row with what its block gets: one row of ``passed`` per block of a cut group."""
+    """Each row with what its block gets: one row of ``passed`` per block of a cut group. Joined behind the windows, it is
+    neither shuffled nor sorted with the rows."""
     return join_null_safe(rows, F.broadcast(save(passed, "passed")), [*keys, BLOCK], "left")
 
 
 def number_in_groups(df: DataFrame, keys: list[str], order: list[Column | str], name: str) -> DataFrame:
     """``row_number`` within groups."""
-    rows, several = _cut(df, keys, order)
+    rows, several, total = _cut(df, keys, order)
     number = F.row_number().over(_in_block(keys, order)).cast("bigint")
+    numbered = _dealt(rows, keys, several, total).withColumn(name, number)
     if several:
         each = rows.filter("_large").groupBy(*keys, BLOCK).agg(F.count("*").alias("_size"))
-        rows = _handed_on(rows, keys, each.select(*keys, BLOCK, F.sum("_size").over(_earlier(keys)).alias("_before")))
-        number = number + F.coalesce("_before", F.lit(0))
-    return rows.withColumn(name, number).select(*df.columns, name)
+        before = each.select(*keys, BLOCK, F.sum("_size").over(_earlier(keys)).alias("_before"))
+        numbered = _handed_on(numbered, keys, before).withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0)))
+    return numbered.select(*df.columns, name)
 
 
-def _with_minimum(rows: DataFrame, several: bool, keys: list[str], order: list[Column | str], value: str, name: str) -> DataFrame:
-    least = F.min(value).over(_in_block(keys, order))
-    if several:
-        each = rows.filter("_large").groupBy(*keys, BLOCK).agg(F.min(value).alias("_own"))
-        rows = _handed_on(rows, keys, each.select(*keys, BLOCK, F.min("_own").over(_earlier(keys)).alias("_least")))
-        least = F.least("_least", least)
-    return rows.withColumn(name, least)
+def _least_before(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``_least`` for each block of a cut group: the minimum before it."""
+    each = rows.filter("_large").groupBy(*keys, BLOCK).agg(F.min(value).alias("_own"))
+    return each.select(*keys, BLOCK, F.min("_own").over(_earlier(keys)).alias("_least"))
+
+
+def _with_minimum(
+    dealt: DataFrame, before: DataFrame | None, keys: list[str], order: list[Column | str], value: str, name: str
+) -> DataFrame:
+    dealt = dealt.withColumn(name, F.min(value).over(_in_block(keys, order)))
+    return dealt if before is None else _handed_on(dealt, keys, before).withColumn(name, F.least("_least", name))
 
 
 def _last_values(rows: DataFrame, keys: list[str], order: list[Column | str], value: str, length: int) -> DataFrame:
@@ -119,41 +152,44 @@ def _last_values(rows: DataFrame, keys: list[str], order: list[Column | str], va
 
 
 def _with_lists(
-    rows: DataFrame, several: bool, keys: list[str], order: list[Column | str], value: str, length: int, name: str
+    dealt: DataFrame, before: DataFrame | None, keys: list[str], order: list[Column | str], value: str, length: int, name: str
 ) -> DataFrame:
-    if several:
-        rows = _handed_on(rows, keys, _last_values(rows, keys, order, value, length))
     # Null values take no slot: the frame counts values (_v), not rows.
-    rows = rows.withColumn("_v", F.count(value).over(_in_block(keys, order)))
+    dealt = dealt.withColumn("_v", F.count(value).over(_in_block(keys, order)))
     window = Window.partitionBy(*keys, BLOCK).orderBy("_v").rangeBetween(1 - length, Window.currentRow)
     # The values of equal numbers: one, and rows without a value.
-    rows = rows.withColumn("_own", F.collect_list(value).over(window))
-    if not several:
-        return rows.withColumn(name, F.col("_own"))
+    dealt = dealt.withColumn("_own", F.collect_list(value).over(window))
+    if before is None:
+        return dealt.withColumn(name, F.col("_own"))
+    dealt = _handed_on(dealt, keys, before)
     whole = F.concat("_halo", "_own")
     whole = F.slice(whole, F.greatest(F.size(whole) - length + 1, F.lit(1)), length)
     short = F.col("_halo").isNotNull() & (F.size("_own") < length)
-    return rows.withColumn(name, F.when(short, whole).otherwise(F.col("_own")))
+    return dealt.withColumn(name, F.when(short, whole).otherwise(F.col("_own")))
 
 
 def running_min(df: DataFrame, keys: list[str], order: list[Column | str], value: str, name: str) -> DataFrame:
     """Smallest non-null ``value`` of the group up to and including each row."""
-    rows, several = _cut(df, keys, order)
-    return _with_minimum(rows, several, keys, order, value, name).select(*df.columns, name)
+    rows, several, total = _cut(df, keys, order)
+    before = _least_before(rows, keys, value) if several else None
+    return _with_minimum(_dealt(rows, keys, several, total), before, keys, order, value, name).select(*df.columns, name)
 
 
 def trailing_list(
     df: DataFrame, keys: list[str], order: list[Column | str], value: str, length: int, name: str
 ) -> DataFrame:
     """The last ``length`` non-null values of the group up to and including each row, oldest first."""
-    rows, several = _cut(df, keys, order)
-    return _with_lists(rows, several, keys, order, value, length, name).select(*df.columns, name)
+    rows, several, total = _cut(df, keys, order)
+    before = _last_values(rows, keys, order, value, length) if several else None
+    return _with_lists(_dealt(rows, keys, several, total), before, keys, order, value, length, name).select(*df.columns, name)
 
 
 def running_min_and_list(
     df: DataFrame, keys: list[str], order: list[Column | str], value: str, length: int, least: str, last: str
 ) -> DataFrame:
     """``running_min`` and ``trailing_list`` from one shuffle of the rows."""
-    rows, several = _cut(df, keys, order)
-    rows = _with_minimum(rows, several, keys, order, value, least)
-    return _with_lists(rows, several, keys, order, value, length, last).select(*df.columns, least, last)
+    rows, several, total = _cut(df, keys, order)
+    minimum = _least_before(rows, keys, value) if several else None
+    lists = _last_values(rows, keys, order, value, length) if several else None
+    dealt = _with_minimum(_dealt(rows, keys, several, total), minimum, keys, order, value, least)
+    return _with_lists(dealt, lists, keys, order, value, length, last).select(*df.columns, least, last)

@@ -6,6 +6,8 @@ import pytest
 from conftest import settings
 from pyspark.sql import functions as F
 
+from lapstar import session
+from lapstar.operators import scans
 from lapstar.operators.keys import number_rows
 from lapstar.operators.scans import blocks, nulls_last, number_in_groups, running_min, running_min_and_list, trailing_list
 
@@ -145,3 +147,36 @@ def test_a_third_of_the_rows_in_one_group(spark):
     for i, _, _ in found:
         values += [] if i % 7 == 0 else [i * 1.5]
         assert listed[i] == values[-3:]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_tasks_get_no_more_rows_than_they_hold(spark, monkeypatch, hot):
+    """More rows mean more tasks of the one shuffle, not larger ones; the session's partitions are the least."""
+    key = "if(id % 2 = 0, 0, id % 4999)" if hot else "id % 4999"
+    df = spark.range(0, 20_000, numPartitions=8).selectExpr("id", f"{key} AS key", "id * 7919 % 20011 AS day", "id * 1.5D AS value")
+
+    def every():
+        return [
+            number_in_groups(df, ["key"], ["day"], "n"), running_min(df, ["key"], ["day"], "value", "n"),
+            trailing_list(df, ["key"], ["day"], "value", 5, "n"),
+            running_min_and_list(df, ["key"], ["day"], "value", 5, "m", "n"),
+        ]
+
+    with settings(spark, {"spark.sql.shuffle.partitions": "4"}):
+        whole = [{r["id"]: r["n"] for r in made.select("id", "n").collect()} for made in every()]
+        monkeypatch.setattr(session, "TASK_ROWS", 1000, raising=False)
+        for made, expected in zip(every(), whole, strict=True):
+            assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+            assert max(r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()) < 3000
+            assert {r["id"]: r["n"] for r in made.select("id", "n").collect()} == expected
+
+
+def test_groups_are_not_counted_one_by_one_to_find_the_large_ones(spark):
+    """As many groups as rows: what is shuffled to find the large ones has a known bound."""
+    df = spark.range(0, 300_000, numPartitions=2).selectExpr("id AS key", "id AS day")
+    made = []
+    keep = scans.save
+    with pytest.MonkeyPatch.context() as patch, settings(spark, {"spark.sql.shuffle.partitions": "4"}):
+        patch.setattr(scans, "save", lambda rows, label: made.append((label, keep(rows, label))) or made[-1][1])
+        assert number_in_groups(df, ["key"], ["day"], "n").filter("n = 1").count() == 300_000
+    assert [label for label, _ in made] == ["buckets"] and made[0][1].count() <= scans.BUCKETS

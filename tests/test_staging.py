@@ -1,5 +1,6 @@
 import datetime as dt
 
+from lapstar import session
 from lapstar.operators import scans
 from workload import staging
 
@@ -47,3 +48,22 @@ def test_stage_gives_the_rows_of_its_sql_from_narrow_ones(spark, tmp_path, monke
     # What is shuffled for the places: nothing that a key, a month or a time gives again, and no text but the customer's.
     assert {name for name, kind in placed[0].dtypes if kind == "string"} == {"c_name", "c_mktsegment"}
     assert not {"off", "age", "foreigner", "cdate", "mon", "cs", "l_tax", "l_returnflag"} & set(placed[0].columns)
+
+
+def test_raw_results_are_made_in_as_many_partitions_as_their_rows_need(spark, tmp_path, monkeypatch):
+    write(spark, tmp_path)
+    monkeypatch.setattr(session, "TASK_ROWS", 10, raising=False)
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    used = []
+
+    def stage(*args):
+        used.append(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return made(*args)
+
+    made = staging.stage
+    monkeypatch.setattr(staging, "stage", stage)
+    raw = staging.raw_results(spark, str(tmp_path))
+    rows = staging.table(spark, tmp_path, "lineitem").count()
+    assert used == [-(-rows // 10)] and used[0] > int(before["spark.sql.shuffle.partitions"])
+    assert raw.exceptAll(made(spark, tmp_path)).isEmpty() and raw.count() > 50
+    assert {key: spark.conf.get(key) for key in before} == before

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lapstar.operators.scans import nulls_last, number_in_groups
 from lapstar.plans.load import read_warehouse, run_load
 from lapstar.schemas import RAW_COLUMNS, Params, Warehouse
-from lapstar.session import new_path, save
+from lapstar.session import new_path, save, shuffles_for
 from lapstar.sources.files import write_results
 
 AS_OF = "2018-06-30"
@@ -144,7 +144,11 @@ def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return once(spark, sf_dir, "raw", lambda: save(stage(spark, sf_dir), "raw"))
+    def build() -> DataFrame:
+        with shuffles_for(spark, table(spark, sf_dir, "lineitem").count()):
+            return save(stage(spark, sf_dir), "raw")
+
+    return once(spark, sf_dir, "raw", build)
 
 
 def results_folder(spark: SparkSession, sf_dir: str) -> str:
