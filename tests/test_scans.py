@@ -149,8 +149,8 @@ def test_a_third_of_the_rows_in_one_group(spark):
         assert listed[i] == values[-3:]
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_tasks_get_no_more_rows_than_they_hold(spark, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "least"), [(False, 4), (True, 4), (False, 40)])
+def test_tasks_get_no_more_rows_than_they_hold(spark, monkeypatch, hot, least):
     """More rows mean more tasks of the one shuffle, not larger ones; the session's partitions are the least."""
     key = "if(id % 2 = 0, 0, id % 4999)" if hot else "id % 4999"
     df = spark.range(0, 20_000, numPartitions=8).selectExpr("id", f"{key} AS key", "id * 7919 % 20011 AS day", "id * 1.5D AS value")
@@ -162,7 +162,7 @@ def test_tasks_get_no_more_rows_than_they_hold(spark, monkeypatch, hot):
             running_min_and_list(df, ["key"], ["day"], "value", 5, "m", "n"),
         ]
 
-    with settings(spark, {"spark.sql.shuffle.partitions": "4"}):
+    with settings(spark, {"spark.sql.shuffle.partitions": str(least)}):
         whole = [{r["id"]: r["n"] for r in made.select("id", "n").collect()} for made in every()]
         monkeypatch.setattr(session, "TASK_ROWS", 1000, raising=False)
         for made, expected in zip(every(), whole, strict=True):
