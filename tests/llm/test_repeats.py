@@ -6,6 +6,7 @@ import pytest
 from helpers import documents, odd_documents
 
 from lapstar.llm import repeats
+from lapstar.llm.queries import QUERIES
 from lapstar.llm.suffixes import LENGTH, REACH, Buckets, anchors
 
 
@@ -83,6 +84,19 @@ def test_frames(spark):
     assert repeats.remove_repeats(docs.limit(0)).collect() == []
 
 
+def test_query(spark, tmp_path):
+    """Bytes decide, not words: a passage of over 50 words goes from ``LENGTH`` bytes on. More columns follow the contract's."""
+    few, many = (" ".join(f"{name}{i:05d}" for i in range(60))[:size] for name, size in (("f", 399), ("m", 400)))
+    texts = [f"{i}{passage}{i}" for passage in (few, many) for i in "12"] + ["alone", None]
+    assert len(few.split()) > 50 and len(many.split()) > 50
+    documents(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op6_repeated_strings"](spark, str(tmp_path))
+    assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "has_repeat"]
+    want = [(i, *row, int(row[1] > 0)) for i, row in enumerate(brute(texts))]
+    assert sorted(tuple(r) for r in found.collect()) == want
+    assert [row[2] for row in want] == [0, 0, 400, 400, 0, 0]
+
+
 def test_every_string_has_an_anchor():
     rng = np.random.default_rng(4)
     data = rng.integers(97, 99, 6000).astype(np.uint8)
