@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lapstar.session import empty
+from lapstar.session import empty, shuffles_dropped
 from lapstar.sources.tables import overwrite_swap, read_table
 
 MERGED = "merged_loads"
 PREFIX = "merged."
 PLACES = "load_id string, part string"
+FILE_BYTES = 128 << 20
 
 #: How a table's rows of several parts become those of one.
 Combine = Callable[[DataFrame], DataFrame]
@@ -90,12 +91,25 @@ def _drop(spark: SparkSession, database: str, names: list[str], parts: list[str]
             spark.sql(f"ALTER TABLE {database}.{name} DROP IF EXISTS {specs}")
 
 
-def _add(rows: DataFrame, name: str, part: str) -> None:
+def _packed(rows: DataFrame) -> DataFrame:
+    """Stored rows in as few partitions as their files need. They are not shuffled: that would cost more than the merge, and
+    rows that lie in the order in which they were written take less place."""
+    files = rows.select("_metadata.file_path", "_metadata.file_size").distinct()
+    size = files.agg(F.sum("file_size")).first()[0] or 0
+    return rows.coalesce(max(1, -(-size // FILE_BYTES)))
+
+
+def _add(rows: DataFrame, combine: Combine, name: str, part: str) -> None:
     """Into a part that does not count yet, so the rows may come from the same table."""
-    columns = [c for c in rows.columns if c != "load_id"]
-    spark = rows.sparkSession
-    chosen = rows.select(*columns).hint("rebalance")
-    spark.sql(f"INSERT INTO {name} PARTITION (load_id = '{part}') ({', '.join(columns)}) SELECT * FROM {{rows}}", rows=chosen)
+    combined, spark = combine(rows), rows.sparkSession
+    columns = [c for c in combined.columns if c != "load_id"]
+    chosen = (_packed(rows) if combined is rows else combined).select(*columns)
+    with shuffles_dropped(spark):
+        spark.sql(f"INSERT INTO {name} PARTITION (load_id = '{part}') ({', '.join(columns)}) SELECT * FROM {{rows}}", rows=chosen)
+
+
+def _as_they_are(rows: DataFrame) -> DataFrame:
+    return rows
 
 
 def _place(spark: SparkSession, database: str, rows: DataFrame) -> None:
@@ -103,11 +117,19 @@ def _place(spark: SparkSession, database: str, rows: DataFrame) -> None:
 
 
 def _full_tier(counting: list[str], fanout: int) -> list[str]:
-    """The parts of the lowest tier that has ``fanout`` of them or more."""
+    """The parts of the lowest tier that has ``fanout`` of them or more. If the part they become fills the next tier, the
+    parts of that one as well, and so on: no row is written to a part that is merged at once."""
     tiers = defaultdict(list)
     for part in counting:
         tiers[tier(part)].append(part)
-    return next((tiers[k] for k in sorted(tiers) if len(tiers[k]) >= fanout), [])
+    level = next((k for k in sorted(tiers) if len(tiers[k]) >= fanout), None)
+    if level is None:
+        return []
+    chosen = tiers[level]
+    while len(tiers[level + 1]) + 1 >= fanout:
+        level += 1
+        chosen = chosen + tiers[level]
+    return chosen
 
 
 def due(spark: SparkSession, database: str, names: list[str], fanout: int) -> bool:
@@ -130,11 +152,11 @@ def merge(spark: SparkSession, database: str, tables: dict[str, Combine], fanout
     if _full_tier(counting, fanout):
         _drop(spark, database, names, sorted(set(found) - set(counting)))
     while chosen := _full_tier(counting, fanout):
-        into = _new_part(tier(chosen[0]) + 1)
+        into = _new_part(max(map(tier, chosen)) + 1)
         for name, combine in tables.items():
             if spark.catalog.tableExists(f"{database}.{name}"):
                 rows = spark.read.table(f"{database}.{name}").filter(F.col("load_id").isin(chosen))
-                _add(combine(rows), f"{database}.{name}", into)
+                _add(rows, combine, f"{database}.{name}", into)
         known = places(spark, database)
         moved = known.withColumn("part", F.when(F.col("part").isin(chosen), F.lit(into)).otherwise(F.col("part")))
         loads = [(part, into) for part in chosen if not part.startswith(PREFIX)]
@@ -169,7 +191,7 @@ def reopen(spark: SparkSession, database: str, tables: dict[str, Combine], load_
             rows = spark.read.table(f"{database}.{name if own else of}").filter(F.col("load_id") == part)
             for target, which in targets:
                 chosen = rows.filter(which)
-                _add(chosen if own else combine(chosen), f"{database}.{name}", target)
+                _add(chosen, _as_they_are if own else combine, f"{database}.{name}", target)
     part = F.col("part")
     for old, new in moves.items():
         part = F.when(F.col("part") == old, F.lit(new)).otherwise(part)

@@ -46,6 +46,33 @@ def test_tiers_keep_rows_and_bound_parts(spark):
     assert not parts.due(spark, name, ["facts"], 3)
 
 
+def test_a_full_tier_is_merged_with_the_one_it_fills(spark):
+    name, want = new_database(spark), []
+    for i in range(4):
+        put(spark, name, f"l{i}", [i, 50 + i])
+        want += [(f"l{i}", i), (f"l{i}", 50 + i)]
+        merges = parts.merge(spark, name, TABLES, 2)
+    assert merges == 1 and [parts.tier(p) for p in parts.live(spark, name, ["facts"])] == [2]
+    assert state(spark, name) == (sorted(want), 1)
+
+
+def test_stored_rows_are_merged_without_a_shuffle(spark, monkeypatch):
+    name = new_database(spark)
+    for i in range(3):
+        put(spark, name, f"l{i}", range(i, 200, 3))
+    stored = spark.read.table(f"{name}.facts").filter(F.col("load_id") != "l0")
+    packed = parts._packed(stored)
+    assert packed.rdd.getNumPartitions() == 1 and "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+    assert packed.exceptAll(stored).isEmpty() and stored.exceptAll(packed).isEmpty()
+    monkeypatch.setattr(parts, "FILE_BYTES", 1)
+    assert parts._packed(stored).count() == stored.count() and parts._packed(stored.limit(0)).count() == 0
+    used, packer = [], parts._packed
+    monkeypatch.setattr(parts, "_packed", lambda rows: used.append(rows.columns) or packer(rows))
+    assert parts.merge(spark, name, TABLES, 3) == 1
+    assert used == [["k", "x", "brought_by", "load_id"]]  # the facts; sums are grouped
+    assert len(state(spark, name)[0]) == 200
+
+
 def test_a_merge_that_stops_changes_nothing(spark, monkeypatch):
     name = new_database(spark)
     for i in range(3):
