@@ -191,14 +191,15 @@ def _load_facts(
     spark: SparkSession, raw: DataFrame, database: str, load_id: str, tie: list[str] | None, feed: DataFrame, older: bool
 ) -> None:
     loaded = read_warehouse(spark, database)
-    # Swims of an older load keep the versions that they had: these are found by the attributes, as are shared ids.
-    by_attributes = older or not quality.duplicates(feed, ["swimmer_id"], allow_null=True).isEmpty()
+    # Shared ids are told apart by the attributes. Where the feed has none, an id alone also tells which version the swims of
+    # an older load keep.
+    by_attributes = not quality.duplicates(feed, ["swimmer_id"], allow_null=True).isEmpty()
     swims = facts.numbered_swims(raw, tie, by_attributes)
     start = _take_keys(spark, database, load_id, swims.count())
     swims = swims.withColumn("performance_id", F.col("performance_id") + start)
     if older:
         held = save(dims.versions_of(feed, loaded.swimmers), "versions")
-        rows = facts.of_versions(swims, held, loaded.events, loaded.competitions, True)
+        rows = facts.of_versions(swims, held, loaded.events, loaded.competitions, by_attributes)
     else:
         rows = facts.resolved(swims, loaded.swimmers, loaded.events, loaded.competitions, by_attributes)
     if SOURCE[0] not in rows.columns:

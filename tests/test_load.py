@@ -107,6 +107,19 @@ def test_an_older_load_comes_again(spark, raw_frame):
     assert values(grown.performance, "performance_id") == [(2,), (3,), (4,), (5,)]
 
 
+@pytest.mark.parametrize("shared", [False, True])
+def test_an_older_load_is_matched_by_attributes_where_ids_are_shared_only(spark, raw_frame, monkeypatch, shared):
+    twin = [swim(1, "50m Freestyle", "31.00", "M1", "2018-01-01", Name="Twin")] if shared else []
+    first, second = raw_frame(FIRST + twin), raw_frame([{**row, "Name": "Renamed"} for row in FIRST[:1]])
+    database, used, number = new_database(spark), [], facts.numbered_swims
+    monkeypatch.setattr(facts, "numbered_swims", lambda raw, tie, attributes: used.append(attributes) or number(raw, tie, attributes))
+    before = run_load(spark, first, database, "first", "2018-01-02").performance.collect()
+    run_load(spark, second, database, "second", "2018-01-03")
+    after = run_load(spark, first, database, "first", "2018-01-04").performance.filter("performance_id <= " + str(len(before)))
+    assert used == [shared, False, shared]
+    assert sorted(map(str, after.collect())) == sorted(map(str, before))
+
+
 def test_two_loads_at_once_follow_each_other(spark, raw_frame):
     name = new_database(spark)
     frames = {"first": raw_frame(FIRST), "second": raw_frame(SECOND)}
