@@ -2,10 +2,11 @@ import os
 import threading
 import time
 
+import pytest
 from conftest import swim
 
 from lapstar.plans.load import read_warehouse
-from lapstar.schemas import RAW
+from lapstar.schemas import RAW, SOURCE, USED_COLUMNS
 from lapstar.sources.files import write_results
 from lapstar.streaming import files as streaming
 from workload.staging import new_database
@@ -51,6 +52,19 @@ def test_stream_load_equals_batch(spark, raw_frame, tmp_path):
     assert rows(best) == [("SWM1", 24.5, 2), ("SWM2", None, 3), ("SWM3", 61.0, 1)]
 
 
+def test_a_batch_holds_what_loads_use_and_headers_are_checked_whole(spark, raw_frame, tmp_path, monkeypatch):
+    path, database, kept = tmp_path / "in", new_database(spark), []
+    save = streaming.save
+    monkeypatch.setattr(streaming, "save", lambda df, label: kept.append(df.columns) or save(df, label))
+    write_results(raw_frame(FIRST), str(path))
+    streaming.load_stream(spark, str(path), database, str(tmp_path / "progress"), "2018-03-01")
+    assert kept == [[*USED_COLUMNS, *SOURCE]] and read_warehouse(spark, database).performance.count() == 2
+    names = [{"Sponsor": "Other"}.get(name, name) for name in RAW.names]
+    (path / "2018-02-01_M3_results.csv").write_text(",".join(names) + "\n" + "," * (len(names) - 1) + "\n")
+    with pytest.raises(Exception, match="header"):
+        streaming.load_stream(spark, str(path), database, str(tmp_path / "progress"), "2018-03-01")
+
+
 def test_rankings_follow_the_files(spark, raw_frame, tmp_path):
     path, sink, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     write_results(raw_frame(FIRST), path)
