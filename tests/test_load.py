@@ -5,11 +5,12 @@ from pathlib import Path
 
 import pytest
 from conftest import SMALL, swim
+from pyspark.sql import functions as F
 
 from lapstar.operators import dims, facts, keys, quality
 from lapstar.plans import load
 from lapstar.plans.load import load_files, read_warehouse, reset, row_counts, run_load
-from lapstar.schemas import RAW_COLUMNS, TEXT_LIMITS
+from lapstar.schemas import RAW_COLUMNS, SOURCE, TEXT_LIMITS, USED_COLUMNS
 from lapstar.session import shared_folder
 from lapstar.sources.files import write_results
 from workload import queries
@@ -265,6 +266,16 @@ def test_load_from_files(spark, raw_frame, tmp_path):
     assert quality.duplicates(loaded.swimmers.filter("is_current"), ["swimmer_id"]).count() == 1
 
 
+def test_files_are_staged_in_the_columns_that_loads_use(raw_frame):
+    rows = [{**row, "Sponsor": None if i % 2 else "x", "Top_5": "" if i else None, "Time": None} for i, row in enumerate(FIRST + SECOND)]
+    raw = raw_frame(rows).withColumns({"source_file": F.col("Competition_Competition_Id"), "source_block": F.lit(0).cast("bigint")})
+    staged = load._staged(raw)
+    assert staged.columns == [*USED_COLUMNS, *SOURCE, load.NULLS]
+    whole, found = quality.profile(raw, "source_file", RAW_COLUMNS), load._profile(staged)
+    assert found.columns == whole.columns and whole.count() == 2
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_best_time_and_rank_are_independent(spark):
     schema = "swimmer_sk bigint, event_sk bigint, time_seconds double, overall_rank int"
     swims = spark.createDataFrame([(1, 1, 25.0, 3), (1, 1, 26.0, 1), (1, 2, None, None)], schema)
