@@ -23,7 +23,7 @@ from lapstar.sources.tables import overwrite_swap, read_table
 MERGED = "merged_loads"
 PREFIX = "merged."
 PLACES = "load_id string, part string"
-FILE_BYTES = 128 << 20
+FILE_BYTES, LEAST_BYTES = 32 << 20, 8 << 20
 
 #: How a table's rows of several parts become those of one.
 Combine = Callable[[DataFrame], DataFrame]
@@ -92,11 +92,15 @@ def _drop(spark: SparkSession, database: str, names: list[str], parts: list[str]
 
 
 def _packed(rows: DataFrame) -> DataFrame:
-    """Stored rows in as few partitions as their files need. They are not shuffled: that would cost more than the merge, and
-    rows that lie in the order in which they were written take less place."""
-    files = rows.select("_metadata.file_path", "_metadata.file_size").distinct()
-    size = files.agg(F.sum("file_size")).first()[0] or 0
-    return rows.coalesce(max(1, -(-size // FILE_BYTES)))
+    """Stored rows in as few partitions as their files need, or a few more that all cores can work on. They are not shuffled: that
+    would cost more than the merge, and rows that lie in the order in which they were written take less place."""
+    spark = rows.sparkSession
+    jvm, size = spark._jvm, 0
+    for folder in sorted({file.rsplit("/", 1)[0] for file in rows.inputFiles()}):  # one a part
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        size += path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    tasks = min(spark.sparkContext.defaultParallelism, -(-size // LEAST_BYTES))
+    return rows.coalesce(max(1, tasks, -(-size // FILE_BYTES)))
 
 
 def _add(rows: DataFrame, combine: Combine, name: str, part: str) -> None:

@@ -65,6 +65,7 @@ def test_stored_rows_are_merged_without_a_shuffle(spark, monkeypatch):
     assert packed.rdd.getNumPartitions() == 1 and "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
     assert packed.exceptAll(stored).isEmpty() and stored.exceptAll(packed).isEmpty()
     monkeypatch.setattr(parts, "FILE_BYTES", 1)
+    assert parts._packed(stored).rdd.getNumPartitions() == 2  # two parts of one file each; the third is not counted
     assert parts._packed(stored).count() == stored.count() and parts._packed(stored.limit(0)).count() == 0
     used, packer = [], parts._packed
     monkeypatch.setattr(parts, "_packed", lambda rows: used.append(rows.columns) or packer(rows))
